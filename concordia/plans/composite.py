@@ -3,9 +3,9 @@
 from pyspark.sql import functions as F
 
 from concordia.functions import columns as C
-from concordia.operators import codes, corrections, feed, fusion, linkage, offsets, quality
+from concordia.operators import codes, corrections, fusion, linkage, marts, offsets, quality
 from concordia.operators import joins as J
-from concordia.plans.base import LAPS_SQL, cents, laps, query
+from concordia.plans.base import LAPS_SQL, RESULTS_SQL, laps, query, results
 from concordia.sources import flatten, merge, readers
 
 # Corrections
@@ -344,3 +344,64 @@ def q16_row_loss(t):
     before = count(t.orders, "orders").unionByName(count(t.customer, "customer")).unionByName(count(t.part, "part"))
     after = count(t.orders.where("o_orderkey > 2"), "orders").unionByName(count(t.customer.where("c_custkey > 3"), "customer")).unionByName(count(t.part.where("p_size > 1"), "part"))
     return quality.row_loss(before, after, ["orders"], ["customer"])
+
+
+# Published model
+
+
+@query(f"""WITH {LAPS_SQL}, c AS (SELECT DISTINCT race_id, driver_id, 5 AS official_laps, CASE WHEN driver_id = 'd2' THEN 'shared_car' ELSE 'ok' END AS status FROM laps WHERE driver_id <> 'd3')
+SELECT race_id, driver_id, lap_number, coalesce(lap_number > official_laps AND status <> 'shared_car', false) AS is_incomplete_lap, coalesce(status, 'unmatched_driver') AS quality_status FROM laps LEFT JOIN c USING (race_id, driver_id)""")
+def r07_r19_lap_facts(t):
+    x = laps(t)
+    c = x.where("driver_id <> 'd3'").select("race_id", "driver_id").distinct().withColumns({"official_laps": F.lit(5), "status": F.when(F.col("driver_id") == "d2", "shared_car").otherwise("ok")})
+    return marts.lap_facts(x, c).select("race_id", "driver_id", "lap_number", "is_incomplete_lap", "quality_status")
+
+
+@query("""SELECT c_custkey, b.n_name AS born_in, n.n_name AS nation, r_name AS region FROM customer JOIN nation n ON c_nationkey = n.n_nationkey JOIN nation b ON (c_custkey % 25) = b.n_nationkey JOIN region ON n.n_regionkey = r_regionkey""")
+def r21_dimension(t):
+    c = t.customer.withColumn("born", F.col("c_custkey") % 25)
+    out = marts.with_dimension(c, t.nation, "born", "n_nationkey", {"born_in": "n_name"})
+    out = marts.with_dimension(out, t.nation, "c_nationkey", "n_nationkey", {"nation": "n_name", "_region": "n_regionkey"})
+    return marts.with_dimension(out, t.region, "_region", "r_regionkey", {"region": "r_name"}).select("c_custkey", "born_in", "nation", "region")
+
+
+@query(f"""WITH {RESULTS_SQL}, q AS (SELECT race_id, driver_id, position_display_order, position_number, least(points, CASE WHEN is_pole THEN points - 1 END) AS best FROM results WHERE session_type = 'RACE')
+SELECT race_id, driver_id, position_display_order, coalesce(position_number = 1, false) AS is_pole, best AS best_time_ms, count(*) AS n FROM q GROUP BY ALL""")
+def r22_session_facts(t):
+    r = results(t).where("session_type = 'RACE'").withColumns({"q1_ms": F.col("points"), "q2_ms": F.when(F.col("is_pole"), F.col("points") - 1), "q3_ms": F.lit(None).cast("double"), "time_ms": F.lit(None).cast("double")}).drop("is_pole")
+    return marts.qualifying_facts(r).groupBy("race_id", "driver_id", "position_display_order", "is_pole", "best_time_ms").agg(F.count("*").alias("n"))
+
+
+@query("""WITH a AS (SELECT user_id AS race_id, 'a' AS source, event_id, ts FROM events WHERE event_type = 'error' AND user_id % 3 = 0), b AS (SELECT user_id AS race_id, 'b' AS source, event_id, ts FROM events WHERE event_type = 'click'),
+u AS (SELECT * FROM a UNION ALL SELECT * FROM b WHERE race_id NOT IN (SELECT race_id FROM a)) SELECT race_id, source, event_id, CAST(row_number() OVER (PARTITION BY race_id ORDER BY ts, event_id) AS INT) AS seq FROM u""")
+def r23_one_source_log(t):
+    one = lambda kind, name: t.events.where(F.col("event_type") == kind).select(F.col("user_id").alias("race_id"), F.lit(name).alias("source"), "event_id", "ts")
+    return marts.one_source_log(one("error", "a").where("race_id % 3 = 0"), one("click", "b"), ["ts", "event_id"], "seq").select("race_id", "source", "event_id", "seq")
+
+
+@query("""SELECT user_id, event_id, epoch_us(ts) // 1000 AS sample_ms FROM events WHERE event_type = 'view'""")
+def r27_sample_times(t):
+    start = F.lit("2024-01-01").cast("timestamp")
+    e = t.events.withColumn("ms", F.unix_millis(F.col("ts").cast("timestamp")) - F.unix_millis(start))
+    zero = e.select("user_id", (start + C.ms_interval("ms")).alias("utc"), "ms")
+    out = flatten.sample_times(e.where("event_type = 'view'").select("user_id", "event_id", "ms"), zero, ["user_id"], "utc", "ms", "ms")
+    return out.select("user_id", "event_id", C.epoch_ms("sample_utc").alias("sample_ms"))
+
+
+@query("""SELECT k AS check_id, compared, matched, compared - matched AS missing FROM (SELECT 'rows:' || l_returnflag AS k, count(*) AS compared, count(*) FILTER (WHERE l_quantity > 1) AS matched FROM lineitem GROUP BY l_returnflag) WHERE compared > matched AND k IN ('rows:ok:A', 'rows:A', 'rows:N')""")
+def q05_q15_q17_notices(t):
+    card = quality.scorecard([quality.check(t.lineitem, "rows", {"ok": (F.lit(True), F.col("l_quantity") > 1)}, {"ok": 90.0}, ["l_returnflag"])])
+    return quality.notices(card, ["rows:ok:A", "rows:ok:N"]).select(F.replace("check_id", F.lit(":ok")).alias("check_id"), "compared", "matched", "missing")
+
+
+@query("SELECT o_orderkey FROM orders WHERE (o_orderstatus = 'P') <> (o_orderkey % 3 = 0) OR regexp_matches(o_orderpriority, '^[0-9]+$')")
+def q14_domain_rules(t):
+    return t.orders.where(((F.col("o_orderstatus") == "P") != (F.col("o_orderkey") % 3 == 0)) | F.col("o_orderpriority").rlike("^[0-9]+$")).select("o_orderkey")
+
+
+@query(f"""WITH {RESULTS_SQL}, y AS (SELECT season, driver_id, sum(points) AS own FROM results GROUP BY ALL), s AS (SELECT season, driver_id, sum(points) FILTER (WHERE driver_id <> 'd7') AS official FROM results GROUP BY ALL)
+SELECT season, driver_id, own, official FROM y JOIN s USING (season, driver_id) WHERE official IS NULL""")
+def q11_q12_consistency(t):
+    own = results(t).groupBy("season", "driver_id").agg(F.sum("points").alias("points"))
+    official = own.withColumn("points", F.when(F.col("driver_id") != "d7", F.col("points")))
+    return quality.parity(own, official, ["season", "driver_id"], ["points"]).drop("column_name")

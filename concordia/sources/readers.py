@@ -116,3 +116,12 @@ def pending(calendar: DataFrame, loaded: DataFrame, gaps: DataFrame, on: list[st
     """Completed partitions that are neither loaded nor known gaps."""
     done = completed(calendar, end, now, margin_hours)
     return done.join(loaded.select(*on).distinct(), on, "left_anti").join(gaps.select(*on).distinct(), on, "left_anti")
+
+
+def workspace(spark: SparkSession, name: str) -> str:
+    """A new folder below `spark.checkpoint.dir`, which all executors share; a local one only where that is unset."""
+    import tempfile
+    import uuid
+
+    top = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.gettempdir()
+    return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
