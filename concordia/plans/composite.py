@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from concordia.functions import columns as C
-from concordia.operators import codes, corrections, fusion, linkage, marts, offsets, quality
+from concordia.operators import codes, corrections, feed, fusion, linkage, marts, offsets, quality
 from concordia.operators import joins as J
 from concordia.plans.base import LAPS_SQL, RESULTS_SQL, laps, query, results
 from concordia.sources import flatten, merge, readers
@@ -405,3 +405,25 @@ def q11_q12_consistency(t):
     own = results(t).groupBy("season", "driver_id").agg(F.sum("points").alias("points"))
     official = own.withColumn("points", F.when(F.col("driver_id") != "d7", F.col("points")))
     return quality.parity(own, official, ["season", "driver_id"], ["points"]).drop("column_name")
+
+
+@query("""WITH s AS (SELECT o_orderkey AS session_key, o_custkey AS meeting_key, year(o_orderdate) AS season, o_orderkey % 2 = 0 AS is_race, CAST(o_orderdate AS DATE) + CAST(o_orderkey % 3 - 1 AS INT) AS d FROM orders WHERE o_orderkey % 7 <> 0),
+r AS (SELECT o_orderkey AS race_id, year(o_orderdate) AS season, CAST(o_orderdate AS DATE) AS d, 'C' || (o_orderkey % 3) AS country FROM orders WHERE o_orderkey % 50 = 0),
+b AS (SELECT meeting_key, race_id, row_number() OVER (PARTITION BY session_key ORDER BY abs(date_diff('day', s.d, r.d)), race_id) AS rn FROM s JOIN r ON s.season = r.season AND abs(date_diff('day', s.d, r.d)) <= 1 WHERE is_race),
+m AS (SELECT meeting_key, min(race_id) AS race_id FROM b WHERE rn = 1 GROUP BY 1) SELECT session_key, race_id FROM s JOIN m USING (meeting_key)""")
+def r09_match_sessions(t):
+    key = F.col("o_orderkey")
+    sessions = t.orders.select(
+        key.alias("session_key"), F.col("o_custkey").alias("meeting_key"), F.year("o_orderdate").alias("season"), F.when(key % 2 == 0, "Race").otherwise("Qualifying").alias("session_name"),
+        F.date_add(F.to_date("o_orderdate"), (key % 3 - 1).cast("int")).alias("local_date"), F.lit("c").alias("country_name"), (key % 7 == 0).alias("is_cancelled"),
+    )
+    races = t.orders.where("o_orderkey % 50 = 0").select(key.alias("race_id"), F.year("o_orderdate").alias("season"), F.to_date("o_orderdate").alias("race_date"), F.concat(F.lit("C"), key % 3).alias("country"))
+    return feed.match_sessions(sessions, races, ["country"]).select("session_key", "race_id")
+
+
+@query(f"""WITH {LAPS_SQL}, f AS (SELECT race_id, driver_id, min(lap_time_ms) AS best, arg_min(lap_number, (lap_time_ms, lap_number)) AS lap FROM laps GROUP BY ALL)
+SELECT race_id, driver_id, abs(best - (best + race_id % 3)) <= 1 AS is_time_match, CASE WHEN race_id % 4 <> 0 THEN lap = lap + race_id % 2 END AS is_lap_match FROM f""")
+def q03_fastest_lap_consistency(t):
+    own = laps(t).groupBy("race_id", "driver_id").agg(F.min("lap_time_ms").alias("best"), F.min_by("lap_number", F.struct("lap_time_ms", "lap_number")).alias("at"))
+    stated, lap = F.col("best") + F.col("race_id") % 3, F.when(F.col("race_id") % 4 != 0, F.col("at") + F.col("race_id") % 2)
+    return own.select("race_id", "driver_id", C.match_flag(F.col("best"), stated, 1).alias("is_time_match"), C.match_flag(F.col("at"), lap).alias("is_lap_match"))
