@@ -1,7 +1,8 @@
 """MinHash near-dedup with odd sketches.
 
 1. One pass over the texts: the shingle set's size and 128-bit digest, MinHash band keys, and
-   an odd sketch: every MinHash sample toggles one bit of a parity bitmap.
+   an odd sketch: every sample of a one-permutation MinHash (the least hash of each of SAMPLES
+   bins) toggles one bit of a parity bitmap.
 2. Equal sets are one class (its representative the smallest id); only classes go on.
 3. Each band bucket links its members to its smallest class. Candidate pairs pass if the XOR
    population count of their sketches allows the similarity, and count as links only after
@@ -25,12 +26,12 @@ from pyspark.sql import functions as F
 from concordia.llm import _text as X
 from concordia.llm._cluster import semi_by_id, settle
 
-#: Bits of an odd sketch; standard errors by which an estimate may miss and still be compared in full.
-SKETCH_BITS, SLACK = 1024, 5.0
+#: Bits of an odd sketch; bins of its samples (a power of two); standard errors by which an estimate may miss.
+SKETCH_BITS, SAMPLES, SLACK = 1024, 1024, 4.5
 #: The chance that a pair of exactly the least similarity shares no band.
 MISS = 1e-6
 #: Members of a hub that one task compares with it; classes of a bucket in one block; partners by round.
-PER_HUB, PER_BLOCK, PARTNERS = 256, 1024, (4, 64, 1024, None)
+PER_HUB, PER_BLOCK, PARTNERS = 256, 4096, (4, None)
 
 SKETCHED = "n_shingles long, digest binary, sketch binary, bands array<long>"
 
@@ -62,20 +63,38 @@ def digests(sets: np.ndarray, offsets: np.ndarray) -> list[bytes]:
     return [r.tobytes() for r in np.stack(out, axis=1)]
 
 
-def odd_sketches(signature: np.ndarray, bits: int = SKETCH_BITS) -> np.ndarray:
-    """Parity bitmaps, one row of bytes for each document."""
-    n, samples = signature.shape
-    at = (X.mix(signature + np.arange(1, samples + 1, dtype=np.uint64) * np.uint64(X._BASE)) % np.uint64(bits)).astype(np.int64)
-    odd = np.zeros((n, bits), np.uint8)
-    np.bitwise_xor.at(odd, (np.repeat(np.arange(n), samples), at.ravel()), 1)
-    return np.packbits(odd, axis=1)
-
-
-def most_odd(similarity: float, samples: int, bits: int = SKETCH_BITS) -> int:
-    """The largest XOR population count at which a pair may still have the similarity, SLACK errors allowed."""
-    least = max(0.0, similarity - SLACK * math.sqrt(similarity * (1 - similarity) / samples))
-    odd = bits / 2 * (1 - (1 - 2 / bits) ** (2 * samples * (1 - least)))
-    return math.ceil(odd + SLACK * math.sqrt(odd / 4))
+def odd_sketches(sets: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Parity bitmaps, one row of bytes for each of the sorted sets end to end."""
+    n = len(offsets) - 1
+    doc = np.repeat(np.arange(n), np.diff(offsets))
+    where = doc * SAMPLES + (sets >> np.uint64(64 - SAMPLES.bit_length() + 1)).astype(np.int64)
+    least = np.ones(len(sets), bool)  # sets are sorted, so the first of a bin is its least
+    least[1:] = where[1:] != where[:-1]
+    doc, samples = doc[least], sets[least]
+    at = (X.mix(samples + np.uint64(X._BASE)) % np.uint64(SKETCH_BITS)).astype(np.int64)
+    odd = np.bincount(doc * SKETCH_BITS + at, minlength=n * SKETCH_BITS).reshape(n, SKETCH_BITS) & 1
+    return np.packbits(odd.astype(np.uint8), axis=1)
+
+
+def may_match(far: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether sets with these XOR population counts and sizes may have the similarity J.
+
+    At J the union has N = (|A| + |B|) / (1 + J) shingles, which fill U of the bins. A share 1 - J of these has a least
+    hash that one set lacks: one sample differs, and a second one if the other set is in the bin too (a chance p). The
+    number of differing samples may pass its mean by SLACK errors (of drawing U of N without replacement, of p and of
+    U), and the bitmap's count, which never exceeds that number, its own mean by SLACK errors."""
+    j, k, n = similarity, float(SAMPLES), float(SKETCH_BITS)
+    large, small = np.maximum(size_a, size_b), np.minimum(size_a, size_b)
+    union = (large + small) / (1 + j)
+    fill, q = np.exp(-union / k), (1 - j) / 2
+    bins = k * (1 - fill)
+    p = 1 - fill / np.maximum(1 - fill, 1e-12) * np.expm1(union / k * q) / q
+    wide = np.maximum(k * (fill - fill * fill * (1 + union / k)), 0)
+    error = (1 + p) ** 2 * bins * j * (1 - j) * np.maximum(1 - bins / union, 0) + bins * (1 - j) * p * (1 - p) + ((1 - j) * (1 + p)) ** 2 * wide
+    differ = bins * (1 - j) * (1 + p) + SLACK * np.sqrt(error)
+    one, two = (1 - 2 / n) ** differ, (1 - 4 / n) ** differ
+    most = n / 2 * (1 - one) + SLACK * np.sqrt(np.maximum(n + n * (n - 1) * two - n * n * one * one, 0)) / 2
+    return (small >= j * large - 1e-9) & (far <= np.ceil(np.minimum(differ, most) + 1e-9))
 
 
 def sketch(docs: DataFrame, k: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
@@ -95,7 +114,7 @@ def sketch(docs: DataFrame, k: int, similarity: float, id_col: str, text_col: st
                     signature = signatures(sets, own, bands * rows)
                     band = X.mix(signature.reshape(len(some), bands, rows) * (2 * np.arange(rows, dtype=np.uint64) + np.uint64(X._BASE))).sum(axis=2, dtype=np.uint64)
                     band = X.mix(band + np.arange(bands, dtype=np.uint64)).view(np.int64)
-                    for row, d, o, b in zip(some.tolist(), digests(sets, own), odd_sketches(signature), band.tolist()):
+                    for row, d, o, b in zip(some.tolist(), digests(sets, own), odd_sketches(sets, own), band.tolist()):
                         digest[row], odd[row], keys[row] = d, o.tobytes(), b
                 columns = [batch.column(0).slice(at, s.n), pa.array(count.astype(np.int64)), pa.array(digest, pa.binary()), pa.array(odd, pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
                 yield pa.RecordBatch.from_arrays(columns, ["id", "n_shingles", "digest", "sketch", "bands"])
@@ -103,23 +122,28 @@ def sketch(docs: DataFrame, k: int, similarity: float, id_col: str, text_col: st
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, {SKETCHED}")
 
 
-def _alike(pairs: DataFrame, classes: DataFrame, similarity: float, samples: int) -> DataFrame:
+def _alike(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
     """Pairs (a, b) whose sizes and odd sketches allow the similarity."""
-    side = lambda n: classes.select(F.col("id").alias(n), F.col("n_shingles").alias(f"n_{n}"), F.col("sketch").alias(f"s_{n}"))
-    most = most_odd(similarity, samples)
+    side = lambda n: classes.select(F.col("id").alias(n), *[F.col(c).alias(f"{c}_{n}") for c in ("n_shingles", "sketch")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             t = pa.Table.from_batches([batch])
-            n_a, n_b = t["n_a"].to_numpy(), t["n_b"].to_numpy()
-            near = np.minimum(n_a, n_b) >= similarity * np.maximum(n_a, n_b) - 1e-9
-            s_a, s_b = (np.frombuffer(b"".join(t[c].to_pylist()), np.uint8).reshape(len(batch), -1) for c in ("s_a", "s_b"))
-            near &= np.bitwise_count(s_a ^ s_b).sum(axis=1, dtype=np.int64) <= most
+            odd = [np.frombuffer(b"".join(t[f"sketch_{n}"].to_pylist()), np.uint8).reshape(len(batch), -1) for n in "ab"]
+            far = np.bitwise_count(odd[0] ^ odd[1]).sum(axis=1, dtype=np.int64)
+            near = may_match(far, t["n_shingles_a"].to_numpy(), t["n_shingles_b"].to_numpy(), similarity)
             yield batch.select(["a", "b"]).filter(pa.array(near))
 
     kind = classes.schema["id"].dataType.simpleString()
-    wide = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "s_a", "s_b")
-    return wide.mapInArrow(run, f"a {kind}, b {kind}")
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, f"a {kind}, b {kind}")
+
+
+def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets have percent / 100 of their union in common."""
+    if not len(a) or not len(b):
+        return False
+    both = int((a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b).sum())
+    return 100 * both >= percent * (len(a) + len(b) - both)
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, similarity: float) -> DataFrame:
@@ -139,7 +163,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, similarity: float) ->
     percent = round(100 * similarity)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hub, key = None, None
+        hubs, key = [], None  # the hub's set; several only if texts share its id
         for batch in batches:
             a, part, b = (batch.column(i).to_pylist() for i in range(3))
             yes_a, yes_b = [], []
@@ -148,14 +172,13 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, similarity: float) ->
                 for i in range(s.n):
                     own = sets[offsets[i] : offsets[i + 1]]
                     row = at + i
+                    if (a[row], part[row]) != key:
+                        hubs, key = [], (a[row], part[row])
                     if b[row] is None:
-                        hub, key = own, (a[row], part[row])
-                    elif key == (a[row], part[row]):
-                        place = np.minimum(np.searchsorted(hub, own), len(hub) - 1)
-                        both = int((hub[place] == own).sum())
-                        if 100 * both >= percent * (len(hub) + len(own) - both):
-                            yes_a.append(a[row])
-                            yes_b.append(b[row])
+                        hubs.append(own)
+                    elif any(_linked(hub, own, percent) for hub in hubs):
+                        yes_a.append(a[row])
+                        yes_b.append(b[row])
             yield pa.RecordBatch.from_arrays([pa.array(yes_a, batch.column(0).type), pa.array(yes_b, batch.column(0).type)], ["a", "b"])
 
     return rows.mapInArrow(run, f"a {kind}, b {kind}")
@@ -180,47 +203,52 @@ def components(edges: DataFrame) -> DataFrame:
         before = state
 
 
-def _across(buckets: DataFrame, labels: DataFrame, classes: DataFrame, similarity: float, samples: int, partners: int | None) -> tuple[DataFrame, bool]:
-    """Untruncated or best candidate pairs between different components of a bucket, and whether any were left out."""
+def _across(buckets: DataFrame, labels: DataFrame, classes: DataFrame, similarity: float, partners: int | None) -> tuple[DataFrame, DataFrame]:
+    """Candidate pairs between different components of a bucket, the `partners` likeliest by class and component (None:
+    all), and the buckets in which some were left out. A pair is found in the first bucket that both share only."""
     kind = classes.schema["id"].dataType.simpleString()
     labelled = buckets.join(labels, buckets.id == labels.node, "left").select("bucket", "id", F.coalesce("label", "id").alias("label"))
     mixed = labelled.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high and n > 2")
     blocks = F.ceil(F.col("n") / PER_BLOCK).cast("int")
     rows = labelled.join(mixed.select("bucket", blocks.alias("blocks")), "bucket").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.join(classes.select("id", "n_shingles", "sketch"), "id").select("bucket", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "id", "label", "n_shingles", "sketch")
-    most = most_odd(similarity, samples)
+    own = ["n_shingles", "sketch", "bands"]
+    rows = rows.join(classes.select("id", *own), "id").select("bucket", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "id", "label", *own)
 
     def run(t: pa.Table) -> pa.Table:
-        size, label_names = t["n_shingles"].to_numpy(), t["label"].to_pylist()
-        label = np.unique(np.array(label_names, object), return_inverse=True)[1]
+        size = t["n_shingles"].to_numpy()
+        label = np.unique(np.array(t["label"].to_pylist(), object), return_inverse=True)[1]
         odd = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint64).reshape(len(t), -1)
+        bands = t["bands"].combine_chunks().flatten().to_numpy().reshape(len(t), -1)
+        place = int(np.flatnonzero(bands[0] == t["bucket"][0].as_py())[0])
         block, p, q = t["block"].to_numpy(), t["p"][0].as_py(), t["q"][0].as_py()
         mine, others = np.flatnonzero(block == p), np.flatnonzero(block == q)
         a, b, cut = [], [], False
         for i in mine:
             js = others[(label[others] != label[i]) & ((others > i) | (p != q))]
-            js = js[np.minimum(size[js], size[i]) >= similarity * np.maximum(size[js], size[i]) - 1e-9]
             far = np.bitwise_count(odd[js] ^ odd[i]).sum(axis=1, dtype=np.int64)
-            js, far = js[far <= most], far[far <= most]
-            if partners is not None and len(js):  # the likeliest of each component
+            near = may_match(far, size[i], size[js], similarity)
+            js, far = js[near], far[near]
+            new = ~(bands[js, :place] == bands[i, :place]).any(axis=1)
+            js, far = js[new], far[new]
+            if partners is not None and len(js):
                 order = np.lexsort((far, label[js]))
                 js = js[order]
                 starts = np.r_[0, np.flatnonzero(np.diff(label[js])) + 1]
-                place = np.arange(len(js)) - np.repeat(starts, np.diff(np.r_[starts, len(js)]))
-                cut |= bool((place >= partners).any())
-                js = js[place < partners]
+                nth = np.arange(len(js)) - np.repeat(starts, np.diff(np.r_[starts, len(js)]))
+                cut |= bool((nth >= partners).any())
+                js = js[nth < partners]
             a += [i] * len(js)
             b += js.tolist()
         ids = t["id"]
         left, right = ids.take(pa.array(a, pa.int64())), ids.take(pa.array(b, pa.int64()))
         if cut:  # a row without ids tells of it
             left, right = (pa.chunked_array([*c.chunks, pa.nulls(1, ids.type)], ids.type) for c in (left, right))
-        return pa.table({"a": left, "b": right})
+        return pa.table({"bucket": pa.array(np.full(len(left), t["bucket"][0].as_py(), np.int64)), "a": left, "b": right})
 
-    found = settle(rows.groupBy("bucket", "p", "q").applyInArrow(run, f"a {kind}, b {kind}"), "across")
+    found = settle(rows.groupBy("bucket", "p", "q").applyInArrow(run, f"bucket long, a {kind}, b {kind}"), "across")
     pairs = found.where("a is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return pairs, bool(found.where("a is null").limit(1).count())
+    return pairs, found.where("a is null").select("bucket").distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -230,29 +258,28 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8, id_col
     have that Jaccard similarity or more; component_id is the smallest id reachable, kept is whether it is the own one.
     Null or empty texts, or ones without words, have no shingles and are their own component. A null id never wins
     against others; repeated ids with different texts are compared text by text. Other columns are not read."""
-    bands, rows = bands_for(similarity)
-    samples = bands * rows
     sketched = settle(sketch(docs, k, similarity, id_col, text_col), "sketches")
     full = sketched.where("digest is not null and id is not null")
-    classes = settle(full.groupBy("digest").agg(F.min("id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands")), "classes")
+    classes = settle(full.groupBy("digest").agg(F.min("id").alias("id"), F.first("n_shingles").alias("n_shingles"), *[F.first(c).alias(c) for c in ("sketch", "bands")]), "classes")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     buckets = settle(classes.select("id", F.explode("bands").alias("bucket")), "buckets")
     leaders = buckets.groupBy("bucket").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1")
     star = buckets.join(leaders, "bucket").where("id <> a").select("a", F.col("id").alias("b")).distinct()
-    star = settle(_alike(star, classes, similarity, samples), "star")
+    star = settle(_alike(star, classes, similarity), "star")
     links = settle(_confirmed(star, texts, k, similarity), "confirmed")
     labels, tested = components(links), star
     crowded = settle(buckets.join(leaders.where("n > 2").select("bucket"), "bucket", "left_semi"), "crowded")
     for partners in PARTNERS:
-        pairs, cut = _across(crowded, labels, classes, similarity, samples, partners)
+        pairs, cut = _across(crowded, labels, classes, similarity, partners)
         pairs = settle(pairs.join(tested, ["a", "b"], "left_anti"), "untested")
         if not pairs.isEmpty():
             more = settle(_confirmed(pairs, texts, k, similarity), "confirmed")
             tested, links = tested.unionByName(pairs), links.unionByName(more)
             if not more.isEmpty():
                 labels = components(links)
-        if not cut:
+        crowded = settle(crowded.join(cut, "bucket", "left_semi"), "crowded")
+        if crowded.isEmpty():
             break
 
     by_class = classes.join(labels, classes.id == labels.node, "left").select("digest", F.coalesce("label", "id").alias("component"))
@@ -268,5 +295,6 @@ def keep_one_of_each(docs: DataFrame, k: int = 5, similarity: float = 0.8, id_co
     found = near_duplicates(docs, k, similarity, id_col, text_col)
     kept = settle(found.where(f"kept and `{id_col}` is not null").select(id_col).distinct(), "kept")
     row = Window.partitionBy(id_col).orderBy(F.xxhash64(text_col))
-    one = docs.join(kept, id_col, "left_semi").withColumn("_nth", F.row_number().over(row)).where("_nth = 1").drop("_nth")
+    nth = "_concordia_nth"
+    one = docs.join(kept, id_col, "left_semi").withColumn(nth, F.row_number().over(row)).where(F.col(nth) == 1).drop(nth)
     return one.select(*docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
