@@ -43,12 +43,17 @@ def partitions_for(rows: int, per_partition: int) -> int:
     return max(1, -(-rows // per_partition))
 
 
+#: Bytes of an Arrow batch that a Python worker gets at a time (Spark's own default is 64 MB); a session's smaller value stays.
+BATCH_BYTES = 8 << 20
 _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Gives this package to the executors' Python workers, once for each application."""
+    """Gives this package to the executors' Python workers, once for each application, and bounds their Arrow batches."""
     app = spark.sparkContext.applicationId
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) in ("64MB", "64m", "67108864", "67108864b"):
+        spark.conf.set(key, BATCH_BYTES)
     if app not in _SHIPPED:
         top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
         path = os.path.join(tempfile.mkdtemp(), f"{os.path.basename(top)}.zip")

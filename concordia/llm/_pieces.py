@@ -18,7 +18,7 @@ import regex
 from concordia.llm import _text as X
 
 #: Pieces in each of the two generations that a worker remembers (about 200 bytes each); longer ones than MOST_BYTES are not kept.
-MOST_PIECES, MOST_BYTES = 400_000, 48
+MOST_PIECES, MOST_BYTES = 150_000, 48
 #: No cut before a space that one of these bytes follows: white space, or the first byte of a character that may be.
 _NO_CUT = np.zeros(256, bool)
 _NO_CUT[[*range(0x09, 0x0E), *range(0x1C, 0x21), 0xC2, 0xE1, 0xE2, 0xE3]] = True
