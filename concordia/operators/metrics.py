@@ -86,3 +86,18 @@ def versus_best_peer(results: DataFrame, shared: DataFrame | None = None) -> Dat
 def versus_peers_season(best_peer: DataFrame) -> DataFrame:
     """By season and driver: races with a peer, duels, ahead, own points and the best peers'."""
     return best_peer.groupBy("season", "driver_id").agg(F.count("*").alias("races"), F.count("is_ahead").alias("duels"), count_where(F.col("is_ahead")).alias("ahead"), F.sum("points").alias("points"), F.sum("peer_points").alias("peer_points"))
+
+
+def standings_after_rounds(results: DataFrame, round_col: str) -> DataFrame:
+    """By season, round and driver who has appeared so far: points, wins and teams up to that round, and the place in it.
+
+    A race lies in one round. Rounds are those of the season's results; a driver stays listed in rounds without an own result."""
+    win = _race() & (F.col("position_number") == 1)
+    by_round = results.groupBy("season", round_col, "driver_id").agg(F.sum("points").alias("_points"), distinct_where(win, "race_id").alias("_wins"), F.collect_set("constructor_id").alias("_teams"))
+    grid = results.select("season", round_col).distinct().join(results.groupBy("season", "driver_id").agg(F.min(round_col).alias("_first")), "season").where(F.col(round_col) >= F.col("_first")).drop("_first")
+    so_far = Window.partitionBy("season", "driver_id").orderBy(round_col).rowsBetween(Window.unboundedPreceding, 0)
+    out = grid.join(by_round, ["season", round_col, "driver_id"], "left").select(
+        "season", round_col, "driver_id", F.sum("_points").over(so_far).alias("points"), F.sum("_wins").over(so_far).alias("wins"),
+        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list("_teams").over(so_far)))), ",").alias("teams"),
+    )
+    return out.withColumn("place", F.rank().over(Window.partitionBy("season", round_col).orderBy(F.desc("points"))))

@@ -86,6 +86,14 @@ def e03_e04_standings_after(t):
     return out.withColumn("place", F.rank().over(Window.orderBy(F.desc("points"))))
 
 
+@query(f"""WITH {RESULTS_SQL}, d AS (SELECT r.*, CAST(month(o_orderdate) AS INT) AS month FROM results r JOIN orders ON race_id = o_orderkey), months AS (SELECT DISTINCT season, month FROM d)
+SELECT m.season, m.month, driver_id, sum(points) AS points, count(DISTINCT race_id) FILTER (WHERE {_R} AND position_number = 1) AS wins, array_to_string(list_sort(list(DISTINCT constructor_id)), ',') AS teams, rank() OVER (PARTITION BY m.season, m.month ORDER BY sum(points) DESC) AS place
+FROM months m JOIN d ON d.season = m.season AND d.month <= m.month GROUP BY m.season, m.month, driver_id""")
+def e03_e04_standings_by_month(t):
+    day = t.orders.select(F.col("o_orderkey").alias("race_id"), F.month("o_orderdate").alias("month"))
+    return metrics.standings_after_rounds(results(t).join(day, "race_id"), "month")
+
+
 @query(f"""WITH {RESULTS_SQL}, y AS (SELECT season, driver_id, sum(points) AS points FROM results GROUP BY ALL), c AS (SELECT season, driver_id, sum(points) OVER (PARTITION BY driver_id ORDER BY season) AS total FROM y),
 top AS (SELECT driver_id FROM c WHERE season = (SELECT max(season) FROM c) ORDER BY total DESC NULLS LAST, driver_id LIMIT 8) SELECT season, driver_id, total FROM c WHERE driver_id IN (SELECT driver_id FROM top)""")
 def e05_w16_progression(t):
