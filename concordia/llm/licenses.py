@@ -48,8 +48,8 @@ def normalised(sentence: Column) -> Column:
 def sentence_ids(text: Column, sentences: dict[str, str] = SENTENCES) -> Column:
     """The identifiers of a text's known sentences, in order; none if it is null."""
     known = F.create_map(*[F.lit(x) for k, v in sentences.items() for x in (v, k)])
-    least, most = min(map(len, sentences.values())), 2 * max(map(len, sentences.values()))
-    cut = F.filter(F.split(F.coalesce(text, F.lit("")), BOUNDS), lambda s: (F.length(s) >= least) & (F.length(s) <= most))
+    least = min(map(len, sentences.values()))
+    cut = F.filter(F.split(F.coalesce(text, F.lit("")), BOUNDS), lambda s: F.length(s) >= least)
     return F.array_compact(F.transform(cut, lambda s: F.try_element_at(known, normalised(s))))
 
 

@@ -282,6 +282,12 @@ def test_licenses(spark):
     assert got[7][1] == ["MIT", "CC-BY-NC-4.0"]
 
 
+def test_licenses_behind_long_rules(spark):
+    docs = ["/" + "*" * 300 + " Released under the MIT License.", "-" * 9000 + "\tReleased" + " " * 5000 + "under the MIT License" + "=" * 700, "Released under the MIT License " + "x" * 400]
+    got = {r.doc_id: r.license for r in licenses.scan_licenses(table(spark, docs)).collect()}
+    assert [got[i] for i in range(len(docs))] == ["MIT", "MIT", None]
+
+
 # op 8
 
 
