@@ -37,31 +37,61 @@ RULES = [
     ("CC-BY-NC-4.0", ["ccbync4-ref"]),
     ("BSD", ["bsd-source", "bsd-binary"]),
 ]
-#: Sentences end at . ! ? ; before white space or the end, and at line feeds.
-BOUNDS = r"[.!?;]+(?:\s+|$)|\n+"
-
+_MIT_GRANT = "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions"
+_MIT_NOTICE = "the above copyright notice and this permission notice {}shall be included in all copies or substantial portions of the software"
+_MIT_AS_IS = "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose {}"
+_BSD_LEAD = "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met "
+_BSD_SOURCE = "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"
+_BSD_BINARY = "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution"
+_APACHE = "under the apache license version 2 0 the license"
+_APACHE_UNLESS = "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied"
+_APACHE_COPY = "you may obtain a copy of the license at {} www apache org licenses license 2 0 "
+_GPL = "you can redistribute it and or modify it under the terms of the gnu general public license{} as published by the free software foundation"
+_GPL_LATER = " either version {} of the license or at your option any later version"
+_GPL_ALL = [_GPL.format(v) + tail for v in ("", " version 2", " version 3") for tail in (["", *(_GPL_LATER.format(n) for n in "23"), " version 2", " version 3", " version 2 of the license", " version 3 of the license"] if not v else [""])]
+#: Published sentences in full, with their common variants, each with the identifiers for which it stands. Fixed values.
+PUBLISHED = {
+    _MIT_GRANT: "grant",
+    **{_MIT_NOTICE.format(m): "notice" for m in ("", "including the next paragraph ")},
+    **{f"{_MIT_GRANT} {_MIT_NOTICE.format(m)}": "grant notice" for m in ("", "including the next paragraph ")},
+    **{_MIT_AS_IS.format(m): "as-is" for m in ("and noninfringement", "and non infringement", "noninfringement", "and noninfringement of third party rights")},
+    **{f"this {w} is {by} under the mit license{m}": "mit-ref2" for w in ("project", "software", "work", "code", "file") for by in ("licensed", "released") for m in ("", " see the license file for details", " see the license md file for details")},
+    f"licensed {_APACHE}": "apache2-ref",
+    f"the asf licenses this file to you {_APACHE}": "apache2-ref",
+    _APACHE_UNLESS: "apache2-unless",
+    **{_APACHE_COPY.format(m) + _APACHE_UNLESS: "apache2-unless" for m in ("http", "https")},
+    **{lead + g: "gpl-free" for lead in ("", "this program is free software ", "this file is free software ", "this software is free software ", "it is free software ") for g in _GPL_ALL},
+    **{lead + _BSD_SOURCE: "bsd-source" for lead in ("", _BSD_LEAD)},
+    **{b: "bsd-binary" for b in (_BSD_BINARY, f"and {_BSD_BINARY}")},
+    f"{_BSD_LEAD}{_BSD_SOURCE} {_BSD_BINARY}": "bsd-source bsd-binary",
+}
+#: Sentences end at . ! ? ; before white space or the end, and at blank lines. A single line feed may end one or lie within it.
+BOUNDS = r"[.!?;]+(?:\s+|$)|\n[^\S\n]*\n\s*"
 
-def normalised(sentence: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
 
+def sentence_ids(text: Column, sentences: dict[str, str] = SENTENCES, published: dict[str, str] = PUBLISHED) -> Column:
+    """The identifiers of a text's known sentences, in order; none if it is null.
 
-def sentence_ids(text: Column, sentences: dict[str, str] = SENTENCES) -> Column:
-    """The identifiers of a text's known sentences, in order; none if it is null."""
-    known = F.create_map(*[F.lit(x) for k, v in sentences.items() for x in (v, k)])
-    least = min(map(len, sentences.values()))
-    cut = F.filter(F.split(F.coalesce(text, F.lit("")), BOUNDS), lambda s: F.length(s) >= least)
-    return F.array_compact(F.transform(cut, lambda s: F.try_element_at(known, normalised(s))))
+    The normalised text has B for the end of a sentence and L for a single line feed (lower case leaves no others). Known
+    sentences are found between any two of these, with L inside as lines are wrapped; of those at one place, the longest."""
+    known = published | {v: k for k, v in sentences.items()}
+    marked = F.regexp_replace(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), BOUNDS, " B "), "\n", " L ")
+    line = F.concat(F.lit("B "), F.trim(F.regexp_replace(marked, "[^a-z0-9BL]+", " ")), F.lit(" B"))
+    longest = sorted(known, key=lambda s: (-len(s), s))
+    found = F.regexp_extract_all(line, F.lit("[BL] (" + "|".join(s.replace(" ", " (?:L )*+") for s in longest) + ")(?= [BL])"), F.lit(1))
+    ids = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
+    return F.flatten(F.transform(found, lambda s: F.split(F.try_element_at(ids, F.regexp_replace(s, "(?: L)+", "")), " ")))
 
 
 def rule_pattern(ids: list[str]) -> str:
     return " " + r"(?:\S+ )*".join(f"{i} " for i in ids)
 
 
-def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sentences: dict[str, str] = SENTENCES, rules: list[tuple[str, list[str]]] = RULES) -> DataFrame:
+def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sentences: dict[str, str] = SENTENCES, rules: list[tuple[str, list[str]]] = RULES, published: dict[str, str] = PUBLISHED) -> DataFrame:
     """One row per input row: id, sentence_ids, licenses (distinct, in the rules' order) and license, the first or null.
 
     A null or empty text has none. Repeated rows are scanned one by one; other columns are not read."""
-    found = docs.select(F.col(id_col), sentence_ids(F.col(text_col), sentences).alias("sentence_ids"))
+    found = docs.select(F.col(id_col), sentence_ids(F.col(text_col), sentences, published).alias("sentence_ids"))
     line = F.concat(F.lit(" "), F.array_join("sentence_ids", " "), F.lit(" "))
     fired = F.array_distinct(F.array_compact(F.array(*[F.when(line.rlike(rule_pattern(ids)), F.lit(name)) for name, ids in rules])))
     return found.withColumn("licenses", fired).withColumn("license", F.try_element_at("licenses", F.lit(1)))

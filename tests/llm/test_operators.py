@@ -288,6 +288,81 @@ def test_licenses_behind_long_rules(spark):
     assert [got[i] for i in range(len(docs))] == ["MIT", "MIT", None]
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+APACHE = """Copyright 2020 Some One
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+BSD = """Copyright (c) 2020, Some One
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+GPL3 = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+"""
+GPL2 = """    This program is free software; you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation; either version 2 of the License, or
+    (at your option) any later version.
+"""
+
+
+def test_licenses_of_published_texts(spark):
+    texts = {"MIT": MIT, "Apache-2.0": APACHE, "BSD": BSD, "GPL": GPL3}
+    ids = {"MIT": ["grant", "notice", "as-is"], "Apache-2.0": ["apache2-ref", "apache2-unless"], "BSD": ["bsd-source", "bsd-binary"], "GPL": ["gpl-free"]}
+    forms = [lambda t: t, lambda t: t.replace("\n", "\r\n"), lambda t: "/*\n" + "".join(f" * {x}\n" for x in t.split("\n")) + " */\nint x;\n", lambda t: "".join(f"# {x}\n" for x in t.split("\n")), lambda t: " ".join(t.split())]
+    cases = [(name, f(t)) for name, t in [*texts.items(), ("GPL", GPL2)] for f in forms[: 4 if name != "GPL" else 5]]
+    cases += [(name, " ".join(t[t.index(start) :].split())) for name, t, start in (("MIT", MIT, "Permission"), ("Apache-2.0", APACHE, "Licensed"), ("BSD", BSD, "Redistribution and"))]
+    cases += [(None, MIT.replace("free of charge", "for a charge")), (None, GPL3.replace("General", "Lesser General")), (None, "Permission\n\n" + BSD.replace("must retain", "must\n\nretain")), ("MIT", "Words without a stop\nReleased under the\nMIT License\nmore words")]
+    got = {r.doc_id: (r.license, r.sentence_ids) for r in licenses.scan_licenses(table(spark, [t for _, t in cases])).collect()}
+    for i, (name, text) in enumerate(cases):
+        assert got[i][0] == name, text
+        if i < 16:
+            assert got[i][1] == ids[name], text
+
+
 # op 8
 
 
