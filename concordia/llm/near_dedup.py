@@ -33,6 +33,8 @@ MISS = 1e-6
 #: Members of a hub that one task compares with it; classes of a bucket in one block; partners by round.
 PER_HUB, PER_BLOCK, PARTNERS = 256, 4096, (4, None)
 
+#: The column that tells rows apart.
+_KEY = "_concordia_key"
 SKETCHED = "n_shingles long, digest binary, sketch binary, bands array<long>"
 
 
@@ -163,7 +165,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, similarity: float) ->
     percent = round(100 * similarity)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hubs, key = [], None  # the hub's set; several only if texts share its id
+        hubs, key = [], None  # the hub's set
         for batch in batches:
             a, part, b = (batch.column(i).to_pylist() for i in range(3))
             yes_a, yes_b = [], []
@@ -251,17 +253,23 @@ def _across(buckets: DataFrame, labels: DataFrame, classes: DataFrame, similarit
     return pairs, found.where("a is null").select("bucket").distinct()
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id, n_shingles, component_id, kept.
+def _keyed(docs: DataFrame, id_col: str) -> tuple[DataFrame, bool]:
+    """docs with _KEY, not null and different in all rows, and whether it is the id; else it is a number that a settled
+    copy of docs holds."""
+    twice = docs.groupBy(id_col).agg(F.count("*").alias("_n")).where(F.col(id_col).isNull() | (F.col("_n") > 1))
+    if twice.isEmpty():
+        return docs.withColumn(_KEY, F.col(id_col)), True
+    return settle(docs.withColumn(_KEY, F.monotonically_increasing_id()), "keyed"), False
 
-    Texts are linked if the sets of their k-word shingles (A-Z lower-cased; fewer than k words: all of them as one)
-    have that Jaccard similarity or more; component_id is the smallest id reachable, kept is whether it is the own one.
-    Null or empty texts, or ones without words, have no shingles and are their own component. A null id never wins
-    against others; repeated ids with different texts are compared text by text. Other columns are not read."""
-    sketched = settle(sketch(docs, k, similarity, id_col, text_col), "sketches")
-    full = sketched.where("digest is not null and id is not null")
+
+def _grouped(docs: DataFrame, k: int, similarity: float, text_col: str) -> DataFrame:
+    """key, n_shingles, digest and group of each row of keyed docs; rows of one group are near-duplicates.
+
+    group and digest are null without shingles. Nodes of the links are keys, so that texts under one id stay apart."""
+    sketched = settle(sketch(docs, k, similarity, _KEY, text_col), "sketches")
+    full = sketched.where("digest is not null")
     classes = settle(full.groupBy("digest").agg(F.min("id").alias("id"), F.first("n_shingles").alias("n_shingles"), *[F.first(c).alias(c) for c in ("sketch", "bands")]), "classes")
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    texts = docs.select(F.col(_KEY).alias("id"), F.col(text_col).alias("text"))
 
     buckets = settle(classes.select("id", F.explode("bands").alias("bucket")), "buckets")
     leaders = buckets.groupBy("bucket").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1")
@@ -282,19 +290,45 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8, id_col
         if crowded.isEmpty():
             break
 
-    by_class = classes.join(labels, classes.id == labels.node, "left").select("digest", F.coalesce("label", "id").alias("component"))
-    out = sketched.select("id", "n_shingles", "digest").join(by_class, "digest", "left")
-    component = F.coalesce("component", "id")
-    return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), F.coalesce(F.col("id") == component, F.col("id").isNull() & component.isNull()).alias("kept"))
+    by_class = classes.join(labels, classes.id == labels.node, "left").select("digest", F.coalesce("label", "id").alias("group"))
+    return sketched.select(F.col("id").alias("key"), "n_shingles", "digest").join(by_class, "digest", "left")
 
 
-def keep_one_of_each(docs: DataFrame, k: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs, with all their columns, of which each group of near-duplicates keeps one (the smallest id).
+def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: id, n_shingles, component_id, kept.
+
+    Texts are linked if the sets of their k-word shingles (A-Z lower-cased; fewer than k words: all of them as one)
+    have that Jaccard similarity or more; component_id is the smallest id reachable, kept is whether it is the own one.
+    Null or empty texts, or ones without words, have no shingles and are their own component. A null id never wins
+    against others; repeated ids with different texts are compared text by text. Other columns are not read."""
+    keyed, is_id = _keyed(docs, id_col)
+    found = _grouped(keyed, k, similarity, text_col)
+    if is_id:
+        out = found.withColumn("id", F.col("key")).withColumn("component", F.coalesce("group", "id"))
+    else:
+        found = found.join(keyed.select(F.col(_KEY).alias("key"), F.col(id_col).alias("id")), "key")
+        least = found.where("group is not null").groupBy("group").agg(F.min("id").alias("least"))
+        out = found.join(least, "group", "left").withColumn("component", F.when(F.col("group").isNull(), F.col("id")).otherwise(F.col("least")))
+    component = F.col("component")
+    return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), F.coalesce(F.col("id") == component, F.col("id").isNull() & component.isNull()).alias("kept"))
+
 
-    Of repeated rows with one id, one stays; rows with a null id all stay."""
-    found = near_duplicates(docs, k, similarity, id_col, text_col)
-    kept = settle(found.where(f"kept and `{id_col}` is not null").select(id_col).distinct(), "kept")
-    row = Window.partitionBy(id_col).orderBy(F.xxhash64(text_col))
-    nth = "_concordia_nth"
-    one = docs.join(kept, id_col, "left_semi").withColumn(nth, F.row_number().over(row)).where(F.col(nth) == 1).drop(nth)
-    return one.select(*docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
+def keep_one_of_each(docs: DataFrame, k: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text", unique_ids: bool = True) -> DataFrame:
+    """The rows of docs, with all their columns, of which each group of near-duplicates keeps one (the smallest id, nulls last).
+
+    Texts are told apart whatever their ids. Rows without shingles all stay, but equal ones (id and text) once. With
+    unique_ids, of the rows that are left under one id, one stays, even if their texts differ; null ids are not ids."""
+    keyed, is_id = _keyed(docs, id_col)
+    found = _grouped(keyed, k, similarity, text_col)
+    if is_id:
+        kept = settle(found.where("group is null or group = key").select(F.col("key").alias(id_col)), "kept")
+        return docs.join(kept, id_col, "left_semi").select(*docs.columns)
+    ids = keyed.select(F.col(_KEY).alias("key"), F.col(id_col).alias("id"), F.when(F.col(text_col).rlike(r"^[ \t-\r]*$"), F.col(text_col)).alias("blank"))
+    found = found.join(ids, "key")
+    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "digest", "key")).getField("key").alias(_KEY)
+    kept = settle(found.where("digest is not null").groupBy("group").agg(first).select(_KEY).unionByName(found.where("digest is null").groupBy("id", "blank").agg(F.min("key").alias(_KEY)).select(_KEY)), "kept")
+    one = keyed.join(kept, _KEY, "left_semi")
+    if unique_ids:
+        nth = F.row_number().over(Window.partitionBy(id_col).orderBy(F.xxhash64(text_col), _KEY))
+        one = one.where(F.col(id_col).isNotNull()).withColumn("_concordia_nth", nth).where("_concordia_nth = 1").drop("_concordia_nth").unionByName(one.where(F.col(id_col).isNull()))
+    return one.select(*docs.columns)

@@ -21,9 +21,9 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Five-word shingles, similarity 0.8."""
+    """Five-word shingles, similarity 0.8; by text, so different texts under one id all stay."""
     ship(spark)
-    return near_dedup.keep_one_of_each(docs)
+    return near_dedup.keep_one_of_each(docs, unique_ids=False)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -412,6 +412,27 @@ def test_near_duplicates_of_odd_rows(spark):
     assert near_dedup.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_keep_one_of_each_by_text(spark):
+    rows = [(3, "a b c d"), (3, "x y z w"), (7, "x y z w"), (None, "a b c d"), (9, ""), (9, ""), (9, " "), (None, None), (None, None)]
+    rows += [(None, "only under null ids")] * 50 + [(None, "e f g h"), (2, "e f g h"), (1, "i j k l"), (1, "i j k l")]
+    docs = ship(spark).createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, digest string").repartition(5)
+    kept = near_dedup.keep_one_of_each(docs, 3, 0.85, unique_ids=False)
+    assert kept.columns == docs.columns
+    want = [(3, "a b c d"), (3, "x y z w"), (9, ""), (9, " "), (None, None), (None, "only under null ids"), (2, "e f g h"), (1, "i j k l")]
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(want)
+    once = Counter(r.doc_id for r in near_dedup.keep_one_of_each(docs, 3, 0.85).collect())
+    assert once == Counter([3, 9, None, None, 2, 1])
+
+
+def test_texts_under_one_id_do_not_join_groups(spark):
+    rnd = random.Random(9)
+    a, b = ([f"{c}{rnd.randint(0, 999)}" for _ in range(100)] for c in "ab")
+    rows = [(5, " ".join(a)), (5, " ".join(b)), (6, " ".join([*a, "x"])), (8, " ".join([*b, "x"])), (7, " ".join([*a, "x", "y"]))]
+    docs = ship(spark).createDataFrame(rows, "doc_id long, text string")
+    kept = near_dedup.keep_one_of_each(docs, unique_ids=False).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted(rows[:2])
+
+
 @pytest.mark.parametrize("n", [30, 300, 3000, 30_000])
 @pytest.mark.parametrize("similarity, passes", [(0.87, True), (0.6, False)])
 def test_odd_sketches_separate(n, similarity, passes):
