@@ -9,6 +9,7 @@ MOST_PIECES of them.
 from __future__ import annotations
 
 import json
+import re
 from array import array
 from collections.abc import Callable
 
@@ -49,42 +50,62 @@ def cuts(s: X.Slice) -> np.ndarray:
     return np.flatnonzero(at[:-1])
 
 
+#: Where a match of the rank files' pattern begins in any script: a space before a character of a word, number, mark or
+#: symbol; a mark after a letter or number.
+_BOUNDARY = regex.compile(r" (?=[\p{L}\p{N}\p{P}\p{S}])|(?<=[\p{L}\p{N}])(?=\p{P})")
+
+
 def halves(text: str, most: int) -> list[str]:
-    """A long text in parts of at least `most` characters that end at safe boundaries."""
+    """A long text in parts of at least `most` characters that end at safe boundaries.
+
+    A run of letters (or of digits, of marks, of white space) without such a place is one match and stays whole."""
     out, at = [], 0
-    while len(text) - at > most:
-        k = at + most
-        while True:
-            k = text.find(" ", k)
-            if k < 0 or k + 1 < len(text) and text[k + 1] < "\x7f" and not text[k + 1].isspace():
-                break
-            k += 1
-        if k < 0:
-            break
-        out.append(text[at:k])
-        at = k
+    while len(text) - at > most and (cut := _BOUNDARY.search(text, at + most)):
+        out.append(text[at : cut.start()])
+        at = cut.start()
     return [*out, text[at:]]
 
 
 class Ids:
-    """The ids of whole documents. `encode_many` turns distinct pieces into the bytes of their ids (32 bits each)."""
+    """The ids of whole documents. `encode_many` turns distinct pieces into the bytes of their ids (32 bits each);
+    `special` has the strings that are one id each wherever a text holds them."""
 
-    def __init__(self, encode_many: Callable[[list[str]], list[bytes]]):
+    def __init__(self, encode_many: Callable[[list[str]], list[bytes]], special: dict[bytes, int] | None = None):
         self.encode_many, self.known, self.old = encode_many, {}, {}
+        self.special = {k: array("I", [v]).tobytes() for k, v in (special or {}).items()}
+        self.find = re.compile(b"|".join(map(re.escape, sorted(self.special, key=lambda x: (-len(x), x))))).finditer
+
+    def begins(self, s: X.Slice, data: bytes) -> np.ndarray:
+        """Where the pieces begin: at the cuts, but special strings are pieces of their own."""
+        begin = cuts(s)
+        if not any(x in data for x in self.special):
+            return begin
+        at = np.zeros(len(data) + 1, bool)
+        at[begin] = True
+        for a, b in zip(s.offsets[:-1].tolist(), s.offsets[1:].tolist()):
+            for found in self.find(data[a:b]):
+                start, end = a + found.start(), a + found.end()
+                at[start + 1 : end] = False
+                at[start] = at[end] = True
+        return np.flatnonzero(at[:-1])
 
     def of(self, s: X.Slice) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all documents of the slice end to end, offsets of each document)."""
-        begin = cuts(s)
+        data = s.data.tobytes()
+        begin = self.begins(s, data)
         if not len(begin):
             return np.zeros(0, np.uint32), np.zeros(s.n + 1, np.int64)
-        end = np.append(begin[1:], len(s.data))
-        _, first, which = np.unique(X.span_hash(X.rolling(s.data), begin, end), return_index=True, return_inverse=True)
-        data = s.data.tobytes()
+        end = np.append(begin[1:], len(data))
+        first, which = X.distinct(s.data, begin, end)
         found = [data[a:b] for a, b in zip(begin[first].tolist(), end[first].tolist())]
         if len(self.known) > MOST_PIECES:
             self.known, self.old = {}, self.known
         values = list(map(self.known.get, found))
         new = [i for i, v in enumerate(values) if v is None]
+        if self.special:
+            for i in new:
+                values[i] = self.special.get(found[i])
+            new = [i for i in new if values[i] is None]
         if self.old:
             for i in new:
                 if (v := self.old.get(found[i])) is not None:
@@ -119,7 +140,6 @@ def _encode_many(path: str, pattern: str) -> Callable[[list[str]], list[bytes]]:
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     with open(path, encoding="utf-8") as f:
         steps = json.load(f)["pre_tokenizer"]
     steps = steps.get("pretokenizers", [steps])
@@ -147,6 +167,18 @@ def once(key: tuple, make: Callable):
     return _LOADED[key]
 
 
-def tokenizer_ids(path: str, pattern: str) -> Ids:
-    """Ids of a `tokenizers` file of a byte-level BPE; `pattern` splits texts where the file names none itself."""
-    return once(("tokenizers", path), lambda: Ids(_encode_many(path, pattern)))
+def _special(path: str) -> dict[bytes, int]:
+    """The file's special strings and their ids, as the library cuts them out of the raw text."""
+    with open(path, encoding="utf-8") as f:
+        added = json.load(f)["added_tokens"]
+    if any(x["normalized"] or x["single_word"] or x["lstrip"] or x["rstrip"] for x in added):
+        raise ValueError("added tokens that are normalised, whole words or strip spaces aren't covered")
+    return {x["content"].encode(): x["id"] for x in added}
+
+
+def tokenizer_ids(path: str, pattern: str, special_strings: bool = True) -> Ids:
+    """Ids of a `tokenizers` file of a byte-level BPE; `pattern` splits texts where the file names none itself.
+
+    With special_strings the strings of the file's special tokens become their ids, as the library has it by itself;
+    without, they are ordinary text (its `encode_special_tokens`)."""
+    return once(("tokenizers", path, special_strings), lambda: Ids(_encode_many(path, pattern), _special(path) if special_strings else {}))

@@ -8,6 +8,7 @@ share of good text, which a logistic curve fitted on the same documents turns in
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,8 +20,11 @@ from pyspark.sql import functions as F
 from concordia.llm import _text as X
 from concordia.llm._cluster import settle
 
-#: Most labelled documents that the fit uses (the first by hash of id), and lines of each in one training chain.
-MOST_LABELLED, CHAIN = 4000, 64
+#: Most labelled documents that the fit uses (the first by hash of id), and most lines of these together: documents
+#: beyond are left out of the fit, whole. A training chain is a whole document.
+MOST_LABELLED, MOST_LINES = 4000, 400_000
+#: Lines of a long chain that are worked on as one block, at least.
+BLOCK = 64
 FOLDS, THRESHOLD = 5, 0.3
 STEPS, RATE, DECAY = 250, 0.05, 1e-4
 
@@ -35,14 +39,34 @@ WIDTH = 18
 
 @dataclass
 class Lines:
-    features: np.ndarray  # of each line, its own, then those of the line before and after
+    own: np.ndarray  # features of each line
     length: np.ndarray
-    first: np.ndarray  # of each document its first line's place
+    first: np.ndarray  # of each document its first line's place, and last the number of lines
+
+    def linked(self) -> np.ndarray:
+        """Of each line whether the next one belongs to the same document."""
+        out = np.ones(max(len(self.own) - 1, 0), bool)
+        out[self.first[(self.first > 0) & (self.first < len(self.own))] - 1] = False
+        return out
+
+    def odds(self, weights: np.ndarray) -> np.ndarray:
+        """Each line's own log odds: its features, those of the line before and of the line after, by three sets of weights."""
+        mine, before, after = (self.own @ w for w in weights.reshape(3, WIDTH).astype(self.own.dtype))
+        linked = self.linked()
+        mine[1:] += before[:-1] * linked
+        mine[:-1] += after[1:] * linked
+        return mine.astype(float)
+
+    def slope(self, error: np.ndarray) -> np.ndarray:
+        """The gradient of the weights from errors of the log odds."""
+        linked = self.linked()
+        before, after = np.zeros_like(error), np.zeros_like(error)
+        before[:-1], after[1:] = error[1:] * linked, error[:-1] * linked
+        return np.concatenate([e.astype(self.own.dtype) @ self.own for e in (error, before, after)]).astype(float)
 
 
 def lines(s: X.Slice) -> Lines:
-    sums = X.rolling(s.data)
-    w = X.words(s, sums)
+    w = X.words(s)
     breaks = np.flatnonzero(s.data == 10)
     begin = np.unique(np.concatenate([s.offsets[:-1], breaks + 1]))
     begin = begin[begin < len(s.data)]
@@ -53,66 +77,93 @@ def lines(s: X.Slice) -> Lines:
     n = len(begin)
     doc = np.searchsorted(s.offsets[1:], begin, side="right")
     if not n:
-        return Lines(np.zeros((0, 3 * WIDTH)), np.zeros(0), np.zeros(s.n + 1, np.int64))
+        return Lines(np.zeros((0, WIDTH), np.float32), np.zeros(0), np.zeros(s.n + 1, np.int64))
     size = end - begin
-    byte_line = np.repeat(np.arange(n), size)
-    inside = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
-    counts = np.bincount(byte_line * 8 + _CLASS[s.data[inside]], minlength=8 * n).reshape(n, 8).astype(float)
+    # Bytes of each class by line, from the places of the classes' bytes: nothing as long as the text times eight.
+    kind = _CLASS[s.data]
+    counts = np.zeros((n, 8), np.float32)
+    for k in range(8):
+        place = np.flatnonzero(kind == k)
+        line = np.searchsorted(begin, place, side="right") - 1
+        line = line[(line >= 0) & (place < end[line])]
+        counts[:, k] = np.bincount(line, minlength=n)
     letters = np.maximum(counts[:, 1:].sum(axis=1), 1)
     share = counts[:, 1:] / letters[:, None]
     n_words = np.bincount(of_word, minlength=n)
-    again = np.zeros(len(w.hash), bool)
-    again[1:] = (w.hash[1:] == w.hash[:-1]) & (w.doc[1:] == w.doc[:-1])
-    covered = np.zeros(len(w.hash), bool)
-    g, at = X.grams(w.hash, w.doc, 3)
-    if len(g):
-        key = X.keyed(g, w.doc[at])
-        order = np.argsort(key)
-        same = key[order][1:] == key[order][:-1]
-        twice = np.zeros(len(g), bool)
-        twice[order[1:][same]] = twice[order[:-1][same]] = True
-        for i in range(3):
-            covered[at[twice] + i] = True
-    line = X.keyed(X.span_hash(sums, begin, end), doc)
-    _, which, often = np.unique(line, return_inverse=True, return_counts=True)
+    again = np.zeros(len(w.number), bool)
+    again[1:] = (w.number[1:] == w.number[:-1]) & (w.doc[1:] == w.doc[:-1])
+    covered = X.repeated(w.number, w.doc, 3)
+    _, which, often = np.unique(doc * np.int64(n) + X.distinct(s.data, begin, end)[1], return_inverse=True, return_counts=True)
     head, tail = s.data[w.start[np.searchsorted(of_word, np.arange(n))]], s.data[w.end[np.searchsorted(of_word, np.arange(n), side="right") - 1] - 1]
     own = np.column_stack([
         np.ones(n), np.log1p(size) / 5, np.minimum(1, 4 * share), np.bincount(of_word, again, n) / n_words, np.bincount(of_word, covered, n) / n_words,
         letters / n_words / 10, often[which] > 1, (head >= 65) & (head <= 90), tail == 46, counts[:, [4, 5, 6]].sum(axis=1) > 0, counts[:, 3] > 0, n_words < 4,
     ])
-    before, after = np.zeros_like(own), np.zeros_like(own)
-    linked = doc[1:] == doc[:-1]
-    before[1:][linked], after[:-1][linked] = own[:-1][linked], own[1:][linked]
-    return Lines(np.hstack([own, before, after]), size.astype(float), np.searchsorted(doc, np.arange(s.n + 1)))
+    return Lines(own.astype(np.float32), size.astype(float), np.searchsorted(doc, np.arange(s.n + 1)))
+
+
+def _steps(count: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """t and the chains (numbers) that have a line t, for t from 0 on."""
+    order = np.argsort(-count, kind="stable")
+    active = np.searchsorted(-count[order], -np.arange(1, int(count.max(initial=0)) + 1), side="right")
+    for t, k in enumerate(active):
+        yield t, order[:k]
 
 
 def marginals(good: np.ndarray, first: np.ndarray, move: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
     """P(good) of each line, expected transitions (2 x 2) and the log partition, over chains of lines.
 
     good: log odds of each line by itself; first: of each chain its first line, and last the number of lines;
-    move: log weights of bad/good to bad/good."""
-    count = np.diff(first)
-    chains = np.argsort(-count, kind="stable")
-    at, count = first[:-1][chains], count[chains]
+    move: log weights of bad/good to bad/good. Chains are cut into blocks, whose messages are passed on exactly: all
+    blocks go at once, line by line, so a chain of n lines takes about sqrt(n) steps."""
+    chain_size = np.diff(first)
+    longest = int(chain_size.max(initial=0))
+    block = max(BLOCK, math.isqrt(longest))
+    parts = -(-chain_size // block)
+    chain = np.repeat(np.arange(len(chain_size)), parts)
+    nth = np.arange(len(chain)) - np.repeat(np.cumsum(parts) - parts, parts)
+    at = first[:-1][chain] + nth * block
+    count = np.minimum(chain_size[chain] - nth * block, block)
     emit = np.exp(np.column_stack([-np.abs(good) * (good > 0), -np.abs(good) * (good < 0)]))
     step = np.exp(move)
+
+    # What comes in at the first line of each block: nothing before a chain's first, else the last block's message.
+    into = np.ones((len(at), 2))
+    later = np.flatnonzero(nth > 0)
+    if len(later):
+        through = np.zeros((len(at), 2, 2))  # from the state of a block's first line to that of its last
+        for t, b in _steps(count):
+            e = emit[at[b] + t][:, None, :]
+            through[b] = np.eye(2) * e if t == 0 else (through[b] @ step) * e
+            through[b] /= through[b].sum(axis=(1, 2), keepdims=True)
+        for k in range(1, int(parts.max())):
+            b = later[nth[later] == k]
+            out = (into[b - 1][:, None, :] @ through[b - 1])[:, 0]
+            into[b] = out / out.sum(axis=1, keepdims=True) @ step
     alpha, scale = np.zeros((len(good), 2)), np.ones(len(good))
-    longest = int(count[0]) if len(count) else 0
-    active = np.searchsorted(-count, -np.arange(1, longest + 1), side="right")
-    for t in range(longest):
-        i = at[: active[t]] + t
-        a = emit[i] if t == 0 else (alpha[i - 1] @ step) * emit[i]
+    for t, b in _steps(count):
+        i = at[b] + t
+        a = (into[b] if t == 0 else alpha[i - 1] @ step) * emit[i]
         scale[i] = a.sum(axis=1)
         alpha[i] = a / scale[i][:, None]
-    beta, expected = np.ones((len(good), 2)), np.zeros((2, 2))
-    for t in range(longest - 2, -1, -1):
-        i = at[: active[t + 1]] + t
-        onward = emit[i + 1] * beta[i + 1] / scale[i + 1][:, None]
-        expected += (alpha[i].T @ onward) * step
-        beta[i] = onward @ step.T
+
+    back = np.ones((len(at), 2))  # beta of each block's last line
+    if len(later):
+        for k in range(int(parts.max()) - 1, 0, -1):
+            b = later[nth[later] == k]
+            r = (through[b] @ back[b][:, :, None])[:, :, 0] @ step.T
+            back[b - 1] = r / (alpha[at[b] - 1] * r).sum(axis=1, keepdims=True)
+    beta = np.ones((len(good), 2))
+    beta[at + count - 1] = back
+    for t, b in reversed(list(_steps(np.maximum(count - 1, 0)))):
+        i = at[b] + t
+        beta[i] = (emit[i + 1] * beta[i + 1] / scale[i + 1][:, None]) @ step.T
+    inner = np.ones(len(good), bool)
+    inner[first[:-1][chain_size > 0]] = False
+    i = np.flatnonzero(inner)
+    expected = (alpha[i - 1].T @ (emit[i] * beta[i] / scale[i][:, None])) * step
     p = alpha * beta
-    log_z = np.log(scale).sum() + np.maximum(good, 0).sum()
-    return p[:, 1] / np.maximum(p.sum(axis=1), 1e-300), expected, log_z
+    return p[:, 1] / np.maximum(p.sum(axis=1), 1e-300), expected, np.log(scale).sum() + np.maximum(good, 0).sum()
 
 
 @dataclass
@@ -124,7 +175,7 @@ class Model:
 
     def share(self, x: Lines) -> np.ndarray:
         """The length-weighted P(good) of each document; nan without lines."""
-        p, _, _ = marginals(x.features @ self.weights, x.first, self.move)
+        p, _, _ = marginals(x.odds(self.weights), x.first, self.move)
         doc = np.repeat(np.arange(len(x.first) - 1), np.diff(x.first))
         with np.errstate(invalid="ignore"):
             return np.bincount(doc, p * x.length, len(x.first) - 1) / np.bincount(doc, x.length, len(x.first) - 1)
@@ -138,20 +189,19 @@ class Model:
 
 def fit(x: Lines, label: np.ndarray) -> Model:
     """From lines of documents with labels 0 and 1; of one class or none, a model that scores 0.5."""
-    weights, move = np.zeros(x.features.shape[1] if len(x.features) else 3 * WIDTH), np.zeros((2, 2))
-    if len(label) == 0 or label.min() == label.max() or not len(x.features):
+    weights, move = np.zeros(3 * WIDTH), np.zeros((2, 2))
+    if len(label) == 0 or label.min() == label.max() or not len(x.own):
         return Model(weights, move, 0.0, 0.0)
-    cut = np.unique(np.concatenate([x.first, *(np.arange(a, b, CHAIN) for a, b in zip(x.first[:-1], x.first[1:]) if b - a > CHAIN)]))
     doc = np.repeat(np.arange(len(label)), np.diff(x.first))
     y = label[doc].astype(float)
     inner = np.ones(len(y), bool)
-    inner[cut[cut < len(y)]] = False  # lines with a line before them in their chain
+    inner[x.first[x.first < len(y)]] = False  # lines with a line before them in their document
     seen = np.array([[(inner & (y == 0)).sum(), 0], [0, (inner & (y == 1)).sum()]], float)
     theta = np.concatenate([weights, move.ravel()])
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for k in range(1, STEPS + 1):
-        p, expected, _ = marginals(x.features @ theta[:-4], cut, theta[-4:].reshape(2, 2))
-        g = np.concatenate([x.features.T @ (y - p), (seen - expected).ravel()]) / len(y) - DECAY * theta
+        p, expected, _ = marginals(x.odds(theta[:-4]), x.first, theta[-4:].reshape(2, 2))
+        g = np.concatenate([x.slope(y - p), (seen - expected).ravel()]) / len(y) - DECAY * theta
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         theta = theta + RATE * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.999**k)) + 1e-8)
     model = Model(theta[:-4], theta[-4:].reshape(2, 2), 1.0, 0.0)
@@ -179,8 +229,12 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(id_col.cast("string").cast("binary")), F.lit(FOLDS)) == 0, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", most: int = MOST_LABELLED) -> Model:
-    """Fits on at most `most` labelled documents outside the held-out fold; executors compute their lines' features."""
+def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", most: int = MOST_LABELLED, most_lines: int = MOST_LINES) -> Model:
+    """Fits on at most `most` labelled documents outside the held-out fold, whose lines are at most `most_lines` together.
+
+    Executors compute the lines' features; the driver gets the size of each document, then the features of those that
+    the two bounds leave, in the order of a hash of the id. Labels other than 0 and 1 and null ids are not used; of an
+    empty table, or one class, comes a model that scores 0.5."""
     known = labels.where(~held_out(F.col(id_col)) & F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
     known = settle(known.orderBy(F.xxhash64("id"), "id", "label").limit(most), "labelled")
 
@@ -188,14 +242,16 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
         for batch in batches:
             for at, s in X.slices(batch.column(1)):
                 x = lines(s)
-                rows = [(x.features[a:b].astype(np.float32).tobytes(), x.length[a:b].tobytes()) for a, b in zip(x.first[:-1], x.first[1:])]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, s.n), batch.column(2).slice(at, s.n), *(pa.array(c, pa.binary()) for c in zip(*rows))], ["id", "label", "features", "length"])
-
-    sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(known), "id").select("id", "text", "label")
-    kind = docs.schema[id_col].dataType.simpleString()
-    rows = sorted(sample.mapInArrow(run, f"id {kind}, label int, features binary, length binary").collect(), key=lambda r: (str(r.id), r.features))
-    features = [np.frombuffer(bytes(r.features), np.float32).reshape(-1, 3 * WIDTH).astype(float) for r in rows]
-    x = Lines(np.concatenate([np.zeros((0, 3 * WIDTH)), *features]), np.concatenate([np.zeros(0), *(np.frombuffer(bytes(r.length)) for r in rows)]), np.cumsum([0, *map(len, features)]))
+                rows = [(b - a, x.own[a:b].tobytes(), x.length[a:b].tobytes()) for a, b in zip(x.first[:-1], x.first[1:])]
+                yield pa.RecordBatch.from_arrays([batch.column(2).slice(at, s.n), batch.column(3).slice(at, s.n), *(pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.binary(), pa.binary())))], ["nth", "label", "n", "features", "length"])
+
+    sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(known), "id")
+    sample = sample.select("id", "text", F.xxhash64("id", "text").alias("nth"), "label")
+    rows = settle(sample.mapInArrow(run, "nth long, label int, n long, features binary, length binary"), "lines")
+    sizes = np.array([r.n for r in rows.select("nth", "label", "n").orderBy("nth", "label", "n").limit(most).collect()], np.int64)
+    rows = rows.orderBy("nth", "label", "n").limit(int((np.cumsum(sizes) <= most_lines).sum())).collect()
+    own = [np.frombuffer(bytes(r.features), np.float32).reshape(-1, WIDTH) for r in rows]
+    x = Lines(np.concatenate([np.zeros((0, WIDTH), np.float32), *own]), np.concatenate([np.zeros(0), *(np.frombuffer(bytes(r.length)) for r in rows)]), np.cumsum([0, *map(len, own)]))
     return fit(x, np.array([r.label for r in rows], np.int64))
 
 

@@ -31,14 +31,13 @@ SYMBOL[list(b"#*$%&|<>")] = True
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "covered_words", "longest_repeat")
 
 
-def repeats(hashes: np.ndarray, doc: np.ndarray, k: int) -> np.ndarray:
+def repeats(number: np.ndarray, doc: np.ndarray, k: int) -> np.ndarray:
     """For each word the length in words (0, or k at least) of the longest repeat within its document that begins there."""
-    n = len(hashes)
+    n = len(number)
     out = np.zeros(n, np.int64)
-    g, at = X.grams(hashes, doc, k)
-    if not len(g):
+    key, at = X.gram_keys(number, doc, k)
+    if not len(key):
         return out
-    key = X.keyed(g, doc[at])
     order = np.argsort(key, kind="stable")
     ranked = key[order]
     begins = np.ones(len(ranked), bool)
@@ -46,7 +45,7 @@ def repeats(hashes: np.ndarray, doc: np.ndarray, k: int) -> np.ndarray:
     group = np.flatnonzero(begins)
     sizes = np.diff(np.append(group, len(ranked)))
     # The rank of a place is where its group begins in the order; places without a gram rank apart, after all others.
-    rank = np.arange(len(at), len(at) + n + 1)
+    rank = np.arange(len(at), len(at) + n + 1, dtype=np.int32 if 2 * n < 2**31 else np.int64)
     rank[at[order]] = np.repeat(group, sizes)
     slot = np.flatnonzero(np.repeat(sizes > 1, sizes))  # places in the order that aren't yet told apart
     if not len(slot):
@@ -83,8 +82,7 @@ def repeats(hashes: np.ndarray, doc: np.ndarray, k: int) -> np.ndarray:
 
 def measure(s: X.Slice, min_words: int = MIN_WORDS) -> dict[str, np.ndarray]:
     """MEASURES of each document of a slice."""
-    sums = X.rolling(s.data)
-    w = X.words(s, sums)
+    w = X.words(s)
     letters = ~X.SPACE[s.data]
     out = {
         "n_words": np.diff(w.first),
@@ -105,26 +103,15 @@ def measure(s: X.Slice, min_words: int = MIN_WORDS) -> dict[str, np.ndarray]:
     begin, end, line_doc = begin[real], end[real], line_doc[real]
     real = has[end] > has[begin]
     begin, end, line_doc = begin[real], end[real], line_doc[real]
-    line = X.span_hash(sums, begin, end)
+    line = X.distinct(s.data, begin, end)[1]
     order = np.lexsort((line, line_doc))
     again = (line[order][1:] == line[order][:-1]) & (line_doc[order][1:] == line_doc[order][:-1])
     out["n_dup_lines"] = np.bincount(line_doc[order][1:][again], minlength=s.n)
 
-    n = len(w.hash)
-    g, at = X.grams(w.hash, w.doc, 3)
-    covered = np.zeros(n, bool)
-    if len(g):
-        key = X.keyed(g, w.doc[at])
-        order = np.argsort(key)
-        same = key[order][1:] == key[order][:-1]
-        twice = np.zeros(len(g), bool)
-        twice[order[1:][same]] = True
-        twice[order[:-1][same]] = True
-        for i in range(3):
-            covered[at[twice] + i] = True
-    out["n_repeat_words"] = X.per_doc(covered, w.first)
-
-    longest = repeats(w.hash, w.doc, min_words)
+    n = len(w.number)
+    out["n_repeat_words"] = X.per_doc(X.repeated(w.number, w.doc, 3), w.first)
+
+    longest = repeats(w.number, w.doc, min_words)
     spans = np.zeros(n + 1, np.int64)
     starts = np.flatnonzero(longest)
     np.add.at(spans, starts, 1)

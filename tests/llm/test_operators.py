@@ -202,7 +202,7 @@ def test_packing(spark, texts):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
+    texts = [*texts, "hello <|endoftext|> world<|startoftext|>", "<|ENDOFTEXT|>", *thue_morse()]
     docs = table(spark, texts).union(table(spark, texts[:3]))
     rows = packing.best_fit_packing(docs, PATH, capacity=64, per_task=40, with_ids=True).collect()
     want = Counter()
@@ -236,9 +236,15 @@ def test_best_fit_is_tight_and_bounded():
 # ops 5, 7 and 10: pieces never change ids
 
 
+def thue_morse(n=1024):
+    """A word of a and b in Thue-Morse order and its complement, whose polynomial hashes modulo 2**64 are equal."""
+    bits = [bin(i).count("1") & 1 for i in range(n)]
+    return ["".join("ab"[x] for x in bits), "".join("ba"[x] for x in bits)]
+
+
 def awkward():
     rnd = random.Random(7)
-    parts = [" ", " ", "\n", ".", "'", ",a", "é.", "—", "÷", "a", "B", "'s", "1", "é", "\u0301", "\u00a0", "#", "\t", "ß", "中", "\x1f", "\u2003", "Σ", "İ", "<|endoftext|>", "\r\n", "😀"]
+    parts = [" ", " ", "слово", "，", "\n", ".", "'", ",a", "é.", "—", "÷", "a", "B", "'s", "1", "é", "\u0301", "\u00a0", "#", "\t", "ß", "中", "\x1f", "\u2003", "Σ", "İ", "<|endoftext|>", "\r\n", "😀"]
     return ["", *("".join(rnd.choice(parts) for _ in range(rnd.randint(1, 14))) for _ in range(2000))]
 
 
@@ -247,14 +253,33 @@ def test_pieces_keep_ids(name):
     from tokenizers import Tokenizer
 
     path = public_tokenizers.path(name)
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
-    ids = _pieces.tokenizer_ids(path, public_tokenizers.PATTERN)
-    got = []
-    for _, s in X.slices(pa.array(awkward()), 500):
-        found, upto = ids.of(s)
-        got += [found[a:b].tolist() for a, b in zip(upto[:-1], upto[1:])]
-    assert got == [e.ids for e in t.encode_batch(awkward(), add_special_tokens=False)]
+    texts = [*awkward(), *thue_morse(), "<|endof", "text|>", "a<|endoftext|>", "<|endoftext|><|endoftext|> b", "<|startoftext|>x", "<|EndOfText|>"]
+    for special in (True, False):
+        t = Tokenizer.from_file(path)
+        if not special:
+            t.encode_special_tokens = True
+        ids = _pieces.tokenizer_ids(path, public_tokenizers.PATTERN, special)
+        got = []
+        for _, s in X.slices(pa.array(texts), 5000):
+            found, upto = ids.of(s)
+            got += [found[a:b].tolist() for a, b in zip(upto[:-1], upto[1:])]
+        assert got == [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_spans_are_told_apart_whatever_their_hashes(monkeypatch):
+    texts = [*thue_morse(), *thue_morse(), "a", "b", "", "a" * 65, "a" * 64 + "b", "x" * 9, "x" * 8 + "y"]
+    monkeypatch.setattr(X, "mix", lambda x: np.zeros_like(x))  # all hashes of short spans are equal
+    (_, s), *_ = X.slices(pa.array(texts))
+    first, which = X.distinct(s.data, s.offsets[:-1], s.offsets[1:])
+    assert [texts[first[w]] for w in which] == texts and len(first) == len(set(texts))
+
+
+def test_words_of_one_weak_hash_stay_apart(spark):
+    a, b = thue_morse()
+    (_, s), *_ = X.slices(pa.array([f"{a}\n{b}"]))
+    assert repetition.measure(s)["n_dup_lines"].tolist() == [0]
+    got = {r.doc_id: r.kept for r in near_dedup.near_duplicates(table(spark, [a, b, a]), 3, 0.85).collect()}
+    assert got == {0: True, 1: True, 2: False}
 
 
 def test_byte_bpe(spark, texts, monkeypatch):
@@ -262,6 +287,9 @@ def test_byte_bpe(spark, texts, monkeypatch):
     encoding = byte_bpe.load(ranks, public_tokenizers.PATTERN)
     for text in awkward():
         assert [i for part in _pieces.halves(text, 3) for i in encoding.encode_ordinary(part)] == encoding.encode_ordinary(text)
+    for text in ("слово да" * 50, "слово да " * 50, "中文字，" * 50, "ab1.c'd" * 50, "१२३ क" * 50):
+        assert len(_pieces.halves(text, 20)) > 5
+    assert _pieces.halves("中" * 100, 20) == ["中" * 100]  # one match
     long = "na so ist das, " * 8000
     got = byte_bpe.encode(table(spark, [*texts, long]), ranks, public_tokenizers.PATTERN)
     for r in byte_bpe.decode(got, ranks, public_tokenizers.PATTERN).collect():
@@ -450,21 +478,62 @@ def test_odd_sketches_separate(n, similarity, passes):
 # op 9
 
 
-def test_marginals_are_exact():
+@pytest.mark.parametrize("block", [64, 1])
+def test_marginals_are_exact(block, monkeypatch):
     from itertools import product
 
+    monkeypatch.setattr(line_crf, "BLOCK", block)
     rng = np.random.default_rng(0)
-    good, first, move = rng.normal(size=7), np.array([0, 3, 3, 7]), rng.normal(size=(2, 2))
-    p, _, log_z = line_crf.marginals(good, first, move)
-    total = 0.0
-    for a, b in ((0, 3), (3, 7)):
-        z, acc = 0.0, np.zeros(b - a)
+    good, first, move = rng.normal(size=17), np.array([0, 3, 3, 7, 17]), rng.normal(size=(2, 2))
+    p, expected, log_z = line_crf.marginals(good, first, move)
+    total, moves = 0.0, np.zeros((2, 2))
+    for a, b in ((0, 3), (3, 7), (7, 17)):
+        z, acc, pairs = 0.0, np.zeros(b - a), np.zeros((2, 2))
         for ys in product((0, 1), repeat=b - a):
             w = np.exp(sum(good[a + i] * y for i, y in enumerate(ys)) + sum(move[ys[i], ys[i + 1]] for i in range(b - a - 1)))
             z, acc = z + w, acc + w * np.array(ys)
+            np.add.at(pairs, (ys[:-1], ys[1:]), w)
         assert np.allclose(p[a:b], acc / z)
-        total += np.log(z)
-    assert np.isclose(total, log_z)
+        total, moves = total + np.log(z), moves + pairs / z
+    assert np.isclose(total, log_z) and np.allclose(moves, expected)
+
+
+def test_line_features_by_brute_force():
+    rnd = random.Random(12)
+    texts = ["", "\n", "A b b.\n\nC d!\nA b b.\n", *("".join(rnd.choice(["ab ", "C. ", "x\n", "9 ", "# ", "\n", "é ", "a|b! "]) for _ in range(rnd.randint(0, 40))) for _ in range(30))]
+    (_, s), *_ = X.slices(pa.array(texts))
+    got, weights = line_crf.lines(s), np.random.default_rng(2).normal(size=3 * line_crf.WIDTH)
+    odds, at = got.odds(weights), 0
+    for i, text in enumerate(texts):
+        words = re.findall(WORD, text)
+        three = Counter(tuple(words[j : j + 3]) for j in range(len(words) - 2))
+        covered = {j + k for j in range(len(words) - 2) if three[tuple(words[j : j + 3])] > 1 for k in range(3)}
+        real = [x for x in re.findall(r"[^\n]*\n|[^\n]+$", text) if re.search(WORD, x)]
+        rows, seen = [], 0
+        for line in real:
+            own = re.findall(WORD, line)
+            data = line.encode()
+            kind = lambda test: sum(map(test, data))
+            counts = [kind(lambda c: 65 <= c <= 90), kind(lambda c: 97 <= c <= 122 or c >= 128), kind(lambda c: 48 <= c <= 57), kind(lambda c: c in b"#*$%&<>"), data.count(b"!"), data.count(b"|")]
+            letters = sum(len(w.encode()) for w in own)
+            counts.append(letters - sum(counts))
+            again = sum(j > 0 and words[j] == words[j - 1] for j in range(seen, seen + len(own)))
+            rows.append([1, np.log1p(len(data)) / 5, *(min(1, 4 * c / letters) for c in counts), again / len(own), sum(j in covered for j in range(seen, seen + len(own))) / len(own), letters / len(own) / 10, real.count(line) > 1, "A" <= own[0][0] <= "Z", own[-1][-1] == ".", counts[3] + counts[4] + counts[5] > 0, counts[2] > 0, len(own) < 4])
+            seen += len(own)
+        assert got.first[i + 1] - got.first[i] == len(rows)
+        if rows:
+            own = np.array(rows, float)
+            assert np.allclose(got.own[at : at + len(rows)], own, atol=1e-6), text
+            none = np.zeros((1, own.shape[1]))
+            full = np.hstack([own, np.vstack([none, own[:-1]]), np.vstack([own[1:], none])])
+            assert np.allclose(odds[at : at + len(rows)], full @ weights, atol=1e-4)
+            error = np.random.default_rng(3).normal(size=len(odds))
+        at += len(rows)
+    step = 1e-3
+    for j in (0, 20, 50):
+        moved = weights.copy()
+        moved[j] += step
+        assert np.isclose(got.slope(error)[j], ((got.odds(moved) - odds) / step * error).sum(), atol=0.05)
 
 
 def test_quality_on_held_out(spark):
@@ -496,7 +565,7 @@ def test_token_store(spark, texts, monkeypatch):
     monkeypatch.setattr(token_store, "DOCS_PER_BLOCK", 7)
     path = public_tokenizers.path("byte_bpe_50k.json")
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
+    texts = [*texts, "hello <|endoftext|> world", *thue_morse()]
     store = token_store.write_store(table(spark, texts), path, public_tokenizers.PATTERN, end_id=2)
     got = {r.id: (r.start, r.n_tokens, r.ids_crc32) for r in token_store.read_store(*store).collect()}
     upto = 0
