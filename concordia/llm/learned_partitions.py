@@ -7,10 +7,14 @@ most probable part; a query goes to several most probable ones, where all candid
 ranked by the exact measure. How many is read off a part of the sample that the fit doesn't
 see, so that the expected recall is RECALL: few for clustered vectors, most parts for vectors
 without structure.
+
+A part that is still large is fitted and cut again in the same way, by a task of its own, so
+parts grow in number with the table and not in size.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,13 +24,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from concordia.llm._cluster import settle
+from concordia.llm._text import mix
 
-#: Most vectors that the partitions are fitted on (the first by hash), and neighbours in their graph.
+#: Most vectors that the cut of a part, or of the table, is fitted on (the first by hash), and neighbours in their graph.
 SAMPLE, NEIGHBOURS = 6000, 20
-#: Vectors of a part that the index aims at, most parts, the expected recall and the vectors kept to measure it.
-PER_PART, MOST_PARTS, RECALL, UNSEEN = 400, 64, 0.94, 1500
-#: Vectors and queries that one task ranks against each other at a time.
-BLOCK, QUERY_BLOCK = 4096, 2048
+#: Vectors of a part that a cut aims at, seen vectors that it needs for each, the expected recall and the vectors kept to measure it.
+PER_PART, SEEN, RECALL, UNSEEN = 400, 32, 0.94, 1500
+#: Distinct vectors from which on a table is cut at all, vectors from which on a part is cut again, the recall of that, and most times.
+FEWEST, LARGE, RECALL_AGAIN, LEVELS = 16, 16_384, 0.98, 8
+#: Vectors and queries of one group; queries that are ranked at a time; pairs whose exact score is taken at a time.
+BLOCK, QUERIES, QUERY_BLOCK, PAIRS = 4096, 16_384, 1024, 1 << 17
 HIDDEN, EPOCHS = 128, 60
 
 
@@ -126,25 +133,24 @@ def fit_router(x: np.ndarray, target: np.ndarray, seed: int = 3) -> Router:
 
 
 def fit(sample: np.ndarray, rows: int, recall: float = RECALL) -> tuple[Router | None, int]:
-    """A router over parts for `rows` vectors and how many parts to probe, from a sample; (None, 1) if one part is enough."""
-    seen = sample[: len(sample) - min(UNSEEN, len(sample) // 4)]
-    parts = 1
-    while parts < MOST_PARTS and rows / parts > PER_PART and len(seen) / parts > 32:
-        parts *= 2
-    if parts < 4:
+    """A router over parts for `rows` vectors and how many parts to probe, from a sample; (None, 1) if it has under FEWEST."""
+    if len(sample) < FEWEST:
         return None, 1
+    unseen = sample[len(sample) - min(UNSEEN, len(sample) // 4) :]
+    seen = sample[: len(sample) - len(unseen)]
+    parts = 2
+    while rows / parts > PER_PART and len(seen) / parts > SEEN:
+        parts *= 2
     graph = neighbour_graph(seen, NEIGHBOURS)
     part = balanced_parts(graph, parts)
     target = np.zeros((len(seen), parts))
     np.add.at(target, (np.arange(len(seen))[:, None], part[graph]), 0.7 / graph.shape[1])
     target[np.arange(len(seen)), part] += 0.3
     router = fit_router(seen, target)
-    unseen = sample[len(seen) :]
     near = np.argsort(-(unseen @ seen.T), axis=1)[:, :NEIGHBOURS]
-    order = router.best(unseen, parts)
-    place = np.argsort(order, axis=1)
+    place = np.argsort(router.best(unseen, parts), axis=1)
     needed = np.take_along_axis(place, router.best(seen, 1)[:, 0][near], axis=1)
-    return router, int(np.quantile(needed, recall, method="higher")) + 1
+    return router, int(np.quantile(needed, min(1.0, recall + 0.5 / np.sqrt(len(unseen))), method="higher")) + 1
 
 
 def _exact(q: np.ndarray, c: np.ndarray) -> np.ndarray:
@@ -152,6 +158,69 @@ def _exact(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     return (q * c).sum(axis=-1)
 
 
+def nearest(q: np.ndarray, x: np.ndarray, least: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, row of x, score) of the k rows of largest inner product for each query, ties to the smaller `least`.
+
+    A fast product finds all rows that may be among them, by a bound of its error; these are ranked exactly."""
+    s, m = q @ x.T, min(len(x), k)
+    error = 4 * q.shape[1] * np.finfo(float).eps * np.sqrt((q * q).sum(axis=1)) * np.sqrt((x * x).sum(axis=1).max(initial=0))
+    at, to = np.nonzero(s >= (np.partition(s, len(x) - m, axis=1)[:, len(x) - m] - error)[:, None])
+    score = np.concatenate([np.zeros(0), *(_exact(q[at[i : i + PAIRS]], x[to[i : i + PAIRS]]) for i in range(0, len(at), PAIRS))])
+    order = np.lexsort((least[to], -score, at))
+    at, to, score = at[order], to[order], score[order]
+    best = np.arange(len(at)) - np.searchsorted(at, at) < k
+    return at[best], to[best], score[best]
+
+
+def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Vectors of one length, none of them null."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    return column.flatten().to_numpy().reshape(len(column), -1)
+
+
+def _child(part: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """The names of parts of parts."""
+    return mix(part.astype(np.uint64) * np.uint64(2) + np.uint64(1) ^ mix(number.astype(np.uint64) + np.uint64(1))).view(np.int64)
+
+
+def _cut_again(index: DataFrame, recall: float) -> DataFrame:
+    """part, model, probes of each part of more than LARGE vectors, each fitted by one task on SAMPLE vectors at most."""
+    large = index.groupBy("part").agg(F.count("*").alias("n")).where(F.col("n") > LARGE)
+    first = F.row_number().over(Window.partitionBy("part").orderBy("h1", "h2"))
+    sample = index.join(large, "part").select("part", "n", "v", first.alias("nth")).where(F.col("nth") <= SAMPLE)
+
+    def run(t: pa.Table) -> pa.Table:
+        router, probes = fit(_matrix(t.sort_by("nth")["v"]), t["n"][0].as_py(), recall)
+        return pa.table({"part": t["part"][:1], "model": pa.array([pickle.dumps(router)], pa.binary()), "probes": pa.array([probes], pa.int32())})
+
+    return sample.groupBy("part").applyInArrow(run, "part long, model binary, probes int")
+
+
+def _descend(rows: DataFrame, models: DataFrame, own: bool) -> DataFrame:
+    """rows with their parts' own parts: the most probable one, or as many as the model says. Other parts stay.
+
+    A group is BLOCK rows of a part at most, and the part's model."""
+    blocks = rows.groupBy("part").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).join(models.select("part"), "part", "left_semi")
+    there = rows.join(blocks, "part").withColumn("block", F.pmod("h1", F.col("blocks")).cast("int")).drop("blocks")
+    sent = models.join(blocks, "part").select("part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "model", "probes")
+    names = rows.columns
+    schema = rows.schema
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not len(left):
+            return left.select(names)
+        router, m = pickle.loads(right["model"][0].as_py()), 1 if own else right["probes"][0].as_py()
+        best = router.best(_matrix(left["v"]), m)
+        at = pa.array(np.repeat(np.arange(len(left)), best.shape[1]))
+        part = _child(np.repeat(left["part"].to_numpy(), best.shape[1]), best.ravel())
+        out = left.select(names).take(at)
+        return out.set_column(names.index("part"), "part", pa.array(part))
+
+    moved = there.groupBy("part", "block").cogroup(sent.groupBy("part", "block")).applyInArrow(run, schema)
+    return moved.unionByName(rows.join(models.select("part"), "part", "left_anti").select(*names))
+
+
 def usable(vector: str):
     """Not null or zero, and all components finite."""
     v = F.col(vector)
@@ -178,54 +247,54 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_
     v = v.where(F.size("v") == width.d)
     small = v.select("id", "h1", "h2").distinct().withColumn("nth", F.row_number().over(Window.partitionBy("h1", "h2").orderBy("id"))).where(F.col("nth") <= k + 1)
     members = settle(small.groupBy("h1", "h2").agg(F.array_sort(F.collect_list("id")).alias("ids")), "members")
-    classes = settle(v.groupBy("h1", "h2").agg(F.any_value("v").alias("v")), "classes")
+    classes = settle(v.groupBy("h1", "h2").agg(F.any_value("v").alias("v"), F.min("id").alias("least")), "classes")
     asked = settle(v.where(F.col("id") % every == 0).select("id", "h1", "h2").distinct(), "asked")
     rows = classes.count()
-    sample = np.array([r.v for r in classes.orderBy("h1", "h2").limit(SAMPLE).collect()]).reshape(-1, width.d)
+    sample = np.array([r.v for r in classes.orderBy("h1", "h2").limit(SAMPLE).select("v").collect()]).reshape(-1, width.d)
     router, probes = fit(sample, rows, recall)
 
     def route(m: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 if len(batch):
-                    x = batch.column(2).flatten().to_numpy().reshape(len(batch), -1)
+                    x = _matrix(batch.column(2))
                     best = np.zeros((len(x), 1), np.int64) if router is None else router.best(x, m)
                     at = pa.array(np.repeat(np.arange(len(x)), best.shape[1]))
-                    yield pa.RecordBatch.from_arrays([*(c.take(at) for c in batch.columns), pa.array(best.ravel().astype(np.int32))], ["h1", "h2", "v", "part"])
+                    yield pa.RecordBatch.from_arrays([*(c.take(at) for c in batch.columns), pa.array(best.ravel())], ["h1", "h2", "v", "least", "part"])
 
         return run
 
-    form = "h1 long, h2 long, v array<double>, part int"
-    index = settle(classes.select("h1", "h2", "v").mapInArrow(route(1), form), "index")
-    queries = classes.join(asked.select("h1", "h2").distinct(), ["h1", "h2"], "left_semi").select("h1", "h2", "v").mapInArrow(route(probes), form)
-    blocks = index.groupBy("part").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    index = index.join(blocks, "part").withColumn("block", F.pmod("h1", F.col("blocks")).cast("int"))
-    dealt = queries.join(blocks, "part").select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    dealt = dealt.select(*(F.col(c).alias(c) for c in dealt.columns))
-
-    def rank(key, left: Iterator[pa.RecordBatch], right: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = pa.Table.from_batches(list(right))
-        if not len(c):
-            return
-        x = c["v"].combine_chunks().flatten().to_numpy().reshape(len(c), -1)
-        for batch in left:
-            for a in range(0, len(batch), QUERY_BLOCK):
-                b = batch.slice(a, QUERY_BLOCK)
-                if not len(b):
-                    continue
-                q = b.column("v").flatten().to_numpy().reshape(len(b), -1)
-                s, m = q @ x.T, min(len(x), k + 1)
-                near = np.argpartition(-s, m - 1, axis=1)[:, :m] if m < len(x) else np.tile(np.arange(len(x)), (len(b), 1))
-                score = _exact(q[:, None, :], x[near])
-                at, to = pa.array(np.repeat(np.arange(len(b)), near.shape[1])), pa.array(near.ravel())
-                yield pa.RecordBatch.from_arrays([b.column("h1").take(at), b.column("h2").take(at), c["h1"].combine_chunks().take(to), c["h2"].combine_chunks().take(to), pa.array(score.ravel())], ["q1", "q2", "h1", "h2", "score"])
-
-    def ranked(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        found = list(rank(key, iter(left.combine_chunks().to_batches()), iter(right.combine_chunks().to_batches())))
-        empty = pa.schema([("q1", pa.int64()), ("q2", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("score", pa.float64())])
-        return pa.Table.from_batches(found) if found else empty.empty_table()
-
-    near = dealt.groupBy("part", "block").cogroup(index.groupBy("part", "block")).applyInArrow(ranked, "q1 long, q2 long, h1 long, h2 long, score double")
+    form = "h1 long, h2 long, v array<double>, least long, part long"
+    columns = ["h1", "h2", "v", "least"]
+    index = settle(classes.select(*columns).mapInArrow(route(1), form), "index")
+    queries = settle(classes.join(asked.select("h1", "h2").distinct(), ["h1", "h2"], "left_semi").select(*columns).mapInArrow(route(probes), form), "queries")
+    for _ in range(LEVELS):
+        models = settle(_cut_again(index, RECALL_AGAIN), "models")
+        if models.isEmpty():
+            break
+        index, queries = settle(_descend(index, models, True), "index"), settle(_descend(queries, models, False), "queries")
+
+    # Blocks of candidates meet blocks of queries, part by part.
+    sizes = lambda df, per, name: df.groupBy("part").agg(F.ceil(F.count("*") / per).cast("int").alias(name))
+    grid = sizes(index, BLOCK, "blocks").join(sizes(queries, QUERIES, "turns"), "part")
+    all_of = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    there = index.join(grid, "part").select("part", F.pmod("h1", F.col("blocks")).cast("int").alias("block"), *columns, all_of("turns").alias("turn"))
+    dealt = queries.join(grid, "part").select("part", F.pmod("h2", F.col("turns")).cast("int").alias("turn"), *columns, all_of("blocks").alias("block"))
+    keys = ["part", "block", "turn"]
+
+    def ranked(left: pa.Table, right: pa.Table) -> pa.Table:
+        names = ["q1", "q2", "h1", "h2", "score"]
+        out = [pa.table([pa.array([], pa.int64())] * 4 + [pa.array([], pa.float64())], names)]
+        if len(left) and len(right):
+            x, least = _matrix(right["v"]), right["least"].to_numpy()
+            q = _matrix(left["v"])
+            for a in range(0, len(q), QUERY_BLOCK):
+                at, to, score = nearest(q[a : a + QUERY_BLOCK], x, least, k + 1)
+                at, to = pa.array(at + a), pa.array(to)
+                out.append(pa.table([left["h1"].take(at), left["h2"].take(at), right["h1"].take(to), right["h2"].take(to), pa.array(score)], names))
+        return pa.concat_tables(out)
+
+    near = dealt.groupBy(*keys).cogroup(there.groupBy(*keys)).applyInArrow(ranked, "q1 long, q2 long, h1 long, h2 long, score double")
     top = Window.partitionBy("q1", "q2").orderBy(F.desc("score"), "least")
     near = near.join(members, ["h1", "h2"]).withColumn("least", F.col("ids")[0]).withColumn("nth", F.row_number().over(top)).where(F.col("nth") <= k + 1)
     # k + 1 classes hold the k + 1 nearest members; the query itself is one of them at most.

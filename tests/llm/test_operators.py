@@ -132,7 +132,7 @@ def nearest(rows, k, every):
     return {i: sorted(((-(v * w).sum(), j) for j, w in rows if j != i))[:k] for i, v in rows if i % every == 0}
 
 
-def test_search_is_exact_on_one_part_and_ranks_ties_by_id(spark):
+def test_search_is_exact_on_small_tables_and_ranks_ties_by_id(spark):
     rng = np.random.default_rng(1)
     rows = [(i, rng.normal(size=8).astype(np.float32).tolist(), 0) for i in range(150)] + [(i, [1.0] * 8, 1) for i in range(200, 300)]
     rows += [(400, None, 0), (420, [0.0] * 8, 0), (440, [float("nan")] * 8, 0), (460, [None] + [1.0] * 7, 0), (None, [1.0] * 8, 0), (20, rows[20][1], 0)]
@@ -151,7 +151,30 @@ def test_search_is_exact_on_one_part_and_ranks_ties_by_id(spark):
     assert learned_partitions.search(spark.createDataFrame([(20, [1.0])], "vec_id long, embedding array<float>")).count() == 0
 
 
-def test_search_recall(spark):
+def test_ties_between_different_vectors_go_to_smaller_ids(spark):
+    rows = [(i, [float(i >> j & 1) for j in range(8)]) for i in range(1, 256)]
+    random.Random(3).shuffle(rows)
+    got = {}
+    for r in learned_partitions.search(ship(spark).createDataFrame(rows, "vec_id long, embedding array<double>")).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    want = nearest(rows, 20, 20)
+    assert got.keys() == want.keys()
+    for q, found in got.items():
+        assert [(j, s) for _, j, s in sorted(found)] == [(j, -s) for s, j in want[q]]
+
+
+def test_small_tables_are_routed_too(spark):
+    rng = np.random.default_rng(5)
+    router, probes = learned_partitions.fit(np.concatenate([rng.normal(size=(40, 8)) + 9 * s for s in (1, -1)])[rng.permutation(80)], 80)
+    assert router.w2.shape[1] == 2 and probes == 1
+
+
+@pytest.mark.parametrize("large", [16_384, 300])
+def test_search_recall(spark, large, monkeypatch):
+    monkeypatch.setattr(learned_partitions, "LARGE", large)
+    monkeypatch.setattr(learned_partitions, "BLOCK", 150)
+    monkeypatch.setattr(learned_partitions, "QUERIES", 40)
+    monkeypatch.setattr(learned_partitions, "SAMPLE", 6000 if large > 300 else 400)
     rng = np.random.default_rng(2)
     centres = rng.normal(size=(40, 16))
     x = (centres[rng.integers(0, 40, 6000)] + 0.4 * rng.normal(size=(6000, 16))).astype(np.float32)
