@@ -1,6 +1,6 @@
 """Token-id binary output: documents compressed one by one under a shared zstandard dictionary.
 
-A store is two Parquet tables. `dictionary` has one row: its bytes and SHA-256. `blocks`
+A store is three Parquet tables. `dictionary` has one row: its bytes and SHA-256. `blocks`
 has one row for each block of consecutive documents; its `payload` is the file format:
 
     4s magic, B bytes of an id (2 or 4), 32s SHA-256 of the dictionary, I documents,
@@ -9,7 +9,8 @@ has one row for each block of consecutive documents; its `payload` is the file f
     little-endian.
 
 So one short document needs its block's index and its own frame only. Documents are in
-ascending id order over ranges, then blocks, then within a block.
+ascending id order over ranges, then blocks, then within a block. `ranges` has the number
+of tokens before each range.
 """
 
 from __future__ import annotations
@@ -22,30 +23,34 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from concordia.llm import _text as X
 from concordia.llm._cluster import partitions_for, settle
 from concordia.llm._pieces import tokenizer_ids
 
-#: The dictionary is trained on the first SAMPLE documents, SAMPLE_CHARS of each at most (it changes sizes, never ids).
-SAMPLE, SAMPLE_CHARS, DICTIONARY_BYTES = 1000, 20_000, 64 << 10
+#: The dictionary is trained on at most SAMPLE whole documents of at most SAMPLE_CHARS together, the first by a hash of
+#: id and text (it changes sizes, never ids).
+SAMPLE, SAMPLE_CHARS, DICTIONARY_BYTES = 1000, 8_000_000, 64 << 10
 DOCS_PER_RANGE, DOCS_PER_BLOCK, BYTES_PER_BLOCK = 5000, 1024, 4 << 20
+#: Ranges that one task adds up at a time; ranges up to which their totals are broadcast.
+CHUNK, BROADCAST_RANGES = 4096, 1_000_000
 HEAD = struct.Struct("<4sB32sIQ")
 MAGIC = b"TOK1"
-FRAMES = "range_no int, n_tokens long, frame binary"
 BLOCKS = "range_no int, block_no int, first_id long, last_id long, n_docs int, n_tokens long, payload binary"
 
 
 def train_dictionary(samples: list[bytes]) -> bytes:
-    """A dictionary's bytes; empty where the samples are too few to train on."""
+    """A dictionary's bytes: trained, or where the samples are too few for that, the samples themselves; empty without any."""
     import zstandard
 
     try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes() if len(samples) >= 16 else b""
-    except zstandard.ZstdError:
-        return b""
+        if len(samples) >= 16:
+            return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
+    except zstandard.ZstdError:  # too little to train on
+        pass
+    return b"".join(samples)[-DICTIONARY_BYTES:]
 
 
 def _codec(dictionary: bytes):
@@ -71,93 +76,117 @@ def unpack_block(payload: bytes) -> tuple[int, bytes, int, np.ndarray, np.ndarra
     return width, digest, before, ids, counts, [payload[at + a : at + b] for a, b in zip(np.append(0, ends[:-1]), ends)]
 
 
-def write_store(docs: DataFrame, tokenizer_path: str, pattern: str, end_id: int, vocabulary: int = 1 << 16, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """Writes the store in the shared folder: (dictionary, blocks).
+def _samples(docs: DataFrame) -> list[str]:
+    """Texts to train on, in the order of a hash of id and text; repeated rows count once."""
+    keyed = docs.where("length(text) > 0").select(F.xxhash64("id", "text").alias("h"), "text")
+    sizes = {r.h: r.n for r in keyed.select("h", F.length("text").alias("n")).where(F.col("n") <= SAMPLE_CHARS).orderBy("h").limit(SAMPLE).collect()}
+    fits = [h for h, upto in zip(sorted(sizes), np.cumsum([sizes[h] for h in sorted(sizes)])) if upto <= SAMPLE_CHARS]
+    if not fits:
+        return []
+    found = keyed.where((F.col("h") <= fits[-1]) & (F.length("text") <= SAMPLE_CHARS)).groupBy("h").agg(F.min("text").alias("text"))
+    return [r.text for r in sorted(found.collect(), key=lambda r: r.h)]
+
+
+def prefix_sums(totals: DataFrame) -> DataFrame:
+    """no and `base`, the sum of n over smaller no, of rows (no, n) with distinct no: chunks first, then within each.
+
+    No task gets more than CHUNK rows at a time, whatever the number of rows is."""
+    chunks = totals.withColumn("chunk", F.floor(F.col("no") / CHUNK).cast("long"))
+    within = F.sum("n").over(Window.partitionBy("chunk").orderBy("no")) - F.col("n")
+    chunks = chunks.withColumn("base", within)
+    sums = chunks.groupBy("chunk").agg(F.sum("n").cast("long").alias("n")).withColumnRenamed("chunk", "no")
+    top = totals.agg(F.max("no")).first()[0]
+    if top is None or top < CHUNK:
+        return chunks.select("no", F.col("base").cast("long").alias("base"))
+    before = prefix_sums(settle(sums, "sums")).select(F.col("no").alias("chunk"), F.col("base").alias("before"))
+    return chunks.join(before, "chunk").select("no", (F.col("base") + F.col("before")).cast("long").alias("base"))
+
+
+def write_store(docs: DataFrame, tokenizer_path: str, pattern: str, end_id: int, vocabulary: int = 1 << 16, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Writes the store in the shared folder: (dictionary, blocks, ranges).
 
     Ids are integers; a null id ranks before all others and is stored as the least long. Null and empty texts are
-    end_id alone. Rows with one id keep together, by their frames' order. Ranges follow the id column alone, so
-    no text is sampled or sorted; what is shuffled are compressed frames."""
+    end_id alone. Repeated rows are stored one by one; rows with one id are in the order of a hash of their texts. An
+    empty table gives no block. Spark deals rows to ranges by id, that hash and the row's place, so that no id, null
+    ones neither, is one range however often it comes."""
     docs = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("id"), F.col(text_col).alias("text"))
     width = 2 if vocabulary <= 1 << 16 else 4
     kind = np.dtype(f"<u{width}")
-
-    sample = [r.t for r in docs.where("length(text) > 0").select(F.substring("text", 1, SAMPLE_CHARS).alias("t")).limit(SAMPLE).collect()]
     encoder = tokenizer_ids(tokenizer_path, pattern)
-    dictionary = train_dictionary([encoder.of(s)[0].astype(kind).tobytes() for t in sample for _, s in X.slices(pa.array([t]))])
+    dictionary = train_dictionary([encoder.of(s)[0].astype(kind).tobytes() for t in _samples(docs) for _, s in X.slices(pa.array([t]))])
     digest = hashlib.sha256(dictionary).digest()
     spark = docs.sparkSession
     shared = settle(spark.createDataFrame([(digest.hex(), bytearray(dictionary))], "sha256 string, dictionary binary"), "dictionary")
-
-    ranges = partitions_for(docs.count(), DOCS_PER_RANGE)
-    shares = [i / ranges for i in range(1, ranges)]
-    bounds = np.array(docs.select(F.percentile_approx("id", shares, 10_000 if ranges < 5000 else 2 * ranges)).first()[0] or [] if shares else [], np.int64)
     tail = np.array([end_id], kind)
 
-    def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        def flush() -> pa.RecordBatch:
+            payload = pack_block(width, digest, before, ids, counts, frames)
+            values = zip((range_no, block_no, ids[0], ids[-1], len(ids), sum(counts), payload), (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()))
+            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in values], ["range_no", "block_no", "first_id", "last_id", "n_docs", "n_tokens", "payload"])
+
         encoder, (compressor, _) = tokenizer_ids(tokenizer_path, pattern), _codec(dictionary)
+        range_no, block_no, before, size = TaskContext.get().partitionId(), 0, 0, 0
+        ids, counts, frames = [], [], []
         for batch in batches:
             for at, s in X.slices(batch.column(1)):
-                ids = batch.column(0).slice(at, s.n)
                 found, upto = encoder.of(s)
                 found = found.astype(kind)
-                data = [compressor.compress(np.append(found[a:b], tail).tobytes()) for a, b in zip(upto[:-1], upto[1:])]
-                where = np.searchsorted(bounds, ids.to_numpy(zero_copy_only=False), side="left")
-                yield pa.RecordBatch.from_arrays([ids, pa.array(where, pa.int32()), pa.array(np.diff(upto) + 1, pa.int64()), pa.array(data, pa.binary())], ["id", "range_no", "n_tokens", "frame"])
-
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush():
-            if not own:
-                return None
-            ids, counts, data = zip(*own)
-            payload = pack_block(width, digest, before, ids, counts, data)
-            return pa.RecordBatch.from_arrays([pa.array([range_no], pa.int32()), pa.array([block_no], pa.int32()), pa.array([ids[0]], pa.int64()), pa.array([ids[-1]], pa.int64()), pa.array([len(ids)], pa.int32()), pa.array([sum(counts)], pa.int64()), pa.array([payload], pa.binary())], ["range_no", "block_no", "first_id", "last_id", "n_docs", "n_tokens", "payload"])
-
-        own, size, range_no, block_no, before = [], 0, None, 0, 0
-        for batch in batches:
-            for i, where, count, frame in zip(*(c.to_pylist() for c in batch.columns)):
-                if where != range_no or len(own) >= DOCS_PER_BLOCK or size + len(frame) > BYTES_PER_BLOCK:
-                    if (out := flush()) is not None:
-                        yield out
-                    before, block_no = (before + sum(x[1] for x in own), block_no + 1) if where == range_no else (0, 0)
-                    own, size, range_no = [], 0, where
-                own.append((i, count, frame))
-                size += len(frame)
-        if (out := flush()) is not None:
-            yield out
-
-    dealt = docs.mapInArrow(frames, f"id long, {FRAMES}").repartition(ranges, "range_no").sortWithinPartitions("range_no", "id", "frame")
-    return shared, settle(dealt.mapInArrow(blocks, BLOCKS), "blocks")
-
-
-def read_store(shared: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Every stored document: id, start (tokens of all before it), n_tokens, ids_crc32 (as 32-bit ids), ids.
-
-    To the driver go the dictionary and one number for each range."""
+                for i, a, b in zip(batch.column(0).slice(at, s.n).to_pylist(), upto[:-1].tolist(), upto[1:].tolist()):
+                    frame = compressor.compress(np.append(found[a:b], tail).tobytes())
+                    if ids and (len(ids) >= DOCS_PER_BLOCK or size + len(frame) > BYTES_PER_BLOCK):
+                        yield flush()
+                        block_no, before, size = block_no + 1, before + sum(counts), 0
+                        ids, counts, frames = [], [], []
+                    ids.append(i)
+                    counts.append(b - a + 1)
+                    frames.append(frame)
+                    size += len(frame)
+        if ids:
+            yield flush()
+
+    order = ["id", F.xxhash64("text"), F.monotonically_increasing_id()]
+    keyed = docs.select("id", "text", *(c.alias(n) for c, n in zip(order[1:], ("h", "place"))))
+    dealt = keyed.repartitionByRange(partitions_for(docs.count(), DOCS_PER_RANGE), "id", "h", "place").sortWithinPartitions("id", "h", "place")
+    blocks = settle(dealt.select("id", "text").mapInArrow(run, BLOCKS), "blocks")
+    totals = settle(blocks.groupBy("range_no").agg(F.sum("n_tokens").alias("n")).select(F.col("range_no").cast("long").alias("no"), "n"), "totals")
+    return shared, blocks, settle(prefix_sums(totals).select(F.col("no").cast("int").alias("range_no"), "base"), "ranges")
+
+
+def read_store(shared: DataFrame, blocks: DataFrame, ranges: DataFrame) -> DataFrame:
+    """Every stored document: id, start (tokens of all before it), n_tokens, ids_crc32 (as 32-bit ids).
+
+    To the driver goes the dictionary alone; ranges are broadcast up to BROADCAST_RANGES, else joined by a shuffle."""
     dictionary = bytes(shared.first().dictionary)
-    total = {r.range_no: r.n for r in blocks.groupBy("range_no").agg(F.sum("n_tokens").alias("n")).collect()}
-    bases, upto = {}, 0
-    for k in sorted(total):
-        bases[k], upto = upto, upto + total[k]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, decompressor = _codec(dictionary)
         digest = hashlib.sha256(dictionary).digest()
         for batch in batches:
-            for range_no, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for base, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 width, known, before, ids, counts, frames = unpack_block(payload)
                 if known != digest:
                     raise ValueError("the block was written with another dictionary")
-                start = bases[range_no] + before + np.cumsum(counts, dtype=np.int64) - counts
-                data = [np.frombuffer(decompressor.decompress(f), f"<u{width}").astype("<u4") for f in frames]
-                crc = [zlib.crc32(x.tobytes()) for x in data]
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(start, pa.int64()), pa.array([len(x) for x in data], pa.int64()), pa.array(crc, pa.int64())], ["id", "start", "n_tokens", "ids_crc32"])
-
-    found = blocks.select("range_no", "payload").mapInArrow(run, "id long, start long, n_tokens long, ids_crc32 long")
+                start = base + before + np.cumsum(counts, dtype=np.int64) - counts
+                length, crc = [], []
+                for f in frames:
+                    data = np.frombuffer(decompressor.decompress(f), f"<u{width}").astype("<u4")
+                    length.append(len(data))
+                    crc.append(zlib.crc32(data.tobytes()))
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())], ["id", "start", "n_tokens", "ids_crc32"])
+
+    if ranges.count() <= BROADCAST_RANGES:
+        ranges = F.broadcast(ranges)
+    found = blocks.join(ranges, "range_no").select("base", "payload").mapInArrow(run, "id long, start long, n_tokens long, ids_crc32 long")
     return found.withColumn("id", F.when(F.col("id") != F.lit(-(2**63)), F.col("id")))
 
 
 def read_document(shared: DataFrame, blocks: DataFrame, doc_id: int) -> list[np.ndarray]:
-    """The ids of the documents with one id: their block's index and their own frames are all that is decompressed."""
+    """The ids of the documents with one id, in the store's order; none if it isn't there.
+
+    Their block's index and their own frames are all that is decompressed."""
     dictionary = bytes(shared.first().dictionary)
     _, decompressor = _codec(dictionary)
     rows = blocks.where((F.col("first_id") <= doc_id) & (F.col("last_id") >= doc_id)).orderBy("range_no", "block_no").toLocalIterator()

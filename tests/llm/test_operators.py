@@ -586,6 +586,7 @@ def test_token_store(spark, texts, monkeypatch):
 
     monkeypatch.setattr(token_store, "DOCS_PER_RANGE", 20)
     monkeypatch.setattr(token_store, "DOCS_PER_BLOCK", 7)
+    monkeypatch.setattr(token_store, "CHUNK", 2)
     path = public_tokenizers.path("byte_bpe_50k.json")
     t = Tokenizer.from_file(path)
     texts = [*texts, "hello <|endoftext|> world", *thue_morse()]
@@ -597,7 +598,7 @@ def test_token_store(spark, texts, monkeypatch):
         assert got[i] == (upto, len(ids), zlib.crc32(array("I", ids).tobytes()))
         upto += len(ids)
         if i % 17 == 0:
-            assert [x.tolist() for x in token_store.read_document(*store, i)] == [ids]
+            assert [x.tolist() for x in token_store.read_document(*store[:2], i)] == [ids]
     empty = token_store.write_store(table(spark, texts).limit(0), path, public_tokenizers.PATTERN, end_id=2)
     assert token_store.read_store(*empty).count() == 0
 
@@ -607,3 +608,28 @@ def test_token_store_with_null_and_repeated_ids(spark):
     docs = ship(spark).createDataFrame([(5, "b"), (None, "a"), (5, "b"), (2, None)], "doc_id long, text string")
     rows = sorted(token_store.read_store(*token_store.write_store(docs, path, public_tokenizers.PATTERN, end_id=2)).collect(), key=lambda r: r.start)
     assert [(r.id, r.start, r.n_tokens) for r in rows] == [(None, 0, 2), (2, 2, 1), (5, 3, 2), (5, 5, 2)]
+
+
+def test_one_id_of_many_rows_is_many_ranges(spark, monkeypatch):
+    monkeypatch.setattr(token_store, "DOCS_PER_RANGE", 50)
+    rows = [(7 if i % 3 else None, "same words" if i % 2 else f"words {i}", "clash") for i in range(600)] + [(9, "end", "clash")]
+    docs = ship(spark).createDataFrame(rows, "doc_id long, text string, n_tokens string").repartition(4)
+    shared, blocks, ranges = token_store.write_store(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, end_id=2)
+    assert max(r.n for r in blocks.groupBy("range_no").agg(F.sum("n_docs").alias("n")).collect()) < 300
+    got = sorted((r.start, r.n_tokens, r.id) for r in token_store.read_store(shared, blocks, ranges).collect())
+    assert len(got) == 601 and [s for s, _, _ in got] == [sum(n for _, n, _ in got[:i]) for i in range(601)]
+    assert [i for _, _, i in got] == [None] * 200 + [7] * 400 + [9]
+    assert len(token_store.read_document(shared, blocks, 7)) == 400 and token_store.read_document(shared, blocks, 8) == []
+
+
+def test_prefix_sums(spark, monkeypatch):
+    monkeypatch.setattr(token_store, "CHUNK", 3)
+    totals = spark.range(0, 90, 2).select(F.col("id").alias("no"), (F.col("id") % 7).alias("n"))
+    got = {r.no: r.base for r in token_store.prefix_sums(totals).collect()}
+    assert got == {i: sum(j % 7 for j in range(0, i, 2)) for i in range(0, 90, 2)}
+
+
+def test_dictionary_of_few_samples():
+    assert token_store.train_dictionary([]) == b"" and token_store.train_dictionary([b"abc"] * 3) == b"abcabcabc"
+    c, d = token_store._codec(token_store.train_dictionary([b"a few words here"] * 3))
+    assert d.decompress(c.compress(b"a few words here")) == b"a few words here"
