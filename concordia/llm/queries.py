@@ -64,7 +64,7 @@ QUERIES = {f.__name__: f for f in (op1_url_cascade, op2_suffix_repetition, op3_l
 
 _VALUES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in RULES)
 _KNOWN = ", ".join(f"('{v}', '{k}')" for k, v in licenses.SENTENCES.items())
-_FIRED = ", ".join(f"CASE WHEN regexp_matches(line, '{licenses.rule_pattern(ids)}') THEN '{name}' END" for name, ids in licenses.RULES)
+_FIRED = ", ".join(f"CASE WHEN regexp_matches(line, '{licenses.rule_pattern(ids)}') THEN '{name}' END" for name, ids, *_ in licenses.RULES if set(ids) <= licenses.SENTENCES.keys())
 
 SQL = {
     "op1_url_cascade": f"""

@@ -375,7 +375,7 @@ WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
 See the License for the specific language governing permissions and
 limitations under the License.
 """
-BSD = """Copyright (c) 2020, Some One
+BSD2 = """Copyright (c) 2020, Some One
 All rights reserved.
 
 Redistribution and use in source and binary forms, with or without
@@ -387,7 +387,61 @@ modification, are permitted provided that the following conditions are met:
 2. Redistributions in binary form must reproduce the above copyright notice,
    this list of conditions and the following disclaimer in the documentation
    and/or other materials provided with the distribution.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+CAUSED AND ON ANY THEORY OF LIABILITY.
+"""
+BSD3 = BSD2.replace("""
+THIS SOFTWARE""", """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE""")
+ISC = """Copyright (c) 2020 Some One <one@example.org>
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES
+WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR
+ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES
+WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN
+ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF
+OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.
+"""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+"""
+LGPL = """    This library is free software; you can redistribute it and/or
+    modify it under the terms of the GNU Lesser General Public
+    License as published by the Free Software Foundation; either
+    version 2.1 of the License, or (at your option) any later version.
+
+    This library is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU
+    Lesser General Public License for more details.
+"""
+GPL3_TEXT = """                    GNU GENERAL PUBLIC LICENSE
+                       Version 3, 29 June 2007
+
+ Copyright (C) 2007 Free Software Foundation, Inc. <https://fsf.org/>
+ Everyone is permitted to copy and distribute verbatim copies
+ of this license document, but changing it is not allowed.
+
+                            Preamble
 """
+CC = "(c) Some One. This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.\n"
 GPL3 = """    This program is free software: you can redistribute it and/or modify
     it under the terms of the GNU General Public License as published by
     the Free Software Foundation, either version 3 of the License, or
@@ -401,17 +455,27 @@ GPL2 = """    This program is free software; you can redistribute it and/or modi
 
 
 def test_licenses_of_published_texts(spark):
-    texts = {"MIT": MIT, "Apache-2.0": APACHE, "BSD": BSD, "GPL": GPL3}
-    ids = {"MIT": ["grant", "notice", "as-is"], "Apache-2.0": ["apache2-ref", "apache2-unless"], "BSD": ["bsd-source", "bsd-binary"], "GPL": ["gpl-free"]}
+    bsd2 = ["bsd-source", "bsd-binary", "bsd-as-is", "bsd-liable"]
+    texts = {
+        "MIT": (MIT, ["grant", "notice", "as-is", "mit-liable"]), "Apache-2.0": (APACHE, ["apache2-ref", "apache2-comply", "apache2-copy", "apache2-unless", "apache2-see"]),
+        "BSD-2-Clause": (BSD2, bsd2), "BSD-3-Clause": (BSD3, [*bsd2[:2], "bsd-endorse", *bsd2[2:]]), "GPL-3.0-or-later": (GPL3, ["gpl-free", "v3-later"]), "GPL-2.0-or-later": (GPL2, ["gpl-free", "v2-later"]),
+        "LGPL-2.1-or-later": (LGPL, ["lgpl-free", "v21-later", "gnu-useful", "gnu-no-warranty"]), "ISC": (ISC, ["isc-grant", "isc-as-is", "isc-liable"]), "MPL-2.0": (MPL, ["mpl2-form", "mpl2-copy"]),
+        "GPL-3.0": (GPL3_TEXT, ["gpl3-head", "gnu-verbatim"]), "CC-BY-SA-4.0": (CC, ["cc-by-sa-4.0-ref"]),
+    }
     forms = [lambda t: t, lambda t: t.replace("\n", "\r\n"), lambda t: "/*\n" + "".join(f" * {x}\n" for x in t.split("\n")) + " */\nint x;\n", lambda t: "".join(f"# {x}\n" for x in t.split("\n")), lambda t: " ".join(t.split())]
-    cases = [(name, f(t)) for name, t in [*texts.items(), ("GPL", GPL2)] for f in forms[: 4 if name != "GPL" else 5]]
-    cases += [(name, " ".join(t[t.index(start) :].split())) for name, t, start in (("MIT", MIT, "Permission"), ("Apache-2.0", APACHE, "Licensed"), ("BSD", BSD, "Redistribution and"))]
-    cases += [(None, MIT.replace("free of charge", "for a charge")), (None, GPL3.replace("General", "Lesser General")), (None, "Permission\n\n" + BSD.replace("must retain", "must\n\nretain")), ("MIT", "Words without a stop\nReleased under the\nMIT License\nmore words")]
-    got = {r.doc_id: (r.license, r.sentence_ids) for r in licenses.scan_licenses(table(spark, [t for _, t in cases])).collect()}
+    cases = [(name, f(t)) for f in forms[:4] for name, (t, _) in texts.items()]
+    whole = len(cases)
+    cases += [(name, " ".join(t[t.index(start) :].split())) for name, t, start in (("MIT", MIT, "Permission"), ("Apache-2.0", APACHE, "Licensed"), ("BSD-2-Clause", BSD2, "Redistribution and"), ("GPL-3.0-or-later", GPL3, "This"), ("GPL-2.0-or-later", GPL2, "This"))]
+    cases += [(None, MIT.replace("free of charge", "for a charge")), (None, GPL3.replace("General", "Greater General")), (None, "Permission\n\n" + BSD3.replace("must retain", "must\n\nretain")), ("MIT", "Words without a stop\nReleased under the\nMIT License\nmore words")]
+    cases += [("BSD", BSD2[: BSD2.index("THIS SOFTWARE")]), ("GPL", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation.")]
+    got = {r.doc_id: (r.licenses, r.license, r.sentence_ids) for r in licenses.scan_licenses(table(spark, [t for _, t in cases])).collect()}
     for i, (name, text) in enumerate(cases):
-        assert got[i][0] == name, text
-        if i < 16:
-            assert got[i][1] == ids[name], text
+        assert got[i][:2] == ([name] if name else [], name), text
+        if i < whole:
+            assert got[i][2] == texts[name][1], text
+    twice = licenses.scan_licenses(table(spark, [MIT, MIT]).union(table(spark, [MIT]))).collect()
+    assert len(twice) == 3 and {r.license for r in twice} == {"MIT"}
+    assert licenses.scan_licenses(table(spark, [MIT]).limit(0)).count() == 0
 
 
 # op 8
