@@ -6,6 +6,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,17 +17,44 @@ BROADCAST_IDS = 1_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in `spark.checkpoint.dir`; a local one of our own only where that is unset, as in tests."""
+    """The folder in `spark.checkpoint.dir`. Where that is unset, a session on one machine (as in tests) gets a folder
+    of its own; on a cluster it is an error, as no other machine would see such a folder."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="concordia-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
-def settle(df: DataFrame, name: str = "t") -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back: cuts lineage, survives lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+#: Folders of the open `workspace`s, the innermost last.
+_OPEN: list[str] = []
+
+
+@contextmanager
+def workspace(spark: SparkSession) -> Iterator[None]:
+    """What is settled inside goes into one folder, which is deleted at the end (after an error as well).
+
+    Results that are read later must be settled with `keep`."""
+    path = f"{shared_dir(spark)}/work-{uuid.uuid4().hex}"
+    _OPEN.append(path)
+    try:
+        yield
+    finally:
+        _OPEN.remove(path)
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def settle(df: DataFrame, name: str = "t", keep: bool = False) -> DataFrame:
+    """Write df as Parquet in the shared folder and read it back: cuts lineage, survives lost executors.
+
+    It stays until the open workspace ends, with `keep` the one around that; without one, until the shared folder is
+    cleared."""
+    folders = [shared_dir(df.sparkSession), *_OPEN]
+    folder = folders[max(len(folders) - 1 - keep, 0)]
+    path = f"{folder}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -35,7 +35,8 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id"
     """One row per input row: id, n_tokens, ids_sha256, decoded_sha256 (and ids).
 
     Null and empty texts have no ids. ids_sha256 is over the decimal ids joined by commas, decoded_sha256 over the
-    bytes that the ids decode to. Repeated rows give repeated results; other columns are not read."""
+    bytes that the ids decode to. Repeated rows give repeated results; other columns are not read. An empty table gives
+    an empty result."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -273,7 +273,10 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
 
 
 def keep_good(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of docs, with all their columns, that score the threshold or more; nothing is shuffled."""
+    """The rows of docs, with all their columns, that score the threshold or more; nothing is shuffled.
+
+    Null, empty and blank texts score 0 and go. Repeated rows and ids are judged row by row. An empty table stays empty;
+    columns named as the results stay as they are."""
     place = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -24,14 +24,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from concordia.llm import _text as X
-from concordia.llm._cluster import semi_by_id, settle
+from concordia.llm._cluster import semi_by_id, settle, workspace
 
 #: Bits of an odd sketch; bins of its samples (a power of two); standard errors by which an estimate may miss.
 SKETCH_BITS, SAMPLES, SLACK = 1024, 1024, 4.5
 #: The chance that a pair of exactly the least similarity shares no band.
 MISS = 1e-6
-#: Members of a hub that one task compares with it; classes of a bucket in one block; partners by round.
-PER_HUB, PER_BLOCK, PARTNERS = 256, 4096, (4, None)
+#: Members of a hub that one task compares with it; partners by round.
+PER_HUB, PARTNERS = 256, (4, None)
+#: Classes of a bucket in one block: PER_BLOCK, in buckets of more than BLOCKS blocks up to MOST_PER_BLOCK, so that a
+#: row is not copied too often.
+PER_BLOCK, BLOCKS, MOST_PER_BLOCK = 512, 32, 4096
 
 #: The column that tells rows apart.
 _KEY = "_concordia_key"
@@ -211,7 +214,7 @@ def _across(buckets: DataFrame, labels: DataFrame, classes: DataFrame, similarit
     kind = classes.schema["id"].dataType.simpleString()
     labelled = buckets.join(labels, buckets.id == labels.node, "left").select("bucket", "id", F.coalesce("label", "id").alias("label"))
     mixed = labelled.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high and n > 2")
-    blocks = F.ceil(F.col("n") / PER_BLOCK).cast("int")
+    blocks = F.least(F.ceil(F.col("n") / PER_BLOCK), F.greatest(F.lit(BLOCKS), F.ceil(F.col("n") / MOST_PER_BLOCK))).cast("int")
     rows = labelled.join(mixed.select("bucket", blocks.alias("blocks")), "bucket").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     own = ["n_shingles", "sketch", "bands"]
@@ -265,7 +268,13 @@ def _keyed(docs: DataFrame, id_col: str) -> tuple[DataFrame, bool]:
 def _grouped(docs: DataFrame, k: int, similarity: float, text_col: str) -> DataFrame:
     """key, n_shingles, digest and group of each row of keyed docs; rows of one group are near-duplicates.
 
-    group and digest are null without shingles. Nodes of the links are keys, so that texts under one id stay apart."""
+    group and digest are null without shingles. Nodes of the links are keys, so that texts under one id stay apart. The
+    result is settled; all tables between are deleted."""
+    with workspace(docs.sparkSession):
+        return settle(_linked_rows(docs, k, similarity, text_col), "groups", keep=True)
+
+
+def _linked_rows(docs: DataFrame, k: int, similarity: float, text_col: str) -> DataFrame:
     sketched = settle(sketch(docs, k, similarity, _KEY, text_col), "sketches")
     full = sketched.where("digest is not null")
     classes = settle(full.groupBy("digest").agg(F.min("id").alias("id"), F.first("n_shingles").alias("n_shingles"), *[F.first(c).alias(c) for c in ("sketch", "bands")]), "classes")
@@ -300,7 +309,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8, id_col
     Texts are linked if the sets of their k-word shingles (A-Z lower-cased; fewer than k words: all of them as one)
     have that Jaccard similarity or more; component_id is the smallest id reachable, kept is whether it is the own one.
     Null or empty texts, or ones without words, have no shingles and are their own component. A null id never wins
-    against others; repeated ids with different texts are compared text by text. Other columns are not read."""
+    against others; repeated ids with different texts are compared text by text. Other columns are not read. An empty
+    table gives an empty result."""
     keyed, is_id = _keyed(docs, id_col)
     found = _grouped(keyed, k, similarity, text_col)
     if is_id:
@@ -317,16 +327,17 @@ def keep_one_of_each(docs: DataFrame, k: int = 5, similarity: float = 0.8, id_co
     """The rows of docs, with all their columns, of which each group of near-duplicates keeps one (the smallest id, nulls last).
 
     Texts are told apart whatever their ids. Rows without shingles all stay, but equal ones (id and text) once. With
-    unique_ids, of the rows that are left under one id, one stays, even if their texts differ; null ids are not ids."""
+    unique_ids, of the rows that are left under one id, one stays, even if their texts differ; null ids are not ids. An
+    empty table gives an empty result; a column named as one of the operator's own stays as it is."""
     keyed, is_id = _keyed(docs, id_col)
     found = _grouped(keyed, k, similarity, text_col)
     if is_id:
-        kept = settle(found.where("group is null or group = key").select(F.col("key").alias(id_col)), "kept")
+        kept = found.where("group is null or group = key").select(F.col("key").alias(id_col))
         return docs.join(kept, id_col, "left_semi").select(*docs.columns)
     ids = keyed.select(F.col(_KEY).alias("key"), F.col(id_col).alias("id"), F.when(F.col(text_col).rlike(r"^[ \t-\r]*$"), F.col(text_col)).alias("blank"))
     found = found.join(ids, "key")
     first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "digest", "key")).getField("key").alias(_KEY)
-    kept = settle(found.where("digest is not null").groupBy("group").agg(first).select(_KEY).unionByName(found.where("digest is null").groupBy("id", "blank").agg(F.min("key").alias(_KEY)).select(_KEY)), "kept")
+    kept = found.where("digest is not null").groupBy("group").agg(first).select(_KEY).unionByName(found.where("digest is null").groupBy("id", "blank").agg(F.min("key").alias(_KEY)).select(_KEY))
     one = keyed.join(kept, _KEY, "left_semi")
     if unique_ids:
         nth = F.row_number().over(Window.partitionBy(id_col).orderBy(F.xxhash64(text_col), _KEY))

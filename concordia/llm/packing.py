@@ -116,7 +116,7 @@ def best_fit_packing(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id
     A null or empty text is its end_id alone. Repeated rows are packed once each. Of docs only the id and text
     are read. An empty table gives an empty result. Encoded pieces are written once; the number of packing tasks
     follows their count, and each task's order is fixed, so a task that runs again packs alike."""
-    encoded = settle(pieces(docs, tokenizer_path, id_col, text_col, end_id, capacity, with_ids), "pieces")
+    encoded = settle(pieces(docs, tokenizer_path, id_col, text_col, end_id, capacity, with_ids), "pieces", keep=True)
     tasks = partitions_for(encoded.count(), per_task)
     spread = F.xxhash64(F.col(id_col), "piece")
     dealt = encoded.repartition(tasks, spread).sortWithinPartitions(spread, id_col, "piece", "ids_crc32")

@@ -151,7 +151,10 @@ def repetition_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def keep_unrepetitive(docs: DataFrame, text_col: str = "text", min_words: int = MIN_WORDS, max_covered: float = MAX_COVERED, max_longest: int = MAX_LONGEST) -> DataFrame:
-    """The rows of docs, with all their columns, that the rules keep; nothing is shuffled."""
+    """The rows of docs, with all their columns, that the rules keep; nothing is shuffled.
+
+    Null and empty texts have too few words and go. Repeated rows and ids are judged row by row. An empty table stays
+    empty; columns named as the measures stay as they are."""
     place = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from concordia.llm._cluster import settle
 from concordia.llm._text import mix
 
-#: Most bits of all levels together (64 MB) and most shapes; a larger list takes `listed_by_join`.
-MOST_BITS, MOST_SHAPES = 1 << 29, 500
+#: Most bits of the levels that tasks hold at a time (64 MB); a larger list is cut into ranges of keys, looked up by turns.
+MOST_BITS = 1 << 29
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
@@ -91,15 +91,22 @@ def listed(levels: list[Level], h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
     return out
 
 
-def build(keys: DataFrame, universe: DataFrame, universe_rows: int) -> list[Level] | None:
-    """The cascade of `keys` (h1, h2, distinct) over `universe` (h1, h2; may repeat and hold keys). None if too large."""
+def _error(n: int, universe_rows: int) -> float:
+    """The share of errors that the first level of n keys may have."""
+    return min(0.5, max(2.0**-30, n / (math.sqrt(2) * max(universe_rows, 1))))
+
+
+def ranges_for(n: int, universe_rows: int) -> int:
+    """In how many ranges n keys are looked up, so that the levels of each stay below MOST_BITS."""
+    return max(1, math.ceil(n * -math.log2(_error(n, universe_rows)) / math.log(2) * 2 / MOST_BITS)) if n else 1
+
+
+def build(keys: DataFrame, universe: DataFrame, universe_rows: int) -> list[Level]:
+    """The cascade of `keys` (h1, h2, distinct) over `universe` (h1, h2; may repeat and hold keys)."""
     n = keys.count()
     if not n:
         return []
-    p = min(0.5, max(2.0**-30, n / (math.sqrt(2) * max(universe_rows, 1))))
-    if n * -math.log2(p) / math.log(2) * 2 > MOST_BITS:
-        return None
-    first = level(keys, n, p, 1)
+    first = level(keys, n, _error(n, universe_rows), 1)
 
     def errs(x: Level, among: DataFrame) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,9 +128,12 @@ def build(keys: DataFrame, universe: DataFrame, universe_rows: int) -> list[Leve
 
 def _keys(host: Column, path: Column, shapes: list[tuple[int, int]]) -> Column:
     """Candidate keys, the longest first; of equally long ones that with the longer host first."""
-    own = [F.when((host != "") & (labels(host) >= a) & (F.length(path) >= b), F.concat(F.substring_index(host, ".", -a), F.substring(path, 1, b))) for a, b in shapes]
-    cut = F.array_compact(F.array(*own)) if own else F.array().cast("array<string>")
-    return F.reverse(F.array_sort(F.transform(F.array_distinct(cut), lambda k: F.struct(F.length(k).alias("n"), k.alias("key")))))
+    if not shapes:
+        return F.array().cast("array<struct<n: int, key: string>>")
+    known = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in shapes])
+    fits = F.filter(known, lambda s: (host != "") & (labels(host) >= s.a) & (F.length(path) >= s.b))
+    key = lambda s: F.concat(F.call_function("substring_index", host, F.lit("."), -s.a), F.substring(path, F.lit(1), s.b))
+    return F.reverse(F.array_sort(F.transform(F.array_distinct(F.transform(fits, key)), lambda k: F.struct(F.length(k).alias("n"), k.alias("key")))))
 
 
 def _tagged(tag: str, key: Column) -> Column:
@@ -139,52 +149,50 @@ def url_filter(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
 
     rules: host, path, verdict (allow or block). The longest rule that fits decides; if one rule has both verdicts,
     block. Without a rule, `default`. A null url, or one without ://, has an empty host and path and no rule.
-    Repeated rows are judged one by one; an empty table or list gives an empty result or defaults."""
+    Repeated rows are judged one by one; an empty table or list gives an empty result or defaults. Of the rules only
+    their shapes (host labels, path length) come to the driver; a list of any size is looked up in ranges of keys."""
     rules = rules.where("host is not null and path is not null").select(F.translate("host", UPPER, LOWER).alias("host"), "path", "verdict").distinct()
     rules = settle(rules.withColumns({"labels": labels(F.col("host")), "length": F.length("path")}), "rules")
-    shapes = [(r.labels, r.length) for r in rules.select("labels", "length").distinct().limit(MOST_SHAPES + 1).collect()]
-    if len(shapes) > MOST_SHAPES:
-        raise ValueError(f"the rules have more than {MOST_SHAPES} shapes")
+    shapes = sorted((r.labels, r.length) for r in rules.select("labels", "length").distinct().collect())
     host, path = host_and_path(F.col(url_col))
     pages = pages.select(F.col(id_col), host.alias("host"), path.alias("path"))
-    cut = pages.select(_keys(F.col("host"), F.col("path"), shapes).alias("keys"))
-    universe = cut.select(F.explode("keys.key").alias("key")).select(F.explode(F.array(_tagged("allow", F.col("key")), _tagged("block", F.col("key")))).alias("key"))
     pair = lambda key: [h.alias(n) for h, n in zip(hashed(key), ("h1", "h2"))]
     keys = settle(rules.select(*pair(F.concat("verdict", F.lit(" "), "host", "path"))).distinct(), "listed")
-    levels = build(keys, universe.select(*pair(F.col("key"))), 2 * len(shapes) * pages.count())
-    if levels is None:
-        return listed_by_join(pages, rules, shapes, id_col, default)
-    kind = pages.schema[id_col].dataType.simpleString()
+    rows = 2 * len(shapes) * pages.count()
+    turns = ranges_for(keys.count(), rows)
+
+    keyed = pages.withColumn("_keys", _keys(F.col("host"), F.col("path"), shapes)).withColumn("_keys", F.col("_keys.key"))
+    both = [F.transform("_keys", _hash_of(tag, i)) for tag in ("allow", "block") for i in (0, 1)]
+    hits = F.transform("_keys", lambda k: F.lit(0))
+    state = keyed.select(id_col, "host", "path", "_keys", *(b.alias(f"_h{i}") for i, b in enumerate(both)), hits.alias("_hits"))
+    names, schema = state.columns, state.schema
+    universe = state.select(F.explode(F.concat(F.arrays_zip(F.col("_h0").alias("h1"), F.col("_h1").alias("h2")), F.arrays_zip(F.col("_h2").alias("h1"), F.col("_h3").alias("h2")))).alias("k")).select("k.h1", "k.h2")
+    if turns > 1:
+        state = settle(state, "pages")
+    for turn in range(turns):
+        mine = F.pmod(F.col("h1"), F.lit(turns)) == turn
+        levels = build(keys.where(mine), universe.where(mine), rows // turns)
+        state = state.mapInArrow(_look_up(levels, names, turn, turns), schema)
+        if turn < turns - 1:
+            state = settle(state, "pages")
+    best = F.array_position(F.transform("_hits", lambda h: h > 0), True).cast("int")
+    found = state.select(id_col, "host", "path", F.when(best > 0, F.get("_keys", best - 1)).alias("rule"), F.when(best > 0, F.get("_hits", best - 1)).alias("_hit"))
+    return found.select(id_col, "host", "path", "rule", F.when(F.col("_hit") >= 2, "block").when(F.col("_hit") == 1, "allow").otherwise(default).alias("verdict"))
+
+
+def _look_up(levels: list[Level], names: list[str], turn: int, turns: int):
+    """Adds 1 to a key's hit if it is listed as allow, 2 if as block; only keys of this turn's range are looked up."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            offsets = batch.column(3).offsets.to_numpy().astype(np.int64)
-            offsets, n = offsets - offsets[0], len(batch)
-            names = batch.column(3).flatten()
-            h = [c.flatten().to_numpy().view(np.uint64) for c in batch.columns[4:]]
-            block, allow = listed(levels, h[2], h[3]), listed(levels, h[0], h[1])
-            hit = np.flatnonzero(block | allow)
-            rows = np.searchsorted(offsets, hit, side="right") - 1
-            rows, first = np.unique(rows, return_index=True)  # the longest comes first
-            hit = hit[first]
-            at = np.full(n, -1)
-            at[rows] = hit
-            verdict = np.full(n, default, object)
-            verdict[rows] = np.where(block[hit], "block", "allow")
-            rule = names.take(pa.array(at, mask=at < 0))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], rule, pa.array(verdict, pa.string())], [id_col, "host", "path", "rule", "verdict"])
-
-    keyed = pages.withColumn("_keys", _keys(F.col("host"), F.col("path"), shapes))
-    both = [F.transform("_keys.key", _hash_of(tag, i)) for tag in ("allow", "block") for i in (0, 1)]
-    ready = keyed.select(id_col, "host", "path", F.col("_keys.key").alias("_names"), *(b.alias(f"_h{i}") for i, b in enumerate(both)))
-    return ready.mapInArrow(run, f"`{id_col}` {kind}, host string, path string, rule string, verdict string")
-
-
-def listed_by_join(pages: DataFrame, rules: DataFrame, shapes: list[tuple[int, int]], id_col: str, default: str) -> DataFrame:
-    """The same result for lists whose filters would pass MOST_BITS: candidate keys join the rules."""
-    rules = rules.groupBy(F.concat("host", "path").alias("_key")).agg(F.max("verdict").alias("_verdict"))
-    row = F.monotonically_increasing_id()
-    pages = settle(pages.withColumn("_row", row), "pages")
-    hits = pages.select("_row", F.explode(_keys(F.col("host"), F.col("path"), shapes)).alias("k")).select("_row", "k.n", F.col("k.key").alias("_key")).join(rules, "_key")
-    best = hits.groupBy("_row").agg(F.max_by(F.struct("_key", "_verdict"), F.struct("n", "_key")).alias("best"))
-    return pages.join(best, "_row", "left").select(id_col, "host", "path", F.col("best._key").alias("rule"), F.coalesce("best._verdict", F.lit(default)).alias("verdict"))
+            column = batch.column(len(names) - 1)
+            hits = column.flatten().to_numpy(zero_copy_only=False).copy()
+            h = [batch.column(4 + i).flatten().to_numpy() for i in range(4)]
+            for a, b, worth in ((h[0], h[1], 1), (h[2], h[3], 2)):
+                own = np.flatnonzero(a % turns == turn)
+                yes = own[listed(levels, a[own].view(np.uint64), b[own].view(np.uint64))]
+                hits[yes] += worth
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(column.value_lengths().to_numpy())).astype(np.int32)), pa.array(hits))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], lists], names)
+
+    return run

@@ -45,16 +45,17 @@ def verdict(url, rules):
     return host, path, best[1], best[2]
 
 
-@pytest.mark.parametrize("by_join", [False, True])
-def test_url_cascade(spark, by_join, monkeypatch):
+@pytest.mark.parametrize("in_ranges", [False, True])
+def test_url_cascade(spark, in_ranges, monkeypatch):
     rules = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"), ("b.org", "", "block")]
     rnd = random.Random(2)
     urls = [None, "", "no scheme", "://", "http://", "http://NET", "HTTP://Example.NET/en/x?y", "http://xnet/", "a://b://c/", "http://a.b.org?x", "http://b.org#/x", "http://example.net/en", "http://.net/", "http://a\nb.net/q"]
     urls += [f"http{rnd.choice(['', 's'])}://{rnd.choice(['', 'www.', 'a.b.'])}{rnd.choice(['example', 'x'])}.{rnd.choice(['net', 'com', 'org', 'NET'])}/{rnd.choice(['en/', 'de/', 'fr/', 'q'])}{rnd.randint(0, 9)}" for _ in range(300)]
     urls += urls[:20]
     pages = ship(spark).createDataFrame([(i, u, "clash") for i, u in enumerate(urls)], "page_id long, url string, verdict string")
-    if by_join:
-        monkeypatch.setattr(url_cascade, "MOST_BITS", 1)
+    if in_ranges:
+        monkeypatch.setattr(url_cascade, "MOST_BITS", 40)
+        assert url_cascade.ranges_for(2 * len(rules), 10_000) > 2
     got = url_cascade.url_filter(pages, spark.createDataFrame(rules, "host string, path string, verdict string"))
     assert {(r.page_id, r.host, r.path, r.rule, r.verdict) for r in got.collect()} == {(i, *verdict(u, rules)) for i, u in enumerate(urls)}
     none = spark.createDataFrame([], "host string, path string, verdict string")
@@ -62,6 +63,15 @@ def test_url_cascade(spark, by_join, monkeypatch):
     assert url_cascade.url_filter(pages.limit(0), none).count() == 0
 
 
+def test_rules_of_many_shapes(spark):
+    rules = [("a.net", "/" + "x" * n, "block" if n % 2 else "allow") for n in range(700)] + [("a.net", "/xxx", "allow")]
+    urls = [f"http://b.a.net/{'x' * n}" for n in (0, 1, 2, 3, 650, 900)] + ["http://a.net", "http://net/x"]
+    pages = ship(spark).createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = url_cascade.url_filter(pages, spark.createDataFrame(rules, "host string, path string, verdict string"))
+    want = {i: verdict(u, rules) for i, u in enumerate(urls)}
+    assert {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in got.collect()} == want | {3: (*want[3][:3], "block")}
+
+
 def test_cascade_is_exact_on_its_universe(spark):
     ship(spark)
     universe = spark.range(4000).select(*[h.alias(n) for h, n in zip(url_cascade.hashed(F.col("id").cast("string")), ("h1", "h2"))])
