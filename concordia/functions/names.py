@@ -30,5 +30,6 @@ def normalized_name(text: ColumnOrName) -> Column:
 
 
 def name_contains(name: ColumnOrName, wanted: str) -> Column:
-    """Accent- and case-insensitive search for a literal piece of text."""
-    return normalized_name(name).contains(normalized_name(F.lit(wanted)))
+    """Accent- and case-insensitive search for a literal piece of text; digits and marks count."""
+    plain = lambda c: without_accents(F.lower(c))
+    return plain(col(name)).contains(plain(F.lit(wanted)))

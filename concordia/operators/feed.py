@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from concordia.functions.columns import ms_interval
+from concordia.functions.columns import epoch_ms, ms_interval
 from concordia.operators.joins import asof_join, first_end_after, interval_join, nearest_date, overlaps
 from concordia.operators.windows import pick_first
 
@@ -27,36 +27,44 @@ def lap_ends(laps: DataFrame) -> DataFrame:
 
 
 def positions(laps: DataFrame, position: DataFrame, tolerance_ms: int = 500) -> DataFrame:
-    """position of the feed at the lap's end (+ tolerance), position_by_timing, the published position and how they agree."""
-    at = asof_join(laps, position.withColumnRenamed("position", "feed_position"), UNIT, "lap_end", "date_utc", ["feed_position"], F.expr(f"interval {tolerance_ms / 1000} seconds"))
-    at = at.withColumn("position_by_timing", F.rank().over(Window.partitionBy("session_key", "lap_number").orderBy("lap_end")))
-    feed, timing = F.col("feed_position"), F.col("position_by_timing")
-    status = F.when(feed.isNull(), "timing_only").when(feed == timing, "agreed").otherwise("disputed")
-    return at.withColumns({"position": F.coalesce(feed, timing), "position_status": status}).drop("feed_position")
+    """position_from_feed (as of the lap's end + tolerance), position_by_timing, the published position, how they agree and
+    the gap to the first end of the lap. Laps without an end have no timing."""
+    at = asof_join(laps, position.withColumnRenamed("position", "position_from_feed"), UNIT, "lap_end", "date_utc", ["position_from_feed"], F.expr(f"interval {tolerance_ms / 1000} seconds"))
+    lap = Window.partitionBy("session_key", "lap_number")
+    rank = F.when(F.col("lap_end").isNotNull(), F.rank().over(lap.orderBy(F.col("lap_end").asc_nulls_last())))
+    end = epoch_ms("lap_end")
+    at = at.withColumns({"position_by_timing": rank, "gap_to_leader_ms": end - F.min(end).over(lap)})
+    feed, timing = F.col("position_from_feed"), F.col("position_by_timing")
+    status = F.when(feed.isNull(), "timing_only").when(timing.isNull(), "position_only").when(feed == timing, "agreed").otherwise("disputed")
+    return at.withColumns({"position": F.coalesce(feed, timing), "position_status": status})
 
 
 def stints(laps: DataFrame, stint: DataFrame) -> DataFrame:
     """The latest stint that holds the lap; its compound, and the tyre's age at the end of the lap."""
     row = [*UNIT, "lap_number"]
     held = interval_join(laps.select(*row), stint.where("lap_start is not null"), UNIT, "lap_number", "lap_start", "lap_end")
-    held = pick_first(held, row, [F.desc("lap_start"), F.desc("stint")])
+    held = pick_first(held, row, [F.desc("stint"), F.desc("lap_start")])
     age = F.col("tyre_age_at_start") + F.col("lap_number") - F.col("lap_start") + 1
     return laps.join(held.select(*row, "stint", "tyre_compound", age.alias("tyre_age_laps")), row, "left")
 
 
-def periods(messages: DataFrame, classify: F.col) -> DataFrame:
-    """Neutralised periods of each session: kind (sc, vsc), start and the first later end; a vsc ends at its own end or at
-    track_clear, an sc at track_clear only. `classify` names each message's event."""
+#: Neutralised periods: kind -> the event that begins one, the events that end it. Names are those of `staging.message_event`.
+PERIODS = {"sc": ("safety_car_deployed", ["track_clear"]), "vsc": ("vsc_deployed", ["vsc_ending", "track_clear"])}
+
+
+def periods(messages: DataFrame, classify: Column) -> DataFrame:
+    """Neutralised periods of each session: kind (sc, vsc), start and the first later end. `classify` names each message's
+    event, as `staging.message_event` does."""
     events = messages.withColumn("event", classify)
     out = None
-    for kind, ends in (("sc", ["track_clear"]), ("vsc", ["vsc_end", "track_clear"])):
-        own = first_end_after(events, ["session_key"], "message_utc", F.col("event") == f"{kind}_deployed", F.col("event").isin(*ends), "ended_at")
+    for kind, (begin, ends) in PERIODS.items():
+        own = first_end_after(events, ["session_key"], "message_utc", F.col("event") == begin, F.col("event").isin(*ends), "ended_at")
         own = own.select("session_key", F.lit(kind).alias("kind"), F.col("message_utc").alias("started_at"), "ended_at")
         out = own if out is None else out.unionByName(own)
     return out
 
 
-def build_laps(laps: DataFrame, position: DataFrame, stint: DataFrame, pit: DataFrame, messages: DataFrame, classify, tolerance_ms: int = 500) -> DataFrame:
+def build_laps(laps: DataFrame, position: DataFrame, stint: DataFrame, pit: DataFrame, messages: DataFrame, classify: Column, tolerance_ms: int = 500) -> DataFrame:
     """The feed's laps with positions, tyres, pit entries and flags: the composition of this module."""
     out = stints(positions(lap_ends(laps), position, tolerance_ms), stint)
     pits = pit.select(*UNIT, "lap_number").distinct().withColumn("_pit", F.lit(True))
@@ -65,9 +73,10 @@ def build_laps(laps: DataFrame, position: DataFrame, stint: DataFrame, pit: Data
     found = periods(messages, classify)
     for kind, name in (("sc", "is_safety_car"), ("vsc", "is_virtual_safety_car")):
         out = overlaps(out, found.where(F.col("kind") == kind), ["session_key"], ("lap_start", "lap_end"), ("started_at", "ended_at"), name)
-    red = messages.withColumn("event", classify).where("event = 'red_flag'").select("session_key", "message_utc")
-    keyed = out.select("session_key", "lap_start", "lap_end").distinct().join(red, "session_key").where("message_utc > lap_start and message_utc <= lap_end").select("session_key", "lap_start", "lap_end").distinct()
-    return out.join(keyed.withColumn("_red", F.lit(True)), ["session_key", "lap_start", "lap_end"], "left").withColumn("is_red_flag", F.coalesce("_red", F.lit(False))).drop("_red")
+    # A red flag within (start, end]: the last one up to the end is after the start.
+    red = messages.withColumn("event", classify).where("event = 'red_flag'").select("session_key", "message_utc", F.col("message_utc").alias("_red"))
+    out = asof_join(out, red, ["session_key"], "lap_end", "message_utc", ["_red"])
+    return out.withColumn("is_red_flag", F.coalesce(F.col("_red") > F.col("lap_start"), F.lit(False))).drop("_red")
 
 
 def match_sessions(sessions: DataFrame, races: DataFrame, names: list[str], race_session: str = "Race") -> DataFrame:

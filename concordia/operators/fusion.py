@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from concordia.functions.columns import confirmed_by, no_texts, validation_status
+from concordia.functions.columns import no_texts, validation_status
 from concordia.operators.joins import prefer_source
 
 KEYS = ["race_id", "driver_id", "lap_number"]
@@ -33,25 +33,25 @@ class Knobs:
 
 
 def apply_shift(laps: DataFrame, numbering: DataFrame) -> DataFrame:
-    """Lap numbers moved by the group's applied_lap_shift (none: 0); laps below 1 after the move go."""
+    """Lap numbers moved by the group's applied_lap_shift (none: 0), and the group's status, or no_evidence."""
     shift = F.coalesce("applied_lap_shift", F.lit(0))
     moved = laps.join(numbering.select("race_id", "applied_lap_shift", "numbering_status"), "race_id", "left")
     moved = moved.withColumn("lap_number", F.col("lap_number") + shift).drop("applied_lap_shift")
-    return moved.withColumnRenamed("numbering_status", "lap_numbering_status")
+    return moved.withColumn("lap_numbering_status", F.coalesce("numbering_status", F.lit("no_evidence"))).drop("numbering_status")
 
 
-def recompute(laps: DataFrame) -> DataFrame:
-    """In groups with corrected times: race_time_ms moves by the running sum of corrections, the gap to the leader and the
-    position follow from it. laps has original_lap_time_ms. Other groups keep their own values."""
-    delta = F.coalesce(F.col("lap_time_ms") - F.col("original_lap_time_ms"), F.lit(0))
+def recompute(laps: DataFrame, groups: DataFrame) -> DataFrame:
+    """In the given groups (race_id): race_time_ms moves by the running sum of corrected_lap_time_ms - lap_time_ms, the gap
+    to the leader follows, and recalculated_position is the place by that time. Other groups keep their own values."""
+    delta = F.coalesce(F.col("corrected_lap_time_ms") - F.col("lap_time_ms"), F.lit(0))
     so_far = Window.partitionBy("race_id", "driver_id").orderBy("lap_number").rowsBetween(Window.unboundedPreceding, 0)
-    touched = laps.where(~F.col("lap_time_ms").eqNullSafe(F.col("original_lap_time_ms"))).select("race_id").distinct().withColumn("_touched", F.lit(True))
+    touched = groups.select("race_id").distinct().withColumn("_touched", F.lit(True))
     out = laps.withColumn("_moved", F.sum(delta).over(so_far)).join(touched, "race_id", "left").withColumn("_touched", F.coalesce("_touched", F.lit(False)))
     out = out.withColumn("race_time_ms", F.col("race_time_ms") + F.when(F.col("_touched"), F.col("_moved")).otherwise(0))
     lap = Window.partitionBy("race_id", "lap_number")
     place = F.when(F.col("race_time_ms").isNotNull(), F.rank().over(lap.orderBy(F.col("race_time_ms").asc_nulls_last())))
     out = out.withColumn("gap_to_leader_ms", F.when(F.col("_touched"), F.col("race_time_ms") - F.min("race_time_ms").over(lap)).otherwise(F.col("gap_to_leader_ms")))
-    return out.withColumn("position", F.when(F.col("_touched"), place).otherwise(F.col("position"))).drop("_moved", "_touched")
+    return out.withColumn("recalculated_position", F.when(F.col("_touched"), place)).drop("_moved", "_touched")
 
 
 def vote(value: Column, a: Column, b: Column, lap: Column, knobs: Knobs = Knobs(), take: Column | None = None) -> Column:
@@ -61,8 +61,8 @@ def vote(value: Column, a: Column, b: Column, lap: Column, knobs: Knobs = Knobs(
 
 
 def position_votes(laps: DataFrame, current: str, a: str, b: str) -> DataFrame:
-    """Adds voted_position: that of two agreeing sources where it differs from the current one, else null."""
-    wins = (F.col(a) == F.col(b)) & ~F.col(a).eqNullSafe(F.col(current))
+    """Adds voted_position: that of two agreeing sources where it differs from a known current one, else null."""
+    wins = (F.col(a) == F.col(b)) & (F.col(a) != F.col(current))
     return laps.withColumn("voted_position", F.when(wins, F.col(a)))
 
 
@@ -82,27 +82,50 @@ def withhold_conflicts(laps: DataFrame, keys: list[str], voted: str, current: st
 
 
 def compare_sources(base: DataFrame, others: dict[str, DataFrame]) -> DataFrame:
-    """base with <name>_time and <name>_position of each other source: left joins on one partitioning."""
+    """base with <name>_time, <name>_position and <name>_sectors (its time is a sum of sectors) of each other source: left
+    joins on one partitioning."""
     out = base
     for name, df in others.items():
-        out = out.join(df.select(*KEYS, F.col("lap_time_ms").alias(f"{name}_time"), F.col("position").alias(f"{name}_position")), KEYS, "left")
+        summed = F.coalesce("is_lap_time_from_sectors", F.lit(False)) if "is_lap_time_from_sectors" in df.columns else F.lit(False)
+        out = out.join(df.select(*KEYS, F.col("lap_time_ms").alias(f"{name}_time"), F.col("position").alias(f"{name}_position"), summed.alias(f"{name}_sectors")), KEYS, "left")
     return out
 
 
-def vote_base(base: DataFrame, first: str, second: str, others: dict[str, DataFrame], source: str, judges: list[str], knobs: Knobs = Knobs()) -> DataFrame:
-    """One base source after its votes: times and positions of `first` win where `second` agrees; then each row is judged
-    by all `judges`. base needs original_lap_time_ms, corrections and lap_numbering_status."""
+def as_base(laps: DataFrame) -> DataFrame:
+    """A source's own rows as a base: nothing corrected, numbering not applicable. A time summed from sectors isn't an
+    original, and is tagged; so is a place that stems from timing alone."""
+    has = lambda c, test: test if c in laps.columns else F.lit(False)
+    summed = F.coalesce(has("is_lap_time_from_sectors", F.col("is_lap_time_from_sectors")), F.lit(False))
+    timed = F.coalesce(has("position_status", F.col("position_status") == "timing_only"), F.lit(False))
+    tags = F.array_compact(F.array(F.when(summed, F.lit("lap_time_ms:sectors")), F.when(timed, F.lit("position:timing"))))
+    return laps.withColumns({"original_lap_time_ms": F.when(~summed, F.col("lap_time_ms")), "corrections": tags, "lap_numbering_status": F.lit("not_applicable")})
+
+
+def vote_base(base: DataFrame, first: str | None, second: str | None, others: dict[str, DataFrame], source: str, judges: list[str], knobs: Knobs = Knobs()) -> DataFrame:
+    """One base source after its votes: times and positions of `first` win where `second` agrees (None: nobody votes); a
+    corrected_lap_time_ms of base wins over a vote. Then each row's own time is judged by all `judges`.
+
+    base needs original_lap_time_ms, corrections and lap_numbering_status; it may have recalculated_position, which then
+    stands for position."""
     wide = compare_sources(base, others)
-    voted = vote(F.col("lap_time_ms"), F.col(f"{first}_time"), F.col(f"{second}_time"), F.col("lap_number"), knobs)
-    wide = wide.withColumn("_time", voted)
-    wide = withhold_conflicts(position_votes(wide, "position", f"{first}_position", f"{second}_position"), ["race_id", "lap_number"], "voted_position", "position")
-    tags = F.array_compact(F.array(F.when(F.col("_time").isNotNull(), F.lit("lap_time_ms:majority")), F.when(F.col("voted_position").isNotNull(), F.lit("position:majority"))))
-    wide = wide.withColumns({"corrections": F.concat("corrections", tags), "lap_time_ms": F.coalesce("_time", "lap_time_ms"), "position": F.coalesce("voted_position", "position")})
+    none = F.lit(None).cast("long")
+    fixed = F.col("corrected_lap_time_ms") if "corrected_lap_time_ms" in base.columns else none
+    again = F.col("recalculated_position") if "recalculated_position" in base.columns else none
+    wide = wide.withColumns({"_fixed": fixed, "_again": F.when(again != F.col("position"), again), "position": F.coalesce(again, "position")})
+    if first is None:
+        wide = wide.withColumns({"_time": none, "voted_position": none.cast(base.schema["position"].dataType)})
+    else:
+        wide = wide.withColumn("_time", vote(F.col("lap_time_ms"), F.col(f"{first}_time"), F.col(f"{second}_time"), F.col("lap_number"), knobs))
+        wide = withhold_conflicts(position_votes(wide, "position", f"{first}_position", f"{second}_position"), ["race_id", "lap_number"], "voted_position", "position")
+    marks = {"_time": "lap_time_ms:majority", "_again": "position:recalculated", "voted_position": "position:majority"}
+    tags = F.array_compact(F.array(*[F.when(F.col(c).isNotNull(), F.lit(tag)) for c, tag in marks.items()]))
     times = {n: F.col(f"{n}_time") for n in judges}
-    changed = F.exists("corrections", lambda c: c.startswith("lap_time_ms"))
+    changed = F.col("_fixed").isNotNull() | F.col("_time").isNotNull()
     status = F.when(changed, "corrected").otherwise(validation_status("lap_time_ms", list(times.values()), F.col("lap_number") == 1, knobs.tolerance, knobs.convention, knobs.longest))
-    wide = wide.withColumns({"source": F.lit(source), "validation_status": status, "confirmed_by": confirmed_by("lap_time_ms", times, knobs.tolerance)})
-    return wide.drop("_time", "voted_position", *[f"{n}_{c}" for n in others for c in ("time", "position")])
+    agree = F.array_compact(F.array(*[F.when(F.abs(F.col("lap_time_ms") - c) <= knobs.tolerance, F.when(F.col(f"{n}_sectors"), f"{n}:sectors").otherwise(n)) for n, c in times.items()]))
+    wide = wide.withColumns({"source": F.lit(source), "validation_status": status, "confirmed_by": agree, "corrections": F.concat("corrections", tags)})
+    wide = wide.withColumns({"lap_time_ms": F.coalesce("_fixed", "_time", "lap_time_ms"), "position": F.coalesce("voted_position", "position")})
+    return wide.drop("_time", "_fixed", "_again", "voted_position", "is_withheld", "corrected_lap_time_ms", "recalculated_position", *[f"{n}_{c}" for n in others for c in ("time", "position", "sectors")])
 
 
 def fill_holes(fused: DataFrame, backup: DataFrame, official: DataFrame) -> DataFrame:
@@ -160,23 +183,21 @@ def fuse(s1: DataFrame, s2: DataFrame, s3: DataFrame, s4: DataFrame, numbering:
     from concordia.operators.corrections import apply_value_corrections
 
     trusted = s4.join(reliability.where("not is_reliable").select("race_id"), "race_id", "left_anti")
-    plain = lambda df: df.withColumns({"original_lap_time_ms": F.col("lap_time_ms"), "corrections": no_texts(), "lap_numbering_status": F.lit(None).cast("string")})
     base = apply_value_corrections(apply_shift(s1, numbering), sheet, KEYS, "lap_time_ms")
+    base = base.withColumns({"corrected_lap_time_ms": F.when(F.col("is_corrected"), F.col("lap_time_ms")), "lap_time_ms": F.col("original_lap_time_ms")})
     base = base.withColumn("corrections", F.when(F.col("is_corrected"), F.array(F.lit("lap_time_ms:sheet"))).otherwise(no_texts())).drop("is_corrected")
-    first = vote_base(recompute(base), "s2", "s3", {"s2": s2, "s3": s3, "s4": trusted}, "s1", ["s2", "s3", "s4"], knobs)
+    first = vote_base(recompute(base, sheet), "s2", "s3", {"s2": s2, "s3": s3, "s4": trusted}, "s1", ["s2", "s3", "s4"], knobs)
     missing = s2.join(s1.select("race_id", "driver_id").distinct(), ["race_id", "driver_id"], "left_anti")
     raced = official.where("official_laps > 0").select("race_id", "driver_id")
     absent = missing.join(s1.select("race_id").distinct(), "race_id", "left_anti").unionByName(missing.join(s1.select("race_id").distinct(), "race_id", "left_semi").join(raced, ["race_id", "driver_id"], "left_semi"))
-    second = vote_base(plain(absent), "s3", "s4", {"s3": s3, "s4": trusted}, "s2", ["s3", "s4"], knobs)
-    fused = first.unionByName(second, allowMissingColumns=True)
+    second = vote_base(as_base(absent), "s3", "s4", {"s3": s3, "s4": trusted}, "s2", ["s3", "s4"], knobs)
     replaced = reliability.where("is_replaced").select("race_id")
     rest = prefer_source(s4.join(replaced, "race_id", "left_anti").withColumn("_of", F.lit("s4")), s3.withColumn("_of", F.lit("s3")), ["race_id"])
-    rest = rest.join(fused.select("race_id").distinct(), "race_id", "left_anti")
-    of_s4 = vote_base(plain(rest.where("_of = 's4'").drop("_of")), "s3", "s3", {"s3": s3}, "s4", ["s3"], Knobs(vote_least=1 << 60))
-    of_s3 = vote_base(plain(rest.where("_of = 's3'").drop("_of")), "s4", "s4", {"s4": trusted}, "s3", ["s4"], Knobs(vote_least=1 << 60))
-    fused = fused.unionByName(of_s4, allowMissingColumns=True).unionByName(of_s3, allowMissingColumns=True)
-    filler = plain(s3).withColumns({"source": F.lit("s3"), "validation_status": F.lit("single_source"), "confirmed_by": no_texts()})
-    fused = fill_holes(fused, filler, official)
+    rest = rest.join(s1.select("race_id").union(s2.select("race_id")).distinct(), "race_id", "left_anti")
+    of_s4 = vote_base(as_base(rest.where("_of = 's4'").drop("_of")), None, None, {"s3": s3}, "s4", ["s3"], knobs)
+    by_s4 = lambda df: vote_base(as_base(df), None, None, {"s4": trusted}, "s3", ["s4"], knobs)
+    fused = first.unionByName(second, allowMissingColumns=True).unionByName(of_s4, allowMissingColumns=True)
+    fused = fill_holes(fused, by_s4(s3), official).unionByName(by_s4(rest.where("_of = 's3'").drop("_of")), allowMissingColumns=True)
     return cut_after_end(flag_suspensions(fused, knobs=knobs), official, uncut)
 
 

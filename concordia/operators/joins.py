@@ -46,11 +46,18 @@ def interval_join(points: DataFrame, intervals: DataFrame, on: list[str], at: st
 
 
 def overlaps(spans: DataFrame, periods: DataFrame, on: list[str], span: tuple[str, str], period: tuple[str, str], flag: str) -> DataFrame:
-    """spans with `flag`: whether any period of the same keys overlaps them; a period without an end reaches to the span's."""
-    s = spans.withColumn("_row", F.monotonically_increasing_id())
-    met = (F.col(period[0]) < F.col(span[1])) & (F.coalesce(F.col(period[1]), F.col(span[1])) > F.col(span[0]))
-    marked = s.join(periods.select(*on, *period), on, "left").groupBy(*s.columns).agg(F.coalesce(F.bool_or(met), F.lit(False)).alias(flag))
-    return marked.drop("_row")
+    """spans with `flag`: whether any period of the same keys overlaps them; a period without an end reaches to the span's.
+
+    No pairs are made: in one order of time a span's end sees the latest end among the periods that began before it."""
+    keep = [c for c in spans.columns if c not in on]
+    s = spans.select(*on, F.col(span[1]).alias("_t"), F.lit(0).alias("_side"), F.struct(*keep).alias("_row"), F.lit(None).alias("_end"), F.lit(False).alias("_open"))
+    p = periods.where(F.col(period[0]).isNotNull()).select(*on, F.col(period[0]).alias("_t"), F.lit(1).alias("_side"), F.lit(None).alias("_row"), F.col(period[1]).alias("_end"), F.col(period[1]).isNull().alias("_open"))
+    before = Window.partitionBy(*on).orderBy(F.col("_t").asc_nulls_first(), "_side").rowsBetween(Window.unboundedPreceding, 0)
+    both = s.unionByName(p, allowMissingColumns=True).withColumns({"_last": F.max("_end").over(before), "_any": F.max("_open").over(before)})
+    start = F.col(f"_row.{span[0]}")
+    met = (F.col("_last") > start) | (F.col("_any") & (F.col("_t") > start))
+    known = F.forall(F.array(*[F.col(k).isNotNull() for k in on]), lambda x: x)
+    return both.where("_side = 0").select(*on, *[F.col(f"_row.{c}").alias(c) for c in keep], F.coalesce(known & met, F.lit(False)).alias(flag))
 
 
 def first_end_after(events: DataFrame, on: list[str], at: str, is_start: Column, is_end: Column, end_name: str = "ended_at") -> DataFrame:
@@ -91,17 +98,20 @@ def prefer_source(first: DataFrame, second: DataFrame, on: list[str]) -> DataFra
 def wildcard_rules(rows: DataFrame, rules: DataFrame, on: list[str], optional: dict[str, str], priority: list[str]) -> DataFrame:
     """Each row with the first rule (by `priority`) of its keys whose optional columns are null or equal the row's.
 
-    optional: rule column to row column. Rules without a match give nulls; a row keeps its count of one."""
-    row = rows.withColumn("_row", F.monotonically_increasing_id())
+    optional: rule column to row column. Rules without a match give nulls; a row keeps its count of one. Rules are found
+    once for each combination of values that rows have, which then joins the rows."""
+    own = [*on, *dict.fromkeys(c for c in optional.values() if c not in on)]
     fits = None
-    for rule, own in optional.items():
-        test = F.col(f"u.{rule}").isNull() | (F.col(f"u.{rule}") == F.col(f"r.{own}"))
+    for rule, column in optional.items():
+        test = F.col(f"u.{rule}").isNull() | (F.col(f"u.{rule}") == F.col(f"r.{column}"))
         fits = test if fits is None else fits & test
     keys = [F.col(f"r.{k}") == F.col(f"u.{k}") for k in on]
     rest = [c for c in rules.columns if c not in on]
-    found = row.alias("r").join(rules.alias("u"), [*keys, fits], "left").select("r.*", *[F.col(f"u.{c}") for c in rest])
-    w = Window.partitionBy("_row").orderBy(*[F.col(p).asc_nulls_last() for p in priority])
-    return found.withColumn("_nth", F.row_number().over(w)).where("_nth = 1").drop("_nth", "_row")
+    found = rows.select(*own).distinct().alias("r").join(rules.alias("u"), [*keys, fits]).select(*[F.col(f"r.{c}").alias(f"_{c}") for c in own], *[F.col(f"u.{c}") for c in rest])
+    w = Window.partitionBy(*[f"_{c}" for c in own]).orderBy(*[F.col(p).asc_nulls_last() for p in priority])
+    found = found.withColumn("_nth", F.row_number().over(w)).where("_nth = 1").drop("_nth")
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in own]
+    return rows.join(found, same, "left").drop(*[f"_{c}" for c in own])
 
 
 def unpivot_pairs(df: DataFrame, keys: list[str], name: str, values: dict[str, list[Column]], fields: list[str]) -> DataFrame:

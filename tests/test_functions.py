@@ -69,3 +69,10 @@ def test_event_feed_staging(spark):
     assert str(r.local_date) == "2024-03-03" and r.is_cancelled is False and r.date_end_utc is None
     results = spark.createDataFrame([(1, 44, '"RT"', 50, True, None, None, "[1, 2]", "+1 LAP", 0.0), (1, 1, "1.0", 57, None, None, None, "5504.742", "0", 26.0)], staging.EVENT_SCHEMAS["session_result"])
     assert [(r.position, r.time_ms, r.is_dnf) for r in staging.event_results(results).orderBy("driver_number").collect()] == [(1, 5504742, False), (None, None, True)]
+
+
+def test_search_keeps_digits_and_marks(spark):
+    rows = ["Ana", "Car 42", "#7 José", None]
+    df = spark.createDataFrame([(r,) for r in rows], "n string")
+    found = lambda w: [r.n for r in df.where(N.name_contains("n", w)).collect()]
+    assert (found("42"), found("#"), found("jose"), found("JOSÉ"), found("")) == (["Car 42"], ["#7 José"], ["#7 José"], ["#7 José"], ["Ana", "Car 42", "#7 José"])

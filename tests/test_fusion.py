@@ -28,7 +28,7 @@ def fused(spark, s1=(), s2=(), s3=(), s4=(), numbering=(), sheet=(), official=()
 def test_vote_replaces_a_time_that_two_sources_deny(spark):
     got = fused(spark, s1=[(1, "d1", 1, 1, 95000), (1, "d1", 2, 1, 99000), (1, "d1", 3, 1, 90000)], s2=[(1, "d1", 2, 1, 90000), (1, "d1", 3, 1, 90500)], s3=[(1, "d1", 2, 1, 90001), (1, "d1", 3, 1, 90500)])
     voted, kept = got[1, "d1", 2], got[1, "d1", 3]
-    assert (voted.lap_time_ms, voted.original_lap_time_ms, voted.validation_status, voted.corrections, voted.confirmed_by, voted.source) == (90000, 99000, "corrected", ["lap_time_ms:majority"], ["s2", "s3"], "s1")
+    assert (voted.lap_time_ms, voted.original_lap_time_ms, voted.validation_status, voted.corrections, voted.confirmed_by, voted.source) == (90000, 99000, "corrected", ["lap_time_ms:majority"], [], "s1")
     assert (kept.lap_time_ms, kept.validation_status) == (90000, "timing_convention")  # differs by less than a second
     assert got[1, "d1", 1].validation_status == "single_source"
 
@@ -45,11 +45,35 @@ def test_sheet_applies_to_the_reviewed_value_only_and_positions_follow(spark):
     s1 = [(1, "d1", 1, 1, 90000), (1, "d2", 1, 2, 91000)]
     hit = fused(spark, s1=s1, sheet=[(1, "d1", 1, 90000, 92000)])
     assert (hit[1, "d1", 1].lap_time_ms, hit[1, "d1", 1].race_time_ms, hit[1, "d1", 1].position, hit[1, "d2", 1].position, hit[1, "d2", 1].gap_to_leader_ms) == (92000, 92000, 2, 1, 0)
-    assert hit[1, "d1", 1].corrections == ["lap_time_ms:sheet"] and hit[1, "d1", 1].validation_status == "corrected"
+    assert hit[1, "d1", 1].corrections == ["lap_time_ms:sheet", "position:recalculated"] and hit[1, "d1", 1].validation_status == "corrected"
     missed = fused(spark, s1=s1, sheet=[(1, "d1", 1, 89999, 92000)])
     assert missed[1, "d1", 1].lap_time_ms == 90000 and missed[1, "d1", 1].position == 1
 
 
+def test_sheet_wins_over_the_vote(spark):
+    got = fused(spark, s1=[(1, "d1", 2, 1, 99000)], s2=[(1, "d1", 2, 1, 90000)], s3=[(1, "d1", 2, 1, 90000)], sheet=[(1, "d1", 2, 99000, 95000)])[1, "d1", 2]
+    assert (got.lap_time_ms, got.validation_status, got.corrections, got.confirmed_by) == (95000, "corrected", ["lap_time_ms:sheet", "lap_time_ms:majority"], [])
+
+
+def test_one_source_alone_never_votes(spark):
+    got = fused(spark, s3=[(1, "d1", 2, 3, 90000)], s4=[(1, "d1", 2, 1, 95000)])
+    assert (got[1, "d1", 2].source, got[1, "d1", 2].position, got[1, "d1", 2].corrections) == ("s4", 1, [])
+
+
+def test_fillers_are_judged_by_the_trusted_feed(spark):
+    got = fused(spark, s1=[(1, "d1", 1, 1, 90000)], s3=[(1, "d1", 2, 1, 91000)], s4=[(1, "d1", 2, 1, 91000)], official=[(1, "d1", 5)])
+    assert (got[1, "d1", 2].source, got[1, "d1", 2].validation_status, got[1, "d1", 2].confirmed_by, got[1, "d1", 2].lap_numbering_status) == ("s3", "confirmed", ["s4"], "not_applicable")
+    assert got[1, "d1", 1].lap_numbering_status == "no_evidence"
+
+
+def test_sums_of_sectors_and_timed_places_are_tagged(spark):
+    s4 = laps(spark, [(1, "d1", 1, 1, 90000), (1, "d1", 2, 1, 91000)]).withColumns({"is_lap_time_from_sectors": F.col("lap_number") == 2, "position_status": F.when(F.col("lap_number") == 2, "timing_only").otherwise("agreed")})
+    got = {r.lap_number: r for r in fusion.as_base(s4).collect()}
+    assert (got[1].corrections, got[1].original_lap_time_ms, got[2].corrections, got[2].original_lap_time_ms) == ([], 90000, ["lap_time_ms:sectors", "position:timing"], None)
+    out = fusion.vote_base(fusion.as_base(laps(spark, [(1, "d1", 2, 1, 91000)])), None, None, {"s4": s4}, "s3", ["s4"]).first()
+    assert (out.confirmed_by, out.validation_status) == (["s4:sectors"], "confirmed")
+
+
 def test_shift_and_status_of_numbering(spark):
     got = fused(spark, s1=[(1, "d1", 3, 1, 90000)], s2=[(1, "d1", 2, 1, 90000)], numbering=[(1, "renumbered", -1)])
     assert got[1, "d1", 2].confirmed_by == ["s2"] and got[1, "d1", 2].lap_numbering_status == "renumbered"
@@ -127,8 +151,7 @@ def test_feed_builder(spark):
     stints = [(1, 44, 1, 1, 2, "SOFT", 3), (1, 44, 2, 3, None, "HARD", 0)]
     messages = [(1, at(100), "SafetyCar", None, None, "SAFETY CAR DEPLOYED"), (1, at(120), "Flag", "CLEAR", "Track", "TRACK CLEAR"), (1, at(85), "Flag", "RED", "Track", "RED FLAG")]
     frame = lambda r, s: spark.createDataFrame(r, s)
-    event = staging.message_event()
-    kinds = F.when(event == "safety_car_deployed", "sc_deployed").when(event == "vsc_ending", "vsc_end").otherwise(event)
+    kinds = staging.message_event()
     out = feed.build_laps(
         frame(rows, lap), frame(position, "session_key long, driver_number int, date_utc timestamp, position int"), frame(stints, "session_key long, driver_number int, stint int, lap_start int, lap_end int, tyre_compound string, tyre_age_at_start int"),
         frame([(1, 5, 2)], "session_key long, driver_number int, lap_number int"), frame(messages, "session_key long, message_utc timestamp, category string, flag string, scope string, message string"), kinds,

@@ -100,3 +100,22 @@ def test_guards(spark):
     assert quality.wide_types(spark.sql("SELECT 1 AS a, CAST(1 AS DECIMAL(38, 0)) AS b")) == [("b", "decimal(38,0)")]
     card = quality.scorecard([quality.check(spark.range(10), "c", {"all": (F.lit(True), F.col("id") < 9)}, {"all": 95.0})])
     assert quality.failures_first(card).first().status == "FAIL"
+
+
+def test_overlaps_by_brute_force(spark):
+    import random
+
+    rnd = random.Random(1)
+    when = lambda: rnd.choice([None, *range(12)])
+    spans = [(rnd.choice([1, 2, None]), when(), when(), i % 3) for i in range(120)]
+    periods = [(rnd.choice([1, 2, 3, None]), when(), when()) for _ in range(6)]
+    got = joins.overlaps(spark.createDataFrame(spans, "k int, a int, b int, v int"), spark.createDataFrame(periods, "k int, p int, q int"), ["k"], ("a", "b"), ("p", "q"), "hit").collect()
+    want = [(k, a, b, v, any(k is not None and k == j and a is not None and b is not None and p is not None and p < b and (q if q is not None else b) > a for j, p, q in periods)) for k, a, b, v in spans]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
+def test_rules_with_wildcards_and_nulls(spark):
+    rows = spark.createDataFrame([(1, "x", 1), (1, None, 2), (1, None, 2), (2, "x", 3), (None, "x", 4)], "k int, a string, v int")
+    rules = spark.createDataFrame([(1, "x", "first"), (1, None, "any"), (None, "x", "never")], "k int, ra string, name string").withColumn("n", F.when(F.col("name") == "first", 1).otherwise(2))
+    got = joins.wildcard_rules(rows, rules, ["k"], {"ra": "a"}, ["n"]).collect()
+    assert sorted((r.v, r.name) for r in got) == [(1, "first"), (2, "any"), (2, "any"), (3, None), (4, None)]
