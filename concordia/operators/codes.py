@@ -2,45 +2,49 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Members of a group; codes are given one after another, so a group must be small and is refused beyond this.
-MOST_MEMBERS = 1000
-
-
-def _codes(members: list[tuple[str, str, str]]) -> dict[str, str]:
-    """id -> code for (id, code, name): a sole bearer keeps its code; else the initial of the name before two letters,
-    then before the whole code, then numbered."""
-    bearers: dict[str, list[tuple[str, str]]] = {}
-    for entity, code, name in sorted(members):
-        bearers.setdefault(code, []).append((entity, name))
-    out = {own[0][0]: code for code, own in bearers.items() if len(own) == 1}
-    used = set(out.values())
-    for code, own in sorted(bearers.items()):
-        if len(own) > 1:
-            for entity, name in own:
-                initial = (name or "?")[:1].upper()
-                options = [initial + code[:2], initial + code, *(f"{code}{k}" for k in range(2, len(members) + 3))]
-                out[entity] = next(o for o in options if o not in used)
-                used.add(out[entity])
-    return out
-
-
-def unique_codes(df: DataFrame, group: list[str], entity: str, code: str, name: str) -> DataFrame:
-    """(group, entity, unique_code) of distinct entities."""
-    distinct = df.select(*group, F.col(entity).alias("_id"), F.col(code).alias("_code"), F.col(name).alias("_name")).where("_id is not null and _code is not null").groupBy(*group, "_id").agg(F.min("_code").alias("_code"), F.min("_name").alias("_name"))
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        if len(rows) > MOST_MEMBERS:
-            raise ValueError(f"a group has more than {MOST_MEMBERS} members")
-        found = _codes(list(rows[["_id", "_code", "_name"]].itertuples(index=False, name=None)))
-        return rows[[*group, "_id"]].assign(unique_code=rows["_id"].map(found)).rename(columns={"_id": entity})
-
-    kinds = {f.name: f.dataType.simpleString() for f in df.schema}
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in [*group, entity]) + ", unique_code string"
-    return distinct.groupBy(*group).applyInPandas(run, schema)
+from concordia.functions.names import without_accents
+
+
+def _from_id(entity: Column) -> Column:
+    """Three letters of an id's last part, or of the one before a last `jr`."""
+    parts = F.split(entity.cast("string"), "-")
+    last = F.when((F.element_at(parts, -1) == "jr") & (F.size(parts) > 1), F.try_element_at(parts, F.lit(-2))).otherwise(F.element_at(parts, -1))
+    return F.upper(F.substring(last, 1, 3))
+
+
+def unique_codes(df: DataFrame, group: list[str], entity: str, code: str, name: str, started: str | None = None) -> DataFrame:
+    """(group, entity, unique_code) of distinct entities of any number.
+
+    Without a code, three letters of the id stand for it. A code's sole bearer keeps it, or its sole bearer that `started`.
+    The others come in the order of their ids: the initial of the name (or id) before two letters, then before the whole
+    code, then the code with the least free number from 2 on. One row holds a group's codes, so a group is one race's
+    entrants or the like. Null entities have no code; of several codes or names of one entity the least counts."""
+    ran = F.coalesce(F.bool_or(started), F.lit(False)) if started else F.lit(True)
+    members = df.where(F.col(entity).isNotNull()).groupBy(*group, F.col(entity).alias("_id")).agg(F.min(code).alias("_code"), F.min(name).alias("_name"), ran.alias("_ran"))
+    first = F.regexp_extract(without_accents(F.coalesce("_name", F.col("_id").cast("string"))), r"\p{L}", 0)
+    members = members.withColumns({"_code": F.upper(F.coalesce("_code", _from_id(F.col("_id")))), "_initial": F.when(first == "", "X").otherwise(F.upper(first))})
+    bearers = Window.partitionBy(*group, "_code")
+    alone = (F.count("*").over(bearers) == 1) | (F.col("_ran") & (F.count_if("_ran").over(bearers) == 1))
+    members = members.withColumn("_keeps", alone)
+    kind = dict(members.dtypes)["_id"]
+    kept = F.collect_list(F.when(F.col("_keeps"), F.struct("_id", F.col("_code").alias("code"))))
+    rest = F.array_sort(F.collect_list(F.when(~F.col("_keeps"), F.struct("_id", "_code", "_initial"))))
+    whole = members.groupBy(*group).agg(kept.alias("_kept"), rest.alias("_rest"))
+
+    def give(state: Column, member: Column) -> Column:
+        free = lambda c: ~F.array_contains(state.taken, c)
+        short, full = F.concat(member["_initial"], F.substring(member["_code"], 1, 2)), F.concat(member["_initial"], member["_code"])
+        number = F.filter(F.sequence(F.lit(2), F.size(state.taken) + 2), lambda k: free(F.concat(member["_code"], k.cast("string"))))
+        chosen = F.when(free(short), short).when(free(full), full).otherwise(F.concat(member["_code"], F.element_at(number, 1).cast("string")))
+        return F.struct(F.array_append(state.taken, chosen).alias("taken"), F.array_append(state.given, F.struct(member["_id"].alias("_id"), chosen.alias("code"))).alias("given"))
+
+    pairs = f"array<struct<_id: {kind}, code: string>>"
+    begin = F.struct(F.transform("_kept", lambda k: k.code).alias("taken"), F.col("_kept").cast(pairs).alias("given"))
+    given = F.aggregate("_rest", begin.cast(f"struct<taken: array<string>, given: {pairs}>"), give, lambda state: state.given)
+    return whole.select(*group, F.inline(given)).select(*group, F.col("_id").alias(entity), F.col("code").alias("unique_code"))
 
 
 def unit_keys(rows: DataFrame, group: list[str], entity: str, unit: str) -> DataFrame:

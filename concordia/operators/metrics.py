@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from concordia.functions.columns import percent
 from concordia.operators.aggregates import count_where, distinct_where
 from concordia.operators.joins import peer_pairs
-from concordia.operators.windows import pick_first
 
 #: Position texts of entries that did not start. Fixed values.
 NOT_STARTED = ["DNQ", "DNPQ", "DNP", "EX", "DNS"]
@@ -20,15 +19,14 @@ def _race() -> F.col:
 
 
 def driver_career(results: DataFrame, digits: int = 2) -> DataFrame:
-    """One row by driver: entries, starts, wins, podiums, poles, fastest laps, slams, points and rates."""
+    """One row by driver: entries, starts, wins, podiums, poles, fastest laps, slams, points and rates. In two steps, by
+    race and then all, so that no distinct counts expand the rows."""
     race, place = _race(), F.col("position_number")
     win, pole, fast = race & (place == 1), race & F.col("is_pole"), race & F.col("is_fastest_lap")
     started = race & ~F.coalesce(F.col("position_text").isin(*NOT_STARTED), F.lit(False))
-    out = results.groupBy("driver_id").agg(
-        distinct_where(race, "race_id").alias("entries"), distinct_where(started, "race_id").alias("starts"), distinct_where(win, "race_id").alias("wins"),
-        distinct_where(race & (place <= 3), "race_id").alias("podiums"), distinct_where(pole, "race_id").alias("poles"), distinct_where(fast, "race_id").alias("fastest_laps"),
-        distinct_where(win & pole & fast, "race_id").alias("slams"), F.sum("points").alias("points"), F.min("season").alias("first_season"), F.max("season").alias("last_season"),
-    )
+    tests = {"entries": race, "starts": started, "wins": win, "podiums": race & (place <= 3), "poles": pole, "fastest_laps": fast, "slams": win & pole & fast}
+    by_race = results.groupBy("driver_id", "race_id").agg(*[F.bool_or(test).alias(n) for n, test in tests.items()], F.sum("points").alias("points"), F.min("season").alias("first_season"), F.max("season").alias("last_season"))
+    out = by_race.groupBy("driver_id").agg(*[count_where(F.col(n)).alias(n) for n in tests], F.sum("points").alias("points"), F.min("first_season").alias("first_season"), F.max("last_season").alias("last_season"))
     return out.withColumns({"win_pct": percent("wins", "starts", digits), "podium_pct": percent("podiums", "starts", digits)})
 
 
@@ -50,9 +48,12 @@ def constructor_career(results: DataFrame, era: int) -> DataFrame:
 def driver_season(results: DataFrame) -> DataFrame:
     """One row by season and driver; the main team is that of most races, then points, then the smaller id."""
     race, place = _race(), F.col("position_number")
-    team = results.groupBy("season", "driver_id", "constructor_id").agg(distinct_where(race, "race_id").alias("n"), F.coalesce(F.sum("points"), F.lit(0)).alias("p"))
-    main = pick_first(team, ["season", "driver_id"], [F.desc("n"), F.desc("p"), F.col("constructor_id").asc_nulls_last()]).select("season", "driver_id", F.col("constructor_id").alias("main_team"))
-    out = results.groupBy("season", "driver_id").agg(distinct_where(race, "race_id").alias("entries"), distinct_where(race & (place == 1), "race_id").alias("wins"), F.sum("points").alias("points"), F.count_distinct("constructor_id").alias("teams"), F.min(F.when(race, place)).alias("best"))
+    base = results.groupBy("season", "driver_id", "constructor_id", "race_id").agg(F.bool_or(race).alias("raced"), F.bool_or(race & (place == 1)).alias("won"), F.sum("points").alias("points"), F.min(F.when(race, place)).alias("best"))
+    team = base.groupBy("season", "driver_id", "constructor_id").agg(count_where(F.col("raced")).alias("n"), F.sum("points").alias("p"))
+    order = F.struct((-F.col("n")).alias("n"), (-F.coalesce("p", F.lit(0))).alias("p"), F.col("constructor_id").isNull().alias("none"), "constructor_id")
+    main = team.groupBy("season", "driver_id").agg(F.min_by("constructor_id", order).alias("main_team"), F.count("constructor_id").alias("teams"), F.sum("p").alias("points"))
+    by_race = base.groupBy("season", "driver_id", "race_id").agg(F.bool_or("raced").alias("raced"), F.bool_or("won").alias("won"), F.min("best").alias("best"))
+    out = by_race.groupBy("season", "driver_id").agg(count_where(F.col("raced")).alias("entries"), count_where(F.col("won")).alias("wins"), F.min("best").alias("best"))
     return out.join(main, ["season", "driver_id"])
 
 
@@ -76,9 +77,10 @@ def versus_best_peer(results: DataFrame, shared: DataFrame | None = None) -> Dat
     pairs = peer_pairs(best_per_race(results), ["race_id", "season", "constructor_id"], "driver_id", ["place", "shown", "points"])
     if shared is not None:
         pairs = pairs.join(shared, ["race_id", "constructor_id", "driver_id", "peer_driver_id"], "left_anti")
-    row = ["race_id", "constructor_id", "driver_id"]
-    peers = Window.partitionBy(*row)
-    best = pick_first(pairs.withColumn("peers", F.count("*").over(peers)), row, [F.col("peer_points").desc_nulls_last(), F.col("peer_shown").asc_nulls_last(), F.col("peer_driver_id")])
+    peer = ["peer_points", "peer_shown", "peer_driver_id", "peer_place"]
+    order = F.struct(F.col("peer_points").isNull().alias("a"), (-F.col("peer_points")).alias("b"), F.col("peer_shown").isNull().alias("c"), "peer_shown", "peer_driver_id")
+    best = pairs.groupBy("race_id", "season", "constructor_id", "driver_id", "place", "shown", "points").agg(F.count("*").alias("peers"), F.min_by(F.struct(*peer), order).alias("_best"))
+    best = best.select("*", "_best.*").drop("_best")
     both = F.col("place").isNotNull() & F.col("peer_place").isNotNull()
     return best.withColumn("is_ahead", F.when(both, F.col("place") < F.col("peer_place")))
 
@@ -88,16 +90,16 @@ def versus_peers_season(best_peer: DataFrame) -> DataFrame:
     return best_peer.groupBy("season", "driver_id").agg(F.count("*").alias("races"), F.count("is_ahead").alias("duels"), count_where(F.col("is_ahead")).alias("ahead"), F.sum("points").alias("points"), F.sum("peer_points").alias("peer_points"))
 
 
-def standings_after_rounds(results: DataFrame, round_col: str) -> DataFrame:
-    """By season, round and driver who has appeared so far: points, wins and teams up to that round, and the place in it.
+def standings_after_rounds(results: DataFrame, round_col: str, entity: str = "driver_id", member: str = "constructor_id") -> DataFrame:
+    """By season, round and driver (or another entity) who has appeared so far: points, wins and teams up to that round, and the place in it.
 
     A race lies in one round. Rounds are those of the season's results; a driver stays listed in rounds without an own result."""
     win = _race() & (F.col("position_number") == 1)
-    by_round = results.groupBy("season", round_col, "driver_id").agg(F.sum("points").alias("_points"), distinct_where(win, "race_id").alias("_wins"), F.collect_set("constructor_id").alias("_teams"))
-    grid = results.select("season", round_col).distinct().join(results.groupBy("season", "driver_id").agg(F.min(round_col).alias("_first")), "season").where(F.col(round_col) >= F.col("_first")).drop("_first")
-    so_far = Window.partitionBy("season", "driver_id").orderBy(round_col).rowsBetween(Window.unboundedPreceding, 0)
-    out = grid.join(by_round, ["season", round_col, "driver_id"], "left").select(
-        "season", round_col, "driver_id", F.sum("_points").over(so_far).alias("points"), F.sum("_wins").over(so_far).alias("wins"),
+    by_round = results.groupBy("season", round_col, entity).agg(F.sum("points").alias("_points"), distinct_where(win, "race_id").alias("_wins"), F.collect_set(member).alias("_teams"))
+    grid = results.select("season", round_col).distinct().join(results.groupBy("season", entity).agg(F.min(round_col).alias("_first")), "season").where(F.col(round_col) >= F.col("_first")).drop("_first")
+    so_far = Window.partitionBy("season", entity).orderBy(round_col).rowsBetween(Window.unboundedPreceding, 0)
+    out = grid.join(by_round, ["season", round_col, entity], "left").select(
+        "season", round_col, entity, F.sum("_points").over(so_far).alias("points"), F.sum("_wins").over(so_far).alias("wins"),
         F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list("_teams").over(so_far)))), ",").alias("teams"),
     )
     return out.withColumn("place", F.rank().over(Window.partitionBy("season", round_col).orderBy(F.desc("points"))))

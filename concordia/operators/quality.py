@@ -7,7 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from concordia.functions.columns import differs
+from concordia.functions.columns import differs, match_flag
+from concordia.operators.joins import full_reconcile
 
 
 def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -110,10 +111,123 @@ def diff(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     return both.select(*keys, kind.alias("kind"), F.when(kind == "different", changed).otherwise(F.array().cast("array<string>")).alias("changed")).where("kind is not null")
 
 
+def compare_rows(a: DataFrame, b: DataFrame, keys: list[str], fields: dict[str, int | None]) -> DataFrame:
+    """Full join of two sources by keys: in_left, in_right and <field>_matches for each field (with a tolerance, or exact),
+    null where one of the two has no value."""
+    left, right = (df.select(*keys, *[F.col(f).alias(f"{f}_{n}") for f in fields]) for df, n in ((a, "left"), (b, "right")))
+    both = full_reconcile(left, right, keys)
+    return both.withColumns({f"{f}_matches": match_flag(f"{f}_left", f"{f}_right", tolerance) for f, tolerance in fields.items()})
+
+
+def comparison_checks(compared: DataFrame, name: str, fields: dict[str, float | None], by: list[str] | None = None) -> DataFrame:
+    """Checks of a `compare_rows`: one for each field (name to threshold), and `presence`: rows that both sources have."""
+    tests = {f: (F.col(f"{f}_matches").isNotNull(), F.coalesce(F.col(f"{f}_matches"), F.lit(False))) for f in fields}
+    return check(compared, name, {**tests, "presence": (F.lit(True), F.col("in_left") & F.col("in_right"))}, fields, by)
+
+
+def applied_rates(overrides: DataFrame, corrected: DataFrame, keys: list[str], threshold: float = 100.0) -> DataFrame:
+    """A check for each decision: its override lines (keys, column_name, action, decision), and those that some corrected
+    row bears: `set` among its overridden_columns, else among its disputed_columns."""
+    borne = [corrected.select(*keys, F.explode(column).alias("column_name"), F.lit(kind).alias("_kind")) for column, kind in (("overridden_columns", True), ("disputed_columns", False))]
+    lines = overrides.withColumn("_kind", F.col("action") == "set")
+    met = lines.join(borne[0].union(borne[1]).distinct().withColumn("_met", F.lit(True)), [*keys, "column_name", "_kind"], "left")
+    return check(met, "overrides", {"applied": (F.lit(True), F.coalesce("_met", F.lit(False)))}, {"applied": threshold}, ["decision"])
+
+
+def gate(card: DataFrame) -> DataFrame:
+    """The failed checks of a scorecard; publication goes on only if there are none."""
+    return card.where(F.col("status") == "FAIL")
+
+
+def assert_gate(card: DataFrame, shown: int = 5) -> DataFrame:
+    """card, or an error with some of its failed checks."""
+    bad = gate(card).orderBy("check_id").limit(shown).collect()
+    if bad:
+        raise ValueError(f"failed checks: {[r.check_id for r in bad]}")
+    return card
+
+
+def coverage_gaps(facts: DataFrame, totals: DataFrame, keys: list[str], model: str) -> DataFrame:
+    """Keys of facts without a row in totals: (model, keys)."""
+    return facts.select(*keys).distinct().join(totals.select(*keys), keys, "left_anti").select(F.lit(model).alias("model"), *keys)
+
+
+def wrong_ranges(facts: DataFrame, totals: DataFrame, key: str, value: str, first: str, last: str, model: str) -> DataFrame:
+    """Rows of totals whose first and last value aren't those of the facts: (model, key, first)."""
+    seen = facts.groupBy(key).agg(F.min(value).alias("_first"), F.max(value).alias("_last"))
+    both = totals.select(key, first, last).join(seen, key, "left")
+    return both.where(differs(first, "_first") | differs(last, "_last")).select(F.lit(model).alias("model"), key, first)
+
+
+def single_pairs(pairs: DataFrame, keys: list[str], peer: str, columns: list[str]) -> DataFrame:
+    """The only peer of keys that have but one, with columns of that pair."""
+    one = pairs.groupBy(*keys).agg(F.count("*").alias("_n"), *[F.first(c).alias(c) for c in [peer, *columns]])
+    return one.where("_n = 1").drop("_n")
+
+
+def disagreements(a: DataFrame, b: DataFrame, keys: list[str], columns: list[str], tolerance: float = 0.005, how: str = "left") -> DataFrame:
+    """Rows of a whose columns differ from those of b by more than the tolerance, or that b lacks (how = left):
+    keys, <column>, other_<column>."""
+    other = b.select(*keys, *[F.col(c).alias(f"other_{c}") for c in columns], F.lit(True).alias("_has"))
+    bad = F.col("_has").isNull()
+    for c in columns:
+        bad = bad | F.coalesce(F.abs(F.col(c) - F.col(f"other_{c}")) > tolerance, F.lit(False))
+    return a.join(other, keys, how).where(bad).select(*keys, *[x for c in columns for x in (c, f"other_{c}")])
+
+
+def beyond(parts: DataFrame, wholes: DataFrame, keys: list[str], column: str, tolerance: float = 0.005) -> DataFrame:
+    """Rows of parts whose column passes that of wholes, or that wholes lack."""
+    both = parts.select(*keys, column).join(wholes.select(*keys, F.col(column).alias("whole"), F.lit(True).alias("_has")), keys, "left")
+    return both.where(F.col("_has").isNull() | (F.col(column) > F.col("whole") + tolerance)).drop("_has")
+
+
+def reference_cases(df: DataFrame, cases: DataFrame, keys: list[str], tolerance: float = 0.005) -> DataFrame:
+    """Cases worked out by hand (keys and expected columns) that df lacks or contradicts: keys, column_name, expected, actual.
+
+    Values are compared as text, numbers within the tolerance."""
+    columns = [c for c in cases.columns if c not in keys]
+    cell = lambda d, name: d.select(*keys, F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias(name)) for c in columns])))
+    both = cell(cases, "expected").join(cell(df, "actual"), [*keys, "column_name"], "left")
+    near = F.abs(F.col("expected").try_cast("double") - F.col("actual").try_cast("double")) <= tolerance
+    return both.where(differs("expected", "actual") & ~F.coalesce(near, F.lit(False)))
+
+
+def stops_in_pit_laps(stops: DataFrame, laps: DataFrame, keys: list[str], flag: str = "is_pit_in_lap") -> DataFrame:
+    """Official stops with is_pit_in_match: whether the lap of the stop is marked as a pit entry; null without that lap."""
+    marks = laps.groupBy(*keys).agg(F.bool_or(F.coalesce(F.col(flag), F.lit(False))).alias("is_pit_in_match"))
+    return stops.join(marks, keys, "left")
+
+
+def flag_phases(messages: DataFrame, laps: DataFrame, starts: DataFrame, at: str, flag: str = "is_red_flag") -> DataFrame:
+    """Messages (race_id, lap_number, `at`) with their phase and is_lap_flagged: whether a lap of the message, the one before
+    or the one after has the flag.
+
+    phase: no_laps (the race has none), pre_start (before the race's start of `starts`), after_end (more than one lap
+    after the last), else race."""
+    last = laps.groupBy("race_id").agg(F.max("lap_number").alias("_last"))
+    flagged = laps.where(flag).select("race_id", F.explode(F.array(F.col("lap_number") - 1, F.col("lap_number"), F.col("lap_number") + 1)).alias("lap_number")).distinct().withColumn("_flagged", F.lit(True))
+    out = messages.join(last, "race_id", "left").join(starts.select("race_id", F.col(at).alias("_start")), "race_id", "left").join(flagged, ["race_id", "lap_number"], "left")
+    phase = F.when(F.col("_last").isNull(), "no_laps").when(F.col(at) < F.col("_start"), "pre_start").when(F.col("lap_number") - 1 > F.col("_last"), "after_end").otherwise("race")
+    return out.select(*messages.columns, phase.alias("phase"), F.coalesce("_flagged", F.lit(False)).alias("is_lap_flagged"))
+
+
+def text_contradicts_number(df: DataFrame, text: str, number: str) -> DataFrame:
+    """Rows whose text is a number other than `number`, or that have one of the two as a number only."""
+    stated = F.when(F.col(text).rlike("^[0-9]+$"), F.col(text).try_cast("bigint"))
+    return df.where(differs(stated, F.col(number).cast("bigint")))
+
+
+def rows_of_one_side(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Rows that one of the two holds more often than the other: side (only_left, only_right), the columns and n, how much
+    more often. One aggregation over both, so repeated rows count."""
+    both = a.withColumn("_n", F.lit(1)).unionByName(b.withColumn("_n", F.lit(-1)))
+    more = both.groupBy(*a.columns).agg(F.sum("_n").alias("_n")).where("_n <> 0")
+    return more.select(F.when(F.col("_n") > 0, "only_left").otherwise("only_right").alias("side"), *a.columns, F.abs("_n").alias("n"))
+
+
 def same_rows(a: DataFrame, b: DataFrame) -> bool:
     """Whether both hold the same rows as often."""
-    b = b.select(*a.columns)
-    return a.count() == b.count() and a.exceptAll(b).isEmpty()
+    return rows_of_one_side(a, b.select(*a.columns)).isEmpty()
 
 
 def manifest(df: DataFrame, partition: list[str]) -> DataFrame:

@@ -408,17 +408,19 @@ def q11_q12_consistency(t):
 
 
 @query("""WITH s AS (SELECT o_orderkey AS session_key, o_custkey AS meeting_key, year(o_orderdate) AS season, o_orderkey % 2 = 0 AS is_race, CAST(o_orderdate AS DATE) + CAST(o_orderkey % 3 - 1 AS INT) AS d FROM orders WHERE o_orderkey % 7 <> 0),
-r AS (SELECT o_orderkey AS race_id, year(o_orderdate) AS season, CAST(o_orderdate AS DATE) AS d, 'C' || (o_orderkey % 3) AS country FROM orders WHERE o_orderkey % 50 = 0),
+r AS (SELECT min(o_orderkey) AS race_id, year(o_orderdate) AS season, CAST(o_orderdate AS DATE) AS d FROM orders GROUP BY ALL),
 b AS (SELECT meeting_key, race_id, row_number() OVER (PARTITION BY session_key ORDER BY abs(date_diff('day', s.d, r.d)), race_id) AS rn FROM s JOIN r ON s.season = r.season AND abs(date_diff('day', s.d, r.d)) <= 1 WHERE is_race),
-m AS (SELECT meeting_key, min(race_id) AS race_id FROM b WHERE rn = 1 GROUP BY 1) SELECT session_key, race_id FROM s JOIN m USING (meeting_key)""")
+m AS (SELECT meeting_key, min(race_id) AS race_id FROM b WHERE rn = 1 GROUP BY 1) SELECT session_key, race_id, session_key % 5 = race_id % 3 OR session_key % 5 = race_id % 4 AS is_name_consistent FROM s JOIN m USING (meeting_key)""")
 def r09_match_sessions(t):
     key = F.col("o_orderkey")
+    letters = lambda c: F.translate(c.cast("string"), "0123456789", "ABCDEÉabcd")
     sessions = t.orders.select(
         key.alias("session_key"), F.col("o_custkey").alias("meeting_key"), F.year("o_orderdate").alias("season"), F.when(key % 2 == 0, "Race").otherwise("Qualifying").alias("session_name"),
-        F.date_add(F.to_date("o_orderdate"), (key % 3 - 1).cast("int")).alias("local_date"), F.lit("c").alias("country_name"), (key % 7 == 0).alias("is_cancelled"),
+        F.date_add(F.to_date("o_orderdate"), (key % 3 - 1).cast("int")).alias("local_date"), letters(key % 5).alias("country_name"), (key % 7 == 0).alias("is_cancelled"),
     )
-    races = t.orders.where("o_orderkey % 50 = 0").select(key.alias("race_id"), F.year("o_orderdate").alias("season"), F.to_date("o_orderdate").alias("race_date"), F.concat(F.lit("C"), key % 3).alias("country"))
-    return feed.match_sessions(sessions, races, ["country"]).select("session_key", "race_id")
+    races = t.orders.groupBy(F.year("o_orderdate").alias("season"), F.to_date("o_orderdate").alias("race_date")).agg(F.min("o_orderkey").alias("race_id"))
+    races = races.withColumns({"country": letters(F.col("race_id") % 3), "name": letters(F.col("race_id") % 4)})
+    return feed.match_sessions(sessions, races, ["country", "name"]).select("session_key", "race_id", "is_name_consistent")
 
 
 @query(f"""WITH {LAPS_SQL}, f AS (SELECT race_id, driver_id, min(lap_time_ms) AS best, arg_min(lap_number, (lap_time_ms, lap_number)) AS lap FROM laps GROUP BY ALL)

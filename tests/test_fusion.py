@@ -202,6 +202,27 @@ def test_unique_codes(spark):
     assert (got[1, "s1"], got[1, "s2"], got[1, "s4"]) == ("MVE", "JVE", "JVER")
 
 
+def test_codes_of_starters_of_ids_and_of_many(spark):
+    rows = [(1, "gerhard-berger", "BER", "Gerhard", True), (1, "allen-berg", "BER", "Allen", False), (2, "carlos-sainz-jr", None, "Çarlos", True), (2, "x-sai", None, None, True), (2, "y-sai", "sai", "7", True), (2, "42", None, "9", None)]
+    rows += [(3, f"d{i:04}", "AAA", "Ada", True) for i in range(1200)]
+    df = spark.createDataFrame(rows, "race int, id string, code string, name string, ran boolean")
+    got = {(r.race, r.id): r.unique_code for r in codes.unique_codes(df, ["race"], "id", "code", "name", "ran").collect()}
+    assert (got[1, "gerhard-berger"], got[1, "allen-berg"]) == ("BER", "ABE")
+    assert (got[2, "carlos-sainz-jr"], got[2, "x-sai"], got[2, "y-sai"], got[2, "42"]) == ("CSA", "XSA", "XSAI", "42")
+    many = [got[3, f"d{i:04}"] for i in range(1200)]
+    assert many[:4] == ["AAA", "AAAA", "AAA2", "AAA3"] and len(set(many)) == 1200
+
+
+def test_gate(spark):
+    import pytest
+
+    card = spark.createDataFrame([("a", "PASS"), ("b", "FAIL")], "check_id string, status string")
+    assert [r.check_id for r in quality.gate(card).collect()] == ["b"]
+    with pytest.raises(ValueError):
+        quality.assert_gate(card)
+    assert quality.assert_gate(card.where("status = 'PASS'")).count() == 1
+
+
 def test_empty_inputs(spark):
     assert fused(spark) == {}
     empty = laps(spark, []).withColumns({"corrections": no_texts()})

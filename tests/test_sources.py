@@ -119,3 +119,16 @@ def test_rules_with_wildcards_and_nulls(spark):
     rules = spark.createDataFrame([(1, "x", "first"), (1, None, "any"), (None, "x", "never")], "k int, ra string, name string").withColumn("n", F.when(F.col("name") == "first", 1).otherwise(2))
     got = joins.wildcard_rules(rows, rules, ["k"], {"ra": "a"}, ["n"]).collect()
     assert sorted((r.v, r.name) for r in got) == [(1, "first"), (2, "any"), (2, "any"), (3, None), (4, None)]
+
+
+def test_dump_of_a_database(spark, tmp_path):
+    """Every base table of a database, through the reader that a driver of its own stands for."""
+    tables = {"a": spark.range(3), "b": spark.createDataFrame([(1, "x")], "k int, v string")}
+    assert readers.export_tables(tables, str(tmp_path / "db")) == {"a": 3, "b": 1}
+    assert {n: readers.read_glob(spark, str(tmp_path / "db" / f"{n}.parquet")).count() for n in tables} == {"a": 3, "b": 1}
+
+
+def test_repeated_rows_count_in_comparisons(spark):
+    a, b = (spark.createDataFrame([(x,) for x in v], "x int") for v in ([1, 1, 2, None], [1, 2, 2, None]))
+    assert not quality.same_rows(a, b) and quality.same_rows(a, a) and not quality.same_rows(a, a.limit(3))
+    assert sorted((r.side, r.x, r.n) for r in quality.rows_of_one_side(a, b).collect()) == [("only_left", 1, 1), ("only_right", 2, 1)]
