@@ -41,10 +41,19 @@ def read_seed(spark: SparkSession, path: str, schema: str, sep: str = ",") -> Da
     return spark.read.schema(schema).csv(path, header=True, sep=sep)
 
 
-def copy_database(spark: SparkSession, url: str, tables: Iterable[str], out: str, **options: str) -> dict[str, int]:
-    """Every table of a JDBC source as Parquet; rows by table."""
+#: Names of a database's base tables, where it has the standard catalogue.
+BASE_TABLES = "SELECT table_name FROM information_schema.tables WHERE table_type = 'BASE TABLE'"
+
+
+def base_tables(spark: SparkSession, url: str, catalogue: str = BASE_TABLES, **options: str) -> list[str]:
+    """The base tables of a JDBC source, by its catalogue query (one column of names)."""
+    return sorted(r[0] for r in spark.read.format("jdbc").options(url=url, query=catalogue, **options).load().collect())
+
+
+def copy_database(spark: SparkSession, url: str, out: str, tables: Iterable[str] | None = None, catalogue: str = BASE_TABLES, **options: str) -> dict[str, int]:
+    """Every table (None: every base table) of a JDBC source as Parquet; rows by table, counted from what was written."""
     counts = {}
-    for name in tables:
+    for name in base_tables(spark, url, catalogue, **options) if tables is None else tables:
         spark.read.format("jdbc").options(url=url, dbtable=name, **options).load().write.mode("overwrite").parquet(f"{out}/{name}")
         counts[name] = spark.read.parquet(f"{out}/{name}").count()
     return counts
@@ -119,9 +128,14 @@ def pending(calendar: DataFrame, loaded: DataFrame, gaps: DataFrame, on: list[st
 
 
 def workspace(spark: SparkSession, name: str) -> str:
-    """A new folder below `spark.checkpoint.dir`, which all executors share; a local one only where that is unset."""
+    """A new folder below `spark.checkpoint.dir`, which all executors share; a local one only where that is unset and the
+    session runs on one machine."""
     import tempfile
     import uuid
 
-    top = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.gettempdir()
+    top = spark.conf.get("spark.checkpoint.dir", None)
+    if not top:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        top = "file://" + tempfile.gettempdir()
     return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"

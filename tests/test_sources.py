@@ -122,10 +122,14 @@ def test_rules_with_wildcards_and_nulls(spark):
 
 
 def test_dump_of_a_database(spark, tmp_path):
-    """Every base table of a database, through the reader that a driver of its own stands for."""
-    tables = {"a": spark.range(3), "b": spark.createDataFrame([(1, "x")], "k int, v string")}
-    assert readers.export_tables(tables, str(tmp_path / "db")) == {"a": 3, "b": 1}
-    assert {n: readers.read_glob(spark, str(tmp_path / "db" / f"{n}.parquet")).count() for n in tables} == {"a": 3, "b": 1}
+    """Every base table of a relational database (the one that Spark brings along)."""
+    url, driver = "jdbc:derby:memory:dump;create=true", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    for name, df in {"A": spark.range(3), "B": spark.createDataFrame([(1, "x"), (2, None)], "k int, v string")}.items():
+        df.write.jdbc(url, name, properties=driver)
+    catalogue = "SELECT tablename FROM sys.systables WHERE tabletype = 'T'"
+    assert readers.copy_database(spark, url, str(tmp_path), catalogue=catalogue, **driver) == {"A": 3, "B": 2}
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "B")).collect())) == [(1, "x"), (2, None)]
+    assert readers.copy_database(spark, url, str(tmp_path / "one"), ["A"], **driver) == {"A": 3}
 
 
 def test_repeated_rows_count_in_comparisons(spark):
