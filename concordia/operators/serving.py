@@ -40,8 +40,8 @@ def qualifying_table(entries: DataFrame, drivers: DataFrame, constructors: DataF
 
 
 def mean_gap(entries: DataFrame, by: str) -> DataFrame:
-    """Race, `by` (driver or team) and the mean percentage gap to the best time, over rows that have one."""
-    return entries.where(F.col("gap_to_pole_pct").isNotNull()).groupBy("race_id", by).agg(F.avg("gap_to_pole_pct").alias("mean_gap_pct"))
+    """Race, `by` (driver or team), the mean percentage gap to the best time over rows that have one, and their number n."""
+    return entries.where(F.col("gap_to_pole_pct").isNotNull()).groupBy("race_id", by).agg(F.avg("gap_to_pole_pct").alias("mean_gap_pct"), F.count("*").alias("n"))
 
 
 def laps_table(laps: DataFrame, units: Iterable[str] | None = None) -> DataFrame:

@@ -85,9 +85,9 @@ def e08_qualifying(t):
     return out.select("race_id", "position_display_order", "driver_id", "driver_name", "constructor_name", "q1_ms", "q2_ms", "best_time_ms", F.round(F.col("gap_to_pole_pct") * 1000).cast("long").alias("gap_thousandths"))
 
 
-@query(f"WITH {_QUALI_SQL} SELECT race_id, constructor_id, CAST(round(avg(gap) * 100) AS BIGINT) AS mean_hundredths FROM g WHERE gap IS NOT NULL GROUP BY ALL")
+@query(f"WITH {_QUALI_SQL} SELECT race_id, constructor_id, CAST(round(avg(gap) * 1000 * count(*)) AS BIGINT) AS mean_thousandths_by_n, count(*) AS n FROM g WHERE gap IS NOT NULL GROUP BY ALL")
 def a21_mean_gap(t):
-    return serving.mean_gap(_qualified(t), "constructor_id").select("race_id", "constructor_id", F.round(F.col("mean_gap_pct") * 100).cast("long").alias("mean_hundredths"))
+    return serving.mean_gap(_qualified(t), "constructor_id").select("race_id", "constructor_id", F.round(F.col("mean_gap_pct") * 1000 * F.col("n")).cast("long").alias("mean_thousandths_by_n"), "n")
 
 
 @query(f"""WITH {LAPS_SQL} SELECT race_id, driver_id, lap_number, CASE WHEN lap_number % 5 <> 0 THEN nullif(CASE WHEN place = 1 THEN '' ELSE 'C' || place END, '') ELSE 'SOFT' END AS compound FROM laps WHERE lap_number <= 5 AND driver_id IN ('d0', 'd2')""")
