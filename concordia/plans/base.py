@@ -67,3 +67,14 @@ def results(t: Tables) -> DataFrame:
         F.when(~out, F.col("l_linenumber")).alias("position_number"), F.when(out, F.when(F.col("l_quantity") > 25, "DNS").otherwise("DNF")).otherwise(F.col("l_linenumber").cast("string")).alias("position_text"),
         F.col("l_linenumber").alias("position_display_order"), F.col("l_quantity").alias("points"), (F.col("l_discount") == 0.05).alias("is_pole"), (F.col("l_tax") == 0.03).alias("is_fastest_lap"),
     )
+
+
+def codes_sql(members: str) -> str:
+    """CTEs from members (g, id, code or null, name or null, ran) to codes (g, id, chosen), member after member."""
+    own = "upper(coalesce(code, substr(CASE WHEN ends_with(CAST(id AS VARCHAR), '-jr') THEN split_part(CAST(id AS VARCHAR), '-', -2) ELSE split_part(CAST(id AS VARCHAR), '-', -1) END, 1, 3)))"
+    return f"""mem AS (SELECT g, id, {own} AS code, coalesce(nullif(upper(regexp_extract(strip_accents(coalesce(name, CAST(id AS VARCHAR))), '[A-Za-z]')), ''), 'X') AS initial, ran FROM ({members})),
+bear AS (SELECT *, count(*) OVER w AS n, count(*) FILTER (WHERE ran) OVER w AS r FROM mem WINDOW w AS (PARTITION BY g, code)), mark AS (SELECT *, n = 1 OR (ran AND r = 1) AS keeps FROM bear),
+pend AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY id) AS i FROM mark WHERE NOT keeps),
+steps(g, i, taken, id, chosen) AS (SELECT g, CAST(0 AS BIGINT), coalesce(list(code) FILTER (WHERE keeps), []), min(id), CAST(NULL AS VARCHAR) FROM mark GROUP BY g
+  UNION ALL SELECT g, i, list_append(taken, c), id, c FROM (SELECT p.g, p.i, taken, p.id, CASE WHEN NOT list_contains(taken, initial || left(code, 2)) THEN initial || left(code, 2) WHEN NOT list_contains(taken, initial || code) THEN initial || code ELSE code || list_filter(range(2, len(taken) + 3), lambda k: NOT list_contains(taken, code || k))[1] END AS c FROM steps s JOIN pend p ON p.g = s.g AND p.i = s.i + 1)),
+codes AS (SELECT g, id, code AS chosen FROM mark WHERE keeps UNION ALL SELECT g, id, chosen FROM steps WHERE i > 0)"""

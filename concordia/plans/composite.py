@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from concordia.functions import columns as C
 from concordia.operators import codes, corrections, feed, fusion, linkage, marts, offsets, quality
 from concordia.operators import joins as J
-from concordia.plans.base import LAPS_SQL, RESULTS_SQL, laps, query, results
+from concordia.plans.base import LAPS_SQL, RESULTS_SQL, codes_sql, laps, query, results
 from concordia.sources import flatten, merge, readers
 
 # Corrections
@@ -277,14 +277,12 @@ def s12_s13_pending(t):
     return readers.pending(calendar, loaded, gaps, ["o_orderkey"], "o_orderdate", "2000-01-01 00:00:00").select("o_orderkey")
 
 
+@query(f"""WITH RECURSIVE {codes_sql("SELECT s_nationkey AS g, s_suppkey AS id, substr(s_name, 1, 3) AS code, ['A', 'B', 'C', 'D', 'E'][s_suppkey % 5 + 1] || 'nn' AS name, true AS ran FROM supplier")} SELECT g AS s_nationkey, id AS s_suppkey, chosen AS unique_code FROM codes""")
 def r36_unique_codes(t):
     s = t.supplier.select("s_nationkey", "s_suppkey", F.substring("s_name", 1, 3).alias("code"), F.concat(F.element_at(F.array(*map(F.lit, "ABCDE")), (F.col("s_suppkey") % 5 + 1).cast("int")), F.lit("nn")).alias("name"))
     return codes.unique_codes(s, ["s_nationkey"], "s_suppkey", "code", "name")
 
 
-query()(r36_unique_codes)
-
-
 @query("""SELECT l_orderkey, l_suppkey, l_partkey, l_linenumber, CASE WHEN n > 1 THEN l_suppkey || '_' || l_linenumber ELSE CAST(l_suppkey AS VARCHAR) END AS unit_key FROM lineitem JOIN
   (SELECT l_orderkey AS k, l_suppkey AS s, count(DISTINCT l_linenumber) AS n FROM lineitem GROUP BY ALL) ON k = l_orderkey AND s = l_suppkey""")
 def r37_unit_keys(t):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from concordia.functions import columns as C
 from concordia.operators import codes, fusion, marts, metrics, quality, serving
 from concordia.operators import windows as W
-from concordia.plans.base import LAPS_SQL, RESULTS_SQL, laps, query, results
+from concordia.plans.base import LAPS_SQL, RESULTS_SQL, codes_sql, laps, query, results
 from concordia.plans.composite import _SOURCES, _sources
 
 _R = "session_type = 'RACE'"
@@ -33,21 +33,10 @@ def _entered(t):
     return results(t).withColumns({"laps": F.when(F.col("points") > 25, 5), "grid_position": F.when(F.col("is_pole"), 1)})
 
 
-def _codes_sql(members: str) -> str:
-    """CTEs from members (g, id, code or null, name or null, ran) to codes (g, id, chosen), member after member."""
-    own = "upper(coalesce(code, substr(CASE WHEN ends_with(id, '-jr') THEN split_part(id, '-', -2) ELSE split_part(id, '-', -1) END, 1, 3)))"
-    return f"""mem AS (SELECT g, id, {own} AS code, coalesce(nullif(upper(regexp_extract(strip_accents(coalesce(name, id)), '[A-Za-z]')), ''), 'X') AS initial, ran FROM ({members})),
-bear AS (SELECT *, count(*) OVER w AS n, count(*) FILTER (WHERE ran) OVER w AS r FROM mem WINDOW w AS (PARTITION BY g, code)), mark AS (SELECT *, n = 1 OR (ran AND r = 1) AS keeps FROM bear),
-pend AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY id) AS i FROM mark WHERE NOT keeps),
-steps(g, i, taken, id, chosen) AS (SELECT g, CAST(0 AS BIGINT), coalesce(list(code) FILTER (WHERE keeps), []), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR) FROM mark GROUP BY g
-  UNION ALL SELECT g, i, list_append(taken, c), id, c FROM (SELECT p.g, p.i, taken, p.id, CASE WHEN NOT list_contains(taken, initial || left(code, 2)) THEN initial || left(code, 2) WHEN NOT list_contains(taken, initial || code) THEN initial || code ELSE code || list_filter(range(2, len(taken) + 3), lambda k: NOT list_contains(taken, code || k))[1] END AS c FROM steps s JOIN pend p ON p.g = s.g AND p.i = s.i + 1)),
-codes AS (SELECT g, id, code AS chosen FROM mark WHERE keeps UNION ALL SELECT g, id, chosen FROM steps WHERE i > 0)"""
-
-
 _LETTERS = "translate(CAST({} AS VARCHAR), '0123456789', 'abcdefghij')"
 
 
-@query(f"""WITH RECURSIVE {_codes_sql(f'''SELECT g, 'ab' || {_LETTERS.format('k')} || '-mor' || {_LETTERS.format('k % 7')} || CASE WHEN k % 10 = 0 THEN '-jr' ELSE '' END AS id, CASE WHEN k % 5 <> 0 THEN ['ver', 'HAM', 'MSC'][k % 3 + 1] END AS code, CASE WHEN k % 4 = 0 THEN NULL WHEN k % 2 = 0 THEN 'Éric' ELSE '7 Óscar' END AS name, ran
+@query(f"""WITH RECURSIVE {codes_sql(f'''SELECT g, 'ab' || {_LETTERS.format('k')} || '-mor' || {_LETTERS.format('k % 7')} || CASE WHEN k % 10 = 0 THEN '-jr' ELSE '' END AS id, CASE WHEN k % 5 <> 0 THEN ['ver', 'HAM', 'MSC'][k % 3 + 1] END AS code, CASE WHEN k % 4 = 0 THEN NULL WHEN k % 2 = 0 THEN 'Éric' ELSE '7 Óscar' END AS name, ran
   FROM (SELECT l_orderkey // 16 AS g, l_suppkey % 40 AS k, bool_or(l_quantity > 45) AS ran FROM lineitem GROUP BY ALL)''')} SELECT g AS race_id, id AS driver_id, chosen AS unique_code FROM codes""")
 def r36_codes_of_races(t):
     k = F.col("l_suppkey") % 40
@@ -62,7 +51,7 @@ def r36_codes_of_races(t):
 # Tables of a race, for all races
 
 
-@query(f"""WITH RECURSIVE {RESULTS_SQL}, {_DRIVERS_SQL}, {_codes_sql("SELECT race_id AS g, driver_id AS id, any_value(abbreviation) AS code, any_value(first_name) AS name, coalesce(bool_or(points > 25 OR is_pole), false) AS ran FROM results JOIN drivers USING (driver_id) GROUP BY ALL")}
+@query(f"""WITH RECURSIVE {RESULTS_SQL}, {_DRIVERS_SQL}, {codes_sql("SELECT race_id AS g, driver_id AS id, any_value(abbreviation) AS code, any_value(first_name) AS name, coalesce(bool_or(points > 25 OR is_pole), false) AS ran FROM results JOIN drivers USING (driver_id) GROUP BY ALL")}
 SELECT race_id, position_display_order, driver_id, d.name AS driver_name, c.name AS constructor_name, position_text, points, chosen AS driver_code FROM results r JOIN drivers d USING (driver_id) JOIN constructors c USING (constructor_id) LEFT JOIN codes ON g = race_id AND id = driver_id WHERE {_R}""")
 def e07_race_results(t):
     out = serving.race_results(_entered(t), _drivers(t), _constructors(t))
