@@ -707,3 +707,49 @@ def test_dictionary_of_few_samples():
     assert token_store.train_dictionary([]) == b"" and token_store.train_dictionary([b"abc"] * 3) == b"abcabcabc"
     c, d = token_store._codec(token_store.train_dictionary([b"a few words here"] * 3))
     assert d.decompress(c.compress(b"a few words here")) == b"a few words here"
+
+
+# Empty tables, repeated rows and clashing columns
+
+
+def test_byte_bpe_of_empty_and_repeated_rows(spark):
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    docs = table(spark, ["a b", None]).union(table(spark, ["a b"])).withColumn("n_tokens", F.lit("clash"))
+    got = byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN).collect()
+    assert sorted((r.doc_id, r.n_tokens, len(r.ids)) for r in got) == [(0, 2, 2), (0, 2, 2), (1, 0, 0)]
+    none = byte_bpe.encode(docs.limit(0), ranks, public_tokenizers.PATTERN)
+    assert none.count() == 0 and byte_bpe.decode(none, ranks, public_tokenizers.PATTERN).count() == 0
+
+
+def test_quality_of_empty_and_repeated_rows(spark):
+    model = line_crf.Model(np.zeros(3 * line_crf.WIDTH), np.zeros((2, 2)), 0.0, 0.0)
+    docs = table(spark, ["a line", None, ""]).union(table(spark, ["a line"])).withColumns({"held_out": F.lit("clash"), "predicted": F.lit(7)})
+    got = sorted((r.doc_id, r.score, r.predicted) for r in line_crf.score_documents(docs, model).collect())
+    assert got == [(0, 0.5, 1), (0, 0.5, 1), (1, 0.0, 0), (2, 0.0, 0)]
+    kept = line_crf.keep_good(docs, model)
+    assert kept.columns == docs.columns and sorted((r.doc_id, r.held_out, r.predicted) for r in kept.collect()) == [(0, "clash", 7)] * 2
+    assert line_crf.score_documents(docs.limit(0), model).count() == line_crf.keep_good(docs.limit(0), model).count() == 0
+    labels = spark.createDataFrame([(0, 1), (1, 0), (None, 1)], "doc_id long, quality int")
+    assert line_crf.train(docs.limit(0), labels).slope == 0.0
+
+
+def test_bounds_of_the_line_model(spark):
+    """Whole documents within the bound of lines, in the order of a hash."""
+    docs = table(spark, ["good words here.\n" * 5, "### $$$ !!!\n" * 7] * 20)
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(40)], "doc_id long, quality int")
+    assert line_crf.train(docs, labels, most_lines=1).slope == 0.0  # no document fits
+    assert line_crf.train(docs, labels, most_lines=100).slope != 0.0
+
+
+def test_repetition_of_one_very_long_text():
+    words = [f"w{i}" for i in range(60_000)]
+    (_, s), *_ = X.slices(pa.array([" ".join([*words, *words[100:400]])]))
+    got = {c: int(v[0]) for c, v in repetition.measure(s).items()}
+    assert (got["n_words"], got["covered_words"], got["longest_repeat"], got["n_repeat_words"]) == (60_300, 600, 300, 600)
+
+
+def test_kept_rows_keep_columns_that_clash(spark):
+    rows = [(1, "a b c d e f", "x"), (2, "A b c d e f", "y"), (3, "other words", "z")]
+    docs = ship(spark).createDataFrame(rows, "doc_id long, text string, bucket string").withColumns({"label": F.lit(1), "id": F.lit(2), "group": F.lit(3), "_n": F.lit(4)})
+    kept = near_dedup.keep_one_of_each(docs, unique_ids=False)
+    assert kept.columns == docs.columns and sorted(map(tuple, kept.collect())) == [(1, "a b c d e f", "x", 1, 2, 3, 4), (3, "other words", "z", 1, 2, 3, 4)]

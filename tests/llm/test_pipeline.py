@@ -45,3 +45,13 @@ def test_stages(spark, tmp_path):
     assert docs.count() == 120
     packed = corpus_pipeline.run(spark, folder)
     assert packed.agg(F.count_distinct("doc_id")).first()[0] == 120
+
+
+def test_stages_of_an_empty_table(spark, tmp_path):
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns and out.count() == 0
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
