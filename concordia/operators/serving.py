@@ -34,6 +34,16 @@ def race_results(results: DataFrame, drivers: DataFrame, constructors: DataFrame
     return own.join(race_codes(results, drivers), ["race_id", "driver_id"], "left")
 
 
+def race_detail(races: DataFrame, results: DataFrame, drivers: DataFrame) -> DataFrame:
+    """Races (as `marts.race_dimension` gives them) with their winner (the first shown, null without one) and
+    has_sprint_qualifying."""
+    won = results.where((F.col("session_type") == "RACE") & (F.col("position_number") == 1))
+    first = won.groupBy("race_id").agg(F.min_by("driver_id", F.struct("position_display_order", "driver_id")).alias("winner_id"))
+    named = broadcast_if_small(drivers.select(F.col("driver_id").alias("winner_id"), F.col("name").alias("winner_name")))
+    out = races.join(first, "race_id", "left").join(named, "winner_id", "left")
+    return out.withColumn("has_sprint_qualifying", F.col("sprint_qualifying_format").isNotNull())
+
+
 def qualifying_table(entries: DataFrame, drivers: DataFrame, constructors: DataFrame, session: str = "QUALIFYING") -> DataFrame:
     """Qualifying rows (as `marts.qualifying_facts` gives them) of a session with names."""
     return _named(entries.where(F.col("session_type") == session), drivers, constructors)

@@ -58,6 +58,13 @@ def e07_race_results(t):
     return out.select("race_id", "position_display_order", "driver_id", "driver_name", "constructor_name", "position_text", "points", "driver_code").orderBy("race_id", "position_display_order")
 
 
+@query(f"""WITH {RESULTS_SQL}, {_DRIVERS_SQL}, w AS (SELECT race_id, driver_id, row_number() OVER (PARTITION BY race_id ORDER BY position_display_order, driver_id) AS rn FROM results WHERE {_R} AND position_number = 1)
+SELECT o_orderkey AS race_id, CAST(year(o_orderdate) AS INT) AS season, o_custkey % 3 = 0 AS has_sprint_qualifying, driver_id AS winner_id, name AS winner_name FROM orders LEFT JOIN w ON race_id = o_orderkey AND rn = 1 LEFT JOIN drivers USING (driver_id)""")
+def e06_race_detail(t):
+    races = t.orders.select(F.col("o_orderkey").alias("race_id"), F.year("o_orderdate").alias("season"), F.when(F.col("o_custkey") % 3 == 0, "SHOOTOUT").alias("sprint_qualifying_format"))
+    return serving.race_detail(races, results(t), _drivers(t)).drop("sprint_qualifying_format")
+
+
 _QUALI_SQL = f"""{RESULTS_SQL}, {_DRIVERS_SQL}, q AS (SELECT *, CAST(60000 + points * 100 AS BIGINT) AS q1, CASE WHEN is_pole THEN CAST(59000 + points * 100 AS BIGINT) END AS q2 FROM results WHERE {_R}),
 g AS (SELECT *, least(q1, q2) AS best, round(100 * (least(q1, q2) / min(least(q1, q2)) OVER (PARTITION BY race_id) - 1), 3) AS gap FROM q)"""
 
