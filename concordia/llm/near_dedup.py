@@ -34,7 +34,7 @@ MISS = 1e-6
 PER_HUB, PARTNERS = 256, (4, None)
 #: Classes of a bucket in one block: PER_BLOCK, in buckets of more than BLOCKS blocks up to MOST_PER_BLOCK, so that a
 #: row is not copied too often.
-PER_BLOCK, BLOCKS, MOST_PER_BLOCK = 512, 32, 4096
+PER_BLOCK, BLOCKS, MOST_PER_BLOCK = 1024, 8, 4096
 
 #: The column that tells rows apart.
 _KEY = "_concordia_key"
