@@ -136,3 +136,19 @@ def test_repeated_rows_count_in_comparisons(spark):
     a, b = (spark.createDataFrame([(x,) for x in v], "x int") for v in ([1, 1, 2, None], [1, 2, 2, None]))
     assert not quality.same_rows(a, b) and quality.same_rows(a, a) and not quality.same_rows(a, a.limit(3))
     assert sorted((r.side, r.x, r.n) for r in quality.rows_of_one_side(a, b).collect()) == [("only_left", 1, 1), ("only_right", 2, 1)]
+
+
+def test_plain_projections(spark):
+    from concordia.sources import staging
+
+    names = {t: [c[3] for c in staging.projection("archive", t)] for t in staging.PROJECTIONS["archive"]}
+    assert len(names["race_data"]) == 42 and {t: len(x) for t, x in names.items() if len(x) < 5} == {"constructors": 4, "engine_manufacturers": 3, "tyre_manufacturers": 3}
+    columns = [c[0] for c in staging.projection("archive", "races")]
+    df = spark.createDataFrame([(1, *["x"] * (len(columns) - 1))], ", ".join(f"`{c}` {'long' if c == 'id' else 'string'}" for c in columns))
+    r = staging.project(df.withColumns({"sprint_race_date": F.lit(None).cast("date"), "drivers_championship_decider": F.lit("1"), "extra": F.lit(0)}), "archive", "races").first()
+    assert (r.race_id, r.has_sprint, r.drivers_championship_decider, r.constructors_championship_decider, r.season) == (1, False, True, None, "x") and "extra" not in r
+    messages = spark.createDataFrame([("2024", "1", "2024-03-02 15:00:00", "61000", "3", "Flag", "RED", "Track", None, "44x", "m", "s")], ", ".join(f"`{c[0]}` string" for c in staging.projection("timing", "race_control_messages")))
+    m = staging.project(messages, "timing", "race_control_messages").first()
+    assert (m.season, m.session_time_ms, m.lap_number, m.driver_number, str(m.message_utc)) == (2024, 61000, 3, None, "2024-03-02 15:00:00")
+    q = staging.project(spark.createDataFrame([("2024", "5", "ham", "red", 44, "2", "80000", "x", None, "api")], "season string, round string, driver_ref string, constructor_ref string, car_number int, position string, q1_ms string, q2_ms string, q3_ms string, origin string"), "dump", "qualifying").first()
+    assert (q.driver_number, q.position, q.q1_ms, q.q2_ms, q.q3_ms) == ("44", 2, 80000, None, None)
