@@ -333,12 +333,12 @@ def keep_one_of_each(docs: DataFrame, k: int = 5, similarity: float = 0.8, id_co
     found = _grouped(keyed, k, similarity, text_col)
     if is_id:
         kept = found.where("group is null or group = key").select(F.col("key").alias(id_col))
-        return docs.join(kept, id_col, "left_semi").select(*docs.columns)
+        return semi_by_id(docs, kept, id_col).select(*docs.columns)
     ids = keyed.select(F.col(_KEY).alias("key"), F.col(id_col).alias("id"), F.when(F.col(text_col).rlike(r"^[ \t-\r]*$"), F.col(text_col)).alias("blank"))
     found = found.join(ids, "key")
     first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "digest", "key")).getField("key").alias(_KEY)
     kept = found.where("digest is not null").groupBy("group").agg(first).select(_KEY).unionByName(found.where("digest is null").groupBy("id", "blank").agg(F.min("key").alias(_KEY)).select(_KEY))
-    one = keyed.join(kept, _KEY, "left_semi")
+    one = semi_by_id(keyed, kept, _KEY)
     if unique_ids:
         nth = F.row_number().over(Window.partitionBy(id_col).orderBy(F.xxhash64(text_col), _KEY))
         one = one.where(F.col(id_col).isNotNull()).withColumn("_concordia_nth", nth).where("_concordia_nth = 1").drop("_concordia_nth").unionByName(one.where(F.col(id_col).isNull()))
