@@ -24,14 +24,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from concordia.llm._cluster import settle
-from concordia.llm._text import mix
 
 #: Most vectors that the cut of a part, or of the table, is fitted on (the first by hash), and neighbours in their graph.
 SAMPLE, NEIGHBOURS = 6000, 20
 #: Vectors of a part that a cut aims at, seen vectors that it needs for each, the expected recall and the vectors kept to measure it.
 PER_PART, SEEN, RECALL, UNSEEN = 400, 32, 0.94, 1500
 #: Distinct vectors from which on a table is cut at all, vectors from which on a part is cut again, the recall of that, and most times.
-FEWEST, LARGE, RECALL_AGAIN, LEVELS = 16, 16_384, 0.98, 8
+FEWEST, LARGE, RECALL_AGAIN, LEVELS = 16, 16_384, 0.98, 4
 #: Vectors and queries of one group; queries that are ranked at a time; pairs whose exact score is taken at a time.
 BLOCK, QUERIES, QUERY_BLOCK, PAIRS = 4096, 16_384, 1024, 1 << 17
 HIDDEN, EPOCHS = 128, 60
@@ -139,7 +138,7 @@ def fit(sample: np.ndarray, rows: int, recall: float = RECALL) -> tuple[Router |
     unseen = sample[len(sample) - min(UNSEEN, len(sample) // 4) :]
     seen = sample[: len(sample) - len(unseen)]
     parts = 2
-    while rows / parts > PER_PART and len(seen) / parts > SEEN:
+    while rows / parts > PER_PART and len(seen) / (2 * parts) >= SEEN:
         parts *= 2
     graph = neighbour_graph(seen, NEIGHBOURS)
     part = balanced_parts(graph, parts)
@@ -158,13 +157,16 @@ def _exact(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     return (q * c).sum(axis=-1)
 
 
-def nearest(q: np.ndarray, x: np.ndarray, least: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, row of x, score) of the k rows of largest inner product for each query, ties to the smaller `least`.
+def nearest(q: np.ndarray, x: np.ndarray, least: np.ndarray, k: int, allowed: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, row of x, score) of the k rows of largest inner product for each query, ties to the smaller `least`; only of
+    the rows that the query is allowed.
 
     A fast product finds all rows that may be among them, by a bound of its error; these are ranked exactly."""
     s, m = q @ x.T, min(len(x), k)
+    if allowed is not None:
+        s[~allowed] = -np.inf
     error = 4 * q.shape[1] * np.finfo(float).eps * np.sqrt((q * q).sum(axis=1)) * np.sqrt((x * x).sum(axis=1).max(initial=0))
-    at, to = np.nonzero(s >= (np.partition(s, len(x) - m, axis=1)[:, len(x) - m] - error)[:, None])
+    at, to = np.nonzero((s >= (np.partition(s, len(x) - m, axis=1)[:, len(x) - m] - error)[:, None]) & (s > -np.inf))
     score = np.concatenate([np.zeros(0), *(_exact(q[at[i : i + PAIRS]], x[to[i : i + PAIRS]]) for i in range(0, len(at), PAIRS))])
     order = np.lexsort((least[to], -score, at))
     at, to, score = at[order], to[order], score[order]
@@ -179,9 +181,8 @@ def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return column.flatten().to_numpy().reshape(len(column), -1)
 
 
-def _child(part: np.ndarray, number: np.ndarray) -> np.ndarray:
-    """The names of parts of parts."""
-    return mix(part.astype(np.uint64) * np.uint64(2) + np.uint64(1) ^ mix(number.astype(np.uint64) + np.uint64(1))).view(np.int64)
+#: Names of a part's own parts are consecutive numbers, above those of parts that stay: at most so many each.
+CHILDREN = 1024
 
 
 def _cut_again(index: DataFrame, recall: float) -> DataFrame:
@@ -213,7 +214,7 @@ def _descend(rows: DataFrame, models: DataFrame, own: bool) -> DataFrame:
         router, m = pickle.loads(right["model"][0].as_py()), 1 if own else right["probes"][0].as_py()
         best = router.best(_matrix(left["v"]), m)
         at = pa.array(np.repeat(np.arange(len(left)), best.shape[1]))
-        part = _child(np.repeat(left["part"].to_numpy(), best.shape[1]), best.ravel())
+        part = (np.repeat(left["part"].to_numpy(), best.shape[1]) + 1) * CHILDREN + best.ravel()
         out = left.select(names).take(at)
         return out.set_column(names.index("part"), "part", pa.array(part))
 
@@ -267,29 +268,40 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_
     form = "h1 long, h2 long, v array<double>, least long, part long"
     columns = ["h1", "h2", "v", "least"]
     index = settle(classes.select(*columns).mapInArrow(route(1), form), "index")
-    queries = settle(classes.join(asked.select("h1", "h2").distinct(), ["h1", "h2"], "left_semi").select(*columns).mapInArrow(route(probes), form), "queries")
+    queries = classes.join(asked.select("h1", "h2").distinct(), ["h1", "h2"], "left_semi").select(*columns).mapInArrow(route(probes), form)
     for _ in range(LEVELS):
         models = settle(_cut_again(index, RECALL_AGAIN), "models")
         if models.isEmpty():
             break
-        index, queries = settle(_descend(index, models, True), "index"), settle(_descend(queries, models, False), "queries")
-
-    # Blocks of candidates meet blocks of queries, part by part.
-    sizes = lambda df, per, name: df.groupBy("part").agg(F.ceil(F.count("*") / per).cast("int").alias(name))
-    grid = sizes(index, BLOCK, "blocks").join(sizes(queries, QUERIES, "turns"), "part")
+        index, queries = settle(_descend(index, models, True), "index"), settle(_descend(settle(queries, "queries"), models, False), "queries")
+
+    # Bundles of neighbouring parts, of about BLOCK vectors: their blocks of candidates meet blocks of the queries that
+    # probe any of their parts, once for each bundle and not for each part.
+    width = max(1, BLOCK * index.select("part").distinct().count() // max(rows, 1))
+    bundle = F.floor(F.col("part") / width).alias("bundle")
+    index = index.select("*", bundle)
+    queries = settle(queries.groupBy("h1", "h2", bundle).agg(F.collect_set("part").alias("parts"), F.any_value("v").alias("v")), "asking")
+    sizes = lambda df, per, name: df.groupBy("bundle").agg(F.ceil(F.count("*") / per).cast("int").alias(name))
+    grid = sizes(index, BLOCK, "blocks").join(sizes(queries, QUERIES, "turns"), "bundle")
     all_of = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    there = index.join(grid, "part").select("part", F.pmod("h1", F.col("blocks")).cast("int").alias("block"), *columns, all_of("turns").alias("turn"))
-    dealt = queries.join(grid, "part").select("part", F.pmod("h2", F.col("turns")).cast("int").alias("turn"), *columns, all_of("blocks").alias("block"))
-    keys = ["part", "block", "turn"]
+    there = index.join(grid, "bundle").select("bundle", "part", F.pmod("h1", F.col("blocks")).cast("int").alias("block"), *columns, all_of("turns").alias("turn"))
+    dealt = queries.join(grid, "bundle").select("bundle", "parts", F.pmod("h2", F.col("turns")).cast("int").alias("turn"), "h1", "h2", "v", all_of("blocks").alias("block"))
+    keys = ["bundle", "block", "turn"]
 
     def ranked(left: pa.Table, right: pa.Table) -> pa.Table:
         names = ["q1", "q2", "h1", "h2", "score"]
         out = [pa.table([pa.array([], pa.int64())] * 4 + [pa.array([], pa.float64())], names)]
         if len(left) and len(right):
-            x, least = _matrix(right["v"]), right["least"].to_numpy()
-            q = _matrix(left["v"])
+            x, least, q = _matrix(right["v"]), right["least"].to_numpy(), _matrix(left["v"])
+            known, part = np.unique(right["part"].to_numpy(), return_inverse=True)
+            probed = np.zeros((len(q), len(known)), bool)
+            lists = left["parts"].combine_chunks()
+            wanted, of = lists.flatten().to_numpy(), np.repeat(np.arange(len(q)), lists.value_lengths().to_numpy())
+            place = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+            here = known[place] == wanted
+            probed[of[here], place[here]] = True
             for a in range(0, len(q), QUERY_BLOCK):
-                at, to, score = nearest(q[a : a + QUERY_BLOCK], x, least, k + 1)
+                at, to, score = nearest(q[a : a + QUERY_BLOCK], x, least, k + 1, probed[a : a + QUERY_BLOCK][:, part])
                 at, to = pa.array(at + a), pa.array(to)
                 out.append(pa.table([left["h1"].take(at), left["h2"].take(at), right["h1"].take(to), right["h2"].take(to), pa.array(score)], names))
         return pa.concat_tables(out)
