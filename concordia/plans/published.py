@@ -86,11 +86,11 @@ def a21_mean_gap(t):
     return serving.mean_gap(_qualified(t), "constructor_id").select("race_id", "constructor_id", F.round(F.col("mean_gap_pct") * 1000 * F.col("n")).cast("long").alias("mean_thousandths_by_n"), "n")
 
 
-@query(f"""WITH {LAPS_SQL} SELECT race_id, driver_id, lap_number, CASE WHEN lap_number % 5 <> 0 THEN nullif(CASE WHEN place = 1 THEN '' ELSE 'C' || place END, '') ELSE 'SOFT' END AS compound FROM laps WHERE lap_number <= 5 AND driver_id IN ('d0', 'd2')""")
+@query(f"""WITH {LAPS_SQL} SELECT race_id, driver_id, lap_number, CASE WHEN lap_number % 5 <> 0 THEN nullif(CASE WHEN place = 1 THEN '' ELSE 'C' || place END, '') ELSE 'SOFT' END AS compound FROM laps WHERE lap_number <= 5""")
 def e09_laps(t):
     place = F.col("place")
     x = laps(t).withColumns({"tyre_compound": F.when(place == 1, "").otherwise(F.concat(F.lit("C"), place)), "tyre_compound_relative": F.when(F.col("lap_number") % 5 == 0, "SOFT"), "is_incomplete_lap": F.col("lap_number") > 5})
-    return serving.laps_table(x, ["d0", "d2"]).select("race_id", "driver_id", "lap_number", "compound").orderBy("lap_number", F.asc_nulls_last("place"), "driver_id")
+    return serving.laps_table(x).select("race_id", "driver_id", "lap_number", "compound").orderBy("lap_number", F.asc_nulls_last("place"), "driver_id")
 
 
 @query(f"""WITH {LAPS_SQL}, stops AS (SELECT race_id, driver_id, lap_number, CAST(lap_time_ms % 9000 AS BIGINT) AS duration_ms FROM laps WHERE place = 1), known AS (SELECT DISTINCT race_id FROM stops)
