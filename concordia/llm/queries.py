@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concordia.llm import byte_bpe, learned_partitions, licenses, line_crf, near_dedup, packing, repetition, snapshots, token_store, url_cascade
+from concordia.llm import byte_bpe, hard_negatives, learned_partitions, licenses, line_crf, near_dedup, packing, repetition, snapshots, token_store, url_cascade
 from concordia.llm._cluster import ship
 
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -60,7 +60,12 @@ def op10_token_store(spark, sf_dir):
     return token_store.read_store(*store).withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_url_cascade, op2_suffix_repetition, op3_learned_partitions, op4_snapshot_collapse, op5_best_fit_packing, op6_license_scan, op7_byte_bpe, op8_minhash_odd_sketch, op9_line_crf_quality, op10_token_store)}
+def op11_hard_negatives(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", label))
+
+
+QUERIES = {f.__name__: f for f in (op1_url_cascade, op2_suffix_repetition, op3_learned_partitions, op4_snapshot_collapse, op5_best_fit_packing, op6_license_scan, op7_byte_bpe, op8_minhash_odd_sketch, op9_line_crf_quality, op10_token_store, op11_hard_negatives)}
 
 _VALUES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in RULES)
 _KNOWN = ", ".join(f"('{v}', '{k}')" for k, v in licenses.SENTENCES.items())
@@ -91,4 +96,14 @@ ids AS (SELECT rn, string_agg(id, ' ' ORDER BY place) AS ids FROM hit GROUP BY r
 seq AS (SELECT doc_id, coalesce(ids, '') AS sentence_ids, ' ' || coalesce(ids, '') || ' ' AS line FROM cut LEFT JOIN ids USING (rn)),
 fired AS (SELECT doc_id, sentence_ids, [x FOR x IN [{_FIRED}] IF x IS NOT NULL] AS f FROM seq)
 SELECT doc_id, sentence_ids, coalesce(array_to_string([f[i] FOR i IN range(1, len(f) + 1) IF list_position(f, f[i]) = i], ' '), '') AS licenses, f[1] AS license FROM fired""",
+    "op11_hard_negatives": """
+WITH r AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+  coalesce(list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2])), 0)::BIGINT AS score
+  FROM r a JOIN r b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 100 * score BETWEEN 30 * positive_score AND 90 * positive_score
+QUALIFY rank <= 10""",
 }
