@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concordia.llm import byte_bpe, hard_negatives, learned_partitions, licenses, line_crf, near_dedup, packing, repetition, snapshots, token_store, url_cascade
+from concordia.llm import byte_bpe, hard_negatives, learned_partitions, licenses, line_crf, near_dedup, packing, prefix_trie, repetition, snapshots, token_store, url_cascade
 from concordia.llm._cluster import ship
 
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -65,7 +65,12 @@ def op11_hard_negatives(spark, sf_dir):
     return hard_negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", label))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_cascade, op2_suffix_repetition, op3_learned_partitions, op4_snapshot_collapse, op5_best_fit_packing, op6_license_scan, op7_byte_bpe, op8_minhash_odd_sketch, op9_line_crf_quality, op10_token_store, op11_hard_negatives)}
+def op12_prefix_trie(spark, sf_dir):
+    borrow = F.crc32(F.col("conv").cast("string").cast("binary")) % 9
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"), borrow, F.col("conv") - F.col("conv") % 5)
+
+
+QUERIES = {f.__name__: f for f in (op1_url_cascade, op2_suffix_repetition, op3_learned_partitions, op4_snapshot_collapse, op5_best_fit_packing, op6_license_scan, op7_byte_bpe, op8_minhash_odd_sketch, op9_line_crf_quality, op10_token_store, op11_hard_negatives, op12_prefix_trie)}
 
 _VALUES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in RULES)
 _KNOWN = ", ".join(f"('{v}', '{k}')" for k, v in licenses.SENTENCES.items())
@@ -106,4 +111,22 @@ p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WH
 SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id AS negative_id, positive_score, score AS negative_score
 FROM p JOIN s USING (anchor_id) WHERE NOT same AND 100 * score BETWEEN 30 * positive_score AND 90 * positive_score
 QUALIFY rank <= 10""",
+    "op12_prefix_trie": """
+WITH crc AS (SELECT DISTINCT conv_id AS c, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x))),
+  lambda h, x: list_reduce(list_prepend(xor(h, x), range(8)), lambda y, i: CASE WHEN y & 1 = 1 THEN xor(y >> 1, 3988292384) ELSE y >> 1 END))) % 9 AS h FROM conversations WHERE conv_id IS NOT NULL),
+t AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS n
+  FROM conversations WHERE conv_id IS NOT NULL),
+counts AS (SELECT c, count(*) AS k FROM t GROUP BY c),
+plan AS (SELECT crc.c, h, crc.c - crc.c % 5 AS base, least(h, coalesce(k, 0)) AS has FROM crc LEFT JOIN counts ON counts.c = crc.c - crc.c % 5),
+r AS (SELECT plan.c, n AS d, role, text FROM plan JOIN t ON t.c = base AND n <= h UNION ALL SELECT plan.c, n - h + has, role, text FROM plan JOIN t ON t.c = plan.c AND n > h),
+p AS (SELECT c, d, strlen(text) AS size, string_agg(length(role) || ':' || role || length(text) || ':' || text, '') OVER (PARTITION BY c ORDER BY d ROWS UNBOUNDED PRECEDING) AS path FROM r
+  UNION ALL SELECT c, 0, 0, '' FROM crc),
+m AS (SELECT *, lag(path) OVER w AS up, lead(d) OVER w IS NULL AS is_last FROM p WINDOW w AS (PARTITION BY c ORDER BY d)),
+node AS (SELECT path, d, min(up) AS up, min(c) AS conv_id, count(*) AS n, min(size) AS size,
+  sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE is_last), '')) AS ends FROM m GROUP BY path, d),
+kids AS (SELECT up AS path, count(*) AS k FROM node WHERE up IS NOT NULL GROUP BY up),
+under AS (SELECT DISTINCT x.path, y.path AS low FROM m x JOIN m y ON x.c = y.c AND y.d >= x.d),
+total AS (SELECT under.path, count(*) FILTER (WHERE k IS NULL) AS leaves, sum((n - 1) * size) AS saved FROM under JOIN node ON node.path = low LEFT JOIN kids ON kids.path = low GROUP BY under.path)
+SELECT node.conv_id, node.d::BIGINT AS depth, parent.conv_id AS parent_conv_id, node.n AS n_convs, coalesce(k, 0) AS n_children, leaves AS n_leaves, saved::BIGINT AS saved_tokens, node.ends AS ends_sha256
+FROM node LEFT JOIN node parent ON parent.path = node.up LEFT JOIN kids ON kids.path = node.path JOIN total ON total.path = node.path""",
 }
