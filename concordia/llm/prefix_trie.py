@@ -177,7 +177,7 @@ def _nodes(rows: DataFrame, count: int, strip: int, per_range: int) -> tuple[Dat
     found = settle(dealt.select("s", "a", "b", "turns", "conv", "n", "children", "leaves", "saved").mapInArrow(run, _NODES), "nodes")
     edge = found.where("border").groupBy("depth", "a", "b", "up_a", "up_b").agg(F.min("conv").alias("conv"), *[F.sum(c).alias(c) for c in ("n", "children", "leaves", "saved")], F.first("size").alias("size"), F.first("path").alias("path"))
     edge = settle(edge, "edge")
-    more = edge.groupBy("up_a", "up_b").agg(F.count("*").alias("more")).withColumnsRenamed({"up_a": "a", "up_b": "b"})
+    more = edge.where((F.col("depth") - 1) % strip != 0).groupBy("up_a", "up_b").agg(F.count("*").alias("more")).withColumnsRenamed({"up_a": "a", "up_b": "b"})
     edge = edge.join(more, PREFIX, "left").withColumn("children", F.col("children") + F.coalesce("more", F.lit(0)))
     own = edge.select(F.explode("path").alias("p"), (F.col("leaves") + (F.col("children") == 0).cast("long")).alias("leaves"), (F.col("saved") + (F.col("n") - 1) * F.col("size")).alias("saved"))
     sums = own.groupBy("p.a", "p.b").agg(F.sum("leaves").alias("leaves"), F.sum("saved").alias("saved"))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concordia.llm import byte_bpe, hard_negatives, learned_partitions, licenses, line_crf, near_dedup, packing, prefix_trie, repetition, snapshots, token_store, url_cascade
+from concordia.llm import byte_bpe, hard_negatives, learned_partitions, licenses, line_crf, near_dedup, packing, parity_join, prefix_trie, repetition, snapshots, token_store, url_cascade
 from concordia.llm._cluster import ship
 
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -70,7 +70,11 @@ def op12_prefix_trie(spark, sf_dir):
     return prefix_trie.trie(table(spark, sf_dir, "conversations"), borrow, F.col("conv") - F.col("conv") % 5)
 
 
-QUERIES = {f.__name__: f for f in (op1_url_cascade, op2_suffix_repetition, op3_learned_partitions, op4_snapshot_collapse, op5_best_fit_packing, op6_license_scan, op7_byte_bpe, op8_minhash_odd_sketch, op9_line_crf_quality, op10_token_store, op11_hard_negatives, op12_prefix_trie)}
+def op13_parity_join(spark, sf_dir):
+    return parity_join.join_components(table(spark, sf_dir, "documents"), k=3, percent=90)
+
+
+QUERIES = {f.__name__: f for f in (op1_url_cascade, op2_suffix_repetition, op3_learned_partitions, op4_snapshot_collapse, op5_best_fit_packing, op6_license_scan, op7_byte_bpe, op8_minhash_odd_sketch, op9_line_crf_quality, op10_token_store, op11_hard_negatives, op12_prefix_trie, op13_parity_join)}
 
 _VALUES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in RULES)
 _KNOWN = ", ".join(f"('{v}', '{k}')" for k, v in licenses.SENTENCES.items())
