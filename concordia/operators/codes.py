@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from concordia.functions.names import without_accents
+from concordia.operators.windows import join_null_safe
 
 
 def _from_id(entity: Column) -> Column:
@@ -47,7 +48,28 @@ def unique_codes(df: DataFrame, group: list[str], entity: str, code: str, name:
     return whole.select(*group, F.inline(given)).select(*group, F.col("_id").alias(entity), F.col("code").alias("unique_code"))
 
 
+def _units(rows: DataFrame, group: list[str], entity: str, unit: str) -> DataFrame:
+    """rows with `_units`: with how many units the entity appears in the group; to be without one counts as one more."""
+    count = F.count_distinct(unit) + F.max(F.col(unit).isNull().cast("int"))
+    return join_null_safe(rows, rows.groupBy(*group, entity).agg(count.alias("_units")), [*group, entity])
+
+
 def unit_keys(rows: DataFrame, group: list[str], entity: str, unit: str) -> DataFrame:
-    """rows with unit_key: the entity, or entity_unit where it appears with several units in the group."""
-    units = rows.groupBy(*group, entity).agg(F.count_distinct(unit).alias("_units"))
-    return rows.join(units, [*group, entity]).withColumn("unit_key", F.when(F.col("_units") > 1, F.concat_ws("_", entity, unit)).otherwise(F.col(entity).cast("string"))).drop("_units")
+    """rows with unit_key: the entity, or entity_unit where it appears with several units in the group.
+
+    A null group is a group like others; a row without an entity has a null key; one without a unit is named by its entity."""
+    several = (F.col("_units") > 1) & F.col(unit).isNotNull()
+    key = F.when(several, F.concat(F.col(entity).cast("string"), F.lit("_"), F.col(unit).cast("string"))).otherwise(F.col(entity).cast("string"))
+    return _units(rows, group, entity, unit).withColumn("unit_key", key).drop("_units")
+
+
+def unit_results(rows: DataFrame, results: DataFrame, group: list[str], entity: str, unit: str, order: list[str], values: list[str]) -> DataFrame:
+    """One row for each unit of rows (group, entity, unit, unit_key) with `values` of its result: the first (by `order`) of the
+    entity with that unit, or with any if the row has none; if there is no such result, the entity's first, but not where the
+    entity has several units, as it would be another one's. Else nulls."""
+    own = _units(unit_keys(rows, group, entity, unit).select(*group, entity, unit, "unit_key").distinct(), group, entity, unit)
+    first = lambda keys, name: results.groupBy(*keys).agg(F.min(F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(order)], *values)).alias(name))
+    both = join_null_safe(join_null_safe(own, first([*group, entity, unit], "_exact").where(F.col(unit).isNotNull()), [*group, entity, unit], "left"), first([*group, entity], "_any"), [*group, entity], "left")
+    any_fits = F.col(unit).isNull() | (F.col("_exact").isNull() & (F.col("_units") == 1))
+    found = F.when(any_fits, F.col("_any")).otherwise(F.col("_exact"))
+    return both.withColumn("_found", found).select(*group, entity, unit, "unit_key", *[F.col(f"_found.{v}").alias(v) for v in values])

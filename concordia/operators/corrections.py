@@ -57,13 +57,13 @@ def build_overrides(evidence: DataFrame, base: DataFrame, on: list[str], locate:
     """(overrides, errors) from evidence lines (keys, column_name, old_value, new_value, decision).
 
     A line counts if exactly one base row has its keys and that row's cell still holds old_value; else it's an error
-    with the reason."""
-    cells = base.select(*on, *[c for c in locate if c not in on], F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.coalesce(F.col(c).cast("string"), F.lit("")).alias("_now")) for c in value_columns])))
-    lines = evidence.withColumn("_line", F.monotonically_increasing_id())
-    met = lines.join(cells, [*on, "column_name"], "left")
-    counted = met.groupBy("_line").agg(F.count("_now").alias("_n"))
-    met = met.join(counted, "_line")
-    reason = F.when(F.col("_n") == 0, "no row").when(F.col("_n") > 1, "several rows").when(F.col("_now") != F.coalesce("old_value", F.lit("")), "value changed")
+    with the reason. Cells are counted by key and column before they meet the lines, so a line is never told from others by
+    its place; repeated lines give repeated overrides and one error. Null keys locate nothing."""
+    located = [c for c in locate if c not in on]
+    cells = base.select(*on, *located, F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.coalesce(F.col(c).cast("string"), F.lit("")).alias("_now")) for c in value_columns])))
+    cells = cells.groupBy(*on, "column_name").agg(F.count("*").alias("_n"), F.min(F.struct(*located, "_now")).alias("_cell"))
+    met = evidence.join(cells, [*on, "column_name"], "left")
+    reason = F.when(F.col("_n").isNull(), "no row").when(F.col("_n") > 1, "several rows").when(F.col("_cell._now") != F.coalesce("old_value", F.lit("")), "value changed")
     met = met.withColumn("reason", reason)
-    good = met.where("reason is null").select(*on, *[c for c in locate if c not in on], "column_name", F.col("old_value").alias("original_value"), F.col("new_value").alias("corrected_value"), F.lit("set").alias("action"), "decision")
+    good = met.where("reason is null").select(*on, *[F.col(f"_cell.{c}").alias(c) for c in located], "column_name", F.col("old_value").alias("original_value"), F.col("new_value").alias("corrected_value"), F.lit("set").alias("action"), "decision")
     return good, met.where("reason is not null").select(*on, "column_name", "old_value", "new_value", "decision", "reason").distinct()

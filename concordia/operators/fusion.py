@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from concordia.functions.columns import no_texts, validation_status
 from concordia.operators.joins import prefer_source
+from concordia.operators.windows import join_null_safe
 
 KEYS = ["race_id", "driver_id", "lap_number"]
 
@@ -140,15 +141,17 @@ def flag_suspensions(laps: DataFrame, flag: str = "is_red_flag", knobs: Knobs =
     """Long laps in the context of a suspension get the flag, and its tag if they hadn't it.
 
     Long: above the larger of suspension_ms and suspension_times x the group's median. Context: suspension_units units
-    long on that lap, or a flag of any unit on the lap or the suspension_laps before it."""
+    long on that lap, or a flag of any unit on the lap or the suspension_laps before it. A lap without a race or a number
+    has no context and stays as it is."""
     median = laps.groupBy("race_id").agg(F.median("lap_time_ms").alias("_median"))
     most = F.greatest(F.lit(float(knobs.suspension_ms)), knobs.suspension_times * F.col("_median"))
-    out = laps.join(median, "race_id").withColumn("_long", F.coalesce(F.col("lap_time_ms") > most, F.lit(False)))
+    out = join_null_safe(laps, median, ["race_id"]).withColumn("_long", F.coalesce(F.col("lap_time_ms") > most, F.lit(False)))
     by_lap = out.groupBy("race_id", "lap_number").agg(F.count_if("_long").alias("_n"), F.coalesce(F.bool_or(flag), F.lit(False)).alias("_flag"))
     recent = Window.partitionBy("race_id").orderBy(F.col("lap_number").cast("long")).rangeBetween(-knobs.suspension_laps, 0)
     by_lap = by_lap.withColumn("_near", F.bool_or("_flag").over(recent))
-    out = out.join(by_lap.select("race_id", "lap_number", "_n", "_near"), ["race_id", "lap_number"])
-    hit = F.col("_long") & ((F.col("_n") >= knobs.suspension_units) | F.col("_near"))
+    by_lap = by_lap.where("race_id is not null and lap_number is not null")
+    out = out.join(by_lap.select("race_id", "lap_number", "_n", "_near"), ["race_id", "lap_number"], "left")
+    hit = F.col("_n").isNotNull() & F.col("_long") & ((F.col("_n") >= knobs.suspension_units) | F.col("_near"))
     new = hit & ~F.coalesce(F.col(flag), F.lit(False))
     out = out.withColumn("corrections", F.when(new, F.array_append("corrections", F.lit(f"{flag}:suspension"))).otherwise(F.col("corrections")))
     return out.withColumn(flag, F.when(hit, True).otherwise(F.col(flag))).drop("_median", "_long", "_n", "_near")

@@ -24,25 +24,85 @@ def asof_join(left: DataFrame, right: DataFrame, on: list[str], left_time: str,
     """Each left row with the `values` of the last right row of its keys at or before left_time (+ tolerance).
 
     One shuffle and one sort: both sides are stacked and the last right row is carried forward. Rows of the right
-    side with equal times rank by `tie`. Left rows without a match keep nulls."""
+    side with equal times rank by `tie`, then by all their values, so the result doesn't depend on partitioning. Left rows
+    without a match keep nulls. A key's rows are one window; `sliced.asof_join` is for keys that hold a large share of them."""
     at = F.col(left_time) if tolerance is None else F.col(left_time) + tolerance
     keep = [c for c in left.columns if c not in on]
     carried = F.struct(*[F.col(v).alias(v) for v in values])
+    ties = [*([tie] if tie else []), *values]
+    rank = F.struct(*[F.col(c).alias(f"t{i}") for i, c in enumerate(ties)])
     l = left.select(*on, at.alias("_t"), F.lit(1).alias("_side"), F.lit(None).alias("_tie"), F.struct(*keep).alias("_row"), F.lit(None).alias("_state"))  # noqa: E741
-    r = right.where(F.col(right_time).isNotNull()).select(*on, F.col(right_time).alias("_t"), F.lit(0).alias("_side"), (F.col(tie) if tie else F.lit(None)).alias("_tie"), F.lit(None).alias("_row"), carried.alias("_state"))
+    r = right.where(F.col(right_time).isNotNull()).select(*on, F.col(right_time).alias("_t"), F.lit(0).alias("_side"), rank.alias("_tie"), F.lit(None).alias("_row"), carried.alias("_state"))
     order = Window.partitionBy(*on).orderBy("_t", "_side", "_tie").rowsBetween(Window.unboundedPreceding, 0)
     state = F.when(F.col("_t").isNotNull() & F.forall(F.array(*[F.col(k).isNotNull() for k in on]), lambda x: x), F.last("_state", ignorenulls=True).over(order))
     both = l.unionByName(r, allowMissingColumns=True).withColumn("_state", state)
     return both.where("_side = 1").select(*on, *[F.col(f"_row.{c}").alias(c) for c in keep], *[F.col(f"_state.{v}").alias(v) for v in values])
 
 
+#: Each level of bins is so many times as wide as the one before.
+_WIDER = 8
+
+
+def _number(df: DataFrame, column: str) -> Column:
+    """Times and numbers as doubles that keep their order."""
+    kind, c = df.schema[column].dataType.typeName(), F.col(column)
+    return (F.unix_micros(c.cast("timestamp")) if kind.startswith("timestamp") else F.unix_date(c) if kind == "date" else c).cast("double")
+
+
+def _bin(at: Column, level: Column) -> Column:
+    return F.floor(at / F.pow(F.lit(float(_WIDER)), level))
+
+
+def _with_bins(df: DataFrame, start: str, end: str) -> DataFrame:
+    """df by each bin that [start, end] touches: `_level` by its length, which is one to _WIDER widths of that level's bins."""
+    a, b = _number(df, start), _number(df, end)
+    level = F.when(b > a, F.floor(F.log(b - a) / F.log(F.lit(float(_WIDER))))).otherwise(0)
+    leveled = df.where(F.col(start) <= F.col(end)).withColumn("_level", level.cast("int"))
+    return leveled.withColumn("_bin", F.explode(F.sequence(_bin(a, F.col("_level")), _bin(b, F.col("_level")))))
+
+
+def _in_bins(points: DataFrame, intervals: DataFrame, on: list[str], at: str, start: str, end: str, how: str) -> DataFrame:
+    """interval_join for intervals that have an end."""
+    cut = _with_bins(intervals, start, end)
+    levels = sorted(r[0] for r in cut.select("_level").distinct().collect())  # at most one for each power of _WIDER
+    rest = [c for c in intervals.columns if c not in on]
+
+    def meet(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+        p, i = left.alias("p"), right.alias("i")
+        keys = [F.col(f"p.{k}") == F.col(f"i.{k}") for k in [*on, "_level", "_bin"]]
+        found = p.join(i, [*keys, (F.col(f"p.{at}") >= F.col(f"i.{start}")) & (F.col(f"p.{at}") <= F.col(f"i.{end}"))], how)
+        return found.select(*[F.col(f"p.{c}") for c in points.columns], *([F.col(f"i.{c}") for c in rest] if how == "inner" else []))
+
+    def on_level(left: DataFrame, level: Column) -> DataFrame:
+        return left.withColumn("_level", level).withColumn("_bin", _bin(_number(points, at), F.col("_level")))
+
+    if how == "inner":
+        return meet(on_level(points, F.explode(F.array(*map(F.lit, levels)).cast("array<int>"))), cut, how)
+    met, left = None, points  # a point is met on its first level only
+    for level in levels:
+        own, there = on_level(left, F.lit(level)), cut.where(F.col("_level") == level)
+        one = meet(own, there, "left_semi")
+        met, left = one if met is None else met.unionByName(one), meet(own, there, "left_anti")
+    return left if how == "left_anti" else points.limit(0) if met is None else met
+
+
 def interval_join(points: DataFrame, intervals: DataFrame, on: list[str], at: str, start: str, end: str, how: str = "inner") -> DataFrame:
-    """Points within closed intervals of the same keys; an interval without an end is open."""
-    inside = (F.col(at) >= F.col(start)) & (F.col(end).isNull() | (F.col(at) <= F.col(end)))
-    p, i = points.alias("p"), intervals.alias("i")
-    keys = [F.col(f"p.{k}") == F.col(f"i.{k}") for k in on]
-    rest = [] if how in ("left_semi", "left_anti") else [F.col(f"i.{c}") for c in intervals.columns if c not in on]
-    return p.join(i, [*keys, inside], how).select("p.*", *rest)
+    """Points within closed intervals of the same keys; an interval without an end is open. how: inner, left_semi, left_anti.
+
+    An equality join on the keys and bins of time: an interval lies in the few bins of a width near its own length, a point
+    in one bin of each width that occurs. So a key that holds most rows is dealt by time, and only pairs that are near each
+    other meet. Open intervals are kept apart: they end at their key's last point, which makes their own lengths. Null
+    keys, points and starts match nothing; repeated rows match each for itself."""
+    last = points.where(F.col(at).isNotNull()).groupBy(*on).agg(F.max(at).alias("_last"))
+    closed = intervals.where(F.col(end).isNotNull())
+    until = intervals.where(F.col(end).isNull() & F.col(start).isNotNull()).join(last, on).withColumn("_end", F.col("_last")).drop("_last")
+    fields = [c for c in intervals.columns if c not in on]
+    if how == "inner":
+        return _in_bins(points, closed, on, at, start, end, how).unionByName(_in_bins(points, until, on, at, start, "_end", how).select(*points.columns, *fields))
+    first = _in_bins(points, closed, on, at, start, end, "left_anti")
+    if how == "left_anti":
+        return _in_bins(first, until, on, at, start, "_end", how)
+    return _in_bins(points, closed, on, at, start, end, how).unionByName(_in_bins(first, until, on, at, start, "_end", how))
 
 
 def overlaps(spans: DataFrame, periods: DataFrame, on: list[str], span: tuple[str, str], period: tuple[str, str], flag: str) -> DataFrame:
@@ -96,22 +156,30 @@ def prefer_source(first: DataFrame, second: DataFrame, on: list[str]) -> DataFra
 
 
 def wildcard_rules(rows: DataFrame, rules: DataFrame, on: list[str], optional: dict[str, str], priority: list[str]) -> DataFrame:
-    """Each row with the first rule (by `priority`) of its keys whose optional columns are null or equal the row's.
-
-    optional: rule column to row column. Rules without a match give nulls; a row keeps its count of one. Rules are found
-    once for each combination of values that rows have, which then joins the rows."""
+    """Each row with the first rule (by `priority`, then by all its columns) of its keys whose optional columns are null or
+    equal the row's.
+
+    optional: rule column to row column. Rules without a match give nulls; a row keeps its count of one. A rule's mask says
+    which of its optional columns are set. For each mask that occurs (at most 2 to the number of optional columns) a row has
+    one key, with nulls at the others, so rules are found by one hash join however many a key has. Of rules with one
+    condition only the first counts. Rules are found once for each combination of values that rows have, which then joins
+    the rows. Null keys match nothing."""
     own = [*on, *dict.fromkeys(c for c in optional.values() if c not in on)]
-    fits = None
-    for rule, column in optional.items():
-        test = F.col(f"u.{rule}").isNull() | (F.col(f"u.{rule}") == F.col(f"r.{column}"))
-        fits = test if fits is None else fits & test
-    keys = [F.col(f"r.{k}") == F.col(f"u.{k}") for k in on]
     rest = [c for c in rules.columns if c not in on]
-    found = rows.select(*own).distinct().alias("r").join(rules.alias("u"), [*keys, fits]).select(*[F.col(f"r.{c}").alias(f"_{c}") for c in own], *[F.col(f"u.{c}") for c in rest])
-    w = Window.partitionBy(*[f"_{c}" for c in own]).orderBy(*[F.col(p).asc_nulls_last() for p in priority])
+    order = [F.col(p).asc_nulls_last() for p in [*priority, *[c for c in rest if c not in priority]]]
+    conditions = list(optional)
+    mask = sum((F.when(F.col(c).isNotNull(), 1 << i).otherwise(0) for i, c in enumerate(conditions)), F.lit(0))
+    marked = rules.withColumn("_mask", mask).withColumn("_nth", F.row_number().over(Window.partitionBy(*on, *conditions).orderBy(*order))).where("_nth = 1").drop("_nth")
+    masks = sorted(r[0] for r in rules.select(mask.alias("m")).distinct().collect())
+    combined = rows.select(*own).distinct().select(*[F.col(c).alias(f"_of_{c}") for c in own])
+    keyed = F.array(*[F.struct(F.lit(m).alias("m"), *[(F.col(f"_of_{optional[c]}") if m >> i & 1 else F.lit(None).cast(rows.schema[optional[c]].dataType)).alias(f"c{i}") for i, c in enumerate(conditions)]) for m in masks])
+    asked = combined.select("*", F.explode(keyed).alias("_asked")).alias("r") if masks else combined.limit(0).select("*", F.struct(F.lit(0).alias("m"), *[F.lit(None).alias(f"c{i}") for i in range(len(conditions))]).alias("_asked")).alias("r")
+    met = [F.col(f"r._of_{k}") == F.col(f"u.{k}") for k in on] + [F.col("r._asked.m") == F.col("u._mask")] + [F.col(f"r._asked.c{i}").eqNullSafe(F.col(f"u.{c}")) for i, c in enumerate(conditions)]
+    found = asked.join(marked.alias("u"), met).select(*[F.col(f"r._of_{c}") for c in own], *[F.col(f"u.{c}") for c in rest])
+    w = Window.partitionBy(*[f"_of_{c}" for c in own]).orderBy(*order)
     found = found.withColumn("_nth", F.row_number().over(w)).where("_nth = 1").drop("_nth")
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in own]
-    return rows.join(found, same, "left").drop(*[f"_{c}" for c in own])
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in own]
+    return rows.join(found, same, "left").drop(*[f"_of_{c}" for c in own])
 
 
 def unpivot_pairs(df: DataFrame, keys: list[str], name: str, values: dict[str, list[Column]], fields: list[str]) -> DataFrame:

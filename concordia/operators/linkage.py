@@ -2,31 +2,51 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from concordia.functions.names import normalized_name
-from concordia.operators.windows import pick_first
+from concordia.operators.windows import join_null_safe, pick_first
 
 
 def link_records(records: DataFrame, registry: DataFrame, group: list[str], number: str, name: str, entity: str, reg_number: str, reg_name: str, reg_surname: str) -> DataFrame:
     """records with `entity` and match_level: 1 number and name, 2 number and surname, 3 name, 4 a surname that is unique
-    in the group, 5 number; null where nothing fits. Ties by entity, then number. The group is an equality."""
+    in the group, 5 number; null where nothing fits. Ties by entity, then number.
+
+    No record meets its whole group: the registry gives one key for each level, of which its first entity counts, and a record
+    asks for its number, its name and each run of last words of its name, all in one hash join. Null groups, numbers and
+    names match nothing; registry rows without an entity take no part; repeated records stay."""
     keys = [*group, number, name]
+    none = F.lit(None).cast("string")
+    reg = registry.where(F.col(entity).isNotNull()).select(*group, F.col(entity), F.col(reg_number).alias("_number"), normalized_name(reg_name).alias("_full"), normalized_name(reg_surname).alias("_surname")).distinct()
+    tie = F.struct(F.col(entity), F.col("_number").isNull().alias("last"), F.col("_number"))
+    number_key = F.col("_number").cast("string")
+    index = None
+    for level, k, text in ((1, number_key, F.col("_full")), (2, number_key, F.col("_surname")), (3, none, F.col("_full")), (4, none, F.col("_surname")), (5, number_key, none)):
+        keyed = reg.select(*group, F.lit(level).alias("_level"), k.alias("_k"), text.alias("_text"), F.col(entity).alias("_e"), tie.alias("_tie"))
+        if level in (1, 2, 5):
+            keyed = keyed.where("_k is not null")
+        if level != 5:
+            keyed = keyed.where("_text is not null")
+        first = keyed.groupBy(*group, "_level", "_k", "_text").agg(F.min("_tie").alias("_tie"), F.min("_e").alias("_lo"), F.max("_e").alias("_hi"))
+        first = (first.where("_lo = _hi") if level == 4 else first).drop("_lo", "_hi")
+        index = first if index is None else index.unionByName(first)
+
+    words = F.split("_name", " ")
+    runs = F.when(F.size(words) > 1, F.transform(F.sequence(F.lit(2), F.size(words)), lambda i: F.array_join(F.slice(words, i, F.size(words)), " "))).otherwise(F.array().cast("array<string>"))
+    ask = lambda level, k, text: F.struct(F.lit(level).alias("_level"), k.alias("_k"), text.alias("_text"))
+    own, full = F.col(number).cast("string"), F.col("_name")
+    plain = F.array(ask(1, own, full), ask(3, none, full), ask(5, own, none))
+    asked = F.concat(plain, F.transform(runs, lambda t: ask(2, own, t)), F.transform(runs, lambda t: ask(4, none, t)))
     distinct = records.select(*keys).distinct().withColumn("_name", normalized_name(name))
-    reg = registry.select(*group, F.col(entity), F.col(reg_number).alias("_number"), normalized_name(reg_name).alias("_full"), normalized_name(reg_surname).alias("_surname")).distinct()
-    surnames = reg.groupBy(*group, "_surname").agg(F.count_distinct(entity).alias("_bearers"))
-    reg = reg.join(surnames, [*group, "_surname"])
-    number_met = F.col(number) == F.col("_number")
-    name_met, surname_met = F.col("_name") == F.col("_full"), F.col("_name").endswith(F.concat(F.lit(" "), F.col("_surname")))
-    level = F.when(number_met & name_met, 1).when(number_met & surname_met, 2).when(name_met, 3).when(surname_met & (F.col("_bearers") == 1), 4).when(number_met, 5)
-    found = distinct.join(reg, group).withColumn("match_level", level).where("match_level is not null")
-    best = pick_first(found, keys, [F.col("match_level"), F.col(entity), F.col("_number").asc_nulls_last()]).select(*keys, entity, "match_level", F.col("_number").alias("matched_number"))
-    on = None
-    for k in keys:
-        test = F.col(f"r.{k}").eqNullSafe(F.col(f"b.{k}"))
-        on = test if on is None else on & test
-    return records.alias("r").join(best.alias("b"), on, "left").select("r.*", f"b.{entity}", "b.match_level", "b.matched_number")
+    # Without a name there are no runs, and no array of them.
+    distinct = distinct.select(*keys, F.inline(F.coalesce(asked, plain)))
+    asks = distinct.where(F.when(F.col("_level").isin(1, 2, 5), F.col("_k").isNotNull()).otherwise(True) & ((F.col("_level") == 5) | F.col("_text").isNotNull()))
+    met = [F.col(f"a.{g}") == F.col(f"x.{g}") for g in group] + [F.col("a._level") == F.col("x._level"), F.col("a._k").eqNullSafe(F.col("x._k")), F.col("a._text").eqNullSafe(F.col("x._text"))]
+    found = asks.alias("a").join(index.alias("x"), met).select(*[F.col(f"a.{k}").alias(k) for k in keys], F.col("a._level").alias("match_level"), "_tie")
+    best = found.groupBy(*keys).agg(F.min(F.struct("match_level", "_tie")).alias("_best"))
+    best = best.select(*keys, F.col(f"_best._tie.{entity}").alias(entity), F.col("_best.match_level").alias("match_level"), F.col("_best._tie._number").alias("matched_number"))
+    return join_null_safe(records, best, keys, "left")
 
 
 def align_batches(batches: DataFrame, official: DataFrame, scope: list[str], label: str, signature: list[str]) -> DataFrame:
@@ -60,8 +80,6 @@ def equivalences(pairs: DataFrame, group: list[str], absolute: str, relative: st
     counts = pairs.groupBy(*group, absolute, relative, order).agg(F.count("*").alias("n"))
     best = counts.groupBy(*group, absolute).agg(F.max_by(F.struct(relative, order), F.struct("n", F.negative(F.col(order)))).alias("_m"), F.max("n").alias("n"), F.sum("n").alias("total"))
     best = best.select(*group, absolute, F.col(f"_m.{relative}").alias(relative), F.col(f"_m.{order}").alias(order), "n", "total")
-    from pyspark.sql import Window
-
     w = Window.partitionBy(*group).orderBy(absolute)
     rising = F.coalesce(F.col(order) > F.lag(order).over(w), F.lit(True))
     every = Window.partitionBy(*group)

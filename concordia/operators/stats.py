@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from concordia.operators.sliced import running_sum
+from concordia.operators.windows import join_null_safe
+
 
 def representative(df: DataFrame, keys: list[str], value: str, step: str, excluded: Column, times: float = 1.5) -> DataFrame:
     """Rows past the first step that aren't excluded and lie within `times` the median of such rows of their keys."""
@@ -13,27 +16,48 @@ def representative(df: DataFrame, keys: list[str], value: str, step: str, exclud
     return usable.join(median, keys).where(F.col(value) <= times * F.col("_median")).drop("_median")
 
 
+def exact_quantiles(df: DataFrame, keys: list[str], value: str, shares: dict[str, float], parts: int | None = None) -> DataFrame:
+    """keys, n and a column for each of `shares`: exact quantiles of the non-null values, linear between order statistics.
+
+    Selection by ranges: equal values are counted first, the counts are dealt by ranges of (keys, value), and the number of
+    values before each range tells which range holds an order statistic, so no task holds a key's values. Null keys are a
+    key; a key without values has no row."""
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_w"))
+    placed = running_sum(counts, keys, ["_v"], "_w", "_upto", parts)
+    sizes = counts.groupBy(*keys).agg(F.sum("_w").alias("n"))
+    both = join_null_safe(placed, sizes, keys)
+    place = {q: F.lit(s) * (F.col("n") - 1) for q, s in shares.items()}
+    holds = lambda at: (F.col("_upto") > at) & (F.col("_upto") - F.col("_w") <= at)
+    picks = [F.max(F.when(holds(f(p)), F.col("_v"))).alias(f"_{side}_{q}") for q, p in place.items() for side, f in (("low", F.floor), ("high", F.ceil))]
+    out = both.groupBy(*keys, "n").agg(*picks)
+    between = lambda q: F.col(f"_low_{q}") + (F.col(f"_high_{q}") - F.col(f"_low_{q}")) * (place[q] - F.floor(place[q]))
+    return out.select(*keys, "n", *[between(q).alias(q) for q in shares])
+
+
 def box(df: DataFrame, keys: list[str], value: str, least: int = 5) -> DataFrame:
     """n, q1, median, q3 (linear interpolation) and the last values inside 1.5 IQR, of keys with `least` values."""
-    q = df.groupBy(*keys).agg(F.count(value).alias("n"), F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q")).where(F.col("n") >= least)
-    q = q.select(*keys, "n", *[F.col("_q")[i].alias(c) for i, c in enumerate(("q1", "median", "q3"))])
+    q = exact_quantiles(df, keys, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}).where(F.col("n") >= least)
     fence = 1.5 * (F.col("q3") - F.col("q1"))
-    inside = df.join(q, keys).where((F.col(value) >= F.col("q1") - fence) & (F.col(value) <= F.col("q3") + fence))
+    inside = join_null_safe(df, q, keys).where((F.col(value) >= F.col("q1") - fence) & (F.col(value) <= F.col("q3") + fence))
     return inside.groupBy(*keys, "n", "q1", "median", "q3").agg(F.min(value).alias("low"), F.max(value).alias("high"))
 
 
 def density(df: DataFrame, keys: list[str], value: str, points: int = 60, least_width: float = 50.0) -> DataFrame:
-    """A Gaussian density on a grid from the least to the largest value: (keys, x, density), bandwidth max(1.06 sd n^-0.2, least_width).
+    """A Gaussian density on a grid from the least to the largest value: (keys, point, x, density), bandwidth max(1.06 sd n^-0.2, least_width).
 
-    The grid is exploded against the rows and summed, so no group is gathered; rows are combined by equal value first."""
+    Each task sums the kernel at all points of a key's grid over its own rows, so what is shuffled is one row of `points`
+    sums for each key and task; these are added after. Equal values are combined first. Null values don't count; null keys
+    are a key; a key without values has no row."""
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_w"))
     shape = df.groupBy(*keys).agg(F.count(value).alias("_n"), F.coalesce(F.stddev(value), F.lit(0.0)).alias("_sd"), F.min(value).cast("double").alias("_lo"), F.max(value).cast("double").alias("_hi"))
     shape = shape.where("_n > 0").withColumn("_h", F.greatest(1.06 * F.col("_sd") * F.pow("_n", F.lit(-0.2)), F.lit(least_width)))
-    x = F.col("_lo") + F.col("_i") * (F.col("_hi") - F.col("_lo")) / F.lit(points - 1)
-    z = (F.col("x") - F.col("_v")) / F.col("_h")
-    grid = counts.join(shape, keys).withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(points - 1)))).withColumn("x", x)
+    x = lambda i: F.col("_lo") + i * (F.col("_hi") - F.col("_lo")) / F.lit(max(points - 1, 1))
+    z = lambda i: (x(F.lit(i)) - F.col("_v")) / F.col("_h")
+    grid = ["_n", "_h", "_lo", "_hi"]
+    sums = join_null_safe(counts, shape, keys).groupBy(*keys, *grid).agg(*[F.sum(F.col("_w") * F.exp(-0.5 * z(i) * z(i))).alias(f"_s{i}") for i in range(points)])
     root = 2.5066282746310002
-    return grid.groupBy(*keys, "_i", "x", "_n", "_h").agg(F.sum(F.col("_w") * F.exp(-0.5 * z * z)).alias("_s")).select(*keys, F.col("_i").alias("point"), "x", (F.col("_s") / (F.col("_n") * F.col("_h") * root)).alias("density"))
+    long = sums.select(*keys, *grid, F.posexplode(F.array(*[f"_s{i}" for i in range(points)])).alias("point", "_s"))
+    return long.select(*keys, "point", x(F.col("point")).alias("x"), (F.col("_s") / (F.col("_n") * F.col("_h") * root)).alias("density"))
 
 
 def dense_series(df: DataFrame, keys: list[str], step: str, value: str, steps: int) -> DataFrame:

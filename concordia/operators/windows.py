@@ -35,9 +35,20 @@ def running_sum(df: DataFrame, keys: list[str], order: list[Column], value: Colu
 
 
 def distinct_count_over(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
-    """Distinct values of the keys on each row, by aggregation and a join, so that no set is held for a window."""
+    """Distinct values of the keys on each row, by aggregation and a join, so that no set is held for a window. Null keys are
+    keys like others, as in a window; null values don't count."""
     counts = df.groupBy(*keys).agg(F.count_distinct(value).cast("int").alias(name))
-    return df.join(counts, keys)
+    return join_null_safe(df, counts, keys)
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on keys of which nulls equal nulls; the left side's keys stay, a right side's other columns follow."""
+    test = None
+    for k in keys:
+        same = F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}"))
+        test = same if test is None else test & same
+    rest = [] if how in ("left_semi", "left_anti") else [F.col(f"r.{c}") for c in right.columns if c not in keys]
+    return left.alias("l").join(right.alias("r"), test, how).select("l.*", *rest)
 
 
 def islands(df: DataFrame, keys: list[str], order: list[Column], boundary: Column, name: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from concordia.functions import columns as C
 from concordia.functions.names import name_contains
 from concordia.operators import aggregates as A
-from concordia.operators import metrics, stats
+from concordia.operators import metrics, sliced, stats
 from concordia.operators import windows as W
 from concordia.plans.base import RESULTS_SQL, cents, query, results
 
@@ -85,7 +85,7 @@ def e03_e04_standings_after(t):
     win = (F.col("session_type") == "RACE") & (F.col("position_number") == 1)
     by_race = results(t).groupBy("season", "driver_id", "race_id").agg(F.sum("points").alias("points"), F.bool_or(win).alias("won"), F.collect_set("constructor_id").alias("teams"))
     out = by_race.groupBy("season", "driver_id").agg(F.sum("points").alias("points"), A.count_where(F.col("won")).alias("wins"), F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set("teams")))), ",").alias("teams"))
-    return W.ranked(out, ["season"], [F.desc("points")], "place")
+    return sliced.ranks(out, ["season"], ["-points"], "place").withColumn("place", F.col("place").cast("int"))
 
 
 @query(f"""WITH {RESULTS_SQL}, d AS (SELECT r.*, CAST(month(o_orderdate) AS INT) AS month FROM results r JOIN orders ON race_id = o_orderkey), months AS (SELECT DISTINCT season, month FROM d)
