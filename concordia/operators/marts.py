@@ -22,6 +22,29 @@ def driver_dimension(drivers: DataFrame, countries: DataFrame) -> DataFrame:
     return out.drop("country_of_birth_country_id", "nationality_country_id")
 
 
+def place_dimension(members: DataFrame, countries: DataFrame, columns: list[str], suffix: str) -> DataFrame:
+    """Constructors, engine or tyre manufacturers: some columns, and country, demonym and alpha2 code of their country, named by
+    suffix; nulls where the country is null or unknown."""
+    names = {f"{n}_{suffix}": c for n, c in (("country", "country_name"), ("demonym", "demonym"), ("alpha2", "alpha2_code"))}
+    return with_dimension(members, countries, "country_id", "country_id", names).select(*columns, *names)
+
+
+def standing_facts(standings: DataFrame, entity: str) -> DataFrame:
+    """The championship after each race as staged; a row without a race or an entity is no standing, and of rows that repeat
+    race and entity (a shared place is listed once for each) all stay."""
+    return standings.where(F.col("race_id").isNotNull() & F.col(entity).isNotNull())
+
+
+def telemetry_facts(samples: DataFrame, races: DataFrame, numbers: DataFrame) -> DataFrame:
+    """Samples by (season, round, driver_number) with race_id and driver_id instead of season and round. Samples of unknown
+    races go; those of a number that no driver of the race had keep a null driver.
+
+    Races are one row for each (season, round), numbers one for each race and number."""
+    known = samples.join(races.select("season", "round", "race_id"), ["season", "round"])
+    drivers = numbers.select("race_id", "driver_number", "driver_id")
+    return known.join(drivers, ["race_id", "driver_number"], "left").select("race_id", "driver_id", *[c for c in samples.columns if c not in ("season", "round")])
+
+
 def race_dimension(races: DataFrame, entries: DataFrame, circuits: DataFrame, grands_prix: DataFrame, countries: DataFrame) -> DataFrame:
     """Races with is_completed (any race result), has_sprint (planned or run), is_season_final_race and place names."""
     kinds = entries.groupBy("race_id").agg(F.bool_or(F.col("session_type") == "RACE_RESULT").alias("_done"), F.bool_or(F.col("session_type") == "SPRINT_RACE_RESULT").alias("_sprint"))

@@ -90,6 +90,14 @@ def versus_peers_season(best_peer: DataFrame) -> DataFrame:
     return best_peer.groupBy("season", "driver_id").agg(F.count("*").alias("races"), F.count("is_ahead").alias("duels"), count_where(F.col("is_ahead")).alias("ahead"), F.sum("points").alias("points"), F.sum("peer_points").alias("peer_points"))
 
 
+def career_duels(seasons: DataFrame) -> DataFrame:
+    """`versus_peers_season` summed over all seasons of a driver: races, duels, ahead, points and the peers', seasons and the
+    share of duels won in percent (null without duels)."""
+    sums = [F.sum(c).alias(c) for c in ("races", "duels", "ahead", "points", "peer_points")]
+    out = seasons.groupBy("driver_id").agg(F.count("*").alias("seasons"), *sums)
+    return out.withColumn("ahead_pct", F.when(F.col("duels") > 0, F.round(100.0 * F.col("ahead") / F.col("duels"), 1)))
+
+
 def standings_after_rounds(results: DataFrame, round_col: str, entity: str = "driver_id", member: str = "constructor_id") -> DataFrame:
     """By season, round and driver (or another entity) who has appeared so far: points, wins and teams up to that round, and the place in it.
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from concordia.functions.columns import differs, match_flag
@@ -246,3 +247,50 @@ def manifest_diff(a: DataFrame, b: DataFrame, partition: list[str]) -> DataFrame
 def wide_types(df: DataFrame, allowed: Iterable[str] = ("string", "int", "bigint", "double", "boolean", "date", "timestamp", "array<string>")) -> list[tuple[str, str]]:
     """Columns whose type isn't one that published tables may have."""
     return [(c, t) for c, t in df.dtypes if t not in set(allowed)]
+
+
+# Checks while data flow
+
+
+def observed(df: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, Observation]:
+    """df that counts, while whatever reads it flows, its rows and those that break each rule (the rule holds of a bad row; null
+    is not bad). Figures are there once a job has read all of it."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(test).alias(name) for name, test in rules.items()]), seen
+
+
+def repeated_keys(df: DataFrame, keys: dict[str, list[str]]) -> DataFrame:
+    """rule, n: for each rule how many keys occur more than once (null keys too), all in one grouped pass."""
+    one = [F.struct(F.lit(rule).alias("rule"), F.to_json(F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(columns)]), {"ignoreNullFields": "false"}).alias("key")) for rule, columns in keys.items()]
+    counts = df.select(F.inline(F.array(*one))).groupBy("rule", "key").agg(F.count("*").alias("n"))
+    return counts.groupBy("rule").agg(F.count_if(F.col("n") > 1).alias("n"))
+
+
+class Rejected(ValueError):
+    """Data that broke rules; `card` has the figures."""
+
+    def __init__(self, card: dict[str, int]):
+        super().__init__(f"rules are broken: { {k: n for k, n in card.items() if n and k != 'rows'} }")
+        self.card = card
+
+
+def checked_write(df: DataFrame, path: str, rules: dict[str, Column], keys: dict[str, list[str]] | None = None, allowed: dict[str, int] | None = None) -> dict[str, int]:
+    """Writes df as Parquet in place of what is at path, if it keeps the rules; the figures: rows and bad rows or keys by rule.
+
+    Row rules are counted while rows are written to a folder beside, key rules by one pass over that. If a rule has more
+    cases than `allowed` (none, unless given), the folder goes, what was at path stays and Rejected is raised."""
+    spark = df.sparkSession
+    beside = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
+    counted, seen = observed(df, rules)
+    counted.write.parquet(beside)
+    card = dict(seen.get)
+    if keys:
+        card |= dict.fromkeys(keys, 0) | {r.rule: r.n for r in repeated_keys(spark.read.schema(df.schema).parquet(beside), keys).collect()}
+    own, other = (spark.sparkContext._jvm.org.apache.hadoop.fs.Path(x) for x in (path, beside))
+    files = own.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if any(n > (allowed or {}).get(rule, 0) for rule, n in card.items() if rule != "rows"):
+        files.delete(other, True)
+        raise Rejected(card)
+    files.delete(own, True)
+    files.rename(other, own)
+    return card

@@ -67,6 +67,25 @@ def dense_series(df: DataFrame, keys: list[str], step: str, value: str, steps: i
     return got.select(*keys, F.transform(F.sequence(F.lit(1), F.lit(steps)), lambda i: F.try_element_at("_m", i.cast(df.schema[step].dataType))).alias(value))
 
 
+def position_chart(laps: DataFrame, results: DataFrame, group: list[str], unit: str, step: str, position: str, grid: str, finish: str, others: list[str]) -> DataFrame:
+    """One row for each unit with laps: `positions`, whose slot 0 is the start (the result's grid), then one for each step up to
+    the group's last, null where it has none; an array by step for each of `others` (such as the compound); start, best,
+    finish and led.
+
+    Steps below 1 and null steps have no slot; of several rows of one step the least position and values count; of several
+    results of a unit the least. A group's last step bounds a row's length."""
+    own = [*group, unit]
+    kind = dict(laps.dtypes)
+    slots = laps.where(F.col(step) >= 1).groupBy(*own, step).agg(*[F.min(c).alias(c) for c in [position, *others]])
+    last = slots.groupBy(*group).agg(F.max(step).alias("_last"))
+    series = slots.groupBy(*own).agg(F.map_from_entries(F.collect_list(F.struct(step, F.struct(position, *others)))).alias("_m"), F.min(position).alias("best"), F.count_if(F.col(position) == 1).alias("led"))
+    first = results.groupBy(*own).agg(F.min(F.struct(F.col(grid).alias("start"), F.col(finish).alias("finish"))).alias("_r"))
+    out = join_null_safe(join_null_safe(series, last, group), first, own, "left")
+    at = lambda c: F.transform(F.sequence(F.lit(1), F.col("_last").cast("int")), lambda i: F.try_element_at("_m", i.cast(kind[step]))[c])
+    start = F.array(F.col("_r.start").cast(kind[position]))
+    return out.select(*own, F.concat(start, at(position)).alias("positions"), *[at(c).alias(c) for c in others], F.col("_r.start").alias("start"), "best", F.col("_r.finish").alias("finish"), "led")
+
+
 def led(df: DataFrame, keys: list[str], position: str, step: str) -> DataFrame:
     """Steps led, the best position and the first and last one."""
     known = F.col(position).isNotNull()

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -50,13 +50,32 @@ def base_tables(spark: SparkSession, url: str, catalogue: str = BASE_TABLES, **o
     return sorted(r[0] for r in spark.read.format("jdbc").options(url=url, query=catalogue, **options).load().collect())
 
 
-def copy_database(spark: SparkSession, url: str, out: str, tables: Iterable[str] | None = None, catalogue: str = BASE_TABLES, **options: str) -> dict[str, int]:
-    """Every table (None: every base table) of a JDBC source as Parquet; rows by table, counted from what was written."""
-    counts = {}
-    for name in base_tables(spark, url, catalogue, **options) if tables is None else tables:
-        spark.read.format("jdbc").options(url=url, dbtable=name, **options).load().write.mode("overwrite").parquet(f"{out}/{name}")
-        counts[name] = spark.read.parquet(f"{out}/{name}").count()
-    return counts
+def read_database(spark: SparkSession, url: str, table: str, bounds: tuple[str, int] | None = None, **options: str) -> DataFrame:
+    """A table of a JDBC source; with bounds (an integer, date or timestamp column, parts) read in as many ranges of that
+    column between its least and largest value. Rows with a null there are in the first range. A table without rows is read whole."""
+    read = spark.read.format("jdbc").options(url=url, dbtable=table, **options)
+    if bounds is not None:
+        column, parts = bounds
+        ends = f"SELECT min({column}) AS low, max({column}) AS high FROM {table}"
+        low, high = spark.read.format("jdbc").options(url=url, query=ends, **options).load().first()
+        if low is not None:
+            read = read.options(partitionColumn=column, lowerBound=str(low), upperBound=str(high), numPartitions=str(parts))
+    return read.load()
+
+
+def counted_write(df: DataFrame, path: str, **options: str) -> int:
+    """Writes df as Parquet in place of what is there; its rows, counted while they are written."""
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").options(**options).parquet(path)
+    return seen.get["rows"]
+
+
+def copy_database(spark: SparkSession, url: str, out: str, tables: Iterable[str] | None = None, catalogue: str = BASE_TABLES, bounds: dict[str, tuple[str, int]] | None = None, **options: str) -> dict[str, int]:
+    """Every table (None: every base table) of a JDBC source as Parquet; rows by table, counted while they are written.
+
+    bounds: by table what `read_database` cuts it by; other tables are read by one task."""
+    names = base_tables(spark, url, catalogue, **options) if tables is None else tables
+    return {name: counted_write(read_database(spark, url, name, (bounds or {}).get(name), **options), f"{out}/{name}") for name in names}
 
 
 def snake_case(df: DataFrame, names: dict[str, str] | None = None) -> DataFrame:
@@ -93,12 +112,16 @@ def write_if_changed(df: DataFrame, path: str) -> bool:
 
 
 def export_tables(tables: dict[str, DataFrame], out: str) -> dict[str, int]:
-    """Each table as zstd Parquet; rows by table, counted from what was written."""
-    counts = {}
-    for name, df in tables.items():
-        df.write.mode("overwrite").option("compression", "zstd").parquet(f"{out}/{name}")
-        counts[name] = df.sparkSession.read.parquet(f"{out}/{name}").count()
-    return counts
+    """Each table as zstd Parquet; rows by table, counted while they are written."""
+    return {name: counted_write(df, f"{out}/{name}", compression="zstd") for name, df in tables.items()}
+
+
+def publish_mart(df: DataFrame, name: str, path: str, bucket: list[str], buckets: int = 8, partition: list[str] | None = None) -> DataFrame:
+    """A published table at path: folders by `partition`, files bucketed and sorted by `bucket`. Joins and groups of such
+    tables on the bucket's columns need no exchange, and filters on the partition read only its files."""
+    write = df.repartition(buckets, *bucket).write.mode("overwrite").bucketBy(buckets, *bucket).sortBy(*bucket).option("path", path)
+    (write.partitionBy(*partition) if partition else write).saveAsTable(name)
+    return df.sparkSession.table(name).select(*df.columns)
 
 
 def publish(df: DataFrame, layer: str, name: str, as_table: bool) -> DataFrame:

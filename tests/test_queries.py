@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from concordia.plans import base, composite, files, fused, landed, large, published, relational, scalar, serving  # noqa: F401
+from concordia.plans import base, composite, files, fused, landed, large, model, published, relational, scalar, serving  # noqa: F401
 
 FOLDER = "/root/testdata/sf0.001"
 
