@@ -9,12 +9,13 @@ share of good text, which a logistic curve fitted on the same documents turns in
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+import pickle
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from concordia.llm import _text as X
@@ -26,7 +27,7 @@ MOST_LABELLED, MOST_LINES = 4000, 400_000
 #: Lines of a long chain that are worked on as one block, at least.
 BLOCK = 64
 FOLDS, THRESHOLD = 5, 0.3
-STEPS, RATE, DECAY = 250, 0.05, 1e-4
+STEPS, MEMORY, TOLERANCE, DECAY = 60, 10, 1e-5, 1e-4
 
 # Byte classes: 0 white space, 1 A-Z, 2 other letters, 3 digits, 4 symbols, 5 !, 6 |, 7 other punctuation.
 _CLASS = np.full(256, 2, np.int64)
@@ -187,6 +188,41 @@ class Model:
         return np.where(np.isnan(share), 0.0, 1 / (1 + np.exp(-np.clip(self.slope * odds + self.shift, -50, 50))))
 
 
+def least_by_lbfgs(f: Callable[[np.ndarray], tuple[float, np.ndarray]], theta: np.ndarray) -> np.ndarray:
+    """Where a smooth convex function (value and slope) is least, by limited-memory BFGS with halved steps: at most STEPS
+    steps, MEMORY pairs of which shape the next."""
+    value, slope = f(theta)
+    moves: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(STEPS):
+        way, back = slope.copy(), []
+        for s, g in reversed(moves):
+            a = s @ way / (s @ g)
+            back.append(a)
+            way -= a * g
+        if moves:
+            s, g = moves[-1]
+            way *= s @ g / (g @ g)
+        else:
+            way /= max(np.abs(way).sum(), 1e-12)
+        for (s, g), a in zip(moves, reversed(back)):
+            way += (a - g @ way / (s @ g)) * s
+        size = 1.0
+        while True:
+            new = theta - size * way
+            new_value, new_slope = f(new)
+            if new_value <= value - 1e-4 * size * (way @ slope) or size < 1e-6:
+                break
+            size /= 2
+        s, g = new - theta, new_slope - slope
+        done = value - new_value < TOLERANCE * max(abs(value), 1e-3)
+        theta, value, slope = new, new_value, new_slope
+        if done:
+            break
+        if s @ g > 1e-12:
+            moves = [*moves, (s, g)][-MEMORY:]
+    return theta
+
+
 def fit(x: Lines, label: np.ndarray) -> Model:
     """From lines of documents with labels 0 and 1; of one class or none, a model that scores 0.5."""
     weights, move = np.zeros(3 * WIDTH), np.zeros((2, 2))
@@ -197,13 +233,15 @@ def fit(x: Lines, label: np.ndarray) -> Model:
     inner = np.ones(len(y), bool)
     inner[x.first[x.first < len(y)]] = False  # lines with a line before them in their document
     seen = np.array([[(inner & (y == 0)).sum(), 0], [0, (inner & (y == 1)).sum()]], float)
-    theta = np.concatenate([weights, move.ravel()])
-    m, v = np.zeros_like(theta), np.zeros_like(theta)
-    for k in range(1, STEPS + 1):
-        p, expected, _ = marginals(x.odds(theta[:-4]), x.first, theta[-4:].reshape(2, 2))
-        g = np.concatenate([x.slope(y - p), (seen - expected).ravel()]) / len(y) - DECAY * theta
-        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        theta = theta + RATE * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.999**k)) + 1e-8)
+
+    def value_and_slope(theta: np.ndarray) -> tuple[float, np.ndarray]:
+        """Of the penalised mean negative log likelihood of a line."""
+        odds = x.odds(theta[:-4])
+        p, expected, log_partition = marginals(odds, x.first, theta[-4:].reshape(2, 2))
+        value = (log_partition - odds @ y - (seen.ravel() @ theta[-4:])) / len(y) + DECAY / 2 * theta @ theta
+        return value, DECAY * theta - np.concatenate([x.slope(y - p), (seen - expected).ravel()]) / len(y)
+
+    theta = least_by_lbfgs(value_and_slope, np.concatenate([weights, move.ravel()]))
     model = Model(theta[:-4], theta[-4:].reshape(2, 2), 1.0, 0.0)
     share = model.share(x)
     has = ~np.isnan(share)
@@ -232,8 +270,8 @@ def held_out(id_col: Column) -> Column:
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", most: int = MOST_LABELLED, most_lines: int = MOST_LINES) -> Model:
     """Fits on at most `most` labelled documents outside the held-out fold, whose lines are at most `most_lines` together.
 
-    Executors compute the lines' features; the driver gets the size of each document, then the features of those that
-    the two bounds leave, in the order of a hash of the id. Labels other than 0 and 1 and null ids are not used; of an
+    Executors compute the lines' features; one task fits on those that the two bounds leave, in the order of a hash of the
+    id, and the driver gets the model alone. Labels other than 0 and 1 and null ids are not used; of an
     empty table, or one class, comes a model that scores 0.5."""
     known = labels.where(~held_out(F.col(id_col)) & F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
     known = settle(known.orderBy(F.xxhash64("id"), "id", "label").limit(most), "labelled")
@@ -248,11 +286,20 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
     sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(known), "id")
     sample = sample.select("id", "text", F.xxhash64("id", "text").alias("nth"), "label")
     rows = settle(sample.mapInArrow(run, "nth long, label int, n long, features binary, length binary"), "lines")
-    sizes = np.array([r.n for r in rows.select("nth", "label", "n").orderBy("nth", "label", "n").limit(most).collect()], np.int64)
-    rows = rows.orderBy("nth", "label", "n").limit(int((np.cumsum(sizes) <= most_lines).sum())).collect()
-    own = [np.frombuffer(bytes(r.features), np.float32).reshape(-1, WIDTH) for r in rows]
-    x = Lines(np.concatenate([np.zeros((0, WIDTH), np.float32), *own]), np.concatenate([np.zeros(0), *(np.frombuffer(bytes(r.length)) for r in rows)]), np.cumsum([0, *map(len, own)]))
-    return fit(x, np.array([r.label for r in rows], np.int64))
+    upto = F.sum("n").over(Window.orderBy("nth", "label", "n").rowsBetween(Window.unboundedPreceding, 0))
+    sample = rows.orderBy("nth", "label", "n").limit(most).withColumn("upto", upto).where(F.col("upto") <= most_lines)
+
+    def fit_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = list(batches)  # one task has the whole bounded sample
+        if not sum(map(len, got)):
+            return
+        table = pa.Table.from_batches(got)
+        own = [np.frombuffer(f, np.float32).reshape(-1, WIDTH) for f in table["features"].to_pylist()]
+        x = Lines(np.concatenate([np.zeros((0, WIDTH), np.float32), *own]), np.concatenate([np.zeros(0), *(np.frombuffer(c) for c in table["length"].to_pylist())]), np.cumsum([0, *map(len, own)]))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(x, table["label"].to_numpy().astype(np.int64)))], pa.binary())], ["model"])
+
+    found = sample.select("label", "features", "length").mapInArrow(fit_all, "model binary").collect()
+    return pickle.loads(found[0].model) if found else fit(Lines(np.zeros((0, WIDTH), np.float32), np.zeros(0), np.zeros(1, np.int64)), np.zeros(0, np.int64))
 
 
 def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:

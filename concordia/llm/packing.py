@@ -24,11 +24,16 @@ CAPACITY, END_ID = 4096, 1
 #: Open sequences of a task, and pieces that a task packs.
 OPEN_BINS, PIECES_PER_TASK = 2048, 100_000
 
+#: The column that tells pieces apart.
+_ROW = "_concordia_row"
 PIECE_SCHEMA = "piece int, start long, length long, ids_crc32 long"
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
-    """A document's ids, then end_id, cut only if longer than capacity: id, piece, start, length, ids_crc32 (and ids)."""
+    """A document's ids, then end_id, cut only if longer than capacity: id, piece, start, length, ids_crc32 (and ids).
+
+    A null or empty text is its end_id alone; null and repeated ids are cut row by row. Other columns are not read. An empty
+    table gives an empty result."""
     kind = docs.schema[id_col].dataType.simpleString()
     end = array("I", [end_id]).tobytes()
 
@@ -94,7 +99,11 @@ class BestFit:
 
 
 def pack(rows: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS) -> DataFrame:
-    """Adds sequence_id and offset to rows with a `length` of 1 to capacity; each partition is packed apart."""
+    """Adds sequence_id and offset to rows with a `length` of 1 to capacity; each partition is packed apart.
+
+    Equal rows are packed one by one; columns that are named like the results are replaced. An empty table stays empty. A null
+    length, or one out of bounds, is an error."""
+    rows = rows.drop("sequence_id", "offset")
     place = rows.columns.index("length")
     names = [*rows.columns, "sequence_id", "offset"]
 
@@ -103,7 +112,10 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS)
 
         base, fit = TaskContext.get().partitionId() << 40, BestFit(capacity, open_bins)
         for batch in batches:
-            spots = [fit.place(n) for n in batch.column(place).to_pylist()]
+            lengths = batch.column(place).to_pylist()
+            if any(n is None or not 0 < n <= capacity for n in lengths):
+                raise ValueError(f"lengths must be 1 to {capacity}")
+            spots = [fit.place(n) for n in lengths]
             columns = [*batch.columns, pa.array([base + s for s, _ in spots], pa.int64()), pa.array([o for _, o in spots], pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names)
 
@@ -114,10 +126,11 @@ def best_fit_packing(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id
     """Every piece of every row with its place: the columns of `pieces`, sequence_id, offset.
 
     A null or empty text is its end_id alone. Repeated rows are packed once each. Of docs only the id and text
-    are read. An empty table gives an empty result. Encoded pieces are written once; the number of packing tasks
-    follows their count, and each task's order is fixed, so a task that runs again packs alike."""
-    encoded = settle(pieces(docs, tokenizer_path, id_col, text_col, end_id, capacity, with_ids), "pieces", keep=True)
+    are read. An empty table gives an empty result. Encoded pieces are written once, each with a number of its own, by which
+    they are dealt: null ids, or one id on many rows, come to all tasks alike. The number of packing tasks follows the count
+    of pieces, and each task's order is fixed, so a task that runs again packs alike."""
+    numbered = pieces(docs, tokenizer_path, id_col, text_col, end_id, capacity, with_ids).withColumn(_ROW, F.monotonically_increasing_id())
+    encoded = settle(numbered, "pieces", keep=True)
     tasks = partitions_for(encoded.count(), per_task)
-    spread = F.xxhash64(F.col(id_col), "piece")
-    dealt = encoded.repartition(tasks, spread).sortWithinPartitions(spread, id_col, "piece", "ids_crc32")
-    return pack(dealt, capacity, open_bins)
+    dealt = encoded.repartition(tasks, F.xxhash64(_ROW)).sortWithinPartitions(F.xxhash64(_ROW), _ROW)
+    return pack(dealt.drop(_ROW), capacity, open_bins)

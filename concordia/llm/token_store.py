@@ -5,8 +5,8 @@ has one row for each block of consecutive documents; its `payload` is the file f
 
     4s magic, B bytes of an id (2 or 4), 32s SHA-256 of the dictionary, I documents,
     Q tokens of the range before the block, then by document: ids (q), token counts (I),
-    frame ends (I); then the frames, each a zstandard frame of one document's ids,
-    little-endian.
+    frame ends (I), whether the id is null (B); then the frames, each a zstandard frame of
+    one document's ids, little-endian.
 
 So one short document needs its block's index and its own frame only. Documents are in
 ascending id order over ranges, then blocks, then within a block. `ranges` has the number
@@ -37,7 +37,7 @@ DOCS_PER_RANGE, DOCS_PER_BLOCK, BYTES_PER_BLOCK = 5000, 1024, 4 << 20
 #: Ranges that one task adds up at a time; ranges up to which their totals are broadcast.
 CHUNK, BROADCAST_RANGES = 4096, 1_000_000
 HEAD = struct.Struct("<4sB32sIQ")
-MAGIC = b"TOK1"
+MAGIC = b"TOK2"
 BLOCKS = "range_no int, block_no int, first_id long, last_id long, n_docs int, n_tokens long, payload binary"
 
 
@@ -62,17 +62,18 @@ def _codec(dictionary: bytes):
 
 def pack_block(width: int, dictionary_hash: bytes, before: int, ids: list[int], counts: list[int], frames: list[bytes]) -> bytes:
     ends = np.cumsum([len(f) for f in frames]).astype("<u4")
-    return HEAD.pack(MAGIC, width, dictionary_hash, len(ids), before) + np.array(ids, "<i8").tobytes() + np.array(counts, "<u4").tobytes() + ends.tobytes() + b"".join(frames)
+    return HEAD.pack(MAGIC, width, dictionary_hash, len(ids), before) + np.array([i or 0 for i in ids], "<i8").tobytes() + np.array(counts, "<u4").tobytes() + ends.tobytes() + np.array([i is None for i in ids], np.uint8).tobytes() + b"".join(frames)
 
 
-def unpack_block(payload: bytes) -> tuple[int, bytes, int, np.ndarray, np.ndarray, list[bytes]]:
-    """(bytes of an id, dictionary's hash, tokens before, document ids, token counts, frames)."""
+def unpack_block(payload: bytes) -> tuple[int, bytes, int, np.ma.MaskedArray, np.ndarray, list[bytes]]:
+    """(bytes of an id, dictionary's hash, tokens before, document ids (null ones masked), token counts, frames)."""
     magic, width, digest, n, before = HEAD.unpack_from(payload)
     if magic != MAGIC:
         raise ValueError("not a token block")
     at = HEAD.size
     ids, counts, ends = np.frombuffer(payload, "<i8", n, at), np.frombuffer(payload, "<u4", n, at + 8 * n), np.frombuffer(payload, "<u4", n, at + 12 * n).astype(np.int64)
-    at += 16 * n
+    ids = np.ma.masked_array(ids, np.frombuffer(payload, np.uint8, n, at + 16 * n).astype(bool))
+    at += 17 * n
     return width, digest, before, ids, counts, [payload[at + a : at + b] for a, b in zip(np.append(0, ends[:-1]), ends)]
 
 
@@ -105,11 +106,11 @@ def prefix_sums(totals: DataFrame) -> DataFrame:
 def write_store(docs: DataFrame, tokenizer_path: str, pattern: str, end_id: int, vocabulary: int = 1 << 16, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
     """Writes the store in the shared folder: (dictionary, blocks, ranges).
 
-    Ids are integers; a null id ranks before all others and is stored as the least long. Null and empty texts are
+    Ids are integers; a null id ranks before all others and has a flag in its block. Null and empty texts are
     end_id alone. Repeated rows are stored one by one; rows with one id are in the order of a hash of their texts. An
     empty table gives no block. Spark deals rows to ranges by id, that hash and the row's place, so that no id, null
     ones neither, is one range however often it comes."""
-    docs = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("id"), F.col(text_col).alias("text"))
+    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     width = 2 if vocabulary <= 1 << 16 else 4
     kind = np.dtype(f"<u{width}")
     encoder = tokenizer_ids(tokenizer_path, pattern)
@@ -149,7 +150,8 @@ def write_store(docs: DataFrame, tokenizer_path: str, pattern: str, end_id: int,
 
     order = ["id", F.xxhash64("text"), F.monotonically_increasing_id()]
     keyed = docs.select("id", "text", *(c.alias(n) for c, n in zip(order[1:], ("h", "place"))))
-    dealt = keyed.repartitionByRange(partitions_for(docs.count(), DOCS_PER_RANGE), "id", "h", "place").sortWithinPartitions("id", "h", "place")
+    first = F.asc_nulls_first("id")
+    dealt = keyed.repartitionByRange(partitions_for(docs.count(), DOCS_PER_RANGE), first, "h", "place").sortWithinPartitions(first, "h", "place")
     blocks = settle(dealt.select("id", "text").mapInArrow(run, BLOCKS), "blocks")
     totals = settle(blocks.groupBy("range_no").agg(F.sum("n_tokens").alias("n")).select(F.col("range_no").cast("long").alias("no"), "n"), "totals")
     return shared, blocks, settle(prefix_sums(totals).select(F.col("no").cast("int").alias("range_no"), "base"), "ranges")
@@ -175,12 +177,11 @@ def read_store(shared: DataFrame, blocks: DataFrame, ranges: DataFrame) -> DataF
                     data = np.frombuffer(decompressor.decompress(f), f"<u{width}").astype("<u4")
                     length.append(len(data))
                     crc.append(zlib.crc32(data.tobytes()))
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())], ["id", "start", "n_tokens", "ids_crc32"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids.data, pa.int64(), mask=ids.mask), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())], ["id", "start", "n_tokens", "ids_crc32"])
 
     if ranges.count() <= BROADCAST_RANGES:
         ranges = F.broadcast(ranges)
-    found = blocks.join(ranges, "range_no").select("base", "payload").mapInArrow(run, "id long, start long, n_tokens long, ids_crc32 long")
-    return found.withColumn("id", F.when(F.col("id") != F.lit(-(2**63)), F.col("id")))
+    return blocks.join(ranges, "range_no").select("base", "payload").mapInArrow(run, "id long, start long, n_tokens long, ids_crc32 long")
 
 
 def read_document(shared: DataFrame, blocks: DataFrame, doc_id: int) -> list[np.ndarray]:
@@ -189,8 +190,8 @@ def read_document(shared: DataFrame, blocks: DataFrame, doc_id: int) -> list[np.
     Their block's index and their own frames are all that is decompressed."""
     dictionary = bytes(shared.first().dictionary)
     _, decompressor = _codec(dictionary)
-    rows = blocks.where((F.col("first_id") <= doc_id) & (F.col("last_id") >= doc_id)).orderBy("range_no", "block_no").toLocalIterator()
+    rows = blocks.where((F.coalesce("first_id", F.lit(doc_id)) <= doc_id) & (F.col("last_id") >= doc_id)).orderBy("range_no", "block_no").toLocalIterator()
     out = []
     for width, _, _, ids, _, frames in chain(unpack_block(bytes(r.payload)) for r in rows):
-        out += [np.frombuffer(decompressor.decompress(frames[i]), f"<u{width}") for i in np.flatnonzero(ids == doc_id)]
+        out += [np.frombuffer(decompressor.decompress(frames[i]), f"<u{width}") for i in np.flatnonzero((ids == doc_id).filled(False))]
     return out
