@@ -119,20 +119,25 @@ def components(edges: DataFrame) -> DataFrame:
 
 def across(buckets: DataFrame, labels: DataFrame, classes: DataFrame, near: Near, partners: int | None, sizes: Sizes = Sizes()) -> tuple[DataFrame, DataFrame]:
     """Candidate pairs between different components of a bucket, the `partners` likeliest by class and component (None:
-    all), and the buckets in which some were left out. Each row of a block carries its size and sketch alone."""
+    all), and the buckets in which some were left out. If the classes have `bands`, their buckets in one order, a pair is found in
+    the first bucket only that both share."""
     kind = classes.schema["id"].dataType.simpleString()
     labelled = buckets.join(labels, buckets.id == labels.node, "left").select("bucket", "id", F.coalesce("label", "id").alias("label"))
     mixed = labelled.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high and n > 2")
     blocks = F.least(F.ceil(F.col("n") / sizes.per_block), F.greatest(F.lit(sizes.blocks), F.ceil(F.col("n") / sizes.most_per_block))).cast("int")
     rows = labelled.join(mixed.select("bucket", blocks.alias("blocks")), "bucket").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    own = ["n_shingles", "sketch"]
+    own = [c for c in ("n_shingles", "sketch", "bands") if c in classes.columns]
     rows = rows.join(classes.select("id", *own), "id").select("bucket", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "id", "label", *own)
 
     def run(t: pa.Table) -> pa.Table:
         size = t["n_shingles"].to_numpy()
         label = np.unique(np.array(t["label"].to_pylist(), object), return_inverse=True)[1]
         odd = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint64).reshape(len(t), -1)
+        place = 0  # of the bucket among a class's bands
+        if "bands" in t.column_names:
+            bands = t["bands"].combine_chunks().flatten().to_numpy().reshape(len(t), -1)
+            place = int(np.flatnonzero(bands[0] == t["bucket"][0].as_py())[0])
         block, p, q = t["block"].to_numpy(), t["p"][0].as_py(), t["q"][0].as_py()
         mine, others = np.flatnonzero(block == p), np.flatnonzero(block == q)
         a, b, cut = [], [], False
@@ -141,6 +146,9 @@ def across(buckets: DataFrame, labels: DataFrame, classes: DataFrame, near: Near
             far = np.bitwise_count(odd[js] ^ odd[i]).sum(axis=1, dtype=np.int64)
             on = near(far, size[i], size[js])
             js, far = js[on], far[on]
+            if place:
+                new = ~(bands[js, :place] == bands[i, :place]).any(axis=1)
+                js, far = js[new], far[new]
             if partners is not None and len(js):
                 order = np.lexsort((far, label[js]))
                 js = js[order]
@@ -164,7 +172,7 @@ def across(buckets: DataFrame, labels: DataFrame, classes: DataFrame, near: Near
 def groups(classes: DataFrame, buckets: DataFrame, texts: DataFrame, near: Near, k: int, percent: int, sizes: Sizes = Sizes()) -> DataFrame:
     """node, label (the smallest id of its group) of the classes that have a link.
 
-    classes: id, n_shingles, sketch; buckets: bucket, id; both settled. texts: id, text, of classes at least."""
+    classes: id, n_shingles, sketch (and bands, see `across`); buckets: bucket, id; both settled. texts: id, text, of classes at least."""
     leaders = buckets.groupBy("bucket").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1")
     star = buckets.join(leaders, "bucket").where("id <> a").select("a", F.col("id").alias("b")).distinct()
     star = settle(alike(star, classes, near), "star")

@@ -148,7 +148,7 @@ def _linked_rows(docs: DataFrame, k: int, similarity: float, text_col: str) -> D
 
     buckets = settle(classes.select("id", F.explode("bands").alias("bucket")), "buckets")
     near = lambda far, a, b: may_match(far, a, b, similarity)
-    labels = groups(classes.select("id", "n_shingles", "sketch"), buckets, texts, near, k, round(100 * similarity), Sizes(PER_HUB, PARTNERS, PER_BLOCK, BLOCKS, MOST_PER_BLOCK))
+    labels = groups(classes.select("id", "n_shingles", "sketch", "bands"), buckets, texts, near, k, round(100 * similarity), Sizes(PER_HUB, PARTNERS, PER_BLOCK, BLOCKS, MOST_PER_BLOCK))
     by_class = classes.join(labels, classes.id == labels.node, "left").select("digest", F.coalesce("label", "id").alias("group"))
     return sketched.select(F.col("id").alias("key"), "n_shingles", "digest").join(by_class, "digest", "left")
 
