@@ -23,14 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from concordia.llm._cluster import settle
+from concordia.llm._cluster import settle, workspace
 
 #: Most vectors that the cut of a part, or of the table, is fitted on (the first by hash), and neighbours in their graph.
 SAMPLE, NEIGHBOURS = 6000, 20
 #: Vectors of a part that a cut aims at, seen vectors that it needs for each, the expected recall and the vectors kept to measure it.
 PER_PART, SEEN, RECALL, UNSEEN = 400, 32, 0.94, 1500
-#: Distinct vectors from which on a table is cut at all, vectors from which on a part is cut again, the recall of that, and most times.
-FEWEST, LARGE, RECALL_AGAIN, LEVELS = 16, 16_384, 0.98, 4
+#: Vectors from which on a part is cut again, the recall of that, and most times.
+LARGE, RECALL_AGAIN, LEVELS = 16_384, 0.98, 4
 #: Vectors and queries of one group; queries that are ranked at a time; pairs whose exact score is taken at a time.
 BLOCK, QUERIES, QUERY_BLOCK, PAIRS = 4096, 16_384, 1024, 1 << 17
 HIDDEN, EPOCHS = 128, 60
@@ -131,25 +131,29 @@ def fit_router(x: np.ndarray, target: np.ndarray, seed: int = 3) -> Router:
     return Router(*theta, scale)
 
 
-def fit(sample: np.ndarray, rows: int, recall: float = RECALL) -> tuple[Router | None, int]:
-    """A router over parts for `rows` vectors and how many parts to probe, from a sample; (None, 1) if it has under FEWEST."""
-    if len(sample) < FEWEST:
-        return None, 1
+def fit(sample: np.ndarray, rows: int, recall: float = RECALL, least: int = NEIGHBOURS + 1) -> tuple[Router, int]:
+    """A router over parts (two at least) for `rows` vectors and how many parts to probe, from a sample of one or more: enough
+    for the recall, and for the smallest parts to hold `least` vectors.
+
+    Of fewer than four vectors none can be spared to measure on, so the seen ones are."""
     unseen = sample[len(sample) - min(UNSEEN, len(sample) // 4) :]
     seen = sample[: len(sample) - len(unseen)]
+    unseen = unseen if len(unseen) else seen
     parts = 2
     while rows / parts > PER_PART and len(seen) / (2 * parts) >= SEEN:
         parts *= 2
     graph = neighbour_graph(seen, NEIGHBOURS)
     part = balanced_parts(graph, parts)
     target = np.zeros((len(seen), parts))
-    np.add.at(target, (np.arange(len(seen))[:, None], part[graph]), 0.7 / graph.shape[1])
+    np.add.at(target, (np.arange(len(seen))[:, None], part[graph]), 0.7 / max(graph.shape[1], 1))
     target[np.arange(len(seen)), part] += 0.3
     router = fit_router(seen, target)
     near = np.argsort(-(unseen @ seen.T), axis=1)[:, :NEIGHBOURS]
     place = np.argsort(router.best(unseen, parts), axis=1)
     needed = np.take_along_axis(place, router.best(seen, 1)[:, 0][near], axis=1)
-    return router, int(np.quantile(needed, min(1.0, recall + 0.5 / np.sqrt(len(unseen))), method="higher")) + 1
+    probes = int(np.quantile(needed, min(1.0, recall + 0.5 / np.sqrt(len(unseen))), method="higher")) + 1
+    held = np.cumsum(np.sort(np.bincount(router.best(seen, 1)[:, 0], minlength=parts))) * rows / len(seen)
+    return router, min(parts, max(probes, int(np.searchsorted(held, least)) + 1))
 
 
 def _exact(q: np.ndarray, c: np.ndarray) -> np.ndarray:
@@ -233,33 +237,39 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_
     """query_id, rank, id_col, score: for each row whose id is divisible by `every` its k nearest among the other rows.
 
     Nearness is the largest inner product, in double precision, ties to smaller ids. Vectors that are null, zero or
-    hold null or non-finite components take no part, nor do null ids; repeated rows count once. Rows whose vectors
-    have another length than the commonest are compared with none. An empty table gives an empty result.
+    hold null or non-finite components take no part, nor do null ids; repeated rows count once. Vectors are compared with
+    those of their own length: each length is searched by itself, with parts of its own. Other columns are not read, whatever
+    their names. An empty table gives an empty result.
 
     Equal vectors are one class: of its members only the k + 1 smallest ids can be in a result, so a vector that a
     third of the rows share costs as much as any other."""
     v = vectors.where(usable(vector_col) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
     v = v.withColumns({"h1": F.xxhash64("v"), "h2": F.xxhash64(F.lit(2), "v")})
-    v = settle(v, "vectors")
-    width = v.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
     kind = f"query_id long, rank int, `{id_col}` long, score double"
-    if width is None:
-        return vectors.sparkSession.createDataFrame([], kind)
-    v = v.where(F.size("v") == width.d)
+    with workspace(vectors.sparkSession):
+        v = settle(v, "vectors")
+        out = vectors.sparkSession.createDataFrame([], kind)
+        for width in sorted(r.d for r in v.select(F.size("v").alias("d")).distinct().collect()):
+            out = out.unionByName(_search(v.where(F.size("v") == width), width, k, every, id_col, recall))
+        return settle(out, "nearest", keep=True)
+
+
+def _search(v: DataFrame, length: int, k: int, every: int, id_col: str, recall: float) -> DataFrame:
+    """`search` over settled rows (id, v, h1, h2) of one length."""
     small = v.select("id", "h1", "h2").distinct().withColumn("nth", F.row_number().over(Window.partitionBy("h1", "h2").orderBy("id"))).where(F.col("nth") <= k + 1)
     members = settle(small.groupBy("h1", "h2").agg(F.array_sort(F.collect_list("id")).alias("ids")), "members")
     classes = settle(v.groupBy("h1", "h2").agg(F.any_value("v").alias("v"), F.min("id").alias("least")), "classes")
     asked = settle(v.where(F.col("id") % every == 0).select("id", "h1", "h2").distinct(), "asked")
     rows = classes.count()
-    sample = np.array([r.v for r in classes.orderBy("h1", "h2").limit(SAMPLE).select("v").collect()]).reshape(-1, width.d)
-    router, probes = fit(sample, rows, recall)
+    sample = np.array([r.v for r in classes.orderBy("h1", "h2").limit(SAMPLE).select("v").collect()]).reshape(-1, length)
+    router, probes = fit(sample, rows, recall, k + 1)
 
     def route(m: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 if len(batch):
                     x = _matrix(batch.column(2))
-                    best = np.zeros((len(x), 1), np.int64) if router is None else router.best(x, m)
+                    best = router.best(x, m)
                     at = pa.array(np.repeat(np.arange(len(x)), best.shape[1]))
                     yield pa.RecordBatch.from_arrays([*(c.take(at) for c in batch.columns), pa.array(best.ravel())], ["h1", "h2", "v", "least", "part"])
 

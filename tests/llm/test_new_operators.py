@@ -10,7 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from concordia.llm import _links, hard_negatives, parity_join, prefix_trie
-from test_operators import grouped
+from concordia.llm import learned_partitions, packing, token_store
+from test_operators import grouped, nearest
 
 
 # Hard negatives
@@ -193,3 +194,47 @@ def test_sets_that_are_alike_share_a_word(percent):
             apart = size + larger - 2 * both
             assert apart <= parity_join.most_different(size, larger, percent) < words[band]
             assert (one == two).any() and int(np.bitwise_count(one ^ two).sum()) <= apart
+
+
+# Mended in the third round
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 17, 30])
+def test_few_vectors_give_all_candidates(spark, n):
+    rows = [(i, np.random.default_rng(i).normal(size=6).astype(np.float32).tolist()) for i in range(n)]
+    got = learned_partitions.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), every=3).collect()
+    want = nearest(rows, 20, 3)
+    assert Counter(r.query_id for r in got) == Counter({q: len(w) for q, w in want.items() if w})
+    if n <= 21:
+        assert sorted((r.query_id, r["rank"], r.vec_id) for r in got) == sorted((q, k, j) for q, w in want.items() for k, (_, j) in enumerate(w, 1))
+
+
+def test_every_length_is_searched(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(size=3 + i % 2).astype(np.float32).tolist()) for i in range(24)]
+    got = learned_partitions.search(spark.createDataFrame([(*r, 0) for r in rows], "vec_id long, embedding array<float>, part int"), every=3).collect()
+    assert Counter(r.query_id for r in got) == Counter({i: 11 for i in range(0, 24, 3)})
+    assert all((r.query_id - r.vec_id) % 2 == 0 for r in got)
+
+
+@pytest.mark.parametrize("ids", ["null", "one"])
+def test_pieces_of_one_id_come_to_all_tasks(spark, ids):
+    import public_tokenizers
+
+    docs = spark.range(400).select(F.lit(None if ids == "null" else 7).cast("long").alias("doc_id"), F.concat(F.lit("word "), F.col("id") % 5).alias("text"), F.lit(1).alias("sequence_id"))
+    got = packing.best_fit_packing(docs, public_tokenizers.path("word_bpe_49k.json"), per_task=50)
+    sizes = got.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 8 and max(r["count"] for r in sizes) < 100 and got.count() == 400
+    spots = {(r.sequence_id, r.offset) for r in got.collect()}
+    assert len(spots) == 400  # no two pieces have one place
+    assert packing.pack(docs.select("doc_id", F.lit(3).alias("length"), "sequence_id").limit(5)).columns == ["doc_id", "length", "sequence_id", "offset"]
+
+
+def test_the_least_id_is_an_id(spark):
+    import public_tokenizers
+
+    docs = spark.createDataFrame([(-(2**63), "a b"), (None, "c"), (None, None), (5, "d e f")], "doc_id long, text string")
+    store = token_store.write_store(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, end_id=2)
+    got = [(r.id, r.n_tokens) for r in token_store.read_store(*store).orderBy("start").collect()]
+    assert sorted(got[:2], key=str) == [(None, 1), (None, 2)] and [i for i, _ in got[2:]] == [-(2**63), 5]
+    assert len(token_store.read_document(store[0], store[1], -(2**63))) == 1 and len(token_store.read_document(store[0], store[1], 5)) == 1
