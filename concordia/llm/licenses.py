@@ -8,6 +8,9 @@ against ordered licence rules. All of it is column expressions.
 from __future__ import annotations
 
 import re
+from collections import Counter
+from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,7 +65,17 @@ RULES = [
     ("BSD-2-Clause", ["bsd-source", "bsd-binary", "bsd-as-is"], ["BSD-3-Clause"]),
     ("BSD", ["bsd-source", "bsd-binary"], ["BSD-3-Clause", "BSD-2-Clause"]),
     ("ISC", ["isc-grant", "isc-as-is"]),
+    ("ISC", ["isc-grant"]),
     ("0BSD", ["0bsd-grant", "isc-as-is"]),
+    ("BSL-1.0", ["boost-head"]),
+    ("BSL-1.0", ["boost-ref"]),
+    ("BSL-1.0", ["boost-grant"]),
+    ("Zlib", ["zlib-as-is", "zlib-grant"]),
+    ("Zlib", ["zlib-grant", "zlib-origin"]),
+    ("EPL-2.0", ["epl2-head"]),
+    ("EPL-2.0", ["epl2-ref"]),
+    ("EPL-1.0", ["epl1-head"]),
+    ("EPL-1.0", ["epl1-ref"]),
     ("MPL-2.0", ["mpl2-form", "mpl2-copy"]),
     ("MPL-2.0", ["mpl2-head", "mpl2-contributor"]),
     ("Unlicense", ["unlicense"]),
@@ -76,6 +89,13 @@ CREATIVE_COMMONS = {
 }
 CC_VERSIONS = {"4.0": "4.0 International", "3.0": "3.0 Unported", "2.5": "2.5 Generic", "2.0": "2.0 Generic"}
 RULES += [(f"{c}-{v}", [f"{c}-{v}".lower() + "-ref"]) for c in dict.fromkeys(CREATIVE_COMMONS.values()) for v in CC_VERSIONS]
+#: Names that a tag of one line may give, alone or with `OR` between two. Fixed values.
+TAGS = [
+    "MIT", "Apache-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "AGPL-3.0-only", "AGPL-3.0-or-later", "GPL-2.0",
+    "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "BSD-2-Clause", "BSD-3-Clause", "ISC", "0BSD", "MPL-2.0", "Unlicense", "CC0-1.0", "BSL-1.0", "Zlib", "EPL-1.0", "EPL-2.0", "CC-BY-4.0", "CC-BY-SA-4.0",
+]
+RULES += [(name, [f"spdx-{name.lower()}"]) for name in TAGS]
+_TAG = "SPDX-License-Identifier: "
 #: Sentences of published licence texts and notices, with the identifiers for which each stands. Fixed values.
 TEXTS = {
     "In no event shall the authors or copyright holders be liable for any claim, damages or other liability, whether in an action of contract, tort or otherwise, arising from, out of or in connection with the software or the use or other dealings in the software": "mit-liable",
@@ -91,6 +111,19 @@ TEXTS = {
     "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted": "0bsd-grant",
     **{f'The software is provided "as is" and {who} disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness': "isc-as-is" for who in ("the author", "ISC", "Internet Systems Consortium")},
     **{f"In no event shall {who} be liable for any special, direct, indirect, or consequential damages or any damages whatsoever resulting from loss of use, data or profits, whether in an action of contract, negligence or other tortious action, arising out of or in connection with the use or performance of this software": "isc-liable" for who in ("the author", "ISC")},
+    **{_TAG + name: f"spdx-{name.lower()}" for name in TAGS},
+    **{f"{_TAG}{a} OR {b}": f"spdx-{a.lower()} spdx-{b.lower()}" for a in TAGS for b in ("MIT", "Apache-2.0", "BSD-3-Clause", "BSD-2-Clause") if a != b},
+    "Boost Software License - Version 1.0 - August 17th, 2003": "boost-head",
+    **{f"{lead}under the Boost Software License, Version 1.0": "boost-ref" for lead in ("Distributed ", "Licensed ", "This file is distributed ")},
+    'Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:': "boost-grant",
+    "This software is provided 'as-is', without any express or implied warranty": "zlib-as-is",
+    "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:": "zlib-grant",
+    "The origin of this software must not be misrepresented": "zlib-origin",
+    "Eclipse Public License - v 2.0": "epl2-head",
+    "Eclipse Public License - v 1.0": "epl1-head",
+    **{f"This program and the accompanying materials are made available under the terms of the Eclipse Public License {v} which {more}": f"epl{v.strip("v ")[0]}-ref" for v in ("2.0", "v2.0", "v 2.0", "1.0", "v1.0", "v 1.0") for more in ("accompanies this distribution", "is available at")},
+    **{f"This program and the accompanying materials are made available under the terms of the Eclipse Public License {v} which accompanies this distribution, and is available at {at}": "epl2-ref" if "2" in v else "epl1-ref" for v in ("2.0", "v2.0", "1.0", "v1.0") for at in ("https://www.eclipse.org/legal/epl-2.0", "http://www.eclipse.org/legal/epl-v10.html") if (at[-2:] == ".0") == ("2" in v)},
+    **{f"This program and the accompanying materials are made available under the terms of the Eclipse Public License {v} which is available at {at}": "epl2-ref" for v in ("2.0", "v2.0", "v. 2.0") for at in ("https://www.eclipse.org/legal/epl-2.0", "http://www.eclipse.org/legal/epl-2.0", "https://www.eclipse.org/legal/epl-v20.html")},
     "GNU General Public License Version 3, 29 June 2007": "gpl3-head",
     "GNU General Public License Version 2, June 1991": "gpl2-head",
     "GNU Lesser General Public License Version 3, 29 June 2007": "lgpl3-head",
@@ -147,6 +180,8 @@ PUBLISHED = {
     f"{_BSD_LEAD}{_BSD_SOURCE} {_BSD_BINARY}": "bsd-source bsd-binary",
     **{plain(s): ids for s, ids in TEXTS.items()},
 }
+#: Words that lead a line of a comment in some languages; signs that do so are dropped in any case.
+LEADERS = r"(?m)^[^\S\n]*(?:dnl|rem)[^\S\n]+"
 #: Sentences end at . ! ? ; before white space or the end, and at blank lines. A single line feed may end one or lie within it.
 BOUNDS = r"[.!?;]+(?:\s+|$)|\n[^\S\n]*\n\s*"
 
@@ -164,17 +199,33 @@ def _any_of(sentences: list[list[str]], between: str) -> str:
     return parts[0] if len(parts) == 1 else f"(?:{'|'.join(parts)})"
 
 
+def triggers(known: Iterable[str]) -> list[str]:
+    """A few words of which every known sentence holds one, so a text without any of them holds no known sentence.
+
+    Long words only, where a sentence has one, as they are rarer; by turns the one that the most of the other sentences have."""
+    left = [{w for w in s.split(" ") if len(w) >= 7} or {max(s.split(" "), key=len)} for s in known]
+    out = []
+    while left:
+        count = Counter(w for words in left for w in words)
+        out.append(max(sorted(count), key=count.get))
+        left = [words for words in left if not any(out[-1] in w for w in words)]
+    return out
+
+
 def sentence_ids(text: Column, sentences: dict[str, str] = SENTENCES, published: dict[str, str] = PUBLISHED) -> Column:
-    """The identifiers of a text's known sentences, in order; none if it is null.
+    """The identifiers of a text's known sentences, in order; none if it is null or empty. Any length of text is searched whole.
 
     The normalised text has B for the end of a sentence and L for a single line feed (lower case leaves no others). Known
     sentences are found between any two of these, with L inside as lines are wrapped; of those at one place, the longest."""
     known = published | {v: k for k, v in sentences.items()}
-    marked = F.regexp_replace(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), BOUNDS, " B "), "\n", " L ")
+    small = F.lower(F.coalesce(text, F.lit("")))
+    marked = F.regexp_replace(F.regexp_replace(F.regexp_replace(small, LEADERS, " "), BOUNDS, " B "), "\n", " L ")
     line = F.concat(F.lit("B "), F.trim(F.regexp_replace(marked, "[^a-z0-9BL]+", " ")), F.lit(" B"))
     found = F.regexp_extract_all(line, F.lit(f"[BL] ({_any_of([s.split(' ') for s in known], ' (?:L )*+')})(?= [BL])"), F.lit(1))
     ids = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
-    return F.flatten(F.transform(found, lambda s: F.split(F.try_element_at(ids, F.regexp_replace(s, "(?: L)+", "")), " ")))
+    found = F.flatten(F.transform(found, lambda s: F.split(F.try_element_at(ids, F.regexp_replace(s, "(?: L)+", "")), " ")))
+    some = reduce(lambda a, b: a | b, (small.contains(w) for w in triggers(known)))
+    return F.when(some, found).otherwise(F.array().cast("array<string>"))  # the large pattern meets few texts
 
 
 def rule_pattern(ids: list[str]) -> str:

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from concordia.llm import _links, hard_negatives, parity_join, prefix_trie
-from concordia.llm import learned_partitions, packing, token_store
+from concordia.llm import learned_partitions, licenses, packing, token_store
 from test_operators import grouped, nearest
 
 
@@ -238,3 +238,27 @@ def test_the_least_id_is_an_id(spark):
     got = [(r.id, r.n_tokens) for r in token_store.read_store(*store).orderBy("start").collect()]
     assert sorted(got[:2], key=str) == [(None, 1), (None, 2)] and [i for i, _ in got[2:]] == [-(2**63), 5]
     assert len(token_store.read_document(store[0], store[1], -(2**63))) == 1 and len(token_store.read_document(store[0], store[1], 5)) == 1
+
+
+ISC = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."
+ZLIB = "This software is provided 'as-is', without any express or implied\nwarranty.  In no event will the authors be held liable.\n\nPermission is granted to anyone to use this software for any purpose,\nincluding commercial applications, and to alter it and redistribute it\nfreely, subject to the following restrictions:\n\n1. The origin of this software must not be misrepresented; you must not"
+NOTICES = [
+    (ISC, ["ISC"]), (ISC.replace(" ", "\n * "), ["ISC"]), ("// SPDX-License-Identifier: MIT\nint x;", ["MIT"]), ("/* SPDX-License-Identifier: GPL-2.0-or-later */", ["GPL-2.0-or-later"]), ("# SPDX-License-Identifier: (MIT OR Apache-2.0)", ["MIT", "Apache-2.0"]),
+    ("Distributed under the Boost Software License, Version 1.0. (See accompanying file)", ["BSL-1.0"]), ("Boost Software License - Version 1.0 - August 17th, 2003", ["BSL-1.0"]), (ZLIB, ["Zlib"]), (ZLIB.upper(), ["Zlib"]),
+    ("This program and the accompanying materials\nare made available under the terms of the Eclipse Public License 2.0\nwhich is available at https://www.eclipse.org/legal/epl-2.0/", ["EPL-2.0"]),
+    ("All rights reserved. This program and the accompanying materials\n * are made available under the terms of the Eclipse Public License v1.0\n * which accompanies this distribution, and is available at\n * http://www.eclipse.org/legal/epl-v10.html", ["EPL-1.0"]),
+    ("dnl This program is free software; you can redistribute it and/or modify\ndnl it under the terms of the GNU General Public License as published by\ndnl the Free Software Foundation; either version 3 of the License, or\ndnl (at your option) any later version.", ["GPL-3.0-or-later"]),
+    ("REM Licensed under the MIT\nREM License.", ["MIT"]), ("a word\n" * 200_000 + "Released under the MIT license.", ["MIT"]), ("the software of this project has no licence", []), (None, []), ("", []),
+]
+
+
+def test_more_licenses(spark):
+    docs = spark.createDataFrame([(i, t, "x") for i, (t, _) in enumerate(NOTICES)], "doc_id long, text string, license string")
+    got = {r.doc_id: list(r.licenses) for r in licenses.scan_licenses(docs).collect()}
+    assert got == {i: names for i, (_, names) in enumerate(NOTICES)}
+
+
+def test_every_known_sentence_has_a_trigger():
+    known = [*licenses.SENTENCES.values(), *licenses.PUBLISHED]
+    words = licenses.triggers(known)
+    assert len(words) < 12 and all(any(w in s for w in words) for s in known)
