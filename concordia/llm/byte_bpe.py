@@ -62,7 +62,10 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id"
 
 
 def decode(tokens: DataFrame, rank_path: str, pattern: str, ids_col: str = "ids") -> DataFrame:
-    """tokens with `decoded`, the raw bytes of its ids; null ids are as none. Ids outside the ranks fail."""
+    """tokens with `decoded`, the raw bytes of its ids; null ids are as none. Ids outside the ranks, or a null among them, fail.
+
+    Repeated rows are decoded one by one; a column named `decoded` is replaced. An empty table stays empty."""
+    tokens = tokens.drop(*({"decoded"} - {ids_col}))
     place = tokens.columns.index(ids_col)
     names = [*tokens.columns, "decoded"]
 

@@ -15,7 +15,10 @@ PREFIX = ["_a", "_b", "_n"]
 
 
 def prefix_hashes(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
-    """Turns with conv, role, text, their place `_n` from 1 and the prefix's hash `_a`, `_b`; `_last` marks the whole."""
+    """Turns with conv, role, text, their place `_n` from 1 and the prefix's hash `_a`, `_b`; `_last` marks the whole.
+
+    Rows without a conversation go; null turns, roles and texts come first and differ from empty ones; repeated rows are turns
+    of their own. An empty table stays empty; other columns are not read."""
     order = [F.col("turn").asc_nulls_first(), F.col("role").asc_nulls_first(), F.col("text").asc_nulls_first()]
     w = Window.partitionBy("conv").orderBy(*order)
     so_far = w.rowsBetween(Window.unboundedPreceding, 0)
@@ -27,7 +30,9 @@ def prefix_hashes(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "
 
 
 def maximal_conversations(turns: DataFrame, **columns: str) -> DataFrame:
-    """conv and n_turns of each conversation that is neither a proper prefix of another nor equal to one with a smaller id."""
+    """conv and n_turns of each conversation that is neither a proper prefix of another nor equal to one with a smaller id.
+
+    Nulls, repeated rows and empty tables as in `prefix_hashes`."""
     hashes = prefix_hashes(turns, **columns).select("conv", *PREFIX, "_last")
     whole = hashes.where("_last").groupBy(*PREFIX).agg(F.min("conv").alias("conv"))
     parts = hashes.where("not _last").select(*PREFIX).distinct()

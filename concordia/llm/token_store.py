@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from concordia.llm import _text as X
-from concordia.llm._cluster import partitions_for, settle
+from concordia.llm._cluster import partitions_for, settle, workspace
 from concordia.llm._pieces import tokenizer_ids
 
 #: The dictionary is trained on at most SAMPLE whole documents of at most SAMPLE_CHARS together, the first by a hash of
@@ -117,44 +117,45 @@ def write_store(docs: DataFrame, tokenizer_path: str, pattern: str, end_id: int,
     dictionary = train_dictionary([encoder.of(s)[0].astype(kind).tobytes() for t in _samples(docs) for _, s in X.slices(pa.array([t]))])
     digest = hashlib.sha256(dictionary).digest()
     spark = docs.sparkSession
-    shared = settle(spark.createDataFrame([(digest.hex(), bytearray(dictionary))], "sha256 string, dictionary binary"), "dictionary")
-    tail = np.array([end_id], kind)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        def flush() -> pa.RecordBatch:
-            payload = pack_block(width, digest, before, ids, counts, frames)
-            values = zip((range_no, block_no, ids[0], ids[-1], len(ids), sum(counts), payload), (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()))
-            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in values], ["range_no", "block_no", "first_id", "last_id", "n_docs", "n_tokens", "payload"])
-
-        encoder, (compressor, _) = tokenizer_ids(tokenizer_path, pattern), _codec(dictionary)
-        range_no, block_no, before, size = TaskContext.get().partitionId(), 0, 0, 0
-        ids, counts, frames = [], [], []
-        for batch in batches:
-            for at, s in X.slices(batch.column(1)):
-                found, upto = encoder.of(s)
-                found = found.astype(kind)
-                for i, a, b in zip(batch.column(0).slice(at, s.n).to_pylist(), upto[:-1].tolist(), upto[1:].tolist()):
-                    frame = compressor.compress(np.append(found[a:b], tail).tobytes())
-                    if ids and (len(ids) >= DOCS_PER_BLOCK or size + len(frame) > BYTES_PER_BLOCK):
-                        yield flush()
-                        block_no, before, size = block_no + 1, before + sum(counts), 0
-                        ids, counts, frames = [], [], []
-                    ids.append(i)
-                    counts.append(b - a + 1)
-                    frames.append(frame)
-                    size += len(frame)
-        if ids:
-            yield flush()
-
-    order = ["id", F.xxhash64("text"), F.monotonically_increasing_id()]
-    keyed = docs.select("id", "text", *(c.alias(n) for c, n in zip(order[1:], ("h", "place"))))
-    first = F.asc_nulls_first("id")
-    dealt = keyed.repartitionByRange(partitions_for(docs.count(), DOCS_PER_RANGE), first, "h", "place").sortWithinPartitions(first, "h", "place")
-    blocks = settle(dealt.select("id", "text").mapInArrow(run, BLOCKS), "blocks")
-    totals = settle(blocks.groupBy("range_no").agg(F.sum("n_tokens").alias("n")).select(F.col("range_no").cast("long").alias("no"), "n"), "totals")
-    return shared, blocks, settle(prefix_sums(totals).select(F.col("no").cast("int").alias("range_no"), "base"), "ranges")
+    with workspace(spark):
+        shared = settle(spark.createDataFrame([(digest.hex(), bytearray(dictionary))], "sha256 string, dictionary binary"), "dictionary", keep=True)
+        tail = np.array([end_id], kind)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            from pyspark import TaskContext
+
+            def flush() -> pa.RecordBatch:
+                payload = pack_block(width, digest, before, ids, counts, frames)
+                values = zip((range_no, block_no, ids[0], ids[-1], len(ids), sum(counts), payload), (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()))
+                return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in values], ["range_no", "block_no", "first_id", "last_id", "n_docs", "n_tokens", "payload"])
+
+            encoder, (compressor, _) = tokenizer_ids(tokenizer_path, pattern), _codec(dictionary)
+            range_no, block_no, before, size = TaskContext.get().partitionId(), 0, 0, 0
+            ids, counts, frames = [], [], []
+            for batch in batches:
+                for at, s in X.slices(batch.column(1)):
+                    found, upto = encoder.of(s)
+                    found = found.astype(kind)
+                    for i, a, b in zip(batch.column(0).slice(at, s.n).to_pylist(), upto[:-1].tolist(), upto[1:].tolist()):
+                        frame = compressor.compress(np.append(found[a:b], tail).tobytes())
+                        if ids and (len(ids) >= DOCS_PER_BLOCK or size + len(frame) > BYTES_PER_BLOCK):
+                            yield flush()
+                            block_no, before, size = block_no + 1, before + sum(counts), 0
+                            ids, counts, frames = [], [], []
+                        ids.append(i)
+                        counts.append(b - a + 1)
+                        frames.append(frame)
+                        size += len(frame)
+            if ids:
+                yield flush()
+
+        order = ["id", F.xxhash64("text"), F.monotonically_increasing_id()]
+        keyed = docs.select("id", "text", *(c.alias(n) for c, n in zip(order[1:], ("h", "place"))))
+        first = F.asc_nulls_first("id")
+        dealt = keyed.repartitionByRange(partitions_for(docs.count(), DOCS_PER_RANGE), first, "h", "place").sortWithinPartitions(first, "h", "place")
+        blocks = settle(dealt.select("id", "text").mapInArrow(run, BLOCKS), "blocks", keep=True)
+        totals = settle(blocks.groupBy("range_no").agg(F.sum("n_tokens").alias("n")).select(F.col("range_no").cast("long").alias("no"), "n"), "totals")
+        return shared, blocks, settle(prefix_sums(totals).select(F.col("no").cast("int").alias("range_no"), "base"), "ranges", keep=True)
 
 
 def read_store(shared: DataFrame, blocks: DataFrame, ranges: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from concordia.llm._cluster import settle
+from concordia.llm._cluster import settle, workspace
 from concordia.llm._text import mix
 
 #: Most bits of the levels that tasks hold at a time (64 MB); a larger list is cut into ranges of keys, looked up by turns.
@@ -55,7 +55,7 @@ class Level:
 
 
 def level(keys: DataFrame, n: int, p: float, number: int) -> Level:
-    """A Bloom filter of keys (h1, h2): tasks set bits, words are combined by `bit_or`, the driver gets the words."""
+    """A Bloom filter of keys (h1, h2): tasks set bits, words are combined by `bit_or`, the driver gets them a batch at a time."""
     hashes = max(1, round(-math.log2(p)))
     size = max(64, math.ceil(n * hashes / math.log(2)))
     empty = Level(np.zeros(0, np.uint64), size, hashes, int(mix(np.array([number], np.uint64))[0]))
@@ -68,9 +68,14 @@ def level(keys: DataFrame, n: int, p: float, number: int) -> Level:
             np.bitwise_or.at(bits, which, np.uint64(1) << (at & np.uint64(63)))
             yield pa.RecordBatch.from_arrays([pa.array(word.astype(np.int64)), pa.array(bits.view(np.int64))], ["word", "bits"])
 
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([c.to_numpy().tobytes()], pa.binary()) for c in batch.columns], ["word", "bits"])
+
     bits = np.zeros(-(-size // 64), np.uint64)
-    for r in keys.select("h1", "h2").mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toLocalIterator():
-        bits[r.word] = np.uint64(r.bits & (2**64 - 1))
+    words = keys.select("h1", "h2").mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    for r in words.mapInArrow(pack, "word binary, bits binary").toLocalIterator():
+        bits[np.frombuffer(r.word, np.int64)] = np.frombuffer(r.bits, np.uint64)
     return Level(bits, size, hashes, empty.salt)
 
 
@@ -102,7 +107,8 @@ def ranges_for(n: int, universe_rows: int) -> int:
 
 
 def build(keys: DataFrame, universe: DataFrame, universe_rows: int) -> list[Level]:
-    """The cascade of `keys` (h1, h2, distinct) over `universe` (h1, h2; may repeat and hold keys)."""
+    """The cascade of `keys` (h1, h2, distinct) over `universe` (h1, h2; may repeat and hold keys). Neither side has nulls; without
+    keys there is no level, and an empty universe gives one level."""
     n = keys.count()
     if not n:
         return []
@@ -151,33 +157,34 @@ def url_filter(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
     block. Without a rule, `default`. A null url, or one without ://, has an empty host and path and no rule.
     Repeated rows are judged one by one; an empty table or list gives an empty result or defaults. Of the rules only
     their shapes (host labels, path length) come to the driver; a list of any size is looked up in ranges of keys."""
-    rules = rules.where("host is not null and path is not null").select(F.translate("host", UPPER, LOWER).alias("host"), "path", "verdict").distinct()
-    rules = settle(rules.withColumns({"labels": labels(F.col("host")), "length": F.length("path")}), "rules")
-    shapes = sorted((r.labels, r.length) for r in rules.select("labels", "length").distinct().collect())
-    host, path = host_and_path(F.col(url_col))
-    pages = pages.select(F.col(id_col), host.alias("host"), path.alias("path"))
-    pair = lambda key: [h.alias(n) for h, n in zip(hashed(key), ("h1", "h2"))]
-    keys = settle(rules.select(*pair(F.concat("verdict", F.lit(" "), "host", "path"))).distinct(), "listed")
-    rows = 2 * len(shapes) * pages.count()
-    turns = ranges_for(keys.count(), rows)
-
-    keyed = pages.withColumn("_keys", _keys(F.col("host"), F.col("path"), shapes)).withColumn("_keys", F.col("_keys.key"))
-    both = [F.transform("_keys", _hash_of(tag, i)) for tag in ("allow", "block") for i in (0, 1)]
-    hits = F.transform("_keys", lambda k: F.lit(0))
-    state = keyed.select(id_col, "host", "path", "_keys", *(b.alias(f"_h{i}") for i, b in enumerate(both)), hits.alias("_hits"))
-    names, schema = state.columns, state.schema
-    universe = state.select(F.explode(F.concat(F.arrays_zip(F.col("_h0").alias("h1"), F.col("_h1").alias("h2")), F.arrays_zip(F.col("_h2").alias("h1"), F.col("_h3").alias("h2")))).alias("k")).select("k.h1", "k.h2")
-    if turns > 1:
-        state = settle(state, "pages")
-    for turn in range(turns):
-        mine = F.pmod(F.col("h1"), F.lit(turns)) == turn
-        levels = build(keys.where(mine), universe.where(mine), rows // turns)
-        state = state.mapInArrow(_look_up(levels, names, turn, turns), schema)
-        if turn < turns - 1:
-            state = settle(state, "pages")
-    best = F.array_position(F.transform("_hits", lambda h: h > 0), True).cast("int")
-    found = state.select(id_col, "host", "path", F.when(best > 0, F.get("_keys", best - 1)).alias("rule"), F.when(best > 0, F.get("_hits", best - 1)).alias("_hit"))
-    return found.select(id_col, "host", "path", "rule", F.when(F.col("_hit") >= 2, "block").when(F.col("_hit") == 1, "allow").otherwise(default).alias("verdict"))
+    with workspace(pages.sparkSession):
+        rules = rules.where("host is not null and path is not null").select(F.translate("host", UPPER, LOWER).alias("host"), "path", "verdict").distinct()
+        rules = settle(rules.withColumns({"labels": labels(F.col("host")), "length": F.length("path")}), "rules")
+        shapes = sorted((r.labels, r.length) for r in rules.select("labels", "length").distinct().collect())
+        host, path = host_and_path(F.col(url_col))
+        pages = pages.select(F.col(id_col), host.alias("host"), path.alias("path"))
+        pair = lambda key: [h.alias(n) for h, n in zip(hashed(key), ("h1", "h2"))]
+        keys = settle(rules.select(*pair(F.concat("verdict", F.lit(" "), "host", "path"))).distinct(), "listed")
+        rows = 2 * len(shapes) * pages.count()
+        turns = ranges_for(keys.count(), rows)
+
+        keyed = pages.withColumn("_keys", _keys(F.col("host"), F.col("path"), shapes)).withColumn("_keys", F.col("_keys.key"))
+        both = [F.transform("_keys", _hash_of(tag, i)) for tag in ("allow", "block") for i in (0, 1)]
+        hits = F.transform("_keys", lambda k: F.lit(0))
+        state = keyed.select(id_col, "host", "path", "_keys", *(b.alias(f"_h{i}") for i, b in enumerate(both)), hits.alias("_hits"))
+        names, schema = state.columns, state.schema
+        universe = state.select(F.explode(F.concat(F.arrays_zip(F.col("_h0").alias("h1"), F.col("_h1").alias("h2")), F.arrays_zip(F.col("_h2").alias("h1"), F.col("_h3").alias("h2")))).alias("k")).select("k.h1", "k.h2")
+        if turns > 1:
+            state = settle(state, "pages", keep=True)
+        for turn in range(turns):
+            mine = F.pmod(F.col("h1"), F.lit(turns)) == turn
+            levels = build(keys.where(mine), universe.where(mine), rows // turns)
+            state = state.mapInArrow(_look_up(levels, names, turn, turns), schema)
+            if turn < turns - 1:
+                state = settle(state, "pages", keep=True)
+        best = F.array_position(F.transform("_hits", lambda h: h > 0), True).cast("int")
+        found = state.select(id_col, "host", "path", F.when(best > 0, F.get("_keys", best - 1)).alias("rule"), F.when(best > 0, F.get("_hits", best - 1)).alias("_hit"))
+        return found.select(id_col, "host", "path", "rule", F.when(F.col("_hit") >= 2, "block").when(F.col("_hit") == 1, "allow").otherwise(default).alias("verdict"))
 
 
 def _look_up(levels: list[Level], names: list[str], turn: int, turns: int):
