@@ -257,7 +257,9 @@ def r33_diff(t):
     return quality.diff(o.where("o_orderkey % 10 <> 0"), changed, ["o_orderkey"]).select("o_orderkey", "kind", F.array_join("changed", ",").alias("changed"))
 
 
-@query("""SELECT p AS part, CASE WHEN p = 3 THEN 'lost' WHEN p = 7 THEN 'changed' ELSE 'added' END AS kind FROM (VALUES (3), (7), (9)) v(p)""")
+@query("""WITH o AS (SELECT CAST(o_custkey % 10 AS INT) AS part, o_orderkey AS k, o_orderstatus AS s FROM orders), a AS (SELECT part, string_agg(k || s, ',' ORDER BY k, s) AS rows FROM o WHERE part <> 9 GROUP BY 1),
+b AS (SELECT part, string_agg(k || CASE WHEN part = 7 THEN lower(s) ELSE s END, ',' ORDER BY k, s) AS rows FROM o WHERE part <> 3 GROUP BY 1)
+SELECT coalesce(a.part, b.part) AS part, CASE WHEN b.part IS NULL THEN 'lost' WHEN a.part IS NULL THEN 'added' ELSE 'changed' END AS kind FROM a FULL JOIN b ON a.part = b.part WHERE a.rows IS DISTINCT FROM b.rows""")
 def r39_manifest_diff(t):
     o = t.orders.select("o_orderkey", "o_orderstatus", (F.col("o_custkey") % 10).cast("int").alias("part"))
     old = o.where("part <> 9")

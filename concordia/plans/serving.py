@@ -105,7 +105,7 @@ def e05_w16_progression(t):
 
 
 @query(f"""WITH {RESULTS_SQL} SELECT race_id, driver_id, position_text, points FROM results WHERE {_R}""")
-def e07_e08_e09_e11_race_tables(t):
+def p07_p13_race_rows(t):
     wanted = {"race_id": None, "session_type": "RACE", "driver_id": None}
     test = F.lit(True)
     for c, w in wanted.items():

@@ -13,11 +13,17 @@ def explode_json(docs: DataFrame, column: str, schema: str, keep: list[str]) ->
     return docs.select(*keep, F.inline(F.from_json(column, schema)))
 
 
-def explode_lists(docs: DataFrame, column: str, schema: str, keep: dict[str, str], path: str, fields: dict[str, tuple[str, str]]) -> DataFrame:
-    """keep: name -> field of the document; path: a dotted path of arrays to walk; fields: name -> (field, type)."""
+#: What a lap's object is called in the nested feeds, by the path of arrays that leads through it. Fixed values.
+LAP_FIELDS = {"Timings": {"lap": "number"}}
+
+
+def explode_lists(docs: DataFrame, column: str, schema: str, keep: dict[str, str], path: str, fields: dict[str, tuple[str, str]], outer: dict[str, dict[str, str]] = LAP_FIELDS) -> DataFrame:
+    """keep: name -> field of the document; path: a dotted path of arrays to walk; fields: name -> (field, type); outer: by a
+    step of the path the fields of the object that holds it (name -> field)."""
     out = docs.select(F.from_json(column, schema).alias("_d")).select(*[F.col(f"_d.{f}").alias(n) for n, f in keep.items()], F.col("_d").alias("_x"))
     for step in path.split("."):
-        out = out.select(*[c for c in out.columns if c != "_x"], F.explode(F.col(f"_x.{step}")).alias("_x"), *([] if "lap" in out.columns or step != "Timings" else [F.col("_x.number").alias("lap")]))
+        own = {n: f for n, f in outer.get(step, {}).items() if n not in out.columns}
+        out = out.select(*[c for c in out.columns if c != "_x"], F.explode(F.col(f"_x.{step}")).alias("_x"), *[F.col(f"_x.{f}").alias(n) for n, f in own.items()])
     return out.select(*[c for c in out.columns if c != "_x"], *[F.col(f"_x.{f}").try_cast(kind).alias(n) for n, (f, kind) in fields.items()])
 
 

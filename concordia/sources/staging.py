@@ -30,41 +30,72 @@ EVENT_SCHEMAS = {
 }
 
 
-#: Plain projections by feed and table: `column`, `column:type`, `column>name` or `column:type>name`. The columns and names are
-#: those of the feeds and of the published model; `?` after a column stands for "is not null". Fixed values.
+#: In a plain projection, the type of a column that only tells whether the source is not null.
+PRESENT = "present"
+#: Plain projections by feed and table: a column as it is, (column, name) or (column, name, type). The columns and names are those
+#: of the feeds and of the published model. Fixed values.
 PROJECTIONS = {
     "archive": {
-        "circuits": "id>circuit_id name full_name type>circuit_type place_name country_id latitude longitude length>circuit_length_km turns",
-        "constructors": "id>constructor_id name full_name country_id",
-        "countries": "id>country_id alpha2_code alpha3_code name>country_name demonym continent_id",
-        "drivers": "id>driver_id name first_name last_name full_name abbreviation permanent_number gender date_of_birth date_of_death place_of_birth country_of_birth_country_id nationality_country_id",
-        "engine_manufacturers": "id>engine_manufacturer_id name country_id",
-        "grands_prix": "id>grand_prix_id name full_name short_name abbreviation country_id",
-        "race_constructor_standings": "race_id position_display_order position_number position_text constructor_id engine_manufacturer_id points positions_gained championship_won:boolean",
-        "race_driver_standings": "race_id position_display_order position_number position_text driver_id points positions_gained championship_won:boolean",
-        "race_data": "race_id type>session_type position_display_order position_number position_text driver_number driver_id constructor_id engine_manufacturer_id tyre_manufacturer_id"
-        " qualifying_time_millis qualifying_q1_millis qualifying_q2_millis qualifying_q3_millis qualifying_gap_millis qualifying_laps starting_grid_position_grid_penalty starting_grid_position_grid_penalty_positions"
-        " race_shared_car:boolean race_laps race_time_millis race_time_penalty_millis race_gap_millis race_gap_laps race_interval_millis race_reason_retired race_points race_pole_position:boolean"
-        " race_qualification_position_number race_grid_position_number race_grid_position_text race_positions_gained race_pit_stops race_fastest_lap:boolean race_driver_of_the_day:boolean race_grand_slam:boolean"
-        " fastest_lap_lap fastest_lap_time_millis fastest_lap_gap_millis pit_stop_stop pit_stop_lap pit_stop_time_millis",
-        "races": "id>race_id year>season round date>race_date time>race_time_utc grand_prix_id official_name qualifying_format sprint_qualifying_format sprint_race_date?>has_sprint circuit_id circuit_type direction course_length turns laps distance"
-        " scheduled_laps scheduled_distance drivers_championship_decider:boolean constructors_championship_decider:boolean",
-        "season_constructor_standings": "year>season position_display_order position_number position_text constructor_id engine_manufacturer_id points championship_won:boolean",
-        "season_driver_standings": "year>season position_display_order position_number position_text driver_id points championship_won:boolean",
-        "tyre_manufacturers": "id>tyre_manufacturer_id name country_id",
+        "circuits": [("id", "circuit_id"), "name", "full_name", ("type", "circuit_type"), "place_name", "country_id", "latitude", "longitude", ("length", "circuit_length_km"), "turns"],
+        "constructors": [("id", "constructor_id"), "name", "full_name", "country_id"],
+        "countries": [("id", "country_id"), "alpha2_code", "alpha3_code", ("name", "country_name"), "demonym", "continent_id"],
+        "drivers": [
+            ("id", "driver_id"), "name", "first_name", "last_name", "full_name", "abbreviation", "permanent_number", "gender", "date_of_birth", "date_of_death", "place_of_birth", "country_of_birth_country_id",
+            "nationality_country_id",
+        ],
+        "engine_manufacturers": [("id", "engine_manufacturer_id"), "name", "country_id"],
+        "grands_prix": [("id", "grand_prix_id"), "name", "full_name", "short_name", "abbreviation", "country_id"],
+        "race_constructor_standings": ["race_id", "position_display_order", "position_number", "position_text", "constructor_id", "engine_manufacturer_id", "points", "positions_gained", ("championship_won", "championship_won", "boolean")],
+        "race_driver_standings": ["race_id", "position_display_order", "position_number", "position_text", "driver_id", "points", "positions_gained", ("championship_won", "championship_won", "boolean")],
+        "race_data": [
+            "race_id", ("type", "session_type"), "position_display_order", "position_number", "position_text", "driver_number", "driver_id", "constructor_id", "engine_manufacturer_id", "tyre_manufacturer_id",
+            "qualifying_time_millis", "qualifying_q1_millis", "qualifying_q2_millis", "qualifying_q3_millis", "qualifying_gap_millis", "qualifying_laps", "starting_grid_position_grid_penalty",
+            "starting_grid_position_grid_penalty_positions", ("race_shared_car", "race_shared_car", "boolean"), "race_laps", "race_time_millis", "race_time_penalty_millis", "race_gap_millis", "race_gap_laps",
+            "race_interval_millis", "race_reason_retired", "race_points", ("race_pole_position", "race_pole_position", "boolean"), "race_qualification_position_number", "race_grid_position_number",
+            "race_grid_position_text", "race_positions_gained", "race_pit_stops", ("race_fastest_lap", "race_fastest_lap", "boolean"), ("race_driver_of_the_day", "race_driver_of_the_day", "boolean"),
+            ("race_grand_slam", "race_grand_slam", "boolean"), "fastest_lap_lap", "fastest_lap_time_millis", "fastest_lap_gap_millis", "pit_stop_stop", "pit_stop_lap", "pit_stop_time_millis",
+        ],
+        "races": [
+            ("id", "race_id"), ("year", "season"), "round", ("date", "race_date"), ("time", "race_time_utc"), "grand_prix_id", "official_name", "qualifying_format", "sprint_qualifying_format",
+            ("sprint_race_date", "has_sprint", PRESENT), "circuit_id", "circuit_type", "direction", "course_length", "turns", "laps", "distance", "scheduled_laps", "scheduled_distance",
+            ("drivers_championship_decider", "drivers_championship_decider", "boolean"), ("constructors_championship_decider", "constructors_championship_decider", "boolean"),
+        ],
+        "season_constructor_standings": [("year", "season"), "position_display_order", "position_number", "position_text", "constructor_id", "engine_manufacturer_id", "points", ("championship_won", "championship_won", "boolean")],
+        "season_driver_standings": [("year", "season"), "position_display_order", "position_number", "position_text", "driver_id", "points", ("championship_won", "championship_won", "boolean")],
+        "tyre_manufacturers": [("id", "tyre_manufacturer_id"), "name", "country_id"],
     },
     "timing": {
-        "quali_results": "season:int round:int DriverNumber>driver_number Abbreviation>driver_code Position:int>position Q1_ms>q1_ms Q2_ms>q2_ms Q3_ms>q3_ms",
-        "quali_telemetry": "season:int round:int Driver>driver_code DriverNumber>driver_number Compound>tyre_compound LapTime_ms>lap_time_ms Distance>distance_m Speed>speed_kmh RPM>rpm nGear>gear Throttle>throttle_pct Brake:boolean>is_braking DRS>drs X>x Y>y",
-        "race_control_messages": "season:int round:int Time:timestamp>message_utc SessionTime_ms:bigint>session_time_ms Lap:int>lap_number Category>category Flag>flag Scope>scope Sector:int>sector RacingNumber:int>driver_number Message>message Status>status",
-        "weather": "season:int round:int Date:timestamp>sample_utc Time_ms:bigint>session_time_ms AirTemp:double>air_temperature_c TrackTemp:double>track_temperature_c Humidity:double>humidity_pct Pressure:double>pressure_mbar Rainfall:boolean>is_raining WindDirection:int>wind_direction_deg WindSpeed:double>wind_speed_ms",
+        "quali_results": [
+            ("season", "season", "int"), ("round", "round", "int"), ("DriverNumber", "driver_number"), ("Abbreviation", "driver_code"), ("Position", "position", "int"), ("Q1_ms", "q1_ms"), ("Q2_ms", "q2_ms"),
+            ("Q3_ms", "q3_ms"),
+        ],
+        "quali_telemetry": [
+            ("season", "season", "int"), ("round", "round", "int"), ("Driver", "driver_code"), ("DriverNumber", "driver_number"), ("Compound", "tyre_compound"), ("LapTime_ms", "lap_time_ms"),
+            ("Distance", "distance_m"), ("Speed", "speed_kmh"), ("RPM", "rpm"), ("nGear", "gear"), ("Throttle", "throttle_pct"), ("Brake", "is_braking", "boolean"), ("DRS", "drs"), ("X", "x"), ("Y", "y"),
+        ],
+        "race_control_messages": [
+            ("season", "season", "int"), ("round", "round", "int"), ("Time", "message_utc", "timestamp"), ("SessionTime_ms", "session_time_ms", "bigint"), ("Lap", "lap_number", "int"), ("Category", "category"),
+            ("Flag", "flag"), ("Scope", "scope"), ("Sector", "sector", "int"), ("RacingNumber", "driver_number", "int"), ("Message", "message"), ("Status", "status"),
+        ],
+        "weather": [
+            ("season", "season", "int"), ("round", "round", "int"), ("Date", "sample_utc", "timestamp"), ("Time_ms", "session_time_ms", "bigint"), ("AirTemp", "air_temperature_c", "double"),
+            ("TrackTemp", "track_temperature_c", "double"), ("Humidity", "humidity_pct", "double"), ("Pressure", "pressure_mbar", "double"), ("Rainfall", "is_raining", "boolean"),
+            ("WindDirection", "wind_direction_deg", "int"), ("WindSpeed", "wind_speed_ms", "double"),
+        ],
     },
     "dump": {
-        "drivers": "driver_ref forename surname date_of_birth:date origin",
-        "lap_times": "season:int round:int driver_ref lap:int>lap_number position:int time_ms:bigint>lap_time_ms origin",
-        "pit_stops": "season:int round:int driver_ref stop:int>stop_number lap:int>lap_number local_time duration_ms:bigint origin",
-        "qualifying": "season:int round:int driver_ref constructor_ref car_number:string>driver_number position:int q1_ms:bigint q2_ms:bigint q3_ms:bigint origin",
-        "results": "season:int round:int session_type driver_ref constructor_ref car_number:string>driver_number position:int position_text points:double grid:int laps:int status time_ms:bigint fastest_lap_rank:int fastest_lap_number:int fastest_lap_ms:bigint origin",
+        "drivers": ["driver_ref", "forename", "surname", ("date_of_birth", "date_of_birth", "date"), "origin"],
+        "lap_times": [("season", "season", "int"), ("round", "round", "int"), "driver_ref", ("lap", "lap_number", "int"), ("position", "position", "int"), ("time_ms", "lap_time_ms", "bigint"), "origin"],
+        "pit_stops": [("season", "season", "int"), ("round", "round", "int"), "driver_ref", ("stop", "stop_number", "int"), ("lap", "lap_number", "int"), "local_time", ("duration_ms", "duration_ms", "bigint"), "origin"],
+        "qualifying": [
+            ("season", "season", "int"), ("round", "round", "int"), "driver_ref", "constructor_ref", ("car_number", "driver_number", "string"), ("position", "position", "int"), ("q1_ms", "q1_ms", "bigint"),
+            ("q2_ms", "q2_ms", "bigint"), ("q3_ms", "q3_ms", "bigint"), "origin",
+        ],
+        "results": [
+            ("season", "season", "int"), ("round", "round", "int"), "session_type", "driver_ref", "constructor_ref", ("car_number", "driver_number", "string"), ("position", "position", "int"), "position_text",
+            ("points", "points", "double"), ("grid", "grid", "int"), ("laps", "laps", "int"), "status", ("time_ms", "time_ms", "bigint"), ("fastest_lap_rank", "fastest_lap_rank", "int"),
+            ("fastest_lap_number", "fastest_lap_number", "int"), ("fastest_lap_ms", "fastest_lap_ms", "bigint"), "origin",
+        ],
     },
 }
 
@@ -72,11 +103,9 @@ PROJECTIONS = {
 def projection(feed: str, table: str) -> list[tuple[str, str | None, bool, str]]:
     """(source column, type or none, whether only its presence counts, name) of each column of a plain projection."""
     out = []
-    for item in PROJECTIONS[feed][table].split():
-        source, _, name = item.partition(">")
-        source, _, kind = source.partition(":")
-        present, source = source.endswith("?"), source.removesuffix("?")
-        out.append((source, kind or None, present, name or source))
+    for item in PROJECTIONS[feed][table]:
+        source, name, kind = (item, item, None) if isinstance(item, str) else (*item, None)[:3]
+        out.append((source, None if kind == PRESENT else kind, kind == PRESENT, name))
     return out
 
 
