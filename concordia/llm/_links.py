@@ -31,7 +31,7 @@ class Sizes:
     partners: tuple[int | None, ...] = (4, None)
     per_block: int = 1024
     blocks: int = 8
-    most_per_block: int = 4096
+    most_per_block: int = 2048
 
 
 #: (XOR population counts, sizes, sizes) to whether such sets may have the similarity.
@@ -140,7 +140,7 @@ def across(buckets: DataFrame, labels: DataFrame, classes: DataFrame, near: Near
             place = int(np.flatnonzero(bands[0] == t["bucket"][0].as_py())[0])
         block, p, q = t["block"].to_numpy(), t["p"][0].as_py(), t["q"][0].as_py()
         mine, others = np.flatnonzero(block == p), np.flatnonzero(block == q)
-        a, b, cut = [], [], False
+        a, b, cut = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)], False
         for i in mine:
             js = others[(label[others] != label[i]) & ((others > i) | (p != q))]
             far = np.bitwise_count(odd[js] ^ odd[i]).sum(axis=1, dtype=np.int64)
@@ -156,10 +156,10 @@ def across(buckets: DataFrame, labels: DataFrame, classes: DataFrame, near: Near
                 nth = np.arange(len(js)) - np.repeat(starts, np.diff(np.r_[starts, len(js)]))
                 cut |= bool((nth >= partners).any())
                 js = js[nth < partners]
-            a += [i] * len(js)
-            b += js.tolist()
+            a.append(np.full(len(js), i, np.int32))
+            b.append(js.astype(np.int32))
         ids = t["id"]
-        left, right = ids.take(pa.array(a, pa.int64())), ids.take(pa.array(b, pa.int64()))
+        left, right = (ids.take(pa.array(np.concatenate(x))) for x in (a, b))
         if cut:  # a row without ids tells of it
             left, right = (pa.chunked_array([*c.chunks, pa.nulls(1, ids.type)], ids.type) for c in (left, right))
         return pa.table({"bucket": pa.array(np.full(len(left), t["bucket"][0].as_py(), np.int64)), "a": left, "b": right})

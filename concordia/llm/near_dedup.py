@@ -29,7 +29,7 @@ MISS = 1e-6
 #: Members of a hub that one task compares with it; partners by round.
 PER_HUB, PARTNERS = 256, (4, None)
 #: Classes of a bucket in one block: PER_BLOCK, in buckets of more than BLOCKS blocks up to MOST_PER_BLOCK.
-PER_BLOCK, BLOCKS, MOST_PER_BLOCK = 1024, 8, 4096
+PER_BLOCK, BLOCKS, MOST_PER_BLOCK = 1024, 8, 2048
 
 #: The column that tells rows apart.
 _KEY = "_concordia_key"
