@@ -61,11 +61,10 @@ def _with_bins(df: DataFrame, start: str, end: str) -> DataFrame:
     return leveled.withColumn("_bin", F.explode(F.sequence(_bin(a, F.col("_level")), _bin(b, F.col("_level")))))
 
 
-def _in_bins(points: DataFrame, intervals: DataFrame, on: list[str], at: str, start: str, end: str, how: str) -> DataFrame:
-    """interval_join for intervals that have an end."""
+def _in_bins(points: DataFrame, intervals: DataFrame, on: list[str], at: str, start: str, end: str, how: str, rest: list[str]) -> DataFrame:
+    """interval_join for intervals that have an end; rest: their columns that an inner join gives."""
     cut = _with_bins(intervals, start, end)
     levels = sorted(r[0] for r in cut.select("_level").distinct().collect())  # at most one for each power of _WIDER
-    rest = [c for c in intervals.columns if c not in on]
 
     def meet(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
         p, i = left.alias("p"), right.alias("i")
@@ -98,11 +97,11 @@ def interval_join(points: DataFrame, intervals: DataFrame, on: list[str], at: st
     until = intervals.where(F.col(end).isNull() & F.col(start).isNotNull()).join(last, on).withColumn("_end", F.col("_last")).drop("_last")
     fields = [c for c in intervals.columns if c not in on]
     if how == "inner":
-        return _in_bins(points, closed, on, at, start, end, how).unionByName(_in_bins(points, until, on, at, start, "_end", how).select(*points.columns, *fields))
-    first = _in_bins(points, closed, on, at, start, end, "left_anti")
+        return _in_bins(points, closed, on, at, start, end, how, fields).union(_in_bins(points, until, on, at, start, "_end", how, fields))
+    first = _in_bins(points, closed, on, at, start, end, "left_anti", [])
     if how == "left_anti":
-        return _in_bins(first, until, on, at, start, "_end", how)
-    return _in_bins(points, closed, on, at, start, end, how).unionByName(_in_bins(first, until, on, at, start, "_end", how))
+        return _in_bins(first, until, on, at, start, "_end", how, [])
+    return _in_bins(points, closed, on, at, start, end, how, []).union(_in_bins(first, until, on, at, start, "_end", how, []))
 
 
 def overlaps(spans: DataFrame, periods: DataFrame, on: list[str], span: tuple[str, str], period: tuple[str, str], flag: str) -> DataFrame:

@@ -202,3 +202,10 @@ def test_build_overrides_with_repeats(spark):
     good, errors = corrections.build_overrides(spark.createDataFrame(lines, "k int, column_name string, old_value string, new_value string, decision string"), base, ["k"], ["loc"], ["v"])
     assert bag(good.select("k", "loc", "decision")) == Counter({(1, "p", "d1"): 2})
     assert {(r.decision, r.reason) for r in errors.collect()} == {("d2", "value changed"), ("d3", "several rows"), ("d4", "no row"), ("d5", "no row")}
+
+
+def test_interval_join_with_equal_column_names(spark):
+    p = spark.createDataFrame([(1, 5, "p")], "k int, t int, name string")
+    s = spark.createDataFrame([(1, 0, 9, "s"), (1, 3, None, "open")], "k int, a int, b int, name string")
+    got = joins.interval_join(p, s, ["k"], "t", "a", "b")
+    assert got.columns == ["k", "t", "name", "a", "b", "name"] and bag(got) == Counter([(1, 5, "p", 0, 9, "s"), (1, 5, "p", 3, None, "open")])
