@@ -262,3 +262,29 @@ def test_every_known_sentence_has_a_trigger():
     known = [*licenses.SENTENCES.values(), *licenses.PUBLISHED]
     words = licenses.triggers(known)
     assert len(words) < 12 and all(any(w in s for w in words) for s in known)
+
+
+def test_very_long_texts(spark):
+    import public_tokenizers as P
+    import tiktoken
+    from tokenizers import Tokenizer
+
+    from concordia.llm import byte_bpe, line_crf
+
+    texts = ["x" * 200_000, "word " * 60_000 + "end", "a line of text\n" * 30_000, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    pieces = Counter()
+    words = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    for r in packing.best_fit_packing(docs, P.path("word_bpe_49k.json")).collect():
+        pieces[r.doc_id] += r.length
+        assert 0 < r.length <= 4096 and r.start == 4096 * r.piece
+    assert pieces == {i: len(words.encode(t, add_special_tokens=False).ids) + 1 for i, t in enumerate(texts)}
+    whole = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    store = token_store.write_store(docs, P.path("byte_bpe_50k.json"), P.PATTERN, end_id=2)
+    assert {r.id: r.n_tokens for r in token_store.read_store(*store).collect()} == {i: len(whole.encode(t, add_special_tokens=False).ids) + 1 for i, t in enumerate(texts)}
+    ranks = byte_bpe.load(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
+    got = {r.doc_id: r for r in byte_bpe.encode(docs, P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN).collect()}
+    assert isinstance(ranks, tiktoken.Encoding) and all(got[i].n_tokens == len(ranks.encode_ordinary(t)) and got[i].decoded_sha256 == hashlib.sha256(t.encode()).hexdigest() for i, t in enumerate(texts))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(4)], "doc_id long, quality int")
+    scores = {r.doc_id: r.score for r in line_crf.score_documents(docs, line_crf.train(docs, labels)).collect()}
+    assert all(0 <= s <= 1 for s in scores.values()) and len(scores) == 4
