@@ -80,7 +80,24 @@ _VALUES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in RULES)
 _KNOWN = ", ".join(f"('{v}', '{k}')" for k, v in licenses.SENTENCES.items())
 _FIRED = ", ".join(f"CASE WHEN regexp_matches(line, '{licenses.rule_pattern(ids)}') THEN '{name}' END" for name, ids, *_ in licenses.RULES if set(ids) <= licenses.SENTENCES.keys())
 
+
+
+def _components_sql(percent: int, kept: str) -> str:
+    """Links between sets of three-word shingles by the words that they share, and all that links reach."""
+    return f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]) END AS s FROM d),
+sets AS (SELECT doc_id, unnest(s) AS x FROM g), n AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n FROM g),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM sets a JOIN sets b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM pairs JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * k >= {percent} * (na.n + nb.n - k)),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(doc_id, other) AS (SELECT doc_id, doc_id FROM n UNION SELECT r.doc_id, ways.b FROM reach r JOIN ways ON ways.a = r.other)
+SELECT doc_id, n AS n_shingles, component_id{kept} FROM n JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY 1) USING (doc_id)"""
+
+
 SQL = {
+    "op8_minhash_odd_sketch": _components_sql(85, ", doc_id = component_id AS kept"),
+    "op13_parity_join": _components_sql(90, ""),
     "op1_url_cascade": f"""
 WITH rules(rhost, rpath, verdict) AS (VALUES {_VALUES}),
 cut AS (SELECT page_id, coalesce(translate(regexp_extract(url, '^.*?://([^/?#]*)([^?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
