@@ -150,7 +150,7 @@ def e16_constructor_seasons(t):
 
 _TOTALS_SQL = f"""{RESULTS_SQL}, y AS (SELECT season, driver_id, sum(points) AS p FROM results GROUP BY ALL), champ AS (SELECT season, driver_id, rank() OVER (PARTITION BY season ORDER BY p DESC) = 1 AS won FROM y),
 tot AS (SELECT driver_id, count(DISTINCT race_id) FILTER (WHERE {_R}) AS entries, count(DISTINCT race_id) FILTER (WHERE {_R} AND position_text NOT IN ('DNQ', 'DNPQ', 'DNP', 'EX', 'DNS')) AS starts, count(DISTINCT race_id) FILTER (WHERE {_R} AND position_number = 1) AS wins, count(DISTINCT race_id) FILTER (WHERE {_R} AND position_number <= 3) AS podiums,
-  count(DISTINCT race_id) FILTER (WHERE {_R} AND is_pole) AS pole_positions, count(DISTINCT race_id) FILTER (WHERE {_R} AND is_fastest_lap) AS fastest_laps, round(sum(points), 2) AS points, (SELECT count(*) FROM champ WHERE won AND champ.driver_id = r.driver_id AND season BETWEEN 1993 AND 1997) AS championships FROM results r WHERE season BETWEEN 1993 AND 1997 GROUP BY driver_id)"""
+  count(DISTINCT race_id) FILTER (WHERE {_R} AND is_pole) AS pole_positions, count(DISTINCT race_id) FILTER (WHERE {_R} AND is_fastest_lap) AS fastest_laps, round(sum(points), 2) AS points, (SELECT count(*) FROM champ WHERE won AND champ.driver_id = r.driver_id AND season BETWEEN 1990 AND 2010) AS championships FROM results r WHERE season BETWEEN 1990 AND 2010 GROUP BY driver_id)"""
 
 
 @query(f"WITH {_TOTALS_SQL} " + " UNION ALL ".join(f"SELECT * FROM (SELECT '{c}' AS criterion, row_number() OVER (ORDER BY {c} DESC, wins DESC, podiums DESC, driver_id) AS rank, driver_id, CAST({c} AS DOUBLE) AS value FROM tot) WHERE rank <= 15" for c in serving.CRITERIA))
@@ -158,7 +158,7 @@ def e18_rankings(t):
     r = results(t)
     champion = W.ranked(r.groupBy("season", "driver_id").agg(F.sum("points").alias("p")), ["season"], [F.desc("p")], "n")
     standings = champion.select("season", "driver_id", F.lit(True).alias("is_final"), (F.col("n") == 1).alias("championship_won"))
-    table = serving.totals(r, standings, season_from=1993, season_to=1997)
+    table = serving.totals(r, standings, season_from=1990, season_to=2010)
     out = None
     for c in serving.CRITERIA:
         one = serving.ranking(table, c, limit=15).select(F.lit(c).alias("criterion"), "rank", "driver_id", F.col(c).cast("double").alias("value"))

@@ -150,9 +150,9 @@ def e15_teammates(t):
     return p.groupBy("season", "driver_id").agg(F.array_join(F.array_sort(F.transform(mates, lambda m: F.concat(m.id, F.lit(":"), m.team))), ",").alias("mates"))
 
 
-@query(f"""WITH {RESULTS_SQL} SELECT driver_id, wins, rank() OVER (ORDER BY wins DESC) AS place FROM (SELECT driver_id, count(DISTINCT race_id) AS wins FROM results WHERE {_R} AND position_number = 1 AND season BETWEEN 1996 AND 1999 GROUP BY 1 ORDER BY wins DESC, driver_id LIMIT 15)""")
+@query(f"""WITH {RESULTS_SQL} SELECT driver_id, wins, rank() OVER (ORDER BY wins DESC) AS place FROM (SELECT driver_id, count(DISTINCT race_id) AS wins FROM results WHERE {_R} AND position_number = 1 AND season BETWEEN 1990 AND 2010 GROUP BY 1 ORDER BY wins DESC, driver_id LIMIT 15)""")
 def e17_e18_records(t):
-    r = results(t).where("session_type = 'RACE' and position_number = 1 and season between 1996 and 1999")
+    r = results(t).where("session_type = 'RACE' and position_number = 1 and season between 1990 and 2010")
     top = W.top(r.groupBy("driver_id").agg(F.count_distinct("race_id").alias("wins")), [F.desc_nulls_last("wins"), F.col("driver_id")], 15)
     return top.withColumn("place", F.rank().over(Window.orderBy(F.desc("wins"))))
 
