@@ -51,13 +51,23 @@ def density(df: DataFrame, keys: list[str], value: str, points: int = 60, least_
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_w"))
     shape = df.groupBy(*keys).agg(F.count(value).alias("_n"), F.coalesce(F.stddev(value), F.lit(0.0)).alias("_sd"), F.min(value).cast("double").alias("_lo"), F.max(value).cast("double").alias("_hi"))
     shape = shape.where("_n > 0").withColumn("_h", F.greatest(1.06 * F.col("_sd") * F.pow("_n", F.lit(-0.2)), F.lit(least_width)))
-    x = lambda i: F.col("_lo") + i * (F.col("_hi") - F.col("_lo")) / F.lit(max(points - 1, 1))
-    z = lambda i: (x(F.lit(i)) - F.col("_v")) / F.col("_h")
+    # In bandwidths: where a value lies from the least one, and how far apart points are.
+    near = {"_at": (F.col("_v") - F.col("_lo")) / F.col("_h"), "_gap": (F.col("_hi") - F.col("_lo")) / (max(points - 1, 1) * F.col("_h"))}
     grid = ["_n", "_h", "_lo", "_hi"]
-    sums = join_null_safe(counts, shape, keys).groupBy(*keys, *grid).agg(*[F.sum(F.col("_w") * F.exp(-0.5 * z(i) * z(i))).alias(f"_s{i}") for i in range(points)])
+    placed = join_null_safe(counts, shape, keys).select(*keys, *grid, "_w", *[c.alias(n) for n, c in near.items()])
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    def kernel(i: Column) -> Column:
+        z = F.col("_at") - i * F.col("_gap")
+        return F.col("_w") * F.exp(-0.5 * z * z)
+
+    at_points = array_to_vector(F.transform(F.sequence(F.lit(0), F.lit(points - 1)), kernel))
+    sums = placed.groupBy(*keys, *grid).agg(Summarizer.sum(at_points).alias("_sums"))
     root = 2.5066282746310002
-    long = sums.select(*keys, *grid, F.posexplode(F.array(*[f"_s{i}" for i in range(points)])).alias("point", "_s"))
-    return long.select(*keys, "point", x(F.col("point")).alias("x"), (F.col("_s") / (F.col("_n") * F.col("_h") * root)).alias("density"))
+    long = sums.select(*keys, *grid, F.posexplode(vector_to_array("_sums")).alias("point", "_s"))
+    x = F.col("_lo") + F.col("point") * (F.col("_hi") - F.col("_lo")) / F.lit(max(points - 1, 1))
+    return long.select(*keys, "point", x.alias("x"), (F.col("_s") / (F.col("_n") * F.col("_h") * root)).alias("density"))
 
 
 def dense_series(df: DataFrame, keys: list[str], step: str, value: str, steps: int) -> DataFrame:
