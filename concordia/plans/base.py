@@ -55,12 +55,15 @@ def _state(t: Tables, names: list[str]) -> str:
 
 
 def published(t: Tables, name: str, sources: list[str], build: Callable[[Tables], DataFrame], bucket: list[str], partition: list[str] | None = None) -> DataFrame:
-    """The mart as a table of the session: bucketed, partitioned, and made again only if files of its sources have changed."""
+    """The mart as a table of the session: bucketed, partitioned, and made again only if files of its sources have changed.
+
+    Its first source gives its rows at most, so marts of one first source have as many buckets and join without an exchange."""
     table = f"mart_{name}_{_state(t, sources)}"
     df = build(t)
     if t.spark.catalog.tableExists(table):
         return t.spark.table(table).select(*df.columns)
-    return readers.publish_mart(df, table, readers.workspace(t.spark, table), bucket, partition=partition)
+    buckets = readers.buckets_for(getattr(t, sources[0]).count())
+    return readers.publish_mart(df, table, readers.workspace(t.spark, table), bucket, buckets, partition)
 
 
 # Series that the queries share, derived by integer arithmetic so that both engines agree.

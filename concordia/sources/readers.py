@@ -116,6 +116,15 @@ def export_tables(tables: dict[str, DataFrame], out: str) -> dict[str, int]:
     return {name: counted_write(df, f"{out}/{name}", compression="zstd") for name, df in tables.items()}
 
 
+#: Rows of a mart's bucket. One task reads a bucket, sorts and groups it: the number of buckets grows with the rows, so its memory doesn't.
+BUCKET_ROWS = 400_000
+
+
+def buckets_for(rows: int, least: int = 8) -> int:
+    """Buckets of a mart with so many rows."""
+    return max(least, -(-rows // BUCKET_ROWS))
+
+
 def publish_mart(df: DataFrame, name: str, path: str, bucket: list[str], buckets: int = 8, partition: list[str] | None = None) -> DataFrame:
     """A published table at path: folders by `partition`, files bucketed and sorted by `bucket`. Joins and groups of such
     tables on the bucket's columns need no exchange, and filters on the partition read only its files."""

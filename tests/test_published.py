@@ -45,6 +45,28 @@ def test_marts_are_made_once_and_again_when_files_change(spark, tmp_path):
     assert base.laps(t).count() > n
 
 
+def test_buckets_of_marts_grow_with_rows(spark, tmp_path, monkeypatch):
+    """A task reads one bucket, so a bucket holds a bounded number of rows; marts of one source still have as many buckets."""
+    from concordia.plans import model
+
+    assert [readers.buckets_for(n) for n in (0, 3_000_000, 36_000_000, 216_000_000)] == [8, 8, 90, 540]
+    for name in ("lineitem", "orders"):
+        spark.read.parquet(f"{FOLDER}/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
+    monkeypatch.setattr(readers, "BUCKET_ROWS", 250)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        t = base.Tables(spark, str(tmp_path))
+        rows = t.lineitem.count()
+        r, l = base.results(t), base.laps(t)  # noqa: E741
+        for mart in (r, l):
+            sizes = mart.groupBy(F.pmod(F.hash("race_id"), F.lit(-(-rows // 250))).alias("bucket")).count().agg(F.max("count")).first()[0]
+            assert f"{-(-rows // 250)} out of {-(-rows // 250)}" in plan(mart.groupBy("race_id").count()) and sizes < 500
+        assert r.count() == base._results(t).count() and l.count() == base._laps(t).count()
+        assert "Exchange" not in plan(model.s09_e07_e09_marts(t))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_reads_of_a_database_in_ranges(spark, tmp_path):
     url, driver = "jdbc:derby:memory:ranges;create=true", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
     spark.range(1, 101).selectExpr("if(id % 10 = 0, null, id) AS k", "id AS v").write.jdbc(url, "T", properties=driver)
