@@ -27,25 +27,35 @@ def unique_codes(df: DataFrame, group: list[str], entity: str, code: str, name:
     members = df.where(F.col(entity).isNotNull()).groupBy(*group, F.col(entity).alias("_id")).agg(F.min(code).alias("_code"), F.min(name).alias("_name"), ran.alias("_ran"))
     first = F.regexp_extract(without_accents(F.coalesce("_name", F.col("_id").cast("string"))), r"\p{L}", 0)
     members = members.withColumns({"_code": F.upper(F.coalesce("_code", _from_id(F.col("_id")))), "_initial": F.when(first == "", "X").otherwise(F.upper(first))})
+    members = members.withColumn("_nth", F.row_number().over(Window.partitionBy(*group, "_code", "_initial").orderBy("_id")))
     bearers = Window.partitionBy(*group, "_code")
     alone = (F.count("*").over(bearers) == 1) | (F.col("_ran") & (F.count_if("_ran").over(bearers) == 1))
-    members = members.withColumn("_keeps", alone)
+    digits = F.col("_code").rlike("[0-9]$") | F.substring("_code", 1, 2).rlike("[0-9]$")
+    members = members.withColumns({"_keeps": alone, "_digits": F.max(digits).over(Window.partitionBy(*group))})
     kind = dict(members.dtypes)["_id"]
+    # All of one initial and code want the same two codes, so only their first two may get one (one of three may have kept
+    # its own). The others are numbered by a window; only where a code has a digit could a number be another's code.
+    early = F.col("_digits") | (F.col("_nth") <= 3)
     kept = F.collect_list(F.when(F.col("_keeps"), F.struct("_id", F.col("_code").alias("code"))))
-    rest = F.array_sort(F.collect_list(F.when(~F.col("_keeps"), F.struct("_id", "_code", "_initial"))))
-    whole = members.groupBy(*group).agg(kept.alias("_kept"), rest.alias("_rest"))
+    rest = F.array_sort(F.collect_list(F.when(~F.col("_keeps") & early, F.struct("_id", "_code", "_initial", "_digits"))))
+    late = F.collect_list(F.when(~F.col("_keeps") & ~early, F.struct("_id", F.lit(None).cast("string").alias("code"), F.col("_code").alias("base"))))
+    whole = members.groupBy(*group).agg(kept.alias("_kept"), rest.alias("_rest"), late.alias("_late"))
 
     def give(state: Column, member: Column) -> Column:
         free = lambda c: ~F.array_contains(state.taken, c)
         short, full = F.concat(member["_initial"], F.substring(member["_code"], 1, 2)), F.concat(member["_initial"], member["_code"])
         number = F.filter(F.sequence(F.lit(2), F.size(state.taken) + 2), lambda k: free(F.concat(member["_code"], k.cast("string"))))
-        chosen = F.when(free(short), short).when(free(full), full).otherwise(F.concat(member["_code"], F.element_at(number, 1).cast("string")))
-        return F.struct(F.array_append(state.taken, chosen).alias("taken"), F.array_append(state.given, F.struct(member["_id"].alias("_id"), chosen.alias("code"))).alias("given"))
-
-    pairs = f"array<struct<_id: {kind}, code: string>>"
-    begin = F.struct(F.transform("_kept", lambda k: k.code).alias("taken"), F.col("_kept").cast(pairs).alias("given"))
-    given = F.aggregate("_rest", begin.cast(f"struct<taken: array<string>, given: {pairs}>"), give, lambda state: state.given)
-    return whole.select(*group, F.inline(given)).select(*group, F.col("_id").alias(entity), F.col("code").alias("unique_code"))
+        numbered = F.when(member["_digits"], F.concat(member["_code"], F.element_at(number, 1).cast("string")))
+        chosen = F.when(free(short), short).when(free(full), full).otherwise(numbered)
+        taken = F.when(chosen.isNull(), state.taken).otherwise(F.array_append(state.taken, chosen))
+        return F.struct(taken.alias("taken"), F.array_append(state.given, F.struct(member["_id"].alias("_id"), chosen.alias("code"), member["_code"].alias("base"))).alias("given"))
+
+    triples = f"array<struct<_id: {kind}, code: string, base: string>>"
+    begin = F.struct(F.transform("_kept", lambda k: k.code).alias("taken"), F.transform("_kept", lambda k: F.struct(k["_id"], k.code, k.code)).cast(triples).alias("given"))
+    given = F.aggregate("_rest", begin.cast(f"struct<taken: array<string>, given: {triples}>"), give, lambda state: state.given)
+    out = whole.select(*group, F.inline(F.concat(given, F.col("_late").cast(triples))))
+    nth = F.row_number().over(Window.partitionBy(*group, "base", F.col("code").isNull()).orderBy("_id"))
+    return out.select(*group, F.col("_id").alias(entity), F.coalesce("code", F.concat("base", (nth + 1).cast("string"))).alias("unique_code"))
 
 
 def _units(rows: DataFrame, group: list[str], entity: str, unit: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import random
 from collections import Counter, defaultdict
+from itertools import chain
 from statistics import stdev
 
 import numpy as np
@@ -209,3 +210,28 @@ def test_interval_join_with_equal_column_names(spark):
     s = spark.createDataFrame([(1, 0, 9, "s"), (1, 3, None, "open")], "k int, a int, b int, name string")
     got = joins.interval_join(p, s, ["k"], "t", "a", "b")
     assert got.columns == ["k", "t", "name", "a", "b", "name"] and bag(got) == Counter([(1, 5, "p", 0, 9, "s"), (1, 5, "p", 3, None, "open")])
+
+
+def greedy_codes(members):
+    """The rule of `unique_codes` one by one: id -> code, of members (id, code, initial, ran)."""
+    bearers, ran = Counter(c for _, c, _, _ in members), Counter(c for _, c, _, r in members if r)
+    out = {i: c for i, c, _, r in members if bearers[c] == 1 or (r and ran[c] == 1)}
+    taken, last = set(out.values()), Counter()
+    for i, c, initial, _ in sorted(members):
+        if i not in out:
+            wanted = chain([initial + c[:2], initial + c], (f"{c}{k}" for k in range(last[c] + 2, len(members) + 3)))
+            out[i] = next(x for x in wanted if x not in taken)
+            if out[i][len(c):].isdigit() and out[i].startswith(c):
+                last[c] = int(out[i][len(c):]) - 1
+            taken.add(out[i])
+    return out
+
+
+def test_unique_codes_of_groups_of_any_size(spark):
+    rng = random.Random(5)
+    groups = {g: [(i, rng.choice(["AAA", "AA", "A2", "A", "BA1", "AAA2"] if g % 2 else ["AAA", "AA", "ABA", "BAB", "A"]), rng.choice("AB"), rng.random() < 0.4) for i in range(rng.randint(1, 25))] for g in range(60)}
+    groups[99] = [(i, rng.choice(["SUP", "SUP", "SAS"]), rng.choice("ABCDES"), True) for i in range(20_000)]
+    rows = [(g, i, c, n, r) for g, members in groups.items() for i, c, n, r in members]
+    df = spark.createDataFrame(rows, "g int, id long, code string, name string, ran boolean")
+    got = {(r.g, r.id): r.unique_code for r in codes.unique_codes(df, ["g"], "id", "code", "name", "ran").collect()}
+    assert got == {(g, i): c for g, members in groups.items() for i, c in greedy_codes(members).items()}
