@@ -149,6 +149,18 @@ def peer_pairs(df: DataFrame, group: list[str], member: str, columns: list[str])
     return df.select(*group, member, *columns).join(peer, group).where(F.col(member) != F.col(f"peer_{member}"))
 
 
+def peers_of_teams(df: DataFrame, group: list[str], member: str, columns: list[str]) -> DataFrame:
+    """`peer_pairs` of groups that fit a row, such as a race's teams: they are grouped instead of joined, so rows that are
+    partitioned by a part of the group already (a mart's buckets) aren't shuffled. Null members and null groups have no peers."""
+    known = df
+    for c in [*group, member]:
+        known = known.where(F.col(c).isNotNull())
+    teams = known.groupBy(*group).agg(F.collect_list(F.struct(member, *columns)).alias("_team"))
+    one = teams.select(*group, F.explode("_team").alias("_own"), "_team")
+    pairs = one.select(*group, "_own.*", F.explode(F.filter("_team", lambda p: p[member] != F.col("_own")[member])).alias("_peer"))
+    return pairs.select(*group, member, *columns, *[F.col(f"_peer.{c}").alias(f"peer_{c}") for c in [member, *columns]])
+
+
 def prefer_source(first: DataFrame, second: DataFrame, on: list[str]) -> DataFrame:
     """All rows of the first source and those of the second whose keys the first hasn't."""
     return first.unionByName(second.join(first.select(*on).distinct(), on, "left_anti"), allowMissingColumns=True)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from concordia.functions.columns import percent
 from concordia.operators.aggregates import count_where, distinct_where
-from concordia.operators.joins import peer_pairs
+from concordia.operators.joins import peers_of_teams
 
 #: Position texts of entries that did not start. Fixed values.
 NOT_STARTED = ["DNQ", "DNPQ", "DNP", "EX", "DNS"]
@@ -65,7 +65,7 @@ def best_per_race(results: DataFrame, session: str = "RACE") -> DataFrame:
 def head_to_head(results: DataFrame) -> DataFrame:
     """Ordered pairs of team-mates by season: races together, duels (both classified), won, lost, share won."""
     own = best_per_race(results)
-    pairs = peer_pairs(own, ["race_id", "season", "constructor_id"], "driver_id", ["place", "points"])
+    pairs = peers_of_teams(own, ["race_id", "season", "constructor_id"], "driver_id", ["place", "points"])
     both = F.col("place").isNotNull() & F.col("peer_place").isNotNull()
     out = pairs.groupBy("season", "constructor_id", "driver_id", "peer_driver_id").agg(F.count("*").alias("races"), count_where(both).alias("duels"), count_where(both & (F.col("place") < F.col("peer_place"))).alias("won"), count_where(both & (F.col("place") > F.col("peer_place"))).alias("lost"), F.sum("points").alias("points"), F.sum("peer_points").alias("peer_points"))
     return out.withColumn("won_pct", percent("won", "duels", 1))
@@ -74,7 +74,7 @@ def head_to_head(results: DataFrame) -> DataFrame:
 def versus_best_peer(results: DataFrame, shared: DataFrame | None = None) -> DataFrame:
     """By race, team and driver the best team-mate (points, then display order, then id) and the outcome; pairs that shared
     a unit (race_id, constructor_id, driver_id, peer_driver_id) are left out."""
-    pairs = peer_pairs(best_per_race(results), ["race_id", "season", "constructor_id"], "driver_id", ["place", "shown", "points"])
+    pairs = peers_of_teams(best_per_race(results), ["race_id", "season", "constructor_id"], "driver_id", ["place", "shown", "points"])
     if shared is not None:
         pairs = pairs.join(shared, ["race_id", "constructor_id", "driver_id", "peer_driver_id"], "left_anti")
     peer = ["peer_points", "peer_shown", "peer_driver_id", "peer_place"]

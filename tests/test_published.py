@@ -67,6 +67,24 @@ def test_buckets_of_marts_grow_with_rows(spark, tmp_path, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_peers_of_a_race_are_found_without_exchange(spark):
+    """Pairs of team-mates stay in their mart's buckets, and are those of the join."""
+    from concordia.operators import joins, metrics
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        r = base.results(base.Tables(spark, FOLDER))
+        assert "Exchange" not in plan(metrics.versus_best_peer(r))
+        own, group = metrics.best_per_race(r), ["race_id", "season", "constructor_id"]
+        pairs = joins.peers_of_teams(own, group, "driver_id", ["place", "shown", "points"])
+        expected = joins.peer_pairs(own, group, "driver_id", ["place", "shown", "points"])
+        assert pairs.columns == expected.columns and sorted(map(repr, pairs.collect())) == sorted(map(repr, expected.collect())) != []
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    rows = spark.createDataFrame([(1, "t", "a"), (1, "t", "b"), (1, "t", None), (1, None, "a"), (1, None, "b"), (None, "t", "a"), (None, "t", "b")], "race int, team string, driver string")
+    assert sorted(map(tuple, joins.peers_of_teams(rows, ["race", "team"], "driver", []).collect())) == [(1, "t", "a", "b"), (1, "t", "b", "a")]
+
+
 def test_reads_of_a_database_in_ranges(spark, tmp_path):
     url, driver = "jdbc:derby:memory:ranges;create=true", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
     spark.range(1, 101).selectExpr("if(id % 10 = 0, null, id) AS k", "id AS v").write.jdbc(url, "T", properties=driver)
