@@ -204,17 +204,23 @@ def fuse(s1: DataFrame, s2: DataFrame, s3: DataFrame, s4: DataFrame, numbering:
     return cut_after_end(flag_suspensions(fused, knobs=knobs), official, uncut)
 
 
-def completeness(laps: DataFrame, official: DataFrame, keys: list[str]) -> DataFrame:
+def completeness(laps: DataFrame, official: DataFrame, keys: list[str], rows: int | None = None) -> DataFrame:
     """Laps found against the official number, by unit, six statuses.
 
     official: keys, official_laps, is_shared, is_disqualified. In order: shared_car, disqualified, ok (none and 0
-    official), no_laps, extra_laps (no official number, or the last is more than 1 beyond), missing_laps, ok."""
-    official_laps = official.select(*keys, "official_laps", "is_shared", "is_disqualified")
-    both = laps.join(official_laps, keys, "full")
-    found = both.groupBy(*keys).agg(
-        F.max("official_laps").alias("official_laps"), F.bool_or(F.coalesce("is_shared", F.lit(False))).alias("is_shared"), F.bool_or(F.coalesce("is_disqualified", F.lit(False))).alias("is_disqualified"),
-        F.count_distinct("lap_number").alias("laps_found"), F.max("lap_number").alias("last_lap"),
-        F.count_distinct(F.when(F.col("lap_number").between(1, F.col("official_laps")), F.col("lap_number"))).alias("laps_in_range"),
+    official), no_laps, extra_laps (no official number, or the last is more than 1 beyond), missing_laps, ok.
+    rows: those of both tables, if known; units are then dealt so that a task has some 500,000 of them. Both tables are
+    stacked and dealt once. Units with a null key are one unit, which no official number bounds."""
+    both = laps.select(*keys, "lap_number").unionByName(official.select(*keys, "official_laps", "is_shared", "is_disqualified"), allowMissingColumns=True)
+    parts = max(int(laps.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // 500_000)) if rows else None
+    dealt = both.repartition(parts, *keys) if parts else both.repartition(*keys)
+    yes = lambda c: F.bool_or(F.coalesce(c, F.lit(False))).alias(c)
+    each = dealt.groupBy(*keys, "lap_number").agg(F.max("official_laps").alias("official_laps"), yes("is_shared"), yes("is_disqualified"))
+    known = F.forall(F.array(*[F.col(k).isNotNull() for k in keys]), lambda x: x)
+    each = each.withColumn("_bound", F.when(known, F.max("official_laps").over(Window.partitionBy(*keys))))
+    found = each.groupBy(*keys).agg(
+        F.max("official_laps").alias("official_laps"), F.bool_or("is_shared").alias("is_shared"), F.bool_or("is_disqualified").alias("is_disqualified"),
+        F.count("lap_number").alias("laps_found"), F.max("lap_number").alias("last_lap"), F.count_if(F.col("lap_number").between(1, F.col("_bound"))).alias("laps_in_range"),
     )
     n, of = F.col("laps_found"), F.col("official_laps")
     status = (

@@ -182,7 +182,7 @@ def r18_completeness(t):
     found = t.lineitem.where("l_orderkey % 9 <> 0").select(F.col("l_orderkey").alias("unit_id"), F.col("l_linenumber").alias("lap_number"))
     k = F.col("o_orderkey")
     official = t.orders.select(k.alias("unit_id"), F.when(k % 8 != 0, k % 8).alias("official_laps"), (k % 31 == 0).alias("is_shared"), (k % 37 == 0).alias("is_disqualified"))
-    return fusion.completeness(found, official, ["unit_id"]).select("unit_id", "laps_found", "last_lap", "status")
+    return fusion.completeness(found, official, ["unit_id"], t.lineitem.count() + t.orders.count()).select("unit_id", "laps_found", "last_lap", "status")
 
 
 @query(f"""WITH {LAPS_SQL}, stops AS (SELECT DISTINCT race_id, driver_id, lap_number - CASE WHEN race_id % 6 = 1 THEN 1 ELSE 0 END AS lap FROM laps WHERE place = 1 AND race_id % 5 <> 0), known AS (SELECT DISTINCT race_id FROM stops)

@@ -213,6 +213,18 @@ def test_codes_of_starters_of_ids_and_of_many(spark):
     assert many[:4] == ["AAA", "AAAA", "AAA2", "AAA3"] and len(set(many)) == 1200
 
 
+def test_completeness_deals_units_once(spark):
+    """One exchange, as many tasks as the rows need; null units and repeated official rows as a full join has them."""
+    found = spark.createDataFrame([("a", 1), ("a", 1), ("a", 2), ("a", 5), ("b", 1), (None, 1), ("d", None)], "unit string, lap_number int")
+    official = spark.createDataFrame([("a", 2, None, None), ("a", 4, None, False), ("b", 3, True, None), ("c", 0, None, None), (None, 2, None, None), ("e", None, None, None)], "unit string, official_laps int, is_shared boolean, is_disqualified boolean")
+    out = fusion.completeness(found, official, ["unit"], 4_000_000)
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange") == 1 and "Exchange hashpartitioning(unit" in text and ", 8), REPARTITION_BY_NUM" in text
+    got = {r.unit: (r.official_laps, r.laps_found, r.last_lap, r.status, r.missing) for r in out.collect()}
+    assert got["a"] == (4, 3, 5, "missing_laps", 2) and got["b"][3] == "shared_car" and got["c"][3] == "ok" and got["e"][3] == "ok"
+    assert got[None] == (2, 1, 1, "missing_laps", 2) and got["d"] == (None, 0, None, "ok", 0)
+
+
 def test_gate(spark):
     import pytest
 
