@@ -20,7 +20,7 @@ def race_codes(results: DataFrame, drivers: DataFrame) -> DataFrame:
     """race_id, driver_id, driver_code: one code for all sessions of a race; who drove a lap or had a grid place started."""
     entrants = results.groupBy("race_id", "driver_id").agg(F.bool_or((F.col("laps") > 0) | F.col("grid_position").isNotNull()).alias("_started"))
     known = drivers.select("driver_id", "abbreviation", "first_name")
-    return unique_codes(entrants.join(known, "driver_id"), ["race_id"], "driver_id", "abbreviation", "first_name", "_started").withColumnRenamed("unique_code", "driver_code")
+    return unique_codes(entrants.join(broadcast_if_small(known), "driver_id"), ["race_id"], "driver_id", "abbreviation", "first_name", "_started").withColumnRenamed("unique_code", "driver_code")
 
 
 def _named(df: DataFrame, drivers: DataFrame, constructors: DataFrame) -> DataFrame:
@@ -29,9 +29,10 @@ def _named(df: DataFrame, drivers: DataFrame, constructors: DataFrame) -> DataFr
 
 
 def race_results(results: DataFrame, drivers: DataFrame, constructors: DataFrame, session: str = "RACE") -> DataFrame:
-    """Results of a session with names and codes."""
+    """Results of a session with names and codes. A race's codes join as one map, so results bucketed by race stay there."""
     own = _named(results.where(F.col("session_type") == session), drivers, constructors)
-    return own.join(race_codes(results, drivers), ["race_id", "driver_id"], "left")
+    codes = race_codes(results, drivers).groupBy("race_id").agg(F.map_from_entries(F.collect_list(F.struct("driver_id", "driver_code"))).alias("_codes"))
+    return own.join(codes, "race_id", "left").withColumn("driver_code", F.try_element_at("_codes", F.col("driver_id"))).drop("_codes")
 
 
 def race_detail(races: DataFrame, results: DataFrame, drivers: DataFrame) -> DataFrame:

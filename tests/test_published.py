@@ -85,6 +85,19 @@ def test_peers_of_a_race_are_found_without_exchange(spark):
     assert sorted(map(tuple, joins.peers_of_teams(rows, ["race", "team"], "driver", []).collect())) == [(1, "t", "a", "b"), (1, "t", "b", "a")]
 
 
+def test_codes_join_results_of_a_race_without_exchange(spark):
+    from concordia.operators import serving
+    from concordia.plans import published
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        t = base.Tables(spark, FOLDER)
+        text = plan(serving.race_results(published._entered(t), published._drivers(t), published._constructors(t)))
+        assert "Exchange hashpartitioning(race_id" not in text and "SortMergeJoin [race_id" in text
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_reads_of_a_database_in_ranges(spark, tmp_path):
     url, driver = "jdbc:derby:memory:ranges;create=true", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
     spark.range(1, 101).selectExpr("if(id % 10 = 0, null, id) AS k", "id AS v").write.jdbc(url, "T", properties=driver)
