@@ -141,5 +141,5 @@ FROM flagged LEFT JOIN official USING (race_id, driver_id) WHERE NOT coalesce(la
 
 @query(_FUSE_SQL)
 def r11_fuse(t):
-    out = fusion.fuse(*_sources(t))
+    out = fusion.fuse(*_sources(t), rows=4 * laps(t).count())
     return out.select(*fusion.KEYS, "lap_time_ms", F.col("position").cast("long").alias("position"), "source", "original_lap_time_ms", "lap_numbering_status", "validation_status", F.array_join("confirmed_by", ",").alias("confirmed_by"), F.array_join("corrections", ",").alias("corrections"), "is_red_flag")

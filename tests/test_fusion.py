@@ -225,6 +225,32 @@ def test_completeness_deals_units_once(spark):
     assert got[None] == (2, 1, 1, "missing_laps", 2) and got["d"] == (None, 0, None, "ok", 0)
 
 
+def test_fusion_deals_its_sources_once(spark):
+    """One exchange of rows, whatever sources are read; as many tasks as the rows need."""
+    import __spark_entry__
+
+    text = __spark_entry__.queries()["r11_fuse"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning(") == 1 and "Exchange hashpartitioning(race_id" in text
+    none = laps(spark, [])
+    frame = lambda s: spark.createDataFrame([], s)
+    out = fusion.fuse(none, none, none, none, frame("race_id long, numbering_status string, applied_lap_shift int"), frame("race_id long, driver_id string, lap_number int, original_value long, corrected_value long"), frame("race_id long, driver_id string, official_laps int"), frame("race_id long, is_reliable boolean, is_replaced boolean"), rows=7_000_000)
+    assert ", 7), REPARTITION_BY_NUM" in out._jdf.queryExecution().executedPlan().toString() and out.count() == 0
+
+
+def test_fusion_matches_known_keys_only(spark):
+    s1 = [(1, "d1", 2, 1, 90000), (1, "d1", 2, 1, 95000)]  # a repeated lap stays, each time with its own review
+    s2 = [(None, "d1", 2, 1, 90000), (1, "d2", None, 1, 90000), (1, "d1", 2, 1, 95000)]
+    official = [(1, "d2", 5), (None, "d1", 5)]
+    frames = [laps(spark, [(r, d, n or 0, p, t) for r, d, n, p, t in rows]).withColumn("lap_number", F.when(F.col("lap_number") > 0, F.col("lap_number"))) for rows in (s1, s2, s2, [(None, "d1", 2, 1, 90000)])]
+    sheet = spark.createDataFrame([(1, "d1", 2, 90000, 91000), (1, "d1", 2, 95000, 96000), (None, "d1", 2, 90000, 99000)], "race_id long, driver_id string, lap_number int, original_value long, corrected_value long")
+    out = fusion.fuse(*frames, spark.createDataFrame([], "race_id long, numbering_status string, applied_lap_shift int"), sheet, spark.createDataFrame(official, "race_id long, driver_id string, official_laps int"), spark.createDataFrame([], "race_id long, is_reliable boolean, is_replaced boolean"))
+    got = sorted(((r.race_id, r.driver_id, r.lap_number, r.source, r.lap_time_ms, r.validation_status, tuple(r.confirmed_by)) for r in out.collect()), key=str)
+    assert got == sorted([
+        (1, "d1", 2, "s1", 91000, "corrected", ()), (1, "d1", 2, "s1", 96000, "corrected", ("s2", "s3")), (1, "d2", None, "s2", 90000, "single_source", ()),
+        *[(None, "d1", 2, name, 90000, "single_source", ()) for name in ("s2", "s3", "s4")],  # no race: in no other source, so all stay
+    ], key=str)
+
+
 def test_gate(spark):
     import pytest
 
