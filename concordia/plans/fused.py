@@ -52,7 +52,7 @@ def r08_feed_laps(t):
         said(s % 3 == 0, 350_000, "SafetyCar", None, None, "VSC ENDING"), said(s % 5 == 0, 420_000, "Flag", "RED", "Track", "RED FLAG"), said(s % 7 == 0, 500_000, "SafetyCar", None, None, "SAFETY CAR DEPLOYED"),
     ))
     messages = x.select("session_key", "t0").distinct().select("session_key", F.inline(log)).withColumn("message_utc", _utc(F.col("ms")))
-    out = feed.build_laps(own, position, stint, pit, messages, staging.message_event())
+    out = feed.build_laps(own, position, stint, pit, messages, staging.message_event(), rows=3 * laps(t).count())
     return out.select(
         "session_key", "driver_number", "lap_number", C.epoch_ms("lap_start").alias("lap_start"), C.epoch_ms("lap_end").alias("lap_end"), "lap_time_ms", F.col("is_lap_time_from_sectors").alias("is_from_sectors"), "position", "position_by_timing", "position_status", F.col("gap_to_leader_ms").alias("gap_ms"),
         "stint", F.col("tyre_compound").alias("compound"), F.col("tyre_age_laps").alias("tyre_age"), F.col("is_pit_in_lap").alias("is_pit_in"), F.col("is_safety_car").alias("is_sc"), F.col("is_virtual_safety_car").alias("is_vsc"), F.col("is_red_flag").alias("is_red"),

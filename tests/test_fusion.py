@@ -164,6 +164,39 @@ def test_feed_builder(spark):
     assert got[5, 2].is_pit_in_lap and not got[5, 1].is_pit_in_lap and got[5, 1].tyre_compound is None
 
 
+def test_feed_deals_its_inputs_once(spark):
+    """One exchange of rows; the same laps as the module's steps one after another, with null keys, ties and open periods."""
+    import __spark_entry__
+
+    text = __spark_entry__.queries()["r08_feed_laps"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning(") == 1 and "Exchange hashpartitioning(session_key" in text
+    t0 = datetime(2024, 3, 2, 15)
+    at = lambda s: t0 + timedelta(seconds=s)
+    frame = lambda r, s: spark.createDataFrame(r, s)
+    own = frame([(s, d, n, at(90 * n + 3 * (d or 0)) if n != 3 else None, 90000 if n != 5 else None, None, None, None, n == 4) for s in (1, 2, None) for d in (1, 2, None) for n in (1, 2, 3, 4, 5)] + [(1, 1, None, at(500), 90000, None, None, None, True)], "session_key long, driver_number int, lap_number int, date_start_utc timestamp, lap_time_ms long, sector_1_ms long, sector_2_ms long, sector_3_ms long, is_pit_out_lap boolean")
+    position = frame([(s, d, at(k), p) for s in (1, None) for d in (1, None) for k, p in ((183.5, 3), (183.5, 1), (273.4, None), (400, 2))] + [(1, 2, None, 9), (1, 2, at(186.5), 4)], "session_key long, driver_number int, date_utc timestamp, position int")
+    stint = frame([(s, d, k, a, b, f"T{k}", 2) for s in (1, None) for d in (1, None) for k, a, b in ((1, 1, 3), (2, 2, None), (3, 4, 4), (None, 5, 5), (4, None, 9), (5, 4, 2))], "session_key long, driver_number int, stint int, lap_start int, lap_end int, tyre_compound string, tyre_age_at_start int")
+    pit = frame([(1, 1, 2), (1, 1, 2), (1, None, 3), (None, 1, 1), (1, 2, None)], "session_key long, driver_number int, lap_number long")
+    sc, clear, red = ("SafetyCar", None, None, "SAFETY CAR DEPLOYED"), ("Flag", "CLEAR", "Track", "TRACK CLEAR"), ("Flag", "RED", "Track", "RED FLAG")
+    messages = frame([(s, k if k is None else at(k), *m) for s in (1, None) for k, m in ((183, sc), (200, clear), (None, sc), (186, red), (None, red), (460, ("SafetyCar", None, None, "VSC DEPLOYED")))] + [(2, at(93), *red), (2, at(183), *sc)], "session_key long, message_utc timestamp, category string, flag string, scope string, message string")
+    got = feed.build_laps(own, position, stint, pit, messages, staging.message_event(), rows=3_500_000)
+    assert ", 7), REPARTITION_BY_NUM" in got._jdf.queryExecution().executedPlan().toString() and dict(got.dtypes)["lap_number"] == "int"
+
+    from concordia.operators.joins import asof_join, overlaps
+
+    row = [*feed.UNIT, "lap_number"]
+    want = feed.stints(feed.positions(feed.lap_ends(own), position), stint).join(pit.distinct().withColumn("_pit", F.lit(True)), row, "left")
+    want = want.withColumn("is_pit_in_lap", F.coalesce("_pit", F.lit(False)) | F.coalesce("_next_out", F.lit(False)))
+    found = feed.periods(messages, staging.message_event())
+    for kind, name in (("sc", "is_safety_car"), ("vsc", "is_virtual_safety_car")):
+        want = overlaps(want, found.where(F.col("kind") == kind), ["session_key"], ("lap_start", "lap_end"), ("started_at", "ended_at"), name)
+    reds = messages.where("flag = 'RED'").select("session_key", "message_utc", F.col("message_utc").alias("_red"))
+    want = asof_join(want, reds, ["session_key"], "lap_end", "message_utc", ["_red"]).withColumn("is_red_flag", F.coalesce(F.col("_red") > F.col("lap_start"), F.lit(False)))
+    rows = lambda df: sorted((str(tuple(r)) for r in df.select(*sorted(got.columns)).collect()))
+    assert rows(got) == rows(want) and len(rows(got)) > 30
+    assert {r.is_safety_car for r in got.collect()} == {r.is_red_flag for r in got.collect()} == {r.is_pit_in_lap for r in got.collect()} == {True, False}
+
+
 def test_sessions_match_by_nearest_date(spark):
     from datetime import date
 
